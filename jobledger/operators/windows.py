@@ -103,9 +103,10 @@ def fetch_backoff(polls: DataFrame, base_ms: int = 1000, key: str = "worker",
     """
     order = list(order)
     failed_i = F.col("failed").cast("int")
-    f = scan.running(polls, key, order, failed_i, "_fails", "sum", ts_col=order[0])
+    b = scan.add_buckets(polls, key, order[0], out="_slice")
+    f = scan.running(b, key, order, failed_i, "_fails", "sum", bucket="_slice")
     f = scan.running(f, key, order, F.when(~F.col("failed"), F.col("_fails")), "_at_success", "max",
-                     ts_col=order[0])
+                     bucket="_slice")
     streak = F.col("_fails") - F.coalesce(F.col("_at_success"), F.lit(0))
     return f.select(*polls.columns,
                     F.when(F.col("failed"), streak).alias("streak"),
@@ -125,9 +126,10 @@ def worker_state(directives: DataFrame, key: str = "worker", order: tuple[str, s
     """
     order = list(order)
     d = F.col("desired")
-    t = scan.running(directives, key, order, (d == "terminate").cast("int"), "_term", "max", ts_col=order[0])
+    b = scan.add_buckets(directives, key, order[0], out="_slice")
+    t = scan.running(b, key, order, (d == "terminate").cast("int"), "_term", "max", bucket="_slice")
     valid = F.when(d.isin("running", "quiet"), F.struct(*[F.col(c) for c in order], d.alias("v")))
-    t = scan.running(t, key, order, valid, "_last", "max", ts_col=order[0])
+    t = scan.running(t, key, order, valid, "_last", "max", bucket="_slice")
     state = (F.when(F.col("_term") == 1, F.lit("terminate"))
               .otherwise(F.coalesce(F.col("_last.v"), F.lit("running"))))
     return t.select(*directives.columns, state.alias("state"))

@@ -4,8 +4,9 @@ A running aggregate over ``Window.partitionBy(key).orderBy(...)`` sends every
 row of a key to one task. When one key (a worker, a job, a queue) may hold a
 large share of all rows, the fold is split in two levels instead:
 
-1. rows are tagged with a bucket (a time slice of the order column), and the
-   per-(key, bucket) totals are aggregated (partial aggregation, tiny output);
+1. rows are tagged with a bucket: one per ordinary key, several equal time
+   slices for a key with more than ``TARGET_ROWS`` rows (``add_buckets``),
+   and the per-(key, bucket) totals are aggregated (partial aggregation);
 2. a window over those totals gives each bucket the fold of all earlier
    buckets of its key (one row per bucket, not per event);
 3. the fold inside each (key, bucket) is a window partitioned by
@@ -23,11 +24,9 @@ from pyspark.sql import functions as F
 
 from jobledger.functions.timecols import epoch_us
 
-DEFAULT_BUCKET_US = 3600 * 1_000_000  # one hour of the order timestamp
-
-
-def time_bucket(ts_col: str, bucket_us: int = DEFAULT_BUCKET_US) -> Column:
-    return F.floor(epoch_us(ts_col) / F.lit(bucket_us)).cast("bigint")
+# rows per (key, bucket) a single task should fold; a key with more rows is
+# split into ceil(rows / TARGET_ROWS) equal time slices
+TARGET_ROWS = 2_000_000
 
 
 def _keys(key) -> list[str]:
@@ -36,19 +35,52 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int = TARGET_ROWS, out: str = "_bk") -> DataFrame:
+    """Tag rows with a per-key time slice: one slice for an ordinary key,
+    ``ceil(rows / target_rows)`` equal slices of its time span for a hot key.
+
+    Needs one aggregate per key (count, min, max of the timestamp; partial
+    aggregation, one row per key) joined back on the key -- broadcast when
+    the per-key table is small, otherwise a shuffle join whose skewed key
+    AQE splits.
+    """
+    keys = _keys(key)
+    t = epoch_us(ts_col)
+    tagged = df.withColumn("_t_us", t)
+    stats = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t_us").alias("_lo"),
+                                      F.max("_t_us").alias("_hi"))
+    nb = F.ceil(F.col("_n") / F.lit(target_rows)).cast("bigint")
+    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb), F.lit(1)).cast("bigint")
+    stats = stats.select(*keys, "_lo", width.alias("_w"))
+    if keys:
+        j = tagged.join(stats, keys, "inner")
+    else:
+        # a global fold: the two numbers are read once on the driver
+        row = stats.first()
+        j = tagged.withColumn("_lo", F.lit(row["_lo"] if row else 0).cast("bigint")).withColumn(
+            "_w", F.lit(row["_w"] if row else 1).cast("bigint"))
+    bucket = F.coalesce(F.floor((F.col("_t_us") - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("bigint")
+    return j.withColumn(out, bucket).drop("_t_us", "_lo", "_w")
+
+
 def running(df: DataFrame, key, order: list, value: Column, out: str, how: str = "sum",
-            bucket: Column | None = None, ts_col: str | None = None,
-            bucket_us: int = DEFAULT_BUCKET_US, inclusive: bool = True) -> DataFrame:
+            bucket: str | None = None, ts_col: str | None = None,
+            target_rows: int = TARGET_ROWS, inclusive: bool = True) -> DataFrame:
     """Add ``out`` = running ``how`` (sum|max) of ``value`` per ``key`` in
     ``order`` (including the current row unless ``inclusive=False``).
-    ``key`` may be None for a global fold. Buckets come from ``bucket`` or
-    from ``ts_col`` cut into ``bucket_us`` slices; buckets must be
+    ``key`` may be None for a global fold. ``bucket`` names an existing
+    bucket column (from ``add_buckets``, to share it between folds);
+    otherwise buckets are made from ``ts_col``. Buckets must be
     non-decreasing in ``order``."""
     keys = _keys(key)
-    if bucket is None:
-        bucket = time_bucket(ts_col or order[0], bucket_us)
     agg = F.sum if how == "sum" else F.max
-    b = df.withColumn("_bk", bucket).withColumn("_v", value)
+    if bucket is None:
+        df = add_buckets(df, key, ts_col or order[0], target_rows)
+        bucket, own = "_bk", True
+    else:
+        own = False
+    b = df.withColumnRenamed(bucket, "_bk") if bucket != "_bk" else df
+    b = b.withColumn("_v", value)
     tot = b.groupBy(*keys, "_bk").agg(agg("_v").alias("_t"))
     prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*keys, "_bk", agg("_t").over(prev).alias("_off"))
@@ -60,20 +92,20 @@ def running(df: DataFrame, key, order: list, value: Column, out: str, how: str =
         combined = F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(local, F.lit(0))
     else:
         combined = F.greatest(F.col("_off"), local)  # greatest skips NULLs
-    return j.withColumn(out, combined).drop("_bk", "_v", "_off")
+    res = j.withColumn(out, combined).drop("_v", "_off")
+    if own:
+        return res.drop("_bk")
+    return res.withColumnRenamed("_bk", bucket) if bucket != "_bk" else res
 
 
 def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: str = "next_",
-             bucket: Column | None = None, ts_col: str | None = None,
-             bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+             ts_col: str | None = None, target_rows: int = TARGET_ROWS) -> DataFrame:
     """Add ``next_<f>`` = value of ``f`` on the next row of the same key in
     ``order`` (``lead``), computed per (key, bucket) with the first row of
     the next non-empty bucket as the fallback for each bucket's last row.
     ``fields`` must include the order columns' values you need."""
     keys = _keys(key)
-    if bucket is None:
-        bucket = time_bucket(ts_col or order[0], bucket_us)
-    b = df.withColumn("_bk", bucket)
+    b = add_buckets(df, key, ts_col or order[0], target_rows)
     rec = F.struct(*[F.col(c) for c in order], *[F.col(f).alias(f"_f_{f}") for f in fields])
     firsts = b.groupBy(*keys, "_bk").agg(F.min(rec).alias("_first"))
     w_b = Window.partitionBy(*keys).orderBy("_bk")

@@ -15,6 +15,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobledger.session import checkpoint_dir
 
@@ -22,11 +23,22 @@ from jobledger.session import checkpoint_dir
 MAX_BROADCAST_ROWS = 100_000
 
 
+def literal_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
+    """A small table from driver-side rows as a JVM-side inline relation (no
+    Python worker, no RDD): ``inline(array(struct(...)))``."""
+    st = T._parse_datatype_string(schema)
+    data = list(rows)
+    if not data:
+        return spark.createDataFrame([], st)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in data]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def registry_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small dimension built from driver-side rows; broadcast when its
     (known) row count is within ``MAX_BROADCAST_ROWS``."""
     data = list(rows)
-    df = spark.createDataFrame(data, schema)
+    df = literal_frame(spark, data, schema)
     return F.broadcast(df) if len(data) <= MAX_BROADCAST_ROWS else df
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from jobledger.plans.strategy import literal_frame
 from jobledger.sources.tables import table
 
 
@@ -43,7 +44,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     per_job = attempts(spark, sf_dir).groupBy("job_id").agg(
         F.count(F.lit(1)).cast("int").alias("n"),
-        F.max_by("outcome", "attempt").alias("last_outcome"),
+        F.max_by(F.col("outcome") == "completed", "attempt").alias("last_completed"),
         F.max_by("retryable", "attempt").alias("last_retryable"),
         F.min("started_at").alias("first_started"),
     )
@@ -53,7 +54,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = (F.when(status == "O", "available")
               .when(status == "P", "active")
               .when(F.col("n").isNull(), "scheduled")
-              .when(F.col("last_outcome") == "completed", "completed")
+              .when(F.col("last_completed"), "completed")
               .when(F.coalesce(F.col("last_retryable"), F.lit(False)) & (F.col("n") < 3), "retryable")
               .otherwise("discarded"))
     return joined.select(
@@ -169,18 +170,20 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def handlers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("order.urgent",), ("order.high",), ("order.low",)], "type string")
+    return literal_frame(spark, [("order.urgent",), ("order.high",), ("order.low",)], "type string")
 
 
 def queues(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_frame(
+        spark,
         [("automobile", "active", 0), ("building", "paused", 1), ("furniture", "active", 2),
          ("household", "active", 3), ("machinery", "paused", 4)],
         "queue string, status string, ord int")
 
 
 def cron_jobs(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return literal_frame(
+        spark,
         [("daily-report", "0 9 * * *", "UTC", "report.generate"),
          ("nightly-cleanup", "0 2 * * *", "UTC", "cleanup.run")],
         "name string, cron string, timezone string, type string")

@@ -31,12 +31,13 @@ def _finish(df: DataFrame) -> DataFrame:
               .withColumn("meta_v", F.try_parse_json("meta")))
 
 
-def read_jobs(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Read JSON-lines job envelopes: ``(jobs, corrupt)``."""
+def read_jobs(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """Read JSON-lines job envelopes (one or more paths): ``(jobs, corrupt)``.
+
+    Lines are read as text (splittable, one task per file split) and parsed
+    with ``from_json`` once per line."""
     ensure_conf(spark)
-    raw = (spark.read.schema(_wire_schema()).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    return split_corrupt(raw)
+    return parse_jobs(spark.read.text(path))
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,9 +47,14 @@ def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_jobs(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Same decoding for a column of JSON text already in a DataFrame."""
-    parsed = df.select(F.from_json(col, _wire_schema(), {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("j"))
+    """Same decoding for a column of JSON text already in a DataFrame.
+
+    The parsed struct goes through a one-element ``explode``: filters on its
+    fields (the corrupt-record split) cannot be pushed below a generator,
+    so each line is parsed once instead of once per consumer.
+    """
+    parsed = df.select(F.explode(F.array(F.from_json(col, _wire_schema(), {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))).alias("j"))
     return split_corrupt(parsed.select("j.*"))
 
 
