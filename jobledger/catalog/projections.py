@@ -111,6 +111,16 @@ def q_merge_meta(spark, sf):
     return P.merge_meta(fx.meta_patches(spark, sf))
 
 
+@register("merge_meta_maps", views=("meta_patches",), sql="""
+SELECT job_id, meta_key, arg_max(meta_value, seq) AS meta_value FROM meta_patches GROUP BY job_id, meta_key""")
+def q_merge_meta_maps(spark, sf):
+    """P6 map form: each patch row carries a MAP; the merged MAP per job is
+    read back entry by entry."""
+    p = fx.meta_patches(spark, sf).select("job_id", "seq", F.create_map("meta_key", "meta_value").alias("meta"))
+    merged = P.merge_meta_maps(p)
+    return merged.select("job_id", F.explode("meta").alias("meta_key", "meta_value"))
+
+
 @register("append_tags", sql="""
 WITH src AS (
   SELECT user_id AS job_id, event_id AS seq,

@@ -114,3 +114,19 @@ def q_parse_error_responses(spark, sf):
     out = R.parse_error_responses(r.withColumn("body", body))
     return out.select("event_id", "http_status", "code", "message", "retryable", "request_id",
                       "retry_after_ms", "rl_limit", "rl_remaining", "rl_reset")
+
+
+@register("write_jobs", views=("jobs",), sql="""
+SELECT CAST(job_id AS VARCHAR) AS id,
+       '{"id":"' || CAST(job_id AS VARCHAR) || '","type":"' || type || '","state":"' || state || '","queue":"' || queue
+       || '","priority":' || CAST(priority AS VARCHAR) || ',"attempt":' || CAST(attempt AS VARCHAR) || ',"max_attempts":3'
+       || ',"created_at":"' || strftime(created_at, '%Y-%m-%dT%H:%M:%SZ') || '"'
+       || CASE WHEN started_at IS NOT NULL THEN ',"started_at":"' || strftime(started_at, '%Y-%m-%dT%H:%M:%SZ') || '"' ELSE '' END
+       || ',"args":[]}' AS value
+FROM jobs""")
+def q_write_jobs(spark, sf):
+    """Job rows as wire envelopes (the text each output line carries)."""
+    jobs = fx.jobs(spark, sf).withColumnRenamed("job_id", "id")
+    return J.encode_jobs(jobs.select("id", "type", "state", "queue", "priority", "attempt", "max_attempts",
+                                     "created_at", "started_at")).select(
+        F.get_json_object("value", "$.id").alias("id"), "value")

@@ -151,3 +151,15 @@ def q_cron_audit(spark, sf):
     triggers = ev.select(F.when(F.col("user_id") % 2 == 0, "daily-report").otherwise("nightly-cleanup").alias("name"),
                          F.col("ts").alias("time"))
     return C.cron_audit(expected, triggers, grace_seconds=6 * 3600)
+
+
+@register("next_runs", views=("cron_jobs",), sql="""
+, a AS (SELECT max(ts) AS as_of FROM events)
+, m AS (SELECT unnest(generate_series(CAST(CAST(a.as_of AS DATE) AS TIMESTAMP), CAST(CAST(a.as_of AS DATE) AS TIMESTAMP) + INTERVAL 2 DAY, INTERVAL 1 MINUTE)) AS t FROM a)
+SELECT c.name, min(m.t) AS next_run_at FROM cron_jobs c, m
+WHERE m.t >= (SELECT as_of FROM a)
+  AND minute(m.t) = CAST(split_part(c.cron, ' ', 1) AS INT) AND hour(m.t) = CAST(split_part(c.cron, ' ', 2) AS INT)
+GROUP BY c.name""")
+def q_next_runs(spark, sf):
+    as_of = table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
+    return C.next_runs(fx.cron_jobs(spark), as_of)

@@ -69,7 +69,8 @@ def encode_jobs(df: DataFrame) -> DataFrame:
     def col(name, dtype="string"):
         return F.col(name) if name in cols else F.lit(None).cast(dtype)
 
-    args = A.encode_args(F.col("args_map")) if "args_map" in cols else col("args")
+    # args are always on the wire: an absent or empty map is written as []
+    args = A.encode_args(F.col("args_map")) if "args_map" in cols else F.coalesce(col("args"), F.lit("[]"))
     fields = [
         col("id").cast("string").alias("id"), col("type").alias("type"), col("state").alias("state"),
         col("queue").alias("queue"), F.coalesce(col("priority", "int"), F.lit(0)).alias("priority"),
