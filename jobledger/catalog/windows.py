@@ -53,12 +53,12 @@ def q_retry_plan(spark, sf):
 
 
 @register("fetch_backoff", views=("polls",), sql="""
-, f AS (SELECT *, sum(CAST(failed AS INT)) OVER w AS fails FROM polls WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+, f AS (SELECT *, CAST(sum(CAST(failed AS INT)) OVER w AS BIGINT) AS fails FROM polls WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 , g AS (SELECT *, max(CASE WHEN NOT failed THEN fails END) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS at_s FROM f)
 , s AS (SELECT *, fails - coalesce(at_s, 0) AS streak FROM g)
 SELECT worker, event_id, ts, failed,
        CASE WHEN failed THEN streak END AS streak,
-       CASE WHEN failed THEN CASE WHEN streak <= 1 THEN 1000 ELSE least(1000 * (CAST(1 AS BIGINT) << least(streak - 1, 10)), 30000) END END AS backoff_ms
+       CASE WHEN failed THEN CAST(CASE WHEN streak <= 1 THEN 1000 ELSE least(1000 * (CAST(1 AS BIGINT) << least(streak - 1, 10)), 30000) END AS BIGINT) END AS backoff_ms
 FROM s""")
 def q_fetch_backoff(spark, sf):
     return W.fetch_backoff(fx.polls(spark, sf), base_ms=1000)
@@ -112,7 +112,7 @@ def q_time_in_state(spark, sf):
 @register("active_over_time", views=("attempts",), sql="""
 , ev AS (SELECT worker_id, started_at AS ts, 1 AS delta FROM attempts
          UNION ALL SELECT worker_id, started_at + duration_ms * INTERVAL 1 MILLISECOND, -1 FROM attempts)
-, r AS (SELECT *, sum(delta) OVER (PARTITION BY worker_id ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS active FROM ev)
+, r AS (SELECT *, CAST(sum(delta) OVER (PARTITION BY worker_id ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active FROM ev)
 , p AS (SELECT worker_id, max(active) AS peak_active, count(*) AS changes FROM r GROUP BY worker_id)
 SELECT p.worker_id, p.peak_active, min(r.ts) AS peak_at, p.changes
 FROM p JOIN r ON p.worker_id = r.worker_id AND r.active = p.peak_active
@@ -125,7 +125,7 @@ def q_active_over_time(spark, sf):
 @register("active_over_time_global", views=("attempts",), sql="""
 , ev AS (SELECT started_at AS ts, 1 AS delta FROM attempts
          UNION ALL SELECT started_at + duration_ms * INTERVAL 1 MILLISECOND, -1 FROM attempts)
-, r AS (SELECT *, sum(delta) OVER (ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS active FROM ev)
+, r AS (SELECT *, CAST(sum(delta) OVER (ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active FROM ev)
 SELECT max(active) AS peak_active, min(ts) FILTER (WHERE active = (SELECT max(active) FROM r)) AS peak_at, count(*) AS changes FROM r""")
 def q_active_over_time_global(spark, sf):
     tl = W.active_over_time(fx.attempts(spark, sf), by=None)

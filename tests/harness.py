@@ -73,3 +73,15 @@ def compare(spark_df, con, sql: str):
         only_d = list((dr - sr).items())[:3]
         problems.append(f"values differ; spark-only {only_s} duck-only {only_d}")
     return problems, len(s)
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "date": "DATE"}
+
+
+def type_differences(spark_df, con, sql: str):
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, t, duck_types.get(c)) for c, t in spark_df.dtypes
+            if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)]

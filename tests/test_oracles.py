@@ -2,7 +2,7 @@
 (the driver runs the same comparison at sf0.01)."""
 
 import pytest
-from harness import compare, duck
+from harness import compare, duck, type_differences
 
 from jobledger.catalog import ORACLE, QUERIES
 from conftest import SF_SMALL
@@ -15,8 +15,10 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    problems, _ = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    problems, _ = compare(df, con, ORACLE[name])
     assert not problems, problems
+    assert not type_differences(df, con, ORACLE[name])
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():
