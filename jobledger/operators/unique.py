@@ -10,8 +10,10 @@ each partition, then ``mapInPandas`` walks each key's rows carrying one
 O(slots * log rows) with ``numpy.searchsorted`` jumps, not a Python loop per
 row, and memory is one batch at a time.
 
-A single very hot key is still folded by one task (the chain is sequential);
-its rows stream through in batches, so it costs time, not memory.
+A key with more rows than ``HOT_KEY_ROWS`` is not left to one task: it is
+cut into time slices (each at least one period long) that are summarised,
+composed per key and labelled in parallel -- an exact parallel form of the
+same greedy chain (see ``apply_unique``).
 """
 
 from __future__ import annotations
@@ -85,24 +87,163 @@ def _fold(key: str, ts: str, rid: str, period_us: int, conflict: str):
     return run
 
 
+# keys with more rows than this are folded in parallel time slices
+HOT_KEY_ROWS = 2_000_000
+
+
+def _chain_next(t: np.ndarray, period_us: int) -> np.ndarray:
+    """Index of the first row at or after ``t[i] + period`` (n if none)."""
+    n = len(t)
+    if period_us <= 0:
+        return np.full(n, n, dtype="int64")
+    return np.searchsorted(t, t + period_us, "left").astype("int64")
+
+
+def _slice_summary(key: str, rid: str, period_us: int):
+    """Phase 1, per (hot key, slice): which anchor the chain leaves the slice
+    from, for every way it can enter. The chain enters at the first row at or
+    after a threshold below ``slice_start + period``, so only rows before that
+    point (and the first row after it) can be entries; consecutive entries with
+    the same exit are stored as one run ``(last entry time, exit)``."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", rid], kind="mergesort")
+        t = pdf["_t"].to_numpy(dtype="int64")
+        ids = pdf[rid].to_numpy()
+        n = len(t)
+        nxt = _chain_next(t, period_us)
+        succ = np.where(nxt < n, nxt, np.arange(n))
+        while True:  # pointer doubling: every row -> last anchor of its chain in the slice
+            nxt2 = succ[succ]
+            if np.array_equal(nxt2, succ):
+                break
+            succ = nxt2
+        start = int(pdf["_lo"].iloc[0]) + int(pdf["_slice"].iloc[0]) * int(pdf["_w"].iloc[0])
+        m = int(np.searchsorted(t, start + period_us, "left")) if period_us > 0 else n - 1
+        cand = np.arange(min(m + 1, n))
+        ex = succ[cand]
+        last_of_run = np.r_[ex[1:] != ex[:-1], True]
+        ends, exits = cand[last_of_run], ex[last_of_run]
+        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": pdf["_slice"].iloc[0],
+                             "_run_end_t": t[ends], "_exit_t": t[exits], "_exit_id": ids[exits]})
+    return run
+
+
+def _compose(key: str, period_us: int, id_type):
+    """Phase 2, per hot key over its (small) slice summaries in time order:
+    the threshold each slice is entered with and the anchor whose slot is
+    still open when it starts."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_slice", "_run_end_t"], kind="mergesort")
+        out = {key: [], "_slice": [], "_theta": [], "_prev_t": [], "_prev_id": []}
+        prev_t, prev_id = None, None
+        for sl, g in pdf.groupby("_slice", sort=True):
+            if prev_t is None:
+                theta = np.iinfo("int64").min
+            elif period_us <= 0:
+                theta = np.iinfo("int64").max
+            else:
+                theta = prev_t + period_us
+            out[key].append(g[key].iloc[0])
+            out["_slice"].append(sl)
+            out["_theta"].append(theta)
+            out["_prev_t"].append(prev_t)
+            out["_prev_id"].append(prev_id)
+            hit = g[g["_run_end_t"] >= theta]
+            if len(hit):
+                prev_t, prev_id = int(hit["_exit_t"].iloc[0]), hit["_exit_id"].iloc[0]
+        res = pd.DataFrame(out)
+        res["_prev_t"] = res["_prev_t"].astype("Int64")
+        return res
+    return run
+
+
+def _label_slice(rid: str, period_us: int, conflict: str, columns: list[str]):
+    """Phase 3, per (hot key, slice): walk the chain from the known entry and
+    label every row; rows before the entry belong to the slot still open."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_t", rid], kind="mergesort").reset_index(drop=True)
+        t = pdf["_t"].to_numpy(dtype="int64")
+        ids = pdf[rid].to_numpy()
+        n = len(t)
+        nxt = _chain_next(t, period_us)
+        theta = int(pdf["_theta"].iloc[0])
+        is_anchor = np.zeros(n, dtype=bool)
+        i = int(np.searchsorted(t, theta, "left"))
+        while i < n:
+            is_anchor[i] = True
+            i = int(nxt[i])
+        last = np.maximum.accumulate(np.where(is_anchor, np.arange(n), -1))
+        before = last < 0
+        safe = np.where(before, 0, last)
+        slot_t = np.where(before, pdf["_prev_t"].fillna(0).to_numpy(dtype="int64"), t[safe])
+        slot_id = np.where(before, pdf["_prev_id"].to_numpy(dtype=object), ids[safe].astype(object))
+        out = pdf[columns].copy()
+        out["status"] = np.where(is_anchor, "accepted", STATUS[conflict])
+        out["slot_anchor_us"] = slot_t
+        out["slot_id"] = pd.Series(slot_id).astype(pdf[rid].dtype)
+        return out
+    return run
+
+
 def apply_unique(requests: DataFrame, period_ms: int, on_conflict: str = "reject",
                  key_col: str | None = None, fields: list[str] | None = None,
-                 ts_col: str = "created_at", id_col: str = "request_id") -> DataFrame:
+                 ts_col: str = "created_at", id_col: str = "request_id",
+                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Per request: ``status`` (``accepted`` opens a slot; conflicts are
     ``duplicate`` / ``ignored`` / ``replaced`` by strategy), the slot's
-    anchor time ``slot_anchor`` and opening request ``slot_id``."""
+    anchor time ``slot_anchor`` and opening request ``slot_id``.
+
+    Ordinary keys go through the sorted-partition fold. A key with more than
+    ``hot_key_rows`` rows is cut into ``ceil(rows / hot_key_rows)`` time
+    slices of at least one period and folded exactly in three steps: a
+    per-slice summary (parallel), a per-key composition of the summaries
+    (small), and per-slice labelling from the composed entry (parallel).
+    """
     if on_conflict not in STATUS:
         raise ValueError(f"unknown conflict strategy {on_conflict!r}")
     key = "_ukey"
+    period_us = int(period_ms) * 1000
     df = requests.withColumn(key, F.col(key_col) if key_col else unique_key(fields=fields))
     df = df.withColumn("_ts_us", epoch_us(ts_col))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = df.repartition(parts, key).sortWithinPartitions(key, "_ts_us", id_col)
+    cols = df.columns
     id_type = df.schema[id_col].dataType
-    schema = T.StructType(sorted_.schema.fields + [
-        T.StructField("status", T.StringType()), T.StructField("slot_anchor_us", T.LongType()),
-        T.StructField("slot_id", id_type)])
-    out = sorted_.mapInPandas(_fold(key, "_ts_us", id_col, int(period_ms) * 1000, on_conflict), schema)
+    out_fields = [T.StructField("status", T.StringType()), T.StructField("slot_anchor_us", T.LongType()),
+                  T.StructField("slot_id", id_type)]
+
+    # hot keys: at most rows / hot_key_rows of them, so the list is bounded
+    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_ts_us").alias("_lo"),
+                                F.max("_ts_us").alias("_hi"))
+    nb = F.ceil(F.col("_n") / F.lit(hot_key_rows))
+    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb), F.lit(max(period_us, 1))).cast("bigint")
+    hot = stats.filter(F.col("_n") > hot_key_rows).select(key, "_lo", width.alias("_w"))
+    tagged = df.join(F.broadcast(hot), key, "left")
+
+    cold = tagged.filter(F.col("_w").isNull()).select(*cols)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = cold.repartition(parts, key).sortWithinPartitions(key, "_ts_us", id_col)
+    cold_out = sorted_.mapInPandas(_fold(key, "_ts_us", id_col, period_us, on_conflict),
+                                   T.StructType(sorted_.schema.fields + out_fields))
+
+    hot_rows = (tagged.filter(F.col("_w").isNotNull())
+                .withColumn("_slice", F.floor((F.col("_ts_us") - F.col("_lo")) / F.col("_w")).cast("bigint"))
+                .withColumn("_t", F.col("_ts_us")))
+    key_type = df.schema[key].dataType
+    summary = hot_rows.select(key, "_slice", "_t", id_col, "_lo", "_w").groupBy(key, "_slice").applyInPandas(
+        _slice_summary(key, id_col, period_us),
+        T.StructType([T.StructField(key, key_type), T.StructField("_slice", T.LongType()),
+                      T.StructField("_run_end_t", T.LongType()), T.StructField("_exit_t", T.LongType()),
+                      T.StructField("_exit_id", id_type)]))
+    entries = summary.groupBy(key).applyInPandas(
+        _compose(key, period_us, id_type),
+        T.StructType([T.StructField(key, key_type), T.StructField("_slice", T.LongType()),
+                      T.StructField("_theta", T.LongType()), T.StructField("_prev_t", T.LongType()),
+                      T.StructField("_prev_id", id_type)]))
+    labelled_in = hot_rows.join(entries, [key, "_slice"], "inner")
+    hot_out = labelled_in.groupBy(key, "_slice").applyInPandas(
+        _label_slice(id_col, period_us, on_conflict, cols),
+        T.StructType([df.schema[c] for c in cols] + out_fields))
+
+    out = cold_out.unionByName(hot_out)
     anchor = F.timestamp_micros("slot_anchor_us")
     if dict(requests.dtypes)[ts_col] == "timestamp_ntz":
         anchor = anchor.cast("timestamp_ntz")

@@ -94,6 +94,26 @@ def test_unique_matches_fold_across_batches(spark, period_ms):
     assert got == unique_py(rows, period_ms * 1000)
 
 
+def _when(rng, bursty):
+    if not bursty:
+        return rng.randrange(0, 8 * 86_400_000_000)
+    centre = rng.choice([0, 2, 5]) * 86_400_000_000
+    return centre + rng.randrange(0, 2 * 3_600_000_000)
+
+
+@pytest.mark.parametrize("period_ms,bursty", [(0, False), (3_600_000, False), (86_400_000, False),
+                                              (600_000, True), (3_600_000, True)])
+def test_unique_hot_keys_in_slices_match_fold(spark, period_ms, bursty):
+    rng = random.Random(100 + period_ms + bursty)
+    rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(4)}", _when(rng, bursty), i)
+            for i in range(1500)]
+    df = spark.createDataFrame([(k, T0 + dt.timedelta(microseconds=t), i) for k, t, i in rows],
+                               "ukey string, created_at timestamp, request_id long")
+    got = {r.request_id: (r.status, r.slot_id) for r in
+           UQ.apply_unique(df, period_ms, key_col="ukey", hot_key_rows=60).collect()}
+    assert got == unique_py(rows, period_ms * 1000)
+
+
 def test_bucketed_running_sum_splits_hot_key(spark):
     rng = random.Random(11)
     rows = [("hot" if rng.random() < 0.7 else f"k{rng.randrange(4)}", i, T0 + dt.timedelta(seconds=rng.randrange(10**6)),
