@@ -61,14 +61,49 @@ def stream_current_state(events: DataFrame) -> DataFrame:
 def stream_worker_sessions(heartbeats: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour",
                            ts_col: str = "ts") -> DataFrame:
     """Worker sessions: heartbeats closer than ``gap`` belong to one
-    session; a session ends ``gap`` after its last heartbeat."""
-    h = heartbeats.withColumn("_t", F.col(ts_col).cast("timestamp"))
-    if heartbeats.isStreaming:
-        h = h.withWatermark("_t", watermark)
-    g = h.groupBy("worker_id", F.session_window("_t", gap).alias("s")).agg(
+    session; a session ends ``gap`` after its last heartbeat.
+
+    A stream uses ``session_window`` with a watermark. A static table is
+    split into sessions by gaps and islands over the bucketed scan (a worker
+    with a huge share of heartbeats is spread over many tasks): heartbeats
+    are first reduced to distinct (worker, time) with counts, a heartbeat
+    ends a session when the next one is ``gap`` or more later, and the
+    session number is the running count of earlier ends.
+    """
+    if not heartbeats.isStreaming:
+        return _sessions_by_scan(heartbeats, gap, ts_col)
+    h = heartbeats.withColumn("_t", F.col(ts_col).cast("timestamp")).withWatermark("_t", watermark)
+    return sessions_by_window(h, gap, "_t")
+
+
+def sessions_by_window(h: DataFrame, gap: str, ts_col: str) -> DataFrame:
+    """``session_window`` with the "less than gap" rule: Spark merges two
+    heartbeats exactly ``gap`` apart, so the window gap is one microsecond
+    shorter (timestamps have microsecond resolution) and the microsecond is
+    added back to the session end."""
+    gap_us = int(_interval_seconds(gap) * 1_000_000)
+    g = h.groupBy("worker_id", F.session_window(ts_col, f"{gap_us - 1} microseconds").alias("s")).agg(
         F.count(F.lit(1)).alias("heartbeats"))
     return g.select("worker_id", F.col("s.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("s.end").cast("timestamp_ntz").alias("session_end"), "heartbeats")
+                    (F.col("s.end") + F.expr("INTERVAL 1 MICROSECOND")).cast("timestamp_ntz").alias("session_end"),
+                    "heartbeats")
+
+
+def _sessions_by_scan(heartbeats: DataFrame, gap: str, ts_col: str) -> DataFrame:
+    from jobledger.functions.timecols import epoch_us
+    from jobledger.plans import scan
+
+    gap_us = int(_interval_seconds(gap) * 1_000_000)
+    d = heartbeats.groupBy("worker_id", F.col(ts_col).cast("timestamp_ntz").alias("_t")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    d = scan.next_row(d, "worker_id", ["_t"], ["_t"], ts_col="_t")
+    ends = (F.col("next__t").isNull() | (epoch_us("next__t") - epoch_us("_t") >= gap_us)).cast("int")
+    d = scan.running(d, "worker_id", ["_t"], ends, "_sid", "sum", ts_col="_t", inclusive=False)
+    g = d.groupBy("worker_id", "_sid").agg(F.min("_t").alias("session_start"), F.max("_t").alias("_last"),
+                                           F.sum("_n").alias("heartbeats"))
+    return g.select("worker_id", "session_start",
+                    (F.col("_last") + F.make_dt_interval(secs=F.lit(gap_us / 1_000_000))).alias("session_end"),
+                    "heartbeats")
 
 
 def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -104,3 +104,18 @@ def test_subscribe_stream(spark, event_dir):
                   checkpoint=tempfile.mkdtemp(prefix="jl-sub-", dir="/tmp"), trigger={"availableNow": True})
     q.awaitTermination(120)
     assert sum(seen) == static.filter(F.col("type") == "job.completed").count()
+
+
+def test_batch_sessions_match_session_window(spark):
+    import datetime as dt
+    import random
+
+    rng = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot" if rng.random() < 0.7 else f"w{rng.randrange(3)}", t0 + dt.timedelta(minutes=rng.randrange(20000)))
+            for _ in range(3000)]
+    rows += rows[:50]  # duplicate heartbeats
+    df = spark.createDataFrame(rows, "worker_id string, ts timestamp_ntz")
+    got = T.stream_worker_sessions(df, "45 minutes")
+    ref = T.sessions_by_window(df.withColumn("_t", F.col("ts").cast("timestamp")), "45 minutes", "_t")
+    assert sorted(got.collect()) == sorted(ref.collect())
