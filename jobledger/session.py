@@ -36,11 +36,26 @@ PLAN_CONFS = {
 }
 
 
+def ship_code() -> None:
+    """Let Python workers run this package's functions without importing it:
+    functions of ``jobledger`` used inside ``mapInPandas`` / ``applyInPandas``
+    are pickled by value, so executors need no install or path setup."""
+    import pyspark.cloudpickle as cloudpickle
+
+    import jobledger
+
+    try:
+        cloudpickle.register_pickle_by_value(jobledger)
+    except ValueError:
+        pass  # already registered
+
+
 def ensure_conf(spark: SparkSession) -> SparkSession:
     """Apply the result-changing confs to an existing session (idempotent)."""
     for key, value in RESULT_CONFS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_code()
     return spark
 
 

@@ -112,12 +112,17 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return r.filter(F.col("reason").isNull()).drop("reason"), r.filter(F.col("reason").isNotNull())
 
 
-def stream_ingest(requests: DataFrame, good_path: str, bad_path: str, checkpoint: str,
-                  trigger: dict | None = None, fmt: str = "parquet"):
+def stream_ingest(requests: DataFrame, good_path: str, bad_path: str, checkpoint: str | None = None,
+                  trigger: dict | None = None, fmt: str = "parquet", name: str = "ingest"):
     """T4: validate-and-split ingest. Each micro-batch is validated once
     (persisted), good rows go to ``good_path`` and bad rows to
     ``bad_path``, each under ``epoch=<id>`` written in overwrite mode, so a
-    replayed epoch after a failure rewrites the same files (idempotent)."""
+    replayed epoch after a failure rewrites the same files (idempotent).
+    The stream's checkpoint defaults to ``<spark.checkpoint.dir>/streams/<name>``
+    (a stable, shared location, so a restarted query resumes)."""
+    if checkpoint is None:
+        from jobledger.session import checkpoint_dir
+        checkpoint = f"{checkpoint_dir(requests.sparkSession).rstrip('/')}/streams/{name}"
     def each(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:

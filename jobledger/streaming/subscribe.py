@@ -23,10 +23,11 @@ def _dispatch(df: DataFrame, handlers: dict[str, Callable], epoch: int | None =
 
 
 def subscribe(events: DataFrame, handlers: dict[str, Callable], checkpoint: str | None = None,
-              trigger: dict | None = None):
+              trigger: dict | None = None, name: str = "subscribe"):
     """Static: ``{type: fn(events_of_type)}``. Streaming: starts and returns
     the ``StreamingQuery``; callbacks are called as ``fn(batch_df, epoch_id)``
-    and should write idempotently (keyed by epoch id)."""
+    and should write idempotently (keyed by epoch id). The checkpoint
+    defaults to ``<spark.checkpoint.dir>/streams/<name>``."""
     if not events.isStreaming:
         return _dispatch(events, handlers)
 
@@ -37,9 +38,10 @@ def subscribe(events: DataFrame, handlers: dict[str, Callable], checkpoint: str
         finally:
             batch.unpersist()
 
-    w = events.writeStream.foreachBatch(each)
-    if checkpoint:
-        w = w.option("checkpointLocation", checkpoint)
+    if checkpoint is None:
+        from jobledger.session import checkpoint_dir
+        checkpoint = f"{checkpoint_dir(events.sparkSession).rstrip('/')}/streams/{name}"
+    w = events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
