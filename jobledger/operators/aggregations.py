@@ -222,23 +222,36 @@ def worker_load(heartbeats: DataFrame, concurrency: int = 10) -> DataFrame:
     )
 
 
-def header(headers: str, name: str) -> "F.Column":
-    """First value of a header, name matched case-insensitively; '' if absent."""
-    hit = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name.lower())
-    return F.coalesce(F.get(hit, 0)["value"], F.lit(""))
+RATE_LIMIT_HEADERS = ["Retry-After", "X-RateLimit-Limit", "X-RateLimit-Remaining", "X-RateLimit-Reset"]
+
+
+def headers_lookup(headers: str, names: list[str]) -> "F.Column":
+    """First value of each header, names matched case-insensitively, '' when
+    absent -- one pass over the header entries for all names."""
+    low = [n.lower() for n in names]
+    init = F.struct(*[F.lit(None).cast("string").alias(f"h{i}") for i in range(len(names))])
+
+    def step(acc, e):
+        k = F.lower(e["key"])
+        return F.struct(*[F.when(acc[f"h{i}"].isNull() & (k == n), e["value"]).otherwise(acc[f"h{i}"]).alias(f"h{i}")
+                          for i, n in enumerate(low)])
+
+    found = F.aggregate(F.coalesce(F.map_entries(headers), F.array().cast("array<struct<key:string,value:string>>")),
+                        init, step)
+    return F.struct(*[F.coalesce(found[f"h{i}"], F.lit("")).alias(f"h{i}") for i in range(len(names))])
 
 
 def rate_limit_info(df: DataFrame, headers: str = "headers") -> DataFrame:
     """Per response: Retry-After (seconds, fractions allowed, else 0) and the
     rate-limit triple; the info is NULL when no rate-limit header is present
     and Retry-After is 0; unparsable integers read as 0."""
-    ra = header(headers, "Retry-After")
+    h = df.select("*", headers_lookup(headers, RATE_LIMIT_HEADERS).alias("_h"))
+    ra, lim, rem, rst = (F.col(f"_h.h{i}") for i in range(4))
     secs = F.coalesce(ra.try_cast("double"), F.lit(0.0))
     retry_ms = F.when(F.isnan(secs), F.lit(0.0)).otherwise(secs * 1000)
-    lim, rem, rst = (header(headers, h) for h in ("X-RateLimit-Limit", "X-RateLimit-Remaining", "X-RateLimit-Reset"))
     present = (lim != "") | (rem != "") | (rst != "") | (retry_ms != 0)
-    return df.select(
-        "*",
+    return h.select(
+        *[F.col(c) for c in df.columns],
         retry_ms.alias("retry_after_ms"),
         F.when(present, F.coalesce(lim.try_cast("bigint"), F.lit(0))).alias("rl_limit"),
         F.when(present, F.coalesce(rem.try_cast("bigint"), F.lit(0))).alias("rl_remaining"),
