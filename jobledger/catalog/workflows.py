@@ -21,9 +21,9 @@ def _definitions(spark, sf):
         F.when(F.col("l_returnflag") == "R", "returns").otherwise("default").alias("queue"),
         F.when(F.col("l_quantity") > 40, F.lit(30000)).otherwise(F.lit(0)).cast("bigint").alias("timeout_ms"),
         F.lit(None).cast("int").alias("priority"))
-    steps = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(step)).alias("_s"))
-    steps = steps.select("l_orderkey", F.transform("_s", lambda s: s.dropFields("l_linenumber", "l_partkey", "l_suppkey"))
-                         .cast(f"array<{WF.STEP}>").alias("steps"))
+    # steps in line order; the leading sort fields stay in the struct (the
+    # expansion reads steps by field name)
+    steps = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(step)).alias("steps"))
     o = table(spark, sf, "orders")
     d = F.substring("o_orderpriority", 1, 1)
     kind = (F.when(d == "1", "chain").when(d == "2", "group").when(d.isin("3", "4"), "batch").otherwise("saga"))

@@ -17,9 +17,14 @@ STEP = "struct<type:string,args:string,queue:string,timeout_ms:bigint,priority:i
 
 
 def _wire_args(args_json) -> "F.Column":
-    """An args object (JSON text) in wire form: ``[]`` or ``[{...}]``."""
-    m = F.try_variant_get(F.try_parse_json(args_json), "$", A.ARGS_MAP)
-    return A.encode_args(m)
+    """An args object (JSON text) in wire form: ``[]`` or ``[{...}]``.
+
+    ``to_json(parse_json(x))`` already writes object keys sorted (the
+    encoder's order), so no per-entry sort is needed; a missing, empty or
+    non-object value is written as ``[]``."""
+    canon = F.to_json(F.try_parse_json(args_json))
+    is_obj = canon.startswith("{") & (canon != "{}")
+    return F.when(F.coalesce(is_obj, F.lit(False)), F.concat(F.lit("["), canon, F.lit("]"))).otherwise(F.lit("[]"))
 
 
 def _step_options(s) -> "F.Column":
@@ -44,8 +49,8 @@ def expand_workflows(defs: DataFrame) -> DataFrame:
     jobs. Unknown kinds give no steps.
     """
     kind = F.col("kind")
-    steps = F.coalesce(F.col("steps"), F.array().cast(f"array<{STEP}>"))
-    n = F.size(steps)
+    steps = F.col("steps")  # any struct with type, args, queue, timeout_ms, priority fields
+    n = F.greatest(F.coalesce(F.size(steps), F.lit(0)), F.lit(0))
     job_ids = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("job-"), i.cast("string")))
     job_ids = F.when(n > 0, job_ids).otherwise(F.array().cast("array<string>"))
 
