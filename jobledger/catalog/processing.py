@@ -12,7 +12,7 @@ from jobledger.oracle_views import VIEWS
 from jobledger.operators import process as X
 from jobledger.operators import projections as P
 from jobledger.operators import unique as UQ
-from jobledger.plans.pipeline import Pipeline
+from jobledger.plans.stages import StageChain
 from jobledger.sources import fixtures as fx
 from jobledger.streaming.subscribe import subscribe
 
@@ -88,7 +88,7 @@ def _tag(mark):
 
 
 def middleware():
-    return Pipeline().add(_tag("1"), "outer").add(_tag("2"), "inner")
+    return StageChain().add(_tag("1"), "outer").add(_tag("2"), "inner")
 
 
 def _handler_sql(attempt_expr: str, missing_state: str, error_state: str, missing_error: bool) -> str:
@@ -117,7 +117,7 @@ SELECT CAST(job_id AS VARCHAR) AS job_id, type,
 FROM jobs""")
 def q_process(spark, sf):
     jobs = fx.jobs(spark, sf).select("job_id", "type", "queue", "attempt")
-    out = X.process(jobs, HANDLERS, pipeline=middleware())
+    out = X.process(jobs, HANDLERS, middleware=middleware())
     return out.drop("duration_ms")
 
 
@@ -129,11 +129,11 @@ UNION ALL
 SELECT CAST(job_id AS VARCHAR), type, state, attempt, NULL, NULL, false FROM jobs WHERE state <> 'available'""")
 def q_drain(spark, sf):
     jobs = fx.jobs(spark, sf).select("job_id", "type", "queue", "attempt", "state")
-    return X.drain(jobs, HANDLERS, pipeline=middleware())
+    return X.drain(jobs, HANDLERS, middleware=middleware())
 
 
-def _stage_pipeline():
-    p = Pipeline()
+def _stages():
+    p = StageChain()
     p.add(lambda df: df.select("job_id", "type", "queue", "state", "priority"), "project")
     p.add(lambda df: df.filter(F.col("state") != "completed"), "open")
     p.insert_before("open", "validate", P.validate_types)
@@ -144,15 +144,15 @@ def _stage_pipeline():
     return p
 
 
-@register("pipeline", views=("jobs",), sql="""
+@register("stage_chain", views=("jobs",), sql="""
 SELECT job_id, type, queue, state, priority,
        CASE WHEN type IS NULL OR type = '' THEN 'job type is required'
             WHEN NOT regexp_matches(type, '^[a-z][a-z0-9_\\-]*(\\.[a-z][a-z0-9_\\-]*)*\\z')
             THEN 'invalid job type "' || type || '": must match pattern ^[a-z][a-z0-9_-]*(\\.[a-z][a-z0-9_-]*)*$' END AS type_reason,
        priority >= 4 AS urgent
 FROM jobs WHERE state <> 'completed'""")
-def q_pipeline(spark, sf):
-    return _stage_pipeline().apply(fx.jobs(spark, sf))
+def q_stage_chain(spark, sf):
+    return _stages().apply(fx.jobs(spark, sf))
 
 
 @register("subscribe", views=("job_events",), sql="""

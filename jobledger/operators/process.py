@@ -2,7 +2,7 @@
 
 One ``mapInPandas`` pass, no shuffle: each task decodes its rows' args and
 calls the handler registered for the row's type, wrapped in the middleware
-pipeline. The output schema is fixed; a handler exception never fails the
+middleware chain. The output schema is fixed; a handler exception never fails the
 task (it becomes the row's error), unless recovery is switched off.
 
 Handlers are user code, so this is the one place rows go through Python one
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobledger import constants as K
-from jobledger.plans.pipeline import Pipeline
+from jobledger.plans.stages import StageChain
 
 RESULT_SCHEMA = ("job_id string, type string, state string, attempt int, result string, error_code string, "
                  "error_message string, error_retryable boolean, duration_ms double")
@@ -48,10 +48,10 @@ def _call(job: dict, fn: Callable, recover: bool):
         return None, f"panic in job {job.get('type')} (id={job.get('id')}): {e}", True
 
 
-def _runner(handlers: dict[str, Callable], pipeline: Pipeline | None, on_missing: str, on_error: str,
+def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_missing: str, on_error: str,
             recover: bool):
     def run(batches):
-        wrapped = {t: (pipeline.wrap(fn) if pipeline else fn) for t, fn in handlers.items()}
+        wrapped = {t: (middleware.wrap(fn) if middleware else fn) for t, fn in handlers.items()}
         for pdf in batches:
             out = {c: [] for c in ["job_id", "type", "state", "attempt", "result", "error_code",
                                    "error_message", "error_retryable", "duration_ms"]}
@@ -94,7 +94,7 @@ def _runner(handlers: dict[str, Callable], pipeline: Pipeline | None, on_missing
 
 
 def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "error",
-            on_error: str = "nack", pipeline: Pipeline | None = None, recover: bool = True) -> DataFrame:
+            on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True) -> DataFrame:
     """X1 (+X2): run handlers over ``jobs`` (``job_id, type, queue, attempt,
     args (JSON object text), meta``). ``on_missing``: ``error`` (failed,
     not retryable), ``fail_item`` / ``retry`` (failed, retryable) or
@@ -107,15 +107,15 @@ def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "e
            (F.col("attempt") if "attempt" in cols else F.lit(0)).cast("int").alias("attempt"),
            (F.col("args") if "args" in cols else F.lit(None).cast("string")).alias("args"),
            (F.col("meta") if "meta" in cols else F.lit(None).cast("string")).alias("meta")]
-    return jobs.select(*sel).mapInPandas(_runner(handlers, pipeline, on_missing, on_error, recover), RESULT_SCHEMA)
+    return jobs.select(*sel).mapInPandas(_runner(handlers, middleware, on_missing, on_error, recover), RESULT_SCHEMA)
 
 
-def drain(jobs: DataFrame, handlers: dict[str, Callable], pipeline: Pipeline | None = None) -> DataFrame:
+def drain(jobs: DataFrame, handlers: dict[str, Callable], middleware: StageChain | None = None) -> DataFrame:
     """Run every ``available`` job once: attempt + 1, failure ->
     ``discarded``, success or no handler -> ``completed``; other jobs are
     returned unchanged with ``performed = false``."""
     avail = jobs.filter(F.col("state") == "available").withColumn("attempt", F.col("attempt") + 1)
-    ran = process(avail, handlers, on_missing="complete", on_error="discard", pipeline=pipeline)
+    ran = process(avail, handlers, on_missing="complete", on_error="discard", middleware=middleware)
     ran = ran.select("job_id", "type", "state", "attempt", "result", "error_message",
                      F.lit(True).alias("performed"))
     rest = jobs.filter((F.col("state") != "available") | F.col("state").isNull()).select(

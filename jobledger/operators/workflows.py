@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobledger import constants as K
-from jobledger.functions import args as A
 
 STEP = "struct<type:string,args:string,queue:string,timeout_ms:bigint,priority:int>"
 

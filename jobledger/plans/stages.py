@@ -22,14 +22,14 @@ from dataclasses import dataclass, field
 
 
 @dataclass
-class Pipeline:
+class StageChain:
     stages: list[tuple[str, Callable]] = field(default_factory=list)
 
-    def add(self, fn: Callable, name: str | None = None) -> "Pipeline":
+    def add(self, fn: Callable, name: str | None = None) -> "StageChain":
         self.stages.append((name if name is not None else f"middleware-{len(self.stages)}", fn))
         return self
 
-    def prepend(self, name: str, fn: Callable) -> "Pipeline":
+    def prepend(self, name: str, fn: Callable) -> "StageChain":
         self.stages.insert(0, (name, fn))
         return self
 
@@ -39,21 +39,21 @@ class Pipeline:
                 return i
         return None
 
-    def insert_before(self, existing: str, name: str, fn: Callable) -> "Pipeline":
+    def insert_before(self, existing: str, name: str, fn: Callable) -> "StageChain":
         i = self._index(existing)
         if i is None:
             return self.add(fn, name)
         self.stages.insert(i, (name, fn))
         return self
 
-    def insert_after(self, existing: str, name: str, fn: Callable) -> "Pipeline":
+    def insert_after(self, existing: str, name: str, fn: Callable) -> "StageChain":
         i = self._index(existing)
         if i is None:
             return self.add(fn, name)
         self.stages.insert(i + 1, (name, fn))
         return self
 
-    def remove(self, name: str) -> "Pipeline":
+    def remove(self, name: str) -> "StageChain":
         i = self._index(name)
         if i is not None:
             del self.stages[i]

@@ -1,9 +1,9 @@
-"""X1-X4 handler processing and the stage pipeline."""
+"""X1-X4 handler processing and the stage chain."""
 
 from pyspark.sql import functions as F
 
 from jobledger.operators import process as X
-from jobledger.plans.pipeline import Pipeline
+from jobledger.plans.stages import StageChain
 
 
 def jobs(spark, rows):
@@ -21,16 +21,16 @@ def test_middleware_order_and_names():
             return r
         return f
 
-    p = Pipeline().add(mw("first"), "first").add(mw("second"), "second")
+    p = StageChain().add(mw("first"), "first").add(mw("second"), "second")
     p.wrap(lambda job: calls.append("handler"))({})
     assert calls == ["first-before", "second-before", "handler", "second-after", "first-after"]
 
-    q = Pipeline().add(mw("a"), "a")
+    q = StageChain().add(mw("a"), "a")
     q.insert_before("missing", "b", mw("b")).insert_after("missing", "c", mw("c"))
     assert q.names() == ["a", "b", "c"]
     q.insert_before("a", "z", mw("z")).insert_after("z", "y", mw("y")).remove("b").prepend("p", mw("p"))
     assert q.names() == ["p", "z", "y", "a", "c"]
-    r = Pipeline().add(mw("x")).add(mw("x"))
+    r = StageChain().add(mw("x")).add(mw("x"))
     assert r.names() == ["middleware-0", "middleware-1"]
 
 
@@ -75,9 +75,9 @@ def test_drain(spark):
     assert (got["4"].state, got["4"].attempt, got["4"].performed) == ("completed", 2, False)
 
 
-def test_stage_pipeline_composes_one_plan(spark):
+def test_stage_chain_composes_one_plan(spark):
     df = spark.range(10)
-    p = Pipeline().add(lambda d: d.filter(F.col("id") > 2), "gt2").add(lambda d: d.withColumn("x", F.col("id") * 2), "x")
+    p = StageChain().add(lambda d: d.filter(F.col("id") > 2), "gt2").add(lambda d: d.withColumn("x", F.col("id") * 2), "x")
     p.insert_before("x", "lt8", lambda d: d.filter(F.col("id") < 8))
     out = p.apply(df)
     assert [r.x for r in out.orderBy("id").collect()] == [6, 8, 10, 12, 14]
