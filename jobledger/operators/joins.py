@@ -32,9 +32,19 @@ def route(jobs: DataFrame, handlers: DataFrame) -> DataFrame:
     )
 
 
+def _lookup(jobs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``ids LEFT JOIN jobs`` without shuffling the whole job table for a
+    short id list: the inner join first narrows ``jobs`` (either side may be
+    broadcast by AQE, so a small id list is broadcast and ``jobs`` streams
+    in place), then the ids are left-joined to that narrow result."""
+    wanted = ids.select(key).distinct()
+    found = jobs.join(wanted, key, "inner").withColumn("_found", F.lit(True))
+    return ids.select(key).join(found, key, "left")
+
+
 def get_jobs(jobs: DataFrame, ids: DataFrame, key: str = "job_id") -> DataFrame:
     """Look up jobs by id; an unknown id yields ``not_found``."""
-    j = ids.select(key).join(jobs.withColumn("_found", F.lit(True)), key, "left")
+    j = _lookup(jobs, ids, key)
     return j.withColumn("error_code", F.when(F.col("_found").isNull(), F.lit(K.ERR_NOT_FOUND))).drop("_found")
 
 
@@ -66,7 +76,7 @@ def cancel_jobs(jobs: DataFrame, ids: DataFrame, as_of, key: str = "job_id") ->
     """Cancel commands. One row per command: the job's previous state,
     the new state and ``cancelled_at``; terminal jobs are refused with a
     conflict and unknown ids with ``not_found``."""
-    j = ids.select(key).join(jobs.select(key, "state").withColumn("_found", F.lit(True)), key, "left")
+    j = _lookup(jobs.select(key, "state"), ids, key)
     found = F.col("_found").isNotNull()
     term = is_terminal("state")
     ok = found & ~term
