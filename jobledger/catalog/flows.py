@@ -58,3 +58,39 @@ def q_create_workflows(spark, sf):
     """Workflow flow: definitions expanded, readiness of every (pending) step."""
     _, ready, _ = flows.create_workflows(_definitions(spark, sf))
     return ready.select("workflow_id", "step_id", "ready")
+
+
+ROUND_AS_OF = "1998-01-01 00:00:00"
+
+
+@register("run_jobs", views=("jobs", "queues"), sql=f"""
+, c AS (SELECT j.* FROM jobs j JOIN queues q ON j.queue = q.queue WHERE j.state = 'available' AND q.status <> 'paused')
+, picked AS (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY queue ORDER BY priority DESC, created_at, job_id) AS rk
+                            FROM c) WHERE rk <= 20)
+, h AS (SELECT job_id, type, queue, attempt + 1 AS a,
+               CASE type WHEN 'order.urgent' THEN true WHEN 'order.high' THEN job_id % 7 <> 0
+                         WHEN 'order.low' THEN attempt + 1 <= 3 WHEN 'order.medium' THEN job_id % 2 <> 0 END AS ok
+        FROM picked)
+, o AS (SELECT *, CASE WHEN ok IS NULL THEN false WHEN ok THEN NULL WHEN type = 'order.high' THEN false ELSE true END AS rty,
+               CASE WHEN ok AND type = 'order.urgent' THEN '{{"attempt":' || CAST(a AS VARCHAR) || ',"order":"12"}}'
+                    WHEN ok AND type = 'order.high' THEN '{{"ok":true,"order":"12"}}'
+                    WHEN ok AND type = 'order.low' THEN '{{"order":"12","queue":"' || queue || '"}}' END AS res
+        FROM h)
+, s AS (SELECT CAST(j.job_id AS VARCHAR) AS job_id,
+               CASE WHEN o.job_id IS NULL THEN j.state WHEN o.ok THEN 'completed'
+                    WHEN o.rty AND o.a < j.max_attempts THEN 'retryable' ELSE 'discarded' END AS state,
+               coalesce(o.a, j.attempt) AS attempt, o.res AS result
+        FROM jobs j LEFT JOIN o ON j.job_id = o.job_id)
+SELECT job_id, state, attempt, result,
+       CASE WHEN state = 'retryable'
+            THEN TIMESTAMP '{ROUND_AS_OF}' + CAST(floor(least(300000.0, 1000.0 * pow(2.0, attempt - 1))) AS BIGINT) * INTERVAL 1 MILLISECOND
+       END AS next_run_at
+FROM s""")
+def q_run_jobs(spark, sf):
+    """Run flow: paused queues dropped, top 20 available jobs per queue
+    dispatched, routed, run through the middleware-wrapped handlers, acked or
+    nacked, retries scheduled with the default policy."""
+    from jobledger.catalog.processing import HANDLERS, middleware
+    jobs = fx.jobs(spark, sf)
+    out = flows.run_jobs(jobs, fx.queues(spark), HANDLERS, per_queue=20, middleware=middleware(), as_of=ROUND_AS_OF)
+    return out.select("job_id", "state", "attempt", "result", "next_run_at")
