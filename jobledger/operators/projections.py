@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobledger import constants as K
@@ -117,13 +117,14 @@ def merge_meta_row(base, patch) -> Column:
 def append_tags(df: DataFrame, by: str = "job_id", order: str = "seq", tags: str = "tags") -> DataFrame:
     """Tags appended in option order, duplicates kept, as (by, pos, tag).
 
-    Positions come from a running sum of earlier tag counts per job, so no
-    job's tags are ever collected into one array.
+    Positions come from a running sum of earlier tag counts per job (the
+    bucketed scan, so a job with a huge share of the rows is split over
+    many tasks); no job's tags are ever collected into one array.
     """
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    base = F.coalesce(F.sum(F.size(tags)).over(w), F.lit(0))
-    with_base = df.select(by, order, F.coalesce(F.col(tags), F.array().cast("array<string>")).alias(tags),
-                          base.alias("_base"))
+    from jobledger.plans import scan
+
+    src = df.select(by, order, F.coalesce(F.col(tags), F.array().cast("array<string>")).alias(tags))
+    with_base = scan.running(src, by, [order], F.size(tags), "_base", "sum", ts_col=order, inclusive=False)
     return with_base.select(by, F.posexplode(tags).alias("_i", "tag"), "_base").select(
         by, (F.col("_base") + F.col("_i")).cast("bigint").alias("pos"), "tag")
 

@@ -35,9 +35,10 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int = TARGET_ROWS, out: str = "_bk") -> DataFrame:
-    """Tag rows with a per-key time slice: one slice for an ordinary key,
-    ``ceil(rows / target_rows)`` equal slices of its time span for a hot key.
+def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int | None = None, out: str = "_bk") -> DataFrame:
+    """Tag rows with a per-key slice of the leading order column (a time or
+    a number): one slice for an ordinary key, ``ceil(rows / target_rows)``
+    equal slices of its range for a hot key.
 
     Needs one aggregate per key (count, min, max of the timestamp; partial
     aggregation, one row per key) joined back on the key -- broadcast when
@@ -45,7 +46,10 @@ def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int = TARGET_ROWS,
     AQE splits.
     """
     keys = _keys(key)
-    t = epoch_us(ts_col)
+    target_rows = target_rows or TARGET_ROWS
+    dtype = dict(df.dtypes)[ts_col]
+    # time columns are sliced on epoch microseconds, numeric ones on their value
+    t = epoch_us(ts_col) if dtype.startswith("timestamp") or dtype == "date" else F.col(ts_col).cast("bigint")
     tagged = df.withColumn("_t_us", t)
     stats = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t_us").alias("_lo"),
                                       F.max("_t_us").alias("_hi"))
@@ -65,7 +69,7 @@ def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int = TARGET_ROWS,
 
 def running(df: DataFrame, key, order: list, value: Column, out: str, how: str = "sum",
             bucket: str | None = None, ts_col: str | None = None,
-            target_rows: int = TARGET_ROWS, inclusive: bool = True) -> DataFrame:
+            target_rows: int | None = None, inclusive: bool = True) -> DataFrame:
     """Add ``out`` = running ``how`` (sum|max) of ``value`` per ``key`` in
     ``order`` (including the current row unless ``inclusive=False``).
     ``key`` may be None for a global fold. ``bucket`` names an existing
@@ -99,7 +103,7 @@ def running(df: DataFrame, key, order: list, value: Column, out: str, how: str =
 
 
 def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: str = "next_",
-             ts_col: str | None = None, target_rows: int = TARGET_ROWS) -> DataFrame:
+             ts_col: str | None = None, target_rows: int | None = None) -> DataFrame:
     """Add ``next_<f>`` = value of ``f`` on the next row of the same key in
     ``order`` (``lead``), computed per (key, bucket) with the first row of
     the next non-empty bucket as the fallback for each bucket's last row.
