@@ -25,7 +25,13 @@ def parse(col) -> Column:
 
 def decode_args(col) -> Column:
     """Wire args text -> MAP<STRING,VARIANT> (NULL for a non-array)."""
-    v = parse(col)
+    return decode_args_variant(parse(col))
+
+
+def decode_args_variant(v) -> Column:
+    """Parsed wire args (VARIANT) -> MAP<STRING,VARIANT>. Pass a column that
+    holds the parsed value so the text is parsed once per row."""
+    v = _c(v)
     arr = F.try_variant_get(v, "$", "array<variant>")
     first_obj = F.try_variant_get(v, "$[0]", ARGS_MAP)
     positional = F.map_from_entries(F.transform(

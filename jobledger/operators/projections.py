@@ -141,8 +141,10 @@ def expire_jobs(df: DataFrame, as_of, state: str = "state", expires_at: str = "e
 # --- P9 / P10 / P11 -----------------------------------------------------------
 
 def decode_args(df: DataFrame, col: str = "args", out: str = "args_map") -> DataFrame:
-    """Wire args text -> MAP<STRING,VARIANT>."""
-    return df.withColumn(out, A.decode_args(col))
+    """Wire args text -> MAP<STRING,VARIANT> (the text is parsed once,
+    into a named intermediate column, then read by the decoding branches)."""
+    return (df.withColumn("_args_v", A.parse(col))
+              .withColumn(out, A.decode_args_variant("_args_v")).drop("_args_v"))
 
 
 def encode_args(df: DataFrame, col: str = "args_map", out: str = "args_wire") -> DataFrame:

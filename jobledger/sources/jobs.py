@@ -27,7 +27,8 @@ def _wire_schema() -> T.StructType:
 
 
 def _finish(df: DataFrame) -> DataFrame:
-    return (df.withColumn("args_map", A.decode_args("args"))
+    return (df.withColumn("_args_v", A.parse("args"))
+              .withColumn("args_map", A.decode_args_variant("_args_v")).drop("_args_v")
               .withColumn("meta_v", F.try_parse_json("meta")))
 
 

@@ -22,36 +22,43 @@ def _kind(v):
 
 def parse_error_responses(df: DataFrame, status: str = "status", body: str = "body",
                           headers: str = "headers", cap: int = K.MAX_RESPONSE_BYTES) -> DataFrame:
-    b = F.substring(F.col(body), 1, cap)
-    v = F.try_parse_json(b)
-    err = F.try_variant_get(v, "$.error", "variant")
-
-    def field(name, kinds):
-        x = F.try_variant_get(err, f"$.{name}", "variant")
-        ok = x.isNull() | F.is_variant_null(x) | _kind(x).isin(*kinds)
-        return x, ok
-
-    code, code_ok = field("code", ["STRING"])
-    msg, msg_ok = field("message", ["STRING"])
-    rty, rty_ok = field("retryable", ["BOOLEAN"])
-    rid, rid_ok = field("request_id", ["STRING"])
-    det = F.try_variant_get(err, "$.details", "variant")
-    det_ok = det.isNull() | F.is_variant_null(det) | _kind(det).startswith("OBJECT")
-    top_ok = v.isNotNull() & (_kind(v).startswith("OBJECT") | (_kind(v) == "VOID"))
-    err_ok = err.isNull() | F.is_variant_null(err) | _kind(err).startswith("OBJECT")
-    decoded = top_ok & err_ok & code_ok & msg_ok & rty_ok & rid_ok & det_ok
-
-    errors = df.filter(F.col(status) >= 400).withColumn("_decoded", decoded)
-    errors = (errors
-              .withColumn("code", F.when(F.col("_decoded"), F.coalesce(F.try_variant_get(code, "$", "string"), F.lit("")))
-                          .otherwise(F.lit("unknown")))
-              .withColumn("message", F.when(F.col("_decoded"), F.coalesce(F.try_variant_get(msg, "$", "string"), F.lit("")))
-                          .otherwise(F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(": "), b)))
-              .withColumn("retryable", F.col("_decoded") & F.coalesce(F.try_variant_get(rty, "$", "boolean"), F.lit(False)))
-              .withColumn("request_id", F.when(F.col("_decoded"), F.coalesce(F.try_variant_get(rid, "$", "string"), F.lit(""))))
-              .withColumn("details", F.when(F.col("_decoded") & det.isNotNull() & ~F.is_variant_null(det), det))
-              .withColumn("http_status", F.col(status)))
-    info = rate_limit_info(errors, headers)
+    # Intermediates are named columns, each computed once: Catalyst does not
+    # inline a non-trivial alias into several consumers, so the body is
+    # parsed once per row instead of once per derived field.
+    e = (df.filter(F.col(status) >= 400)
+           .withColumn("_b", F.substring(F.col(body), 1, cap))
+           .withColumn("_v", F.try_parse_json("_b")))
+    e = e.withColumn("_err", F.try_variant_get("_v", "$.error", "variant"))
+    fields = {"code": ["STRING"], "message": ["STRING"], "retryable": ["BOOLEAN"], "request_id": ["STRING"]}
+    for name in [*fields, "details"]:
+        e = e.withColumn(f"_f_{name}", F.try_variant_get("_err", f"$.{name}", "variant"))
+
+    def ok(col, test):
+        x = F.col(col)
+        return x.isNull() | F.is_variant_null(x) | test(_kind(x))
+
+    checks = [ok(f"_f_{n}", lambda k, kinds=kinds: k.isin(*kinds)) for n, kinds in fields.items()]
+    checks.append(ok("_f_details", lambda k: k.startswith("OBJECT")))
+    top = F.col("_v").isNotNull() & (_kind(F.col("_v")).startswith("OBJECT") | (_kind(F.col("_v")) == "VOID"))
+    decoded = top & ok("_err", lambda k: k.startswith("OBJECT"))
+    for c in checks:
+        decoded = decoded & c
+    e = e.withColumn("_decoded", decoded)
+
+    d = F.col("_decoded")
+    e = e.select(
+        *[F.col(c) for c in df.columns],
+        F.when(d, F.coalesce(F.try_variant_get("_f_code", "$", "string"), F.lit(""))).otherwise(F.lit("unknown"))
+         .alias("code"),
+        F.when(d, F.coalesce(F.try_variant_get("_f_message", "$", "string"), F.lit("")))
+         .otherwise(F.concat(F.lit("HTTP "), F.col(status).cast("string"), F.lit(": "), F.col("_b"))).alias("message"),
+        (d & F.coalesce(F.try_variant_get("_f_retryable", "$", "boolean"), F.lit(False))).alias("retryable"),
+        F.when(d, F.coalesce(F.try_variant_get("_f_request_id", "$", "string"), F.lit(""))).alias("request_id"),
+        F.when(d & F.col("_f_details").isNotNull() & ~F.is_variant_null("_f_details"), F.col("_f_details"))
+         .alias("details"),
+        F.col(status).alias("http_status"),
+        d.alias("_decoded"))
+    info = rate_limit_info(e, headers)
     # headers are only read when the body decoded
     for c in ["retry_after_ms", "rl_limit", "rl_remaining", "rl_reset"]:
         zero = F.lit(0.0) if c == "retry_after_ms" else F.lit(None)
