@@ -1,9 +1,12 @@
-"""Ledger-shaped inputs read from the driver tables.
-
-Each function only renames and re-types driver columns into the schema an
-operator expects (the job ledger the protocol leaves behind); none of them does
-an operator's work. The same definitions exist as portable SQL in
-``jobledger.oracle_views`` for the DuckDB oracle.
+"""Ledger-shaped inputs read from the driver tables (the FIXTURES.md views).
+
+Each function builds one input table in the schema an operator expects: it
+renames and re-types driver columns, and where the view defines it, numbers
+the line items of an order as attempts (``attempts``) and summarises a job's
+attempts into its attempt count, first start and state (``jobs``). They
+prepare inputs only; the operators under test do their own work on them. The
+same definitions exist as portable SQL in ``jobledger.oracle_views`` for the
+DuckDB oracle.
 
 Scale notes: ``attempts`` numbers line items per order with a window
 partitioned by order key (one shuffle on ``l_orderkey``); ``jobs`` folds the
