@@ -25,6 +25,7 @@ HEADLINE = [
     "dispatch_per_queue", "retry_plan", "fetch_backoff", "worker_state", "state_timeline",
     "active_over_time", "ready_steps", "expand_workflows", "process", "rate_limit_rollup",
     "parse_error_responses", "stale_jobs", "stream_throughput", "to_execution_log",
+    "submit_requests", "run_jobs",
 ]
 
 
