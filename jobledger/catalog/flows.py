@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from jobledger.catalog.aggregates import _reason_sql
 from jobledger.catalog.registry import register
