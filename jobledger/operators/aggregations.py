@@ -23,7 +23,8 @@ def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int
     * completed / failed attempts finishing in ``(as_of - window, as_of]``,
       finish = ``started_at + duration_ms``;
     * average duration of completed attempts and average wait
-      ``started_at - created_at`` (negative waits excluded), in ms;
+      ``started_at - coalesce(enqueued_at, created_at)`` (negative waits
+      excluded), in ms;
     * throughput = completed in the window / window seconds.
     """
     hi = ts_lit(as_of)
@@ -31,11 +32,13 @@ def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int
     by_state = jobs.groupBy("queue").agg(
         *[F.count_if(F.col("state") == s).alias(s) for s in STAT_STATES])
 
+    ready = F.coalesce(F.col("enqueued_at"), F.col("created_at")) if "enqueued_at" in jobs.columns \
+        else F.col("created_at")
     att = attempts.select("job_id", "started_at", "duration_ms", "outcome").join(
-        jobs.select("job_id", "queue", "created_at"), "job_id")
+        jobs.select("job_id", "queue", ready.alias("_ready_at")), "job_id")
     finished = plus_ms("started_at", "duration_ms")
     in_window = (finished > lo) & (finished <= hi)
-    wait = diff_ms("started_at", "created_at")
+    wait = diff_ms("started_at", "_ready_at")
     by_attempt = att.groupBy("queue").agg(
         F.count_if((F.col("outcome") == "completed") & in_window).alias("completed_last_hour"),
         F.count_if((F.col("outcome") == "failed") & in_window).alias("failed_last_hour"),

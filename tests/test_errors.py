@@ -53,3 +53,19 @@ def test_retry_after_rules(spark):
     rows = [(429, "{}", {"Retry-After": v}) for v in ["1.5", "Wed, 21 Oct 2015 07:28:00 GMT", "", "abc"]]
     out = [r.retry_after_ms for r in AG.rate_limit_info(responses(spark, rows)).collect()]
     assert out == [1500.0, 0.0, 0.0, 0.0]
+
+
+def test_queue_stats_wait_uses_enqueue_time(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1, 12, 0)
+    jobs = spark.createDataFrame(
+        [(1, "q", "completed", t, t + dt.timedelta(seconds=10)), (2, "q", "available", t, None)],
+        "job_id long, queue string, state string, created_at timestamp, enqueued_at timestamp")
+    att = spark.createDataFrame(
+        [(1, t + dt.timedelta(seconds=30), 5000, "completed"), (2, t + dt.timedelta(seconds=4), 1000, "failed"),
+         (2, t - dt.timedelta(seconds=60), 1000, "failed")],
+        "job_id long, started_at timestamp, duration_ms long, outcome string")
+    r = AG.queue_stats(jobs, att, t + dt.timedelta(minutes=30)).first()
+    assert r.avg_wait_ms == (20000 + 4000) / 2   # the negative wait is left out
+    assert (r.completed_last_hour, r.failed_last_hour, r.available) == (1, 2, 1)
+    assert r.avg_duration_ms == 5000
