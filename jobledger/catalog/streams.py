@@ -49,3 +49,16 @@ SELECT request_id, batch_id, type, queue, {_reason_sql()} AS reason FROM request
 def q_stream_ingest(spark, sf):
     good, bad = T.split_requests(fx.requests(spark, sf).select("request_id", "batch_id", "type", "queue"))
     return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
+@register("stream_throughput_sliding", views=("job_events",), sql="""
+, e AS (SELECT type, epoch_us(time) AS t FROM job_events WHERE type IN ('job.completed', 'job.failed'))
+, w AS (SELECT type, (CAST(floor(t / 1800000000) AS BIGINT) - k) * 1800000000 AS s
+        FROM e, (SELECT unnest(range(2)) AS k) ks)
+SELECT make_timestamp(s) AS window_start, make_timestamp(s) + INTERVAL 1 HOUR AS window_end,
+       CAST(count_if(type = 'job.completed') AS BIGINT) AS completed, CAST(count_if(type = 'job.failed') AS BIGINT) AS failed,
+       round(count_if(type = 'job.completed') / 3600.0, 6) AS throughput_per_second
+FROM w GROUP BY s""")
+def q_stream_throughput_sliding(spark, sf):
+    """T1 with sliding windows: one hour wide, every 30 minutes."""
+    return T.stream_throughput(fx.job_events(spark, sf), "1 hour", slide="30 minutes")
