@@ -145,3 +145,40 @@ def test_global_running_sum(spark):
     for r in rows:
         total += r.v
         assert r.s == total
+
+
+@pytest.fixture
+def tiny_slices():
+    old = scan.TARGET_ROWS
+    scan.TARGET_ROWS = 20  # every worker is "hot": many slices per key
+    yield
+    scan.TARGET_ROWS = old
+
+
+def test_fetch_backoff_matches_fold_in_slices(spark, tiny_slices):
+    test_fetch_backoff_matches_fold(spark)
+
+
+def test_worker_state_matches_fold_in_slices(spark, tiny_slices):
+    test_worker_state_matches_fold(spark)
+    rows = [("w", i, T0 + dt.timedelta(minutes=i), "running") for i in range(3)]
+    df = spark.createDataFrame(rows, "worker string, event_id long, ts timestamp, desired string")
+    assert scan.add_buckets(df, "worker", "ts").select("_bk").distinct().count() == 1  # 3 rows: one slice
+
+
+def test_state_timeline_in_slices(spark, tiny_slices):
+    rng = random.Random(21)
+    types = ["job.enqueued", "job.started", "job.completed", "job.failed", "job.progress"]
+    rows = [(i, rng.choice(types), f"j{rng.randrange(3)}", T0 + dt.timedelta(seconds=rng.randrange(10**5)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "event_id long, type string, subject string, time timestamp")
+    got = {r.event_id: r.end for r in W.state_timeline(df).collect()}
+    seq = {}
+    for eid, typ, subj, t in sorted(rows, key=lambda r: (r[2], r[3], r[0])):
+        if typ != "job.progress":
+            seq.setdefault(subj, []).append((eid, t))
+    want = {}
+    for subj, evs in seq.items():
+        for (eid, _), nxt in zip(evs, evs[1:] + [(None, None)]):
+            want[eid] = nxt[1]
+    assert got == want
