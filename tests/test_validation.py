@@ -86,3 +86,42 @@ def test_append_tags_hot_job_in_slices(spark):
         have = [r.tag for r in sorted((r for r in got if r.job_id == job), key=lambda r: r.pos)]
         assert have == want
         assert sorted(r.pos for r in got if r.job_id == job) == list(range(len(want)))
+
+
+def test_resolve_options_wire_omissions(spark):
+    df = spark.createDataFrame([(None, None, None, None), ("", 0, 1500, None), ("fast", 3, -1999, 2500)],
+                               "queue string, priority int, timeout_us long, visibility_timeout_us long")
+    got = [(r.queue, r.priority, r.timeout_ms, r.wire_options) for r in P.resolve_options(df).collect()]
+    assert got == [("default", 0, 0, '{"queue":"default"}'),
+                   ("default", 0, 1, '{"timeout_ms":1}'),
+                   ("fast", 3, -1, '{"queue":"fast","priority":3,"timeout_ms":-1,"visibility_timeout_ms":2}')]
+
+
+def test_resolve_run_at_last_option_wins(spark):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    at = dt.datetime(2024, 2, 1)
+    df = spark.createDataFrame([(t, 60000, at, 1, 2), (t, 60000, at, 2, 1), (t, None, at, None, 1), (t, 5, None, 1, None)],
+                               "created_at timestamp, delay_ms long, scheduled_at timestamp, delay_pos int, scheduled_pos int")
+    got = [r.run_at for r in P.resolve_run_at(df).collect()]
+    assert got == [at, t + dt.timedelta(minutes=1), at, t + dt.timedelta(milliseconds=5)]
+
+
+def test_expire_jobs_skips_terminal(spark):
+    import datetime as dt
+    past, future = dt.datetime(2024, 1, 1), dt.datetime(2025, 1, 1)
+    df = spark.createDataFrame([("a", "available", past), ("b", "completed", past), ("c", "active", future),
+                                ("d", "scheduled", None)], "id string, state string, expires_at timestamp")
+    got = {r.id: (r.state, r.expired) for r in P.expire_jobs(df, "2024-06-01 00:00:00").collect()}
+    assert got == {"a": ("discarded", True), "b": ("completed", False), "c": ("active", False),
+                   "d": ("scheduled", False)}
+
+
+def test_trace_id_kept_or_derived(spark):
+    df = spark.sql("SELECT 'j1' AS job_id, map('trace_id', 'abc') AS meta UNION ALL "
+                   "SELECT 'j2', map('source', 'api') UNION ALL SELECT 'j3', CAST(NULL AS map<string,string>)")
+    got = {r.job_id: r.meta for r in P.ensure_trace_id(df).collect()}
+    import hashlib
+    assert got["j1"] == {"trace_id": "abc"}
+    assert got["j2"] == {"source": "api", "trace_id": hashlib.md5(b"j2").hexdigest()}
+    assert got["j3"] == {"trace_id": hashlib.md5(b"j3").hexdigest()}
