@@ -7,6 +7,11 @@ task (it becomes the row's error), unless recovery is switched off.
 
 Handlers are user code, so this is the one place rows go through Python one
 at a time; everything around it stays in Catalyst.
+
+Delivery is at least once: when an executor is lost, Spark re-runs its tasks
+and their handlers run again (as a worker re-runs a job whose visibility
+timeout expired), so handlers with side effects should be idempotent, e.g.
+keyed by ``(job id, attempt)``.
 """
 
 from __future__ import annotations
