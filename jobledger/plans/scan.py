@@ -55,14 +55,15 @@ def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int | None = None,
                                       F.max("_t_us").alias("_hi"))
     nb = F.ceil(F.col("_n") / F.lit(target_rows)).cast("bigint")
     width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb), F.lit(1)).cast("bigint")
-    stats = stats.select(*keys, "_lo", width.alias("_w"))
+    stats = stats.select(*keys, "_lo", width.alias("_w"), nb.alias(f"{out}_n"))
     if keys:
         j = tagged.join(stats, keys, "inner")
     else:
         # a global fold: the two numbers are read once on the driver
         row = stats.first()
-        j = tagged.withColumn("_lo", F.lit(row["_lo"] if row else 0).cast("bigint")).withColumn(
-            "_w", F.lit(row["_w"] if row else 1).cast("bigint"))
+        j = (tagged.withColumn("_lo", F.lit(row["_lo"] if row else 0).cast("bigint"))
+                   .withColumn("_w", F.lit(row["_w"] if row else 1).cast("bigint"))
+                   .withColumn(f"{out}_n", F.lit(row[f"{out}_n"] if row else 1).cast("bigint")))
     bucket = F.coalesce(F.floor((F.col("_t_us") - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("bigint")
     return j.withColumn(out, bucket).drop("_t_us", "_lo", "_w")
 
@@ -84,11 +85,15 @@ def running(df: DataFrame, key, order: list, value: Column, out: str, how: str =
     else:
         own = False
     b = df.withColumnRenamed(bucket, "_bk") if bucket != "_bk" else df
+    if f"{bucket}_n" in b.columns and bucket != "_bk":
+        b = b.withColumnRenamed(f"{bucket}_n", "_bk_n")
     b = b.withColumn("_v", value)
-    tot = b.groupBy(*keys, "_bk").agg(agg("_v").alias("_t"))
+    # only keys cut into several slices need offsets from earlier slices
+    multi = b.filter(F.col("_bk_n") > 1) if "_bk_n" in b.columns else b
+    tot = multi.groupBy(*keys, "_bk").agg(agg("_v").alias("_t"))
     prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select(*keys, "_bk", agg("_t").over(prev).alias("_off"))
-    j = b.join(off, [*keys, "_bk"], "inner")
+    j = b.join(off, [*keys, "_bk"], "left")
     end = 0 if inclusive else -1
     inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
     local = agg("_v").over(inner)
@@ -98,8 +103,12 @@ def running(df: DataFrame, key, order: list, value: Column, out: str, how: str =
         combined = F.greatest(F.col("_off"), local)  # greatest skips NULLs
     res = j.withColumn(out, combined).drop("_v", "_off")
     if own:
-        return res.drop("_bk")
-    return res.withColumnRenamed("_bk", bucket) if bucket != "_bk" else res
+        return res.drop("_bk", "_bk_n")
+    if bucket != "_bk":
+        res = res.withColumnRenamed("_bk", bucket)
+        if "_bk_n" in res.columns:
+            res = res.withColumnRenamed("_bk_n", f"{bucket}_n")
+    return res
 
 
 def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: str = "next_",
@@ -111,10 +120,10 @@ def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: st
     keys = _keys(key)
     b = add_buckets(df, key, ts_col or order[0], target_rows)
     rec = F.struct(*[F.col(c) for c in order], *[F.col(f).alias(f"_f_{f}") for f in fields])
-    firsts = b.groupBy(*keys, "_bk").agg(F.min(rec).alias("_first"))
+    firsts = b.filter(F.col("_bk_n") > 1).groupBy(*keys, "_bk").agg(F.min(rec).alias("_first"))
     w_b = Window.partitionBy(*keys).orderBy("_bk")
     nxt = firsts.select(*keys, "_bk", F.lead("_first").over(w_b).alias("_next_bucket_first"))
-    j = b.join(nxt, [*keys, "_bk"], "inner")
+    j = b.join(nxt, [*keys, "_bk"], "left")
     w_in = Window.partitionBy(*keys, "_bk").orderBy(*order)
     # lead() is NULL both for "last row of the bucket" and for a NULL value,
     # so the bucket's last row is found by position
@@ -124,4 +133,4 @@ def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: st
     for f in fields:
         j = j.withColumn(f"{prefix}{f}", F.when(is_last, F.col("_next_bucket_first").getField(f"_f_{f}"))
                          .otherwise(F.lead(f).over(w_in)))
-    return j.drop("_bk", "_next_bucket_first")
+    return j.drop("_bk", "_bk_n", "_next_bucket_first")
