@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import langid, ngrams, simhash
+from jobledger.llm import decontaminate, langid, ngrams, packing, simhash, toxicity
 from jobledger.sources.tables import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES: dict = {}
 ORACLE: dict = {}
 
@@ -32,6 +34,12 @@ def fold(id_col: str, n: int) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % n == 0, F.lit(False))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 @query("op1_kneser_ney")
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 10).alias("held_out"))
@@ -49,3 +57,20 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, most=3, blocks=4)
+
+
+@query("op4_best_fit")
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
+
+
+@query("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 5).alias("held_out"))
+    labels = table(spark, sf_dir, "labels").filter(~fold("doc_id", 5))
+    return toxicity.score(docs, toxicity.train(docs, labels), keep=("doc_id", "held_out"))

@@ -100,15 +100,19 @@ def words(data: np.ndarray, at: np.ndarray, ends: np.ndarray = SPACE):
     return starts, stops, row
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+def prefix(data: np.ndarray) -> np.ndarray:
+    """Running polynomial sums of the lower-cased bytes, for ``hashes``."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1)[0][: len(data)], out=sums[1:])
+    return sums
+
+
+def hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """A 64-bit hash of each word's lower-cased bytes and length."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
-    n = len(data)
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    value = (sums[stops] - sums[starts]) * down[starts]
+    sums = prefix(data) if sums is None else sums
+    value = (sums[stops] - sums[starts]) * _powers(len(data) + 1)[1][starts]
     return mix(value + (stops - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
