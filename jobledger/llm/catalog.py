@@ -9,11 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import decontaminate, langid, ngrams, packing, simhash, toxicity
+from jobledger.llm import decontaminate, langid, ngrams, packing, ring, simhash, toxicity, urls
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
+# fixed values: the listed rules and their verdicts
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
 QUERIES: dict = {}
 ORACLE: dict = {}
 
@@ -74,3 +77,31 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 5).alias("held_out"))
     labels = table(spark, sf_dir, "labels").filter(~fold("doc_id", 5))
     return toxicity.score(docs, toxicity.train(docs, labels), keep=("doc_id", "held_out"))
+
+
+@query("op6_ring")
+def op6_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ring.assign(table(spark, sf_dir, "documents"), shards=16, virtual=128, slack=0.0)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+_RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES)
+
+
+@query("op9_url_filter", f"""
+    WITH rules(rule, verdict) AS (VALUES {_RULE_ROWS}),
+    parts AS (
+        SELECT rule, verdict, split_part(rule, '/', 1) AS rh, substr(rule, length(split_part(rule, '/', 1)) + 1) AS rp FROM rules),
+    rest AS (
+        SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+    urls AS (
+        SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
+               regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+    fits AS (
+        SELECT u.page_id, p.rule, p.verdict, row_number() OVER (PARTITION BY u.page_id ORDER BY length(p.rule) DESC, length(p.rh) DESC) AS k
+        FROM urls u JOIN parts p ON (u.host = p.rh OR ends_with(u.host, '.' || p.rh)) AND starts_with(u.path, p.rp))
+    SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+    FROM urls u LEFT JOIN fits f ON u.page_id = f.page_id AND f.k = 1""")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql(f"SELECT * FROM VALUES {_RULE_ROWS} AS t(rule, verdict)")
+    return urls.judge(table(spark, sf_dir, "pages"), rules)
