@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import decontaminate, langid, ngrams, packing, ring, simhash, toxicity, urls
+from jobledger.llm import decontaminate, langid, ngrams, packing, ring, simhash, toxicity, urls, warc
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -105,3 +105,11 @@ _RULE_ROWS = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {_RULE_ROWS} AS t(rule, verdict)")
     return urls.judge(table(spark, sf_dir, "pages"), rules)
+
+
+@query("op10_warc")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no capture time: one second for each page_id
+    pages = table(spark, sf_dir, "pages").withColumn("date", F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0))))
+    index = warc.capture_index(pages, least_bytes=0)
+    return index.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "date", "archive", "offset", "range", "place")
