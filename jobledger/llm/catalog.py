@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import decontaminate, langid, ngrams, packing, ring, simhash, toxicity, urls, warc
+from jobledger.llm import decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -113,3 +113,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").withColumn("date", F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0))))
     index = warc.capture_index(pages, least_bytes=0)
     return index.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "date", "archive", "offset", "range", "place")
+
+
+@query("op5_cross_polytope")
+def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
