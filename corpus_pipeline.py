@@ -42,12 +42,14 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each near-duplicate group; of
-    repeated rows with that id, one. Documents without an id are kept apart
-    from groups only where all of a group's ids are null: then one stays."""
-    groups = simhash.near_duplicates(docs, size=3, most=3, blocks=4)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns)
+    repeated rows, one. Documents without an id come after all others and are
+    told apart by their text."""
+    no_id = F.col("doc_id").isNull()
+    key = {"_none": no_id, "_id": F.coalesce("doc_id", F.lit(0).cast("long")), "_text": F.xxhash64("text")}
+    keyed = docs.withColumns(key)
+    groups = simhash.near_duplicates(keyed.select("text", F.struct(*key).alias("row")), id_col="row", size=3, most=3, blocks=4)
+    kept = groups.filter("row = component_id").select("row.*").distinct()
+    return keyed.dropDuplicates(list(key)).join(kept, list(key), "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
