@@ -87,17 +87,14 @@ def index(ids, data, at) -> Seeds:
 
 
 def stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """The longest run (first, end, agreeing) with at least ``SHARE`` agreeing,
-    from one agreeing word to another."""
+    """The longest run (first, end, agreeing) with at least ``SHARE`` agreeing."""
     tenth = round(SHARE * 10)
     s = np.concatenate([[0], np.cumsum(np.where(same, 10 - tenth, -tenth))])
     most = np.maximum.accumulate(s[::-1])[::-1]
     last = np.searchsorted(-most, -s, side="right") - 1  # of each start, the farthest end that is no lower
-    size = last - np.arange(len(s))
-    a = int(size.argmax())
+    a = int((last - np.arange(len(s))).argmax())
     b = int(last[a])
-    at = np.flatnonzero(same[a:b])
-    return (a + int(at[0]), a + int(at[-1]) + 1, len(at)) if len(at) else (0, 0, 0)
+    return a, b, int(same[a:b].sum())
 
 
 def overlaps_of(seeds: Seeds, data: np.ndarray, at: np.ndarray) -> list[tuple]:

@@ -150,7 +150,7 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     met = met.withColumn("i", F.explode(F.when(F.col("query"), lists(F.col("cn"))).otherwise(own_i)))
     met = met.withColumn("j", F.explode(F.when(F.col("query"), own_j).otherwise(lists(F.col("cm")))))
 
-    def rank(at, pdf: pd.DataFrame) -> pd.DataFrame:
+    def rank(at: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t, out = int(at[1]), []
         q, c = pdf[pdf["query"]], pdf[~pdf["query"]]
         if not len(q) or not len(c):

@@ -193,7 +193,7 @@ def counter(order: int, shards: int, hot: np.ndarray):
 def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
     """Reduce side: write one shard's files, pass on what the next level needs."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         level, kind, shard = (x.item() if hasattr(x, "item") else x for x in key)
         if kind in ("sum", "top"):
             return pdf

@@ -138,7 +138,7 @@ def pack(pieces_: DataFrame, shards: int, id_col: str = "doc_id", capacity: int
     df = pieces_.withColumn("_order", order).withColumn("_shard", F.pmod(F.xxhash64("_order"), F.lit(shards)))
     fields = ", ".join(f"`{c}` {t}" for c, t in pieces_.dtypes)
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "_order", "start"], ascending=[False, True, True], kind="stable")
         bins, offsets = best_fit(pdf["length"].to_numpy().tolist(), capacity, open_bins)
         return pdf.drop(columns=["_order", "_shard"]).assign(sequence_id=bins + (int(key[0]) << 40), offset=offsets)

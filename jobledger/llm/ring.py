@@ -31,7 +31,8 @@ def _point(*cols):
 def owners(spark, shards: int, virtual: int) -> list[int]:
     """Of each point, the index in the clockwise list of nodes of its owner;
     and that list's shards. Nodes on one point: the smaller shard is first."""
-    nodes = spark.range(shards * virtual).select((F.col("id") % shards).cast("int").alias("s"), _point(F.lit("node"), "id").alias("p"))
+    shard, copy = (F.col("id") / virtual).cast("int"), F.col("id") % virtual
+    nodes = spark.range(shards * virtual).select(shard.alias("s"), _point(F.lit("node"), shard, copy).alias("p"))
     ring = sorted((r.p, r.s) for r in nodes.collect())
     first, k = [], 0
     for p in range(POINTS):
