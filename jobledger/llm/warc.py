@@ -2,8 +2,8 @@
 
 Writing: every capture is one WARC/1.0 record; of captures with equal
 payloads one is the response and the others are revisit records without the
-payload. Archives are ordinary text files of Spark's writer, since records
-end with a fixed separator; a task sorts its captures by URL key and time, so
+payload. Archives are compressed text files of Spark's writer, since records
+end with a fixed separator (offsets count uncompressed bytes); a task sorts its captures by URL key and time, so
 each archive holds a locally sorted run. Reading frames records by
 Content-Length alone, whatever a payload holds. Indexing is an external merge:
 the runs are cut at sampled keys by range, and each range's k slices of runs
@@ -14,6 +14,7 @@ history and in the whole index.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 
 import pandas as pd
@@ -87,16 +88,20 @@ def _base32(hex_digest):
 
 
 def classify(pages: DataFrame, id_col: str, url_col: str, payload_col: str, date_col: str, least_bytes: int) -> DataFrame:
-    """Captures with payload, digest, record_type and refers_to."""
+    """Captures with payload, digest and refers_to (null: a response).
+
+    Which capture of a payload is the response is found on ids and digests
+    alone; payloads move once, to their archive's task."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(date_col).alias("date"), payload.alias("payload"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1(F.encode("payload", "UTF-8")))
-    # ids and digests only; equal payloads shrink to one row on the map side
-    last = rows.filter(F.col("bytes") >= least_bytes).groupBy(F.col("sha").alias("_sha"), F.col("bytes").alias("_bytes")).agg(F.max("id").alias("_last"))
-    joined = rows.join(last, (F.col("sha") == F.col("_sha")) & (F.col("bytes") == F.col("_bytes")), "left")
-    revisit = F.col("_last").isNotNull() & ~F.col("id").eqNullSafe(F.col("_last"))
-    return joined.select("id", "url", "date", "bytes", _base32(F.col("sha")).alias("digest"),
-                         F.when(revisit, F.col("_last")).alias("refers_to"), F.when(~revisit, F.col("payload")).alias("payload"))
+    narrow = rows.filter(F.col("bytes") >= least_bytes).select(F.col("id").alias("_id"), "sha", "bytes").distinct()
+    last = narrow.groupBy("sha", "bytes").agg(F.max("_id").alias("_last"))
+    older = narrow.join(last, ["sha", "bytes"]).filter(~F.col("_id").eqNullSafe(F.col("_last")))
+    older = older.select("_id", F.col("sha").alias("_sha"), "_last")
+    joined = rows.join(older, F.col("id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left")
+    return joined.select("id", "url", "date", "bytes", _base32(F.col("sha")).alias("digest"), F.col("_last").alias("refers_to"),
+                         F.when(F.col("_last").isNull(), F.col("payload")).alias("payload"))
 
 
 def _record(kind: str):
@@ -117,16 +122,18 @@ def _record(kind: str):
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date_col: str = "date",
           least_bytes: int = 0, archive_bytes: int = ARCHIVE_BYTES, kind: str = "page") -> None:
-    """Write archives of about ``archive_bytes`` to ``path``. Of captures with
+    """Write gzip archives of at most as many records as make about
+    ``archive_bytes`` of text to ``path``. Of captures with
     equal payloads of at least ``least_bytes`` the one with the largest id is
     the response; smaller payloads are all responses. Null payloads are empty,
     null URLs too."""
-    size = pages.agg(F.sum(F.octet_length(F.col(payload_col).cast("string")) + 600)).first()[0] or 0
-    archives = max(1, -(-size // archive_bytes))
+    size = F.octet_length(F.col(payload_col).cast("string"))
+    n, total = pages.agg(F.count(F.lit(1)), F.sum(size)).first()
+    records_each = max(1, int(archive_bytes // (600 + (total or 0) / max(n, 1))))
     rows = classify(pages, id_col, url_col, payload_col, date_col, least_bytes)
-    rows = rows.repartition(int(archives), F.xxhash64(F.col("id").cast("string"), "url", "date"))
     runs = rows.sortWithinPartitions(url_key(F.col("url")), "date", "id")
-    runs.select(_record(kind)).write.option("lineSep", LINE * 2).option("compression", "none").text(path)
+    lines = runs.select(_record(kind)).write.option("lineSep", LINE * 2).option("maxRecordsPerFile", records_each)
+    lines.option("compression", "gzip").text(path)
 
 
 def records(content: bytes):
@@ -152,7 +159,7 @@ def read(spark, path: str, id_type: str = "long") -> DataFrame:
     def run(batches):
         for pdf in batches:
             for name, content in zip(pdf["path"], pdf["content"]):
-                rows = []
+                content, rows = gzip.decompress(content), []
                 for offset, head, block in records(content):
                     http, _, payload = block.partition(b"\r\n\r\n")
                     revisit = head["WARC-Type"] == "revisit"
