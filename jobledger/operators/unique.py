@@ -3,17 +3,19 @@
 A row opens a slot for its key when no slot is open or its time is at least
 ``anchor + period``; otherwise it conflicts with the open slot. The anchor
 never moves on conflict and period 0 never closes. This greedy chain is not
-expressible with ``lag`` or tumbling windows, so it runs as a sorted-partition
-fold: rows are hash-partitioned by key and sorted by (key, time, id) inside
-each partition, then ``mapInPandas`` walks each key's rows carrying one
-(key, anchor) state across Arrow batches. Per key the work is
-O(slots * log rows) with ``numpy.searchsorted`` jumps, not a Python loop per
-row, and memory is one batch at a time.
-
-A key with more rows than ``HOT_KEY_ROWS`` is not left to one task: it is
-cut into time slices (each at least one period long) that are summarised,
-composed per key and labelled in parallel -- an exact parallel form of the
-same greedy chain (see ``apply_unique``).
+expressible with ``lag`` or tumbling windows, so it runs as an exact parallel
+fold, the same for every key and size:
+
+1. (key hash, time, id) alone are cut into slices of about equally many rows
+   (``plans.scan``), whatever the period; a hot key runs through many;
+2. of each slice that its first key enters from the one before, the chain's
+   exits are summarised for every way to enter it;
+3. per key the summaries are composed in order, which gives each such slice
+   the slot that is open when it begins;
+4. every slice is folded on its own from there, batch by batch, with
+   ``numpy.searchsorted`` jumps from slot to slot.
+
+The labels are joined back to the rows by id.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from jobledger.functions import args as A
 from jobledger.functions.timecols import epoch_us
+from jobledger.plans import scan
+from jobledger.plans.scan import SLICE
 
 STATUS = {"reject": "duplicate", "ignore": "ignored", "replace": "replaced",
           "replace_except_schedule": "replaced"}
@@ -44,25 +47,27 @@ def unique_key(type_col: str = "type", args_col: str = "args_map", fields: list[
     return F.concat(F.col(type_col), F.lit("|"), canon)
 
 
-def _fold(key: str, ts: str, rid: str, period_us: int, conflict: str):
+def _fold(period_us: int, conflict: str, entries: dict):
+    """Label the rows of one slice, sorted by (key, time, id), carrying the
+    open slot across batches. ``entries``: slice -> (time, id) of the slot
+    that its first key brings along."""
     def run(batches):
         cur_key, anchor_ts, anchor_id = None, None, None
         for pdf in batches:
             n = len(pdf)
             if n == 0:
-                yield pdf.assign(status=pd.Series(dtype="object"), slot_anchor_us=pd.Series(dtype="int64"),
-                                 slot_id=pd.Series(dtype=pdf[rid].dtype))
                 continue
-            keys = pdf[key].to_numpy()
-            t = pdf[ts].to_numpy(dtype="int64")
-            ids = pdf[rid].to_numpy()
+            keys = pdf["_k"].to_numpy()
+            t = pdf["_t"].to_numpy(dtype="int64")
+            ids = pdf["_id"].to_numpy()
+            if cur_key is None and int(pdf[SLICE].iloc[0]) in entries:
+                cur_key = keys[0]
+                anchor_ts, anchor_id = entries[int(pdf[SLICE].iloc[0])]
             is_anchor = np.zeros(n, dtype=bool)
             slot_anchor = np.empty(n, dtype="int64")
             slot_id = np.empty(n, dtype=object)
             cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            starts = np.concatenate(([0], cuts))
-            ends = np.concatenate((cuts, [n]))
-            for s, e in zip(starts, ends):
+            for s, e in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [n]))):
                 k = keys[s]
                 if k != cur_key:
                     cur_key, anchor_ts, anchor_id = k, None, None
@@ -80,17 +85,11 @@ def _fold(key: str, ts: str, rid: str, period_us: int, conflict: str):
                     slot_anchor[s + i:s + j] = anchor_ts
                     slot_id[s + i:s + j] = anchor_id
                     i = j
-            status = np.where(is_anchor, "accepted", STATUS[conflict])
-            out = pdf.assign(status=status, slot_anchor_us=slot_anchor,
-                             slot_id=pd.Series(slot_id, index=pdf.index).astype(pdf[rid].dtype))
-            yield out
+            yield pd.DataFrame({"_k": keys, "_t": t, "_id": ids, "status": np.where(is_anchor, "accepted", STATUS[conflict]),
+                                "slot_anchor_us": slot_anchor, "slot_id": pd.Series(slot_id).astype(pdf["_id"].dtype)})
     return run
 
 
-# keys with more rows than this are folded in parallel time slices
-HOT_KEY_ROWS = 2_000_000
-
-
 def _chain_next(t: np.ndarray, period_us: int) -> np.ndarray:
     """Index of the first row at or after ``t[i] + period`` (n if none)."""
     n = len(t)
@@ -99,158 +98,105 @@ def _chain_next(t: np.ndarray, period_us: int) -> np.ndarray:
     return np.searchsorted(t, t + period_us, "left").astype("int64")
 
 
-def _slice_summary(key: str, rid: str, period_us: int):
-    """Phase 1, per (hot key, slice): which anchor the chain leaves the slice
-    from, for every way it can enter. The chain enters at the first row at or
-    after a threshold below ``slice_start + period``, so only rows before that
-    point (and the first row after it) can be entries; consecutive entries with
-    the same exit are stored as one run ``(last entry time, exit)``."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", rid], kind="mergesort")
-        t = pdf["_t"].to_numpy(dtype="int64")
-        ids = pdf[rid].to_numpy()
-        n = len(t)
+def _exits(period_us: int, entered: set, left: set):
+    """Of a slice's last key, if the next slice goes on with it (``left``):
+    the slot open at the end, for every way to enter. A key that begins in
+    this slice is entered in one way; of one that comes from the slice before
+    (``entered``, and it is the slice's only key), consecutive first rows with
+    the same exit are one run ``(last entry time, exit)``."""
+    def run(batches):
+        held, slice_ = [], None
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            slice_ = int(pdf[SLICE].iloc[0])
+            if slice_ not in left:
+                return
+            last = pdf["_k"].to_numpy() == pdf["_k"].iloc[-1]
+            own = pdf[last]
+            whole = bool(last.all()) and (not held or held[-1]["_k"].iloc[0] == own["_k"].iloc[0])
+            held = [*held, own] if whole else [own.assign(_new=True)]
+        if not held:
+            return
+        part = pd.concat(held, ignore_index=True)
+        t, ids, n = part["_t"].to_numpy(dtype="int64"), part["_id"].to_numpy(), len(part)
+        begins = "_new" in part.columns or slice_ not in entered
         nxt = _chain_next(t, period_us)
         succ = np.where(nxt < n, nxt, np.arange(n))
         while True:  # pointer doubling: every row -> last anchor of its chain in the slice
-            nxt2 = succ[succ]
-            if np.array_equal(nxt2, succ):
+            again = succ[succ]
+            if np.array_equal(again, succ):
                 break
-            succ = nxt2
-        start = int(pdf["_lo"].iloc[0]) + int(pdf["_slice"].iloc[0]) * int(pdf["_w"].iloc[0])
-        m = int(np.searchsorted(t, start + period_us, "left")) if period_us > 0 else n - 1
-        cand = np.arange(min(m + 1, n))
-        ex = succ[cand]
-        last_of_run = np.r_[ex[1:] != ex[:-1], True]
-        ends, exits = cand[last_of_run], ex[last_of_run]
-        return pd.DataFrame({key: pdf[key].iloc[0], "_slice": pdf["_slice"].iloc[0],
-                             "_run_end_t": t[ends], "_exit_t": t[exits], "_exit_id": ids[exits]})
-    return run
-
-
-def _compose(key: str, period_us: int, id_type):
-    """Phase 2, per hot key over its (small) slice summaries in time order:
-    the threshold each slice is entered with and the anchor whose slot is
-    still open when it starts."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_slice", "_run_end_t"], kind="mergesort")
-        out = {key: [], "_slice": [], "_theta": [], "_prev_t": [], "_prev_id": []}
-        prev_t, prev_id = None, None
-        for sl, g in pdf.groupby("_slice", sort=True):
-            if prev_t is None:
-                theta = np.iinfo("int64").min
-            elif period_us <= 0:
-                theta = np.iinfo("int64").max
-            else:
-                theta = prev_t + period_us
-            out[key].append(g[key].iloc[0])
-            out["_slice"].append(sl)
-            out["_theta"].append(theta)
-            out["_prev_t"].append(prev_t)
-            out["_prev_id"].append(prev_id)
-            hit = g[g["_run_end_t"] >= theta]
-            if len(hit):
-                prev_t, prev_id = int(hit["_exit_t"].iloc[0]), hit["_exit_id"].iloc[0]
-        res = pd.DataFrame(out)
-        res["_prev_t"] = res["_prev_t"].astype("Int64")
-        return res
+            succ = again
+        # a slot from before ends within a period of the slice's first row
+        m = 0 if begins else int(np.searchsorted(t, t[0] + period_us, "left")) if period_us > 0 else n - 1
+        ex = succ[: min(m + 1, n)]
+        end = np.flatnonzero(np.r_[ex[1:] != ex[:-1], True])
+        yield pd.DataFrame({"_k": part["_k"].iloc[0], SLICE: slice_, "_begins": begins, "_run_end_t": t[end],
+                            "_exit_t": t[ex[end]], "_exit_id": ids[ex[end]]})
     return run
 
 
-def _label_slice(rid: str, period_us: int, conflict: str, columns: list[str]):
-    """Phase 3, per (hot key, slice): walk the chain from the known entry and
-    label every row; rows before the entry belong to the slot still open."""
+def _compose(period_us: int):
+    """Per key, over its slices in order: the slot that each next slice is
+    entered with."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_t", rid], kind="mergesort").reset_index(drop=True)
-        t = pdf["_t"].to_numpy(dtype="int64")
-        ids = pdf[rid].to_numpy()
-        n = len(t)
-        nxt = _chain_next(t, period_us)
-        theta = int(pdf["_theta"].iloc[0])
-        is_anchor = np.zeros(n, dtype=bool)
-        i = int(np.searchsorted(t, theta, "left"))
-        while i < n:
-            is_anchor[i] = True
-            i = int(nxt[i])
-        last = np.maximum.accumulate(np.where(is_anchor, np.arange(n), -1))
-        before = last < 0
-        safe = np.where(before, 0, last)
-        slot_t = np.where(before, pdf["_prev_t"].fillna(0).to_numpy(dtype="int64"), t[safe])
-        slot_id = np.where(before, pdf["_prev_id"].to_numpy(dtype=object), ids[safe].astype(object))
-        out = pdf[columns].copy()
-        out["status"] = np.where(is_anchor, "accepted", STATUS[conflict])
-        out["slot_anchor_us"] = slot_t
-        out["slot_id"] = pd.Series(slot_id).astype(pdf[rid].dtype)
-        return out
+        out = {SLICE: [], "_anchor_t": [], "_anchor_id": []}
+        at, rid = None, None
+        for slice_, g in pdf.sort_values([SLICE, "_run_end_t"], kind="mergesort").groupby(SLICE, sort=True):
+            theta = None if at is None or g["_begins"].iloc[0] else at + period_us if period_us > 0 else np.iinfo("int64").max
+            hit = g if theta is None else g[g["_run_end_t"] >= theta]
+            if len(hit):  # else the slot stays open through the slice
+                at, rid = int(hit["_exit_t"].iloc[0]), hit["_exit_id"].iloc[0]
+            out[SLICE].append(int(slice_))
+            out["_anchor_t"].append(at)
+            out["_anchor_id"].append(rid)
+        return pd.DataFrame(out)
     return run
 
 
 def apply_unique(requests: DataFrame, period_ms: int, on_conflict: str = "reject",
                  key_col: str | None = None, fields: list[str] | None = None,
-                 ts_col: str = "created_at", id_col: str = "request_id",
-                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                 ts_col: str = "created_at", id_col: str = "request_id") -> DataFrame:
     """Per request: ``status`` (``accepted`` opens a slot; conflicts are
     ``duplicate`` / ``ignored`` / ``replaced`` by strategy), the slot's
     anchor time ``slot_anchor`` and opening request ``slot_id``.
 
-    Ordinary keys go through the sorted-partition fold. A key with more than
-    ``hot_key_rows`` rows is cut into ``ceil(rows / hot_key_rows)`` time
-    slices of at least one period and folded exactly in three steps: a
-    per-slice summary (parallel), a per-key composition of the summaries
-    (small), and per-slice labelling from the composed entry (parallel).
+    A request without a time can hold no slot: its status is ``no_time`` and
+    its slot NULL. NULL keys are one key. Ids are unique; repeated rows of one
+    id, key and time count once and get the same labels.
     """
     if on_conflict not in STATUS:
         raise ValueError(f"unknown conflict strategy {on_conflict!r}")
-    key = "_ukey"
     period_us = int(period_ms) * 1000
-    df = requests.withColumn(key, F.col(key_col) if key_col else unique_key(fields=fields))
-    df = df.withColumn("_ts_us", epoch_us(ts_col))
-    cols = df.columns
-    id_type = df.schema[id_col].dataType
-    out_fields = [T.StructField("status", T.StringType()), T.StructField("slot_anchor_us", T.LongType()),
-                  T.StructField("slot_id", id_type)]
-
-    # hot keys: at most rows / hot_key_rows of them, so the list is bounded
-    stats = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min("_ts_us").alias("_lo"),
-                                F.max("_ts_us").alias("_hi"))
-    nb = F.ceil(F.col("_n") / F.lit(hot_key_rows))
-    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb), F.lit(max(period_us, 1))).cast("bigint")
-    hot = stats.filter(F.col("_n") > hot_key_rows).select(key, "_lo", width.alias("_w"))
-    tagged = df.join(F.broadcast(hot), key, "left")
-
-    cold = tagged.filter(F.col("_w").isNull()).select(*cols)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = cold.repartition(parts, key).sortWithinPartitions(key, "_ts_us", id_col)
-    cold_out = sorted_.mapInPandas(_fold(key, "_ts_us", id_col, period_us, on_conflict),
-                                   T.StructType(sorted_.schema.fields + out_fields))
-
-    hot_rows = (tagged.filter(F.col("_w").isNotNull())
-                .withColumn("_slice", F.floor((F.col("_ts_us") - F.col("_lo")) / F.col("_w")).cast("bigint"))
-                .withColumn("_t", F.col("_ts_us")))
-    key_type = df.schema[key].dataType
-    summary = hot_rows.select(key, "_slice", "_t", id_col, "_lo", "_w").groupBy(key, "_slice").applyInPandas(
-        _slice_summary(key, id_col, period_us),
-        T.StructType([T.StructField(key, key_type), T.StructField("_slice", T.LongType()),
-                      T.StructField("_run_end_t", T.LongType()), T.StructField("_exit_t", T.LongType()),
-                      T.StructField("_exit_id", id_type)]))
-    entries = summary.groupBy(key).applyInPandas(
-        _compose(key, period_us, id_type),
-        T.StructType([T.StructField(key, key_type), T.StructField("_slice", T.LongType()),
-                      T.StructField("_theta", T.LongType()), T.StructField("_prev_t", T.LongType()),
-                      T.StructField("_prev_id", id_type)]))
-    labelled_in = hot_rows.join(entries, [key, "_slice"], "inner")
-    hot_out = labelled_in.groupBy(key, "_slice").applyInPandas(
-        _label_slice(id_col, period_us, on_conflict, cols),
-        T.StructType([df.schema[c] for c in cols] + out_fields))
-
-    out = cold_out.unionByName(hot_out)
+    df = requests.withColumn("_ukey", F.col(key_col) if key_col else unique_key(fields=fields))
+    df = df.withColumn("_k", F.coalesce(F.sha2("_ukey", 256), F.lit(""))).withColumn("_t", epoch_us(ts_col))
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    narrow = df.filter(F.col("_t").isNotNull()).select("_k", "_t", F.col(id_col).alias("_id")).distinct()
+    cut = scan.slices(narrow, "_k", ["_t", "_id"]).sortWithinPartitions(SLICE, "_k", "_t", "_id")
+    # two keys and a count for each slice
+    ends = sorted(cut.groupBy(SLICE).agg(F.min("_k").alias("a"), F.max("_k").alias("b")).collect())
+    entered = {y[SLICE] for x, y in zip(ends[:-1], ends[1:]) if x.b == y.a}
+    left = {x[SLICE] for x, y in zip(ends[:-1], ends[1:]) if x.b == y.a}
+    after = {x[SLICE]: y[SLICE] for x, y in zip(ends[:-1], ends[1:])}
+    exits = cut.mapInPandas(_exits(period_us, entered, left), f"_k string, {SLICE} int, _begins boolean, _run_end_t long, _exit_t long, _exit_id {id_type}")
+    opened = exits.groupBy("_k").applyInPandas(_compose(period_us), f"{SLICE} int, _anchor_t long, _anchor_id {id_type}")
+    # a slot for each slice that a key runs into
+    entries = {after[r[SLICE]]: (r._anchor_t, r._anchor_id) for r in opened.collect()} if left else {}
+    labels = cut.mapInPandas(_fold(period_us, on_conflict, entries),
+                             f"_k string, _t long, _id {id_type}, status string, slot_anchor_us long, slot_id {id_type}")
+
+    keys = [F.col(a) == F.col(b) for a, b in (("_k", "_lk"), ("_t", "_lt"))] + [F.col(id_col).eqNullSafe(F.col("_lid"))]
+    labels = labels.select(F.col("_k").alias("_lk"), F.col("_t").alias("_lt"), F.col("_id").alias("_lid"), "status", "slot_anchor_us", "slot_id")
+    out = df.join(labels, keys[0] & keys[1] & keys[2], "left").withColumn("status", F.coalesce("status", F.lit("no_time")))
     anchor = F.timestamp_micros("slot_anchor_us")
     if dict(requests.dtypes)[ts_col] == "timestamp_ntz":
         anchor = anchor.cast("timestamp_ntz")
-    out = out.withColumn("slot_anchor", anchor).drop("_ts_us", "slot_anchor_us")
+    out = out.withColumn("slot_anchor", anchor).drop("_k", "_t", "_lk", "_lt", "_lid", "slot_anchor_us")
     if "unique_key" in requests.columns:
-        return out.drop(key)
-    return out.withColumnRenamed(key, "unique_key")
+        return out.drop("_ukey")
+    return out.withColumnRenamed("_ukey", "unique_key")
 
 
 def unique_survivors(folded: DataFrame, on_conflict: str = "reject", ts_col: str = "created_at",

@@ -1,6 +1,6 @@
 """Window functions and ordered folds.
 
-Running folds per key go through ``plans.scan`` (bucketed two-level scan) so
+Running folds per key go through ``plans.scan`` (sliced two-level scan) so
 a hot worker or job is split across many tasks; top-n per group uses
 ``row_number() <= n`` which Spark plans with a partial WindowGroupLimit
 before the shuffle.
@@ -30,7 +30,7 @@ def dispatch(jobs: DataFrame, queues: DataFrame, n: int, per_queue: bool = False
     (``rank`` column), otherwise the top ``n`` overall."""
     q = queues.select("queue", F.col("ord").alias("_qord"), F.col("status").alias("_qstatus"))
     avail = jobs.filter(F.col("state") == "available")
-    j = avail.join(q, "queue", "inner").filter(F.col("_qstatus") != "paused")
+    j = avail.join(q, "queue", "inner").filter(~F.col("_qstatus").eqNullSafe("paused"))
     if per_queue:
         w = Window.partitionBy("queue").orderBy(*_dispatch_order()[1:])
         return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).drop("_qord", "_qstatus")
@@ -99,14 +99,12 @@ def fetch_backoff(polls: DataFrame, base_ms: int = 1000, key: str = "worker",
 
     Gaps and islands without a per-worker window: the running count of
     failures and, at each success, that count -- the streak is the
-    difference (two bucketed running folds, see ``plans.scan``).
+    difference (two running folds over the same slices, see ``plans.scan``).
     """
     order = list(order)
     failed_i = F.col("failed").cast("int")
-    b = scan.add_buckets(polls, key, order[0], out="_slice")
-    f = scan.running(b, key, order, failed_i, "_fails", "sum", bucket="_slice")
-    f = scan.running(f, key, order, F.when(~F.col("failed"), F.col("_fails")), "_at_success", "max",
-                     bucket="_slice")
+    f = scan.running(scan.slices(polls, key, order), key, order, failed_i, "_fails")
+    f = scan.running(f, key, order, F.when(~F.col("failed"), F.col("_fails")), "_at_success", "max")
     streak = F.col("_fails") - F.coalesce(F.col("_at_success"), F.lit(0))
     return f.select(*polls.columns,
                     F.when(F.col("failed"), streak).alias("streak"),
@@ -126,10 +124,10 @@ def worker_state(directives: DataFrame, key: str = "worker", order: tuple[str, s
     """
     order = list(order)
     d = F.col("desired")
-    b = scan.add_buckets(directives, key, order[0], out="_slice")
-    t = scan.running(b, key, order, (d == "terminate").cast("int"), "_term", "max", bucket="_slice")
+    b = scan.slices(directives, key, order)
+    t = scan.running(b, key, order, (d == "terminate").cast("int"), "_term", "max")
     valid = F.when(d.isin("running", "quiet"), F.struct(*[F.col(c) for c in order], d.alias("v")))
-    t = scan.running(t, key, order, valid, "_last", "max", bucket="_slice")
+    t = scan.running(t, key, order, valid, "_last", "max")
     state = (F.when(F.col("_term") == 1, F.lit("terminate"))
               .otherwise(F.coalesce(F.col("_last.v"), F.lit("running"))))
     return t.select(*directives.columns, state.alias("state"))
@@ -164,7 +162,7 @@ def state_timeline(events: DataFrame) -> DataFrame:
     time spent in milliseconds."""
     e = events.withColumn("state", _event_state()).filter(F.col("state").isNotNull()).select(
         "subject", "event_id", "time", "state")
-    n = scan.next_row(e, "subject", ["time", "event_id"], ["time"], ts_col="time")
+    n = scan.next_row(e, "subject", ["time", "event_id"], ["time"])
     return n.select("subject", "event_id", "state", F.col("time").alias("start"),
                     F.col("next_time").alias("end"),
                     diff_ms(F.col("next_time"), F.col("time")).alias("duration_ms"))
@@ -181,12 +179,12 @@ def time_in_state(timeline: DataFrame) -> DataFrame:
 def active_over_time(attempts: DataFrame, by: str | None = "worker_id") -> DataFrame:
     """Running count of active attempts at every start (+1) and end (-1),
     ends before starts at the same instant; per ``by`` group or global
-    (``by=None``) -- both through the bucketed scan, never one task."""
+    (``by=None``) -- both through the sliced scan, never one task."""
     keys = [by] if by else []
-    start = attempts.select(*keys, F.col("started_at").alias("ts"), F.lit(1).alias("delta"))
-    end = attempts.select(*keys, plus_ms("started_at", "duration_ms").alias("ts"), F.lit(-1).alias("delta"))
-    ev = start.unionByName(end)
-    return scan.running(ev, by, ["ts", "delta"], F.col("delta"), "active", "sum", ts_col="ts")
+    change = lambda ts, delta: F.struct(ts.alias("ts"), F.lit(delta).alias("delta"))
+    both = F.array(change(F.col("started_at"), 1), change(plus_ms("started_at", "duration_ms"), -1))
+    ev = attempts.select(*keys, F.inline(both))
+    return scan.running(ev, by, ["ts", "delta"], F.col("delta"), "active")
 
 
 def peak_concurrency(timeline: DataFrame, by: str | None = "worker_id") -> DataFrame:

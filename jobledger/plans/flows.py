@@ -93,8 +93,8 @@ def run_jobs(jobs: DataFrame, queues: DataFrame, handlers: dict[str, Callable],
 
 
 def _handler_frame(jobs: DataFrame, handlers: dict[str, Callable]) -> DataFrame:
-    from jobledger.plans.strategy import registry_frame
-    return registry_frame(jobs.sparkSession, [(t,) for t in handlers], "type string")
+    from jobledger.plans.strategy import literal_frame
+    return literal_frame(jobs.sparkSession, [(t,) for t in handlers], "type string")
 
 
 def create_workflows(defs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -1,20 +1,23 @@
 """Ordered folds per key that do not put a whole key into one task.
 
 A running aggregate over ``Window.partitionBy(key).orderBy(...)`` sends every
-row of a key to one task. When one key (a worker, a job, a queue) may hold a
-large share of all rows, the fold is split in two levels instead:
-
-1. rows are tagged with a bucket: one per ordinary key, several equal time
-   slices for a key with more than ``TARGET_ROWS`` rows (``add_buckets``),
-   and the per-(key, bucket) totals are aggregated (partial aggregation);
-2. a window over those totals gives each bucket the fold of all earlier
-   buckets of its key (one row per bucket, not per event);
-3. the fold inside each (key, bucket) is a window partitioned by
-   ``(key, bucket)`` -- many independent tasks for a hot key -- seeded with
-   the bucket's offset from step 2 (joined back on (key, bucket)).
+row of a key to one task. Here rows are first range-partitioned on
+(key, order), so slices hold about equally many rows whatever the clocks or
+keys look like: a small key lies in one slice, a hot one runs through many,
+and a burst at one instant is parted by the last order columns. The slices
+are written to the shared checkpoint folder, which fixes them for all later
+steps (a range partitioning computed twice need not agree with itself).
+
+1. ``slices`` adds the slice number ``_bk``;
+2. per (key, slice) totals are aggregated, and a window over them gives the
+   fold of all earlier slices of the key. Only the first key of a slice can
+   have earlier slices, so this is at most one row per slice;
+3. the fold inside each (key, slice) is a window of its own, seeded with that
+   row.
 
 Only associative folds are offered: ``sum`` and ``max`` (``max`` of a struct
-ordered by its leading fields gives "latest non-null value").
+ordered by its leading fields gives "latest non-null value"). NULL keys are a
+key of their own.
 """
 
 from __future__ import annotations
@@ -22,11 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobledger.functions.timecols import epoch_us
+from jobledger.plans.strategy import cut_lineage
 
-# rows per (key, bucket) a single task should fold; a key with more rows is
-# split into ceil(rows / TARGET_ROWS) equal time slices
-TARGET_ROWS = 2_000_000
+SLICE = "_bk"
 
 
 def _keys(key) -> list[str]:
@@ -35,102 +36,60 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def add_buckets(df: DataFrame, key, ts_col: str, target_rows: int | None = None, out: str = "_bk") -> DataFrame:
-    """Tag rows with a per-key slice of the leading order column (a time or
-    a number): one slice for an ordinary key, ``ceil(rows / target_rows)``
-    equal slices of its range for a hot key.
+def slices(df: DataFrame, key, order: list[str]) -> DataFrame:
+    """Rows with their slice number ``_bk``, which rises with (key, order).
+    ``order`` should end with a column that tells equal times apart."""
+    ranged = df.repartitionByRange(*_keys(key), *order)
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
-    Needs one aggregate per key (count, min, max of the timestamp; partial
-    aggregation, one row per key) joined back on the key -- broadcast when
-    the per-key table is small, otherwise a shuffle join whose skewed key
-    AQE splits.
-    """
-    keys = _keys(key)
-    target_rows = target_rows or TARGET_ROWS
-    dtype = dict(df.dtypes)[ts_col]
-    # time columns are sliced on epoch microseconds, numeric ones on their value
-    t = epoch_us(ts_col) if dtype.startswith("timestamp") or dtype == "date" else F.col(ts_col).cast("bigint")
-    tagged = df.withColumn("_t_us", t)
-    stats = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_t_us").alias("_lo"),
-                                      F.max("_t_us").alias("_hi"))
-    nb = F.ceil(F.col("_n") / F.lit(target_rows)).cast("bigint")
-    width = F.greatest(F.ceil((F.col("_hi") - F.col("_lo") + 1) / nb), F.lit(1)).cast("bigint")
-    stats = stats.select(*keys, "_lo", width.alias("_w"), nb.alias(f"{out}_n"))
-    if keys:
-        j = tagged.join(stats, keys, "inner")
-    else:
-        # a global fold: the two numbers are read once on the driver
-        row = stats.first()
-        j = (tagged.withColumn("_lo", F.lit(row["_lo"] if row else 0).cast("bigint"))
-                   .withColumn("_w", F.lit(row["_w"] if row else 1).cast("bigint"))
-                   .withColumn(f"{out}_n", F.lit(row[f"{out}_n"] if row else 1).cast("bigint")))
-    bucket = F.coalesce(F.floor((F.col("_t_us") - F.col("_lo")) / F.col("_w")), F.lit(0)).cast("bigint")
-    return j.withColumn(out, bucket).drop("_t_us", "_lo", "_w")
-
-
-def running(df: DataFrame, key, order: list, value: Column, out: str, how: str = "sum",
-            bucket: str | None = None, ts_col: str | None = None,
-            target_rows: int | None = None, inclusive: bool = True) -> DataFrame:
+
+def _carry(df: DataFrame, carried: DataFrame, keys: list[str]) -> DataFrame:
+    """Join at most one row per slice back on (key, slice)."""
+    other = carried.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(SLICE).alias("_kb"), "_carry")
+    cond = F.col(SLICE) == F.col("_kb")
+    for i, k in enumerate(keys):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return df.join(F.broadcast(other), cond, "left").drop("_kb", *[f"_k{i}" for i in range(len(keys))])
+
+
+def running(df: DataFrame, key, order: list[str], value: Column, out: str, how: str = "sum", inclusive: bool = True) -> DataFrame:
     """Add ``out`` = running ``how`` (sum|max) of ``value`` per ``key`` in
-    ``order`` (including the current row unless ``inclusive=False``).
-    ``key`` may be None for a global fold. ``bucket`` names an existing
-    bucket column (from ``add_buckets``, to share it between folds);
-    otherwise buckets are made from ``ts_col``. Buckets must be
-    non-decreasing in ``order``."""
+    ``order`` (including the current row unless ``inclusive=False``). ``key``
+    may be None for a global fold. Slices that ``df`` already has (column
+    ``_bk``, made for the same key and order) are used and kept."""
     keys = _keys(key)
     agg = F.sum if how == "sum" else F.max
-    if bucket is None:
-        df = add_buckets(df, key, ts_col or order[0], target_rows)
-        bucket, own = "_bk", True
-    else:
-        own = False
-    b = df.withColumnRenamed(bucket, "_bk") if bucket != "_bk" else df
-    if f"{bucket}_n" in b.columns and bucket != "_bk":
-        b = b.withColumnRenamed(f"{bucket}_n", "_bk_n")
-    b = b.withColumn("_v", value)
-    # only keys cut into several slices need offsets from earlier slices
-    multi = b.filter(F.col("_bk_n") > 1) if "_bk_n" in b.columns else b
-    tot = multi.groupBy(*keys, "_bk").agg(agg("_v").alias("_t"))
-    prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*keys, "_bk", agg("_t").over(prev).alias("_off"))
-    j = b.join(off, [*keys, "_bk"], "left")
-    end = 0 if inclusive else -1
-    inner = Window.partitionBy(*keys, "_bk").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+    own = SLICE not in df.columns
+    b = (slices(df, key, order) if own else df).withColumn("_v", value)
+    totals = b.groupBy(*keys, SLICE).agg(agg("_v").alias("_t"))
+    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    carried = totals.withColumn("_carry", agg("_t").over(earlier)).filter(F.col("_carry").isNotNull())
+    j = _carry(b, carried, keys)
+    inner = Window.partitionBy(*keys, SLICE).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = agg("_v").over(inner)
     if how == "sum":
-        combined = F.coalesce(F.col("_off"), F.lit(0)) + F.coalesce(local, F.lit(0))
+        combined = F.coalesce(F.col("_carry"), F.lit(0)) + F.coalesce(local, F.lit(0))
     else:
-        combined = F.greatest(F.col("_off"), local)  # greatest skips NULLs
-    res = j.withColumn(out, combined).drop("_v", "_off")
-    if own:
-        return res.drop("_bk", "_bk_n")
-    if bucket != "_bk":
-        res = res.withColumnRenamed("_bk", bucket)
-        if "_bk_n" in res.columns:
-            res = res.withColumnRenamed("_bk_n", f"{bucket}_n")
-    return res
-
-
-def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: str = "next_",
-             ts_col: str | None = None, target_rows: int | None = None) -> DataFrame:
+        combined = F.greatest(F.col("_carry"), local)  # greatest skips NULLs
+    res = j.withColumn(out, combined).drop("_v", "_carry")
+    return res.drop(SLICE) if own else res
+
+
+def next_row(df: DataFrame, key, order: list[str], fields: list[str], prefix: str = "next_") -> DataFrame:
     """Add ``next_<f>`` = value of ``f`` on the next row of the same key in
-    ``order`` (``lead``), computed per (key, bucket) with the first row of
-    the next non-empty bucket as the fallback for each bucket's last row.
-    ``fields`` must include the order columns' values you need."""
+    ``order``: ``lead`` within the slice, and for a slice's last row the first
+    row of the key's next slice."""
     keys = _keys(key)
-    b = add_buckets(df, key, ts_col or order[0], target_rows)
-    rec = F.struct(*[F.col(c) for c in order], *[F.col(f).alias(f"_f_{f}") for f in fields])
-    firsts = b.filter(F.col("_bk_n") > 1).groupBy(*keys, "_bk").agg(F.min(rec).alias("_first"))
-    w_b = Window.partitionBy(*keys).orderBy("_bk")
-    nxt = firsts.select(*keys, "_bk", F.lead("_first").over(w_b).alias("_next_bucket_first"))
-    j = b.join(nxt, [*keys, "_bk"], "left")
-    w_in = Window.partitionBy(*keys, "_bk").orderBy(*order)
-    # lead() is NULL both for "last row of the bucket" and for a NULL value,
-    # so the bucket's last row is found by position
-    cnt = F.count(F.lit(1)).over(Window.partitionBy(*keys, "_bk"))
-    pos = F.row_number().over(w_in)
-    is_last = pos == cnt
+    own = SLICE not in df.columns
+    b = slices(df, key, order) if own else df
+    rec = F.struct(*order, *[F.col(f).alias(f"_f_{f}") for f in fields])
+    firsts = b.groupBy(*keys, SLICE).agg(F.min(rec).alias("_first"))
+    later = Window.partitionBy(*keys).orderBy(SLICE)
+    carried = firsts.withColumn("_carry", F.lead("_first").over(later)).filter(F.col("_carry").isNotNull())
+    j = _carry(b, carried, keys)
+    inner = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    j = j.withColumn("_next", F.coalesce(F.lead(rec).over(inner), F.col("_carry")))
     for f in fields:
-        j = j.withColumn(f"{prefix}{f}", F.when(is_last, F.col("_next_bucket_first").getField(f"_f_{f}"))
-                         .otherwise(F.lead(f).over(w_in)))
-    return j.drop("_bk", "_bk_n", "_next_bucket_first")
+        j = j.withColumn(f"{prefix}{f}", F.col("_next").getField(f"_f_{f}"))
+    j = j.drop("_next", "_carry")
+    return j.drop(SLICE) if own else j

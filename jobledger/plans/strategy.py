@@ -1,16 +1,16 @@
-"""Physical-plan helpers: bounded broadcasts and lineage cuts.
+"""Physical-plan helpers.
 
-* A side is broadcast explicitly only when its size is proven: registries
-  built from a driver-side collection (handler types, queue settings, schema
-  definitions) whose length is checked here. Every other join is left to
-  Catalyst + AQE, which broadcast only below the measured
-  ``autoBroadcastJoinThreshold`` and otherwise sort-merge / shuffle-hash.
+* Small tables built on the driver (handler types, queue settings, schema
+  definitions) enter a plan as one JSON literal; whether they are broadcast
+  is left to Catalyst and AQE, which measure them.
 * Lineage is cut with ``DataFrame.checkpoint()`` into the shared
   ``spark.checkpoint.dir`` (never a local checkpoint).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,27 +19,18 @@ from pyspark.sql import types as T
 
 from jobledger.session import checkpoint_dir
 
-# Registries larger than this are not broadcast; the planner decides.
-MAX_BROADCAST_ROWS = 100_000
-
-
 def literal_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
     """A small table from driver-side rows as a JVM-side inline relation (no
-    Python worker, no RDD): ``inline(array(struct(...)))``."""
+    Python worker, no RDD): one JSON text, read by ``from_json``."""
     st = T._parse_datatype_string(schema)
-    data = list(rows)
-    if not data:
-        return spark.createDataFrame([], st)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)]) for r in data]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def registry_frame(spark: SparkSession, rows: Iterable[tuple], schema: str) -> DataFrame:
-    """A small dimension built from driver-side rows; broadcast when its
-    (known) row count is within ``MAX_BROADCAST_ROWS``."""
-    data = list(rows)
-    df = literal_frame(spark, data, schema)
-    return F.broadcast(df) if len(data) <= MAX_BROADCAST_ROWS else df
+    names = st.fieldNames()
+
+    def plain(v):
+        return v.isoformat(sep=" ") if isinstance(v, dt.datetime) else v
+
+    text = json.dumps([{n: plain(v) for n, v in zip(names, r)} for r in rows])
+    parsed = F.from_json(F.lit(text), T.ArrayType(st), {"timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"})
+    return spark.range(1).select(F.inline(parsed))
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -64,7 +64,7 @@ def stream_worker_sessions(heartbeats: DataFrame, gap: str = "30 minutes", water
     session; a session ends ``gap`` after its last heartbeat.
 
     A stream uses ``session_window`` with a watermark. A static table is
-    split into sessions by gaps and islands over the bucketed scan (a worker
+    split into sessions by gaps and islands over the sliced scan (a worker
     with a huge share of heartbeats is spread over many tasks): heartbeats
     are first reduced to distinct (worker, time) with counts, a heartbeat
     ends a session when the next one is ``gap`` or more later, and the
@@ -96,9 +96,9 @@ def _sessions_by_scan(heartbeats: DataFrame, gap: str, ts_col: str) -> DataFrame
     gap_us = int(_interval_seconds(gap) * 1_000_000)
     d = heartbeats.groupBy("worker_id", F.col(ts_col).cast("timestamp_ntz").alias("_t")).agg(
         F.count(F.lit(1)).alias("_n"))
-    d = scan.next_row(d, "worker_id", ["_t"], ["_t"], ts_col="_t")
+    d = scan.next_row(scan.slices(d, "worker_id", ["_t"]), "worker_id", ["_t"], ["_t"])
     ends = (F.col("next__t").isNull() | (epoch_us("next__t") - epoch_us("_t") >= gap_us)).cast("int")
-    d = scan.running(d, "worker_id", ["_t"], ends, "_sid", "sum", ts_col="_t", inclusive=False)
+    d = scan.running(d, "worker_id", ["_t"], ends, "_sid", inclusive=False)
     g = d.groupBy("worker_id", "_sid").agg(F.min("_t").alias("session_start"), F.max("_t").alias("_last"),
                                            F.sum("_n").alias("heartbeats"))
     return g.select("worker_id", "session_start",
@@ -113,7 +113,7 @@ def split_requests(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stream_ingest(requests: DataFrame, good_path: str, bad_path: str, checkpoint: str | None = None,
-                  trigger: dict | None = None, fmt: str = "parquet", name: str = "ingest"):
+                  trigger: dict | None = None, fmt: str = "parquet", name: str | None = None):
     """T4: validate-and-split ingest. Each micro-batch is validated once
     (persisted), good rows go to ``good_path`` and bad rows to
     ``bad_path``, each under ``epoch=<id>`` written in overwrite mode, so a
@@ -122,6 +122,8 @@ def stream_ingest(requests: DataFrame, good_path: str, bad_path: str, checkpoint
     (a stable, shared location, so a restarted query resumes)."""
     if checkpoint is None:
         from jobledger.session import checkpoint_dir
+        if not name:
+            raise ValueError("give the stream a name or a checkpoint of its own")
         checkpoint = f"{checkpoint_dir(requests.sparkSession).rstrip('/')}/streams/{name}"
     def each(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()

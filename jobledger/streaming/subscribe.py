@@ -23,7 +23,7 @@ def _dispatch(df: DataFrame, handlers: dict[str, Callable], epoch: int | None =
 
 
 def subscribe(events: DataFrame, handlers: dict[str, Callable], checkpoint: str | None = None,
-              trigger: dict | None = None, name: str = "subscribe"):
+              trigger: dict | None = None, name: str | None = None):
     """Static: ``{type: fn(events_of_type)}``. Streaming: starts and returns
     the ``StreamingQuery``; callbacks are called as ``fn(batch_df, epoch_id)``
     and should write idempotently (keyed by epoch id). The checkpoint
@@ -40,6 +40,8 @@ def subscribe(events: DataFrame, handlers: dict[str, Callable], checkpoint: str
 
     if checkpoint is None:
         from jobledger.session import checkpoint_dir
+        if not name:
+            raise ValueError("give the stream a name or a checkpoint of its own")
         checkpoint = f"{checkpoint_dir(events.sparkSession).rstrip('/')}/streams/{name}"
     w = events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if trigger:

@@ -1,4 +1,4 @@
-"""Ordered folds against plain-Python folds: W4, W5, W3, the bucketed scan."""
+"""Ordered folds against plain-Python folds: W4, W5, W3, the sliced scan."""
 
 import datetime as dt
 import random
@@ -103,70 +103,94 @@ def _when(rng, bursty):
 
 @pytest.mark.parametrize("period_ms,bursty", [(0, False), (3_600_000, False), (86_400_000, False),
                                               (600_000, True), (3_600_000, True)])
-def test_unique_hot_keys_in_slices_match_fold(spark, period_ms, bursty):
+def test_unique_hot_keys_in_slices_match_fold(spark, many_slices, period_ms, bursty):
     rng = random.Random(100 + period_ms + bursty)
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(4)}", _when(rng, bursty), i)
             for i in range(1500)]
     df = spark.createDataFrame([(k, T0 + dt.timedelta(microseconds=t), i) for k, t, i in rows],
                                "ukey string, created_at timestamp, request_id long")
     got = {r.request_id: (r.status, r.slot_id) for r in
-           UQ.apply_unique(df, period_ms, key_col="ukey", hot_key_rows=60).collect()}
+           UQ.apply_unique(df, period_ms, key_col="ukey").collect()}
     assert got == unique_py(rows, period_ms * 1000)
 
 
-def test_bucketed_running_sum_splits_hot_key(spark):
+def test_running_sum_splits_hot_key(spark, many_slices):
     rng = random.Random(11)
-    rows = [("hot" if rng.random() < 0.7 else f"k{rng.randrange(4)}", i, T0 + dt.timedelta(seconds=rng.randrange(10**6)),
+    rows = [(rng.choice(["hot"] * 7 + ["a", "b", None]), i, T0 + dt.timedelta(seconds=rng.randrange(10**6)),
              rng.randrange(-3, 5)) for i in range(2000)]
+    rows[0] = ("hot", 0, dt.datetime(1970, 1, 1), 1)  # an outlier clock
     df = spark.createDataFrame(rows, "k string, id long, ts timestamp, v int")
-    split = scan.running(df, "k", ["ts", "id"], F.col("v"), "s", "sum", ts_col="ts", target_rows=50)
+    split = scan.running(df, "k", ["ts", "id"], F.col("v"), "s")
     plain = df.withColumn("s", F.sum("v").over(
         Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted(split.select("id", "s").collect()) == sorted(plain.select("id", "s").collect())
-    hot_buckets = scan.add_buckets(df, "k", "ts", target_rows=50).filter("k = 'hot'").select("_bk").distinct().count()
-    assert hot_buckets > 10
 
 
-def test_bucketed_next_row_matches_lead(spark):
+def _slice_sizes(df, key, order):
+    return sorted(r["count"] for r in scan.slices(df, key, order).groupBy("_bk").count().collect())
+
+
+def test_slices_are_even_for_outliers_bursts_and_null_keys(spark, many_slices):
+    base = spark.range(16_000).withColumn("ts", F.timestamp_seconds(F.when(F.col("id") == 0, 0).otherwise(1_700_000_000 + F.col("id"))))
+    for df in (base.withColumn("k", F.lit("one")), base.withColumn("k", F.lit(None).cast("string")),
+               base.withColumn("k", F.lit("one")).withColumn("ts", F.timestamp_seconds(F.lit(7)))):
+        sizes = _slice_sizes(df, "k", ["ts", "id"])
+        assert sum(sizes) == 16_000 and len(sizes) > 10 and sizes[-1] <= 2 * 16_000 / len(sizes)
+        assert scan.next_row(df, "k", ["ts", "id"], ["id"]).filter("next_id = id + 1").count() == 15_999
+
+
+def test_next_row_matches_lead(spark, many_slices):
     rng = random.Random(5)
-    rows = [(f"k{rng.randrange(3)}", i, T0 + dt.timedelta(seconds=rng.randrange(10**5))) for i in range(500)]
+    rows = [(rng.choice(["a", "b", None]), i, rng.choice([None, T0 + dt.timedelta(seconds=rng.randrange(10**5))])) for i in range(500)]
     df = spark.createDataFrame(rows, "k string, id long, ts timestamp")
-    got = scan.next_row(df, "k", ["ts", "id"], ["ts"], ts_col="ts", target_rows=20)
+    got = scan.next_row(df, "k", ["ts", "id"], ["ts"])
     want = df.withColumn("next_ts", F.lead("ts").over(Window.partitionBy("k").orderBy("ts", "id")))
-    assert sorted(got.select("id", "next_ts").collect()) == sorted(want.select("id", "next_ts").collect())
+    key = lambda r: r.id
+    assert sorted(got.select("id", "next_ts").collect(), key=key) == sorted(want.select("id", "next_ts").collect(), key=key)
 
 
-def test_global_running_sum(spark):
+def test_global_running_sum(spark, many_slices):
     df = spark.range(0, 1000).select(F.col("id"), (F.col("id") % 7 - 3).alias("v"),
                                      F.timestamp_seconds(F.col("id") * 17).alias("ts"))
-    got = scan.running(df, None, ["ts", "id"], F.col("v"), "s", "sum", ts_col="ts", target_rows=100)
-    rows = sorted(got.select("id", "v", "s").collect())
     total = 0
-    for r in rows:
+    for r in sorted(scan.running(df, None, ["ts", "id"], F.col("v"), "s").select("id", "v", "s").collect()):
         total += r.v
         assert r.s == total
 
 
+def test_unique_without_a_time_or_key(spark):
+    rows = [("k", T0, 1), ("k", None, 2), (None, T0, 3), (None, T0, 4), ("k", T0, 1)]
+    df = spark.createDataFrame(rows, "ukey string, created_at timestamp, request_id long")
+    got = sorted((r.request_id, r.status, r.slot_id) for r in UQ.apply_unique(df, 1000, key_col="ukey").collect())
+    assert got == [(1, "accepted", 1), (1, "accepted", 1), (2, "no_time", None), (3, "accepted", 3), (4, "duplicate", 3)]
+
+
+@pytest.mark.parametrize("period_ms", [0, 1000])
+def test_unique_one_burst_within_a_period(spark, many_slices, period_ms):
+    df = spark.range(2000).select(F.lit("k").alias("ukey"), F.timestamp_millis(F.col("id") % 10).alias("created_at"), F.col("id").alias("request_id"))
+    got = UQ.apply_unique(df, period_ms, "ignore", key_col="ukey").groupBy("status", "slot_id").count().collect()
+    assert {(r.status, r.slot_id): r["count"] for r in got} == {("accepted", 0): 1, ("ignored", 0): 1999}
+
+
 @pytest.fixture
-def tiny_slices():
-    old = scan.TARGET_ROWS
-    scan.TARGET_ROWS = 20  # every worker is "hot": many slices per key
+def many_slices(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield
-    scan.TARGET_ROWS = old
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
-def test_fetch_backoff_matches_fold_in_slices(spark, tiny_slices):
+def test_fetch_backoff_matches_fold_in_slices(spark, many_slices):
     test_fetch_backoff_matches_fold(spark)
 
 
-def test_worker_state_matches_fold_in_slices(spark, tiny_slices):
+def test_worker_state_matches_fold_in_slices(spark, many_slices):
     test_worker_state_matches_fold(spark)
-    rows = [("w", i, T0 + dt.timedelta(minutes=i), "running") for i in range(3)]
-    df = spark.createDataFrame(rows, "worker string, event_id long, ts timestamp, desired string")
-    assert scan.add_buckets(df, "worker", "ts").select("_bk").distinct().count() == 1  # 3 rows: one slice
 
 
-def test_state_timeline_in_slices(spark, tiny_slices):
+def test_state_timeline_in_slices(spark, many_slices):
     rng = random.Random(21)
     types = ["job.enqueued", "job.started", "job.completed", "job.failed", "job.progress"]
     rows = [(i, rng.choice(types), f"j{rng.randrange(3)}", T0 + dt.timedelta(seconds=rng.randrange(10**5)))

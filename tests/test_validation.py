@@ -72,15 +72,13 @@ def test_append_tags_keeps_order_and_duplicates(spark):
 
 
 def test_append_tags_hot_job_in_slices(spark):
-    from jobledger.plans import scan
     rows = [(1 if i % 3 else 2, i, [f"t{i}"] * (i % 3)) for i in range(600)]
     df = spark.createDataFrame(rows, "job_id int, seq int, tags array<string>")
-    old = scan.TARGET_ROWS
-    scan.TARGET_ROWS = 25  # force many slices per job
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keep all slices
     try:
         got = P.append_tags(df).collect()
     finally:
-        scan.TARGET_ROWS = old
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     for job in (1, 2):
         want = [t for j, _, ts in sorted(rows, key=lambda r: r[1]) if j == job for t in ts]
         have = [r.tag for r in sorted((r for r in got if r.job_id == job), key=lambda r: r.pos)]
