@@ -10,7 +10,7 @@ ORDERS_AS_OF = "1998-01-01 00:00:30"
 EVENTS_AS_OF = "2024-01-15 12:00:00"
 
 
-@register("queue_stats", views=("jobs", "attempts"), sql=f"""
+@register("queue_stats", views=("jobs", "attempts", "queues"), sql=f"""
 , by_state AS (
   SELECT queue,
          CAST(count_if(state = 'available') AS BIGINT) AS available,
@@ -33,19 +33,21 @@ by_att AS (
          avg(CASE WHEN outcome = 'completed' THEN duration_ms END) AS d,
          avg(CASE WHEN wait_ms >= 0 THEN wait_ms END) AS w
   FROM att GROUP BY queue)
-SELECT s.queue, s.available, s.active, s.scheduled, s.retryable, s.discarded,
+SELECT coalesce(s.queue, q.queue) AS queue, coalesce(q.status, 'active') AS status, TIMESTAMP '{ORDERS_AS_OF}' AS computed_at,
+       coalesce(s.available, 0) AS available, coalesce(s.active, 0) AS active, coalesce(s.scheduled, 0) AS scheduled,
+       coalesce(s.retryable, 0) AS retryable, coalesce(s.discarded, 0) AS discarded,
        CAST(coalesce(b.c, 0) AS BIGINT) AS completed_last_hour,
        CAST(coalesce(b.f, 0) AS BIGINT) AS failed_last_hour,
        round(b.d, 6) AS avg_duration_ms, round(b.w, 6) AS avg_wait_ms,
        round(coalesce(b.c, 0) / 3600.0, 6) AS throughput_per_second
-FROM by_state s LEFT JOIN by_att b ON s.queue = b.queue""")
+FROM by_state s LEFT JOIN by_att b ON s.queue = b.queue FULL JOIN queues q ON s.queue = q.queue""")
 def q_queue_stats(spark, sf_dir):
-    return agg.queue_stats(fx.jobs(spark, sf_dir), fx.attempts(spark, sf_dir), ORDERS_AS_OF)
+    return agg.queue_stats(fx.jobs(spark, sf_dir), fx.attempts(spark, sf_dir), ORDERS_AS_OF, queues=fx.queues(spark))
 
 
 @register("list_queues", views=("jobs", "queues"), sql="""
-SELECT j.queue AS name, coalesce(q.status, 'active') AS status, min(j.created_at) AS created_at, count(*) AS jobs
-FROM jobs j LEFT JOIN queues q ON j.queue = q.queue GROUP BY j.queue, q.status""")
+SELECT coalesce(j.queue, q.queue) AS name, coalesce(q.status, 'active') AS status, min(j.created_at) AS created_at, count(j.job_id) AS jobs
+FROM jobs j FULL JOIN queues q ON j.queue = q.queue GROUP BY coalesce(j.queue, q.queue), q.status""")
 def q_list_queues(spark, sf):
     return agg.list_queues(fx.jobs(spark, sf), fx.queues(spark))
 
@@ -162,7 +164,7 @@ def q_error_rollup(spark, sf):
 
 
 @register("worker_load", views=("heartbeats",), sql=r"""
-, w AS (SELECT worker_id, max(ts) AS last_seen, count(*) AS heartbeats, arg_max(1, ts) AS active FROM heartbeats GROUP BY worker_id)
+, w AS (SELECT worker_id, max(ts) AS last_seen, count(*) AS heartbeats, arg_max(event_id % 13, (ts, event_id)) AS active FROM heartbeats GROUP BY worker_id)
 SELECT worker_id, last_seen, heartbeats, active, greatest(10 - active, 0) AS free_capacity,
        CASE WHEN active >= 10 THEN 0 ELSE greatest(10 - active, 1) END AS fetch_count,
        nullif(regexp_extract(worker_id, '^worker_(.*)_(\d+)_(\d+)\z', 1), '') AS host,
@@ -170,7 +172,10 @@ SELECT worker_id, last_seen, heartbeats, active, greatest(10 - active, 0) AS fre
        CAST(nullif(regexp_extract(worker_id, '^worker_(.*)_(\d+)_(\d+)\z', 3), '') AS BIGINT) AS started_ns
 FROM w""")
 def q_worker_load(spark, sf):
-    return agg.worker_load(fx.heartbeats(spark, sf), concurrency=10)
+    from pyspark.sql import functions as F
+    held = F.expr("array_repeat(user_id, cast(event_id % 13 as int))")
+    hb = fx.heartbeats(spark, sf).withColumn("user_id", F.col("active_job_ids")[0]).withColumn("active_job_ids", held)
+    return agg.worker_load(hb, concurrency=10)
 
 
 def _responses_with_headers(spark, sf):

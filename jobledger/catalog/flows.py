@@ -63,7 +63,7 @@ ROUND_AS_OF = "1998-01-01 00:00:00"
 
 
 @register("run_jobs", views=("jobs", "queues"), sql=f"""
-, c AS (SELECT j.* FROM jobs j JOIN queues q ON j.queue = q.queue WHERE j.state = 'available' AND q.status <> 'paused')
+, c AS (SELECT j.* FROM jobs j JOIN queues q ON j.queue = q.queue WHERE j.state = 'available' AND coalesce(q.status, 'active') <> 'paused')
 , picked AS (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY queue ORDER BY priority DESC, created_at, job_id) AS rk
                             FROM c) WHERE rk <= 20)
 , h AS (SELECT job_id, type, queue, attempt + 1 AS a,

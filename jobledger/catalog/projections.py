@@ -251,10 +251,11 @@ def q_typed_args(spark, sf):
 
 @register("match_jobs", views=("requests",), sql="""
 SELECT request_id FROM requests
-WHERE type = 'evt.click' AND CAST(json(json_extract(args, '$[0]')) AS VARCHAR) = '{"k":42}'""")
+WHERE type = 'evt.click' AND CAST(json(json_extract(args, '$[0]')) AS VARCHAR) = '{"k":42}'
+  AND CAST(json_extract(substr(args, 2, length(args) - 2), '$.k') AS VARCHAR) = '42'
+  AND json_extract(substr(args, 2, length(args) - 2), '$.missing') IS NULL""")
 def q_match_jobs(spark, sf):
-    r = P.decode_args(fx.requests(spark, sf)).withColumn("meta", F.col("args").substr(2, 1 << 20))
-    r = r.withColumn("meta", F.expr("substr(meta, 1, length(meta) - 1)"))
+    r = P.decode_args(fx.requests(spark, sf)).withColumn("meta", F.expr("substr(args, 2, length(args) - 2)"))
     return P.match_jobs(r, "evt.click", args={"k": 42}, meta={"k": 42, "missing": None}).select("request_id")
 
 

@@ -12,7 +12,7 @@ from jobledger.sources import jobs as J
 from jobledger.sources import messages as M
 from jobledger.sources import responses as R
 from jobledger.catalog.aggregates import _responses_with_headers
-from jobledger.plans.strategy import registry_frame
+from jobledger.plans.strategy import literal_frame
 
 MESSAGE_HANDLERS = ["evt.signup", "evt.view", "evt.click", "evt.purchase"]
 
@@ -47,7 +47,7 @@ def q_read_messages(spark, sf):
 SELECT batch_id, string_agg(message_id, ',' ORDER BY message_id) AS failed_ids, count(*) AS n_failed
 FROM f GROUP BY batch_id""")
 def q_batch_failures(spark, sf):
-    reg = registry_frame(spark, [(t,) for t in MESSAGE_HANDLERS], "type string")
+    reg = literal_frame(spark, [(t,) for t in MESSAGE_HANDLERS], "type string")
     items = M.message_outcomes(M.read_messages(fx.messages(spark, sf)), reg)
     out = agg.batch_failures(items)
     return out.select("batch_id", F.array_join("failed_ids", ",").alias("failed_ids"), "n_failed")

@@ -11,7 +11,7 @@ from jobledger.operators import joins as J
 from jobledger.operators import pages as L
 from jobledger.operators import projections as P
 from jobledger.operators import registry as U
-from jobledger.plans.strategy import registry_frame
+from jobledger.plans.strategy import literal_frame
 from jobledger.sources import fixtures as fx
 from jobledger.sources.tables import table
 
@@ -26,7 +26,7 @@ SELECT j.job_id, j.type, h.type IS NOT NULL AS routed,
        CASE WHEN h.type IS NULL THEN false END AS error_retryable
 FROM jobs j LEFT JOIN handlers h ON j.type = h.type""")
 def q_route(spark, sf):
-    handlers = registry_frame(spark, [(t,) for t in HANDLER_TYPES], "type string")
+    handlers = literal_frame(spark, [(t,) for t in HANDLER_TYPES], "type string")
     r = J.route(fx.jobs(spark, sf).select("job_id", "type"), handlers)
     return r.select("job_id", "type", "routed", "error_code", "error_message", "error_retryable")
 
@@ -64,6 +64,10 @@ def q_apply_outcomes(spark, sf):
          .alias("result"),
         F.when(F.col("o") != "completed", F.struct(F.col("code").alias("code"), F.lit("failed").alias("message"),
                                                    F.col("rty").alias("retryable"))).alias("error"))
+    # a second, later outcome of every job must not count
+    late = outcomes.select("job_id", F.lit("nack").alias("kind"), F.lit(None).cast("string").alias("result"),
+                           F.struct(F.lit("late").alias("code"), F.lit("late").alias("message"), F.lit(True).alias("retryable")).alias("error"), F.lit(2).alias("seq"))
+    outcomes = outcomes.withColumn("seq", F.lit(1)).unionByName(late)
     jobs = fx.jobs(spark, sf).select("job_id", "state", "attempt", "max_attempts")
     out = J.apply_outcomes(jobs, outcomes)
     return out.select("job_id", "state", "result", F.col("error.code").alias("error_code"),
@@ -87,15 +91,19 @@ def q_drop_paused(spark, sf):
     return J.drop_paused(fx.jobs(spark, sf).select("job_id", "queue"), fx.queues(spark))
 
 
-@register("ready_steps", views=("workflow_steps",), sql="""
+@register("ready_steps", views=("batch_steps",), sql="""
+, st AS (SELECT DISTINCT workflow_id, step_id, state FROM batch_steps)
 , e AS (SELECT a.workflow_id, a.step_id, a.depends_on_id, d.state AS dep_state
-        FROM workflow_steps a LEFT JOIN workflow_steps d ON a.workflow_id = d.workflow_id AND a.depends_on_id = d.step_id)
-SELECT workflow_id, step_id, CAST(count(depends_on_id) AS BIGINT) AS n_deps,
-       CAST(count_if(depends_on_id IS NOT NULL AND dep_state = 'completed') AS BIGINT) AS n_done,
-       count(depends_on_id) = count_if(depends_on_id IS NOT NULL AND dep_state = 'completed') AS ready
-FROM e GROUP BY workflow_id, step_id""")
+        FROM batch_steps a LEFT JOIN st d ON a.workflow_id = d.workflow_id AND a.depends_on_id = d.step_id)
+, g AS (SELECT workflow_id, step_id, CAST(count(depends_on_id) AS BIGINT) AS n_deps,
+               CAST(count_if(depends_on_id IS NOT NULL AND dep_state = 'completed') AS BIGINT) AS n_done,
+               count_if(dep_state IN ('completed', 'cancelled', 'discarded')) AS n_term, count_if(dep_state IN ('cancelled', 'discarded')) AS n_bad
+        FROM e GROUP BY workflow_id, step_id)
+SELECT workflow_id, step_id, n_deps, n_done,
+       CASE step_id WHEN 'on-complete' THEN n_term = n_deps WHEN 'on-failure' THEN n_term = n_deps AND n_bad > 0 ELSE n_done = n_deps END AS ready
+FROM g""")
 def q_ready_steps(spark, sf):
-    return J.ready_steps(fx.workflow_steps(spark, sf))
+    return J.ready_steps(fx.batch_steps(spark, sf))
 
 
 @register("parent_results", views=("workflow_steps",), sql="""
@@ -125,25 +133,39 @@ def q_stale_jobs(spark, sf):
 
 
 PAYLOAD_SCHEMAS = [
-    ("evt.signup", "urn:schema:evt.signup:v1",
+    ("evt.signup", "urn:schema:evt.signup:v2", "2",
+     '{"type":"object","properties":{"k":{"type":"string"}},"required":["k"]}'),
+    ("evt.signup", "urn:schema:evt.signup:v10", "10",
      '{"type":"object","properties":{"k":{"type":"integer"}},"required":["k"]}'),
-    ("evt.view", "urn:schema:evt.view:v1",
+    ("evt.view", "urn:schema:evt.view:v1", "1",
      '{"type":"object","properties":{"k":{"type":"string"}},"required":["k"]}'),
-    ("evt.purchase", "urn:schema:evt.purchase:v1", '{"type":"object","required":["k","to"]}'),
+    ("evt.purchase", "urn:schema:evt.purchase:v1", "1", '{"type":"object","required":["k","to"]}'),
 ]
-
-
-@register("validate_payloads", views=("requests",), sql="""
-SELECT request_id, type,
-       CASE type WHEN 'evt.signup' THEN 'urn:schema:evt.signup:v1' WHEN 'evt.view' THEN 'urn:schema:evt.view:v1'
-                 WHEN 'evt.purchase' THEN 'urn:schema:evt.purchase:v1' END AS schema_uri_matched,
-       type NOT IN ('evt.view', 'evt.purchase') AS valid,
-       CASE WHEN type IN ('evt.view', 'evt.purchase') THEN 'schema_validation' END AS error_code,
-       CASE type WHEN 'evt.view' THEN 'field k: expected string' WHEN 'evt.purchase' THEN 'missing required field to' END AS error_message
-FROM requests""")
+_SCHEMA_ROWS = ", ".join(f"('{t}', '{u}', {v}, '{s}')" for t, u, v, s in PAYLOAD_SCHEMAS)
+
+
+@register("validate_payloads", views=("requests",), sql=f"""
+, sch(type, uri, version, spec) AS (VALUES {_SCHEMA_ROWS})
+, named AS (SELECT request_id, type, json_extract(args, '$[0]') AS a,
+                   CASE WHEN request_id % 5 = 1 THEN 'urn:schema:evt.signup:v2' WHEN request_id % 5 = 2 THEN 'urn:schema:none' END AS want
+            FROM requests)
+, j AS (SELECT n.*, s.uri, s.spec FROM named n LEFT JOIN sch s ON CASE WHEN n.want IS NOT NULL THEN s.uri = n.want
+          ELSE s.type = n.type AND s.version = (SELECT max(x.version) FROM sch x WHERE x.type = n.type) END)
+, c AS (SELECT *, CASE WHEN spec IS NOT NULL THEN list_filter(CAST(json_extract(spec, '$.required') AS VARCHAR[]), lambda k: NOT list_contains(json_keys(a), k))[1] END AS missing,
+               json_extract_string(spec, '$.properties.k.type') AS expected, json_type(a, '$.k') AS kind FROM j)
+, e AS (SELECT *, CASE WHEN want IS NOT NULL AND uri IS NULL THEN 'schema not registered'
+                       WHEN missing IS NOT NULL THEN 'missing required field ' || missing
+                       WHEN expected = 'string' AND kind <> 'VARCHAR' THEN 'field k: expected string'
+                       WHEN expected = 'integer' AND kind NOT IN ('UBIGINT', 'BIGINT') THEN 'field k: expected integer' END AS error_message FROM c)
+SELECT request_id, type, uri AS schema_uri_matched, error_message IS NULL AS valid,
+       CASE WHEN error_message IS NOT NULL THEN 'schema_validation' END AS error_code, error_message
+FROM e""")
 def q_validate_payloads(spark, sf):
-    schemas = registry_frame(spark, PAYLOAD_SCHEMAS, "type string, uri string, schema string")
-    r = P.decode_args(fx.requests(spark, sf).select("request_id", "type", "args"))
+    """Two versions of one type; some jobs name a version, some an unknown URI."""
+    schemas = literal_frame(spark, PAYLOAD_SCHEMAS, "type string, uri string, version string, schema string")
+    k = F.col("request_id") % 5
+    named = F.when(k == 1, "urn:schema:evt.signup:v2").when(k == 2, "urn:schema:none")
+    r = P.decode_args(fx.requests(spark, sf).select("request_id", "type", "args", named.alias("schema_uri")))
     out = J.validate_payloads(r, schemas)
     return out.select("request_id", "type", "schema_uri_matched", "valid", "error_code", "error_message")
 

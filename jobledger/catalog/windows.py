@@ -11,7 +11,7 @@ from jobledger.sources import fixtures as fx
 
 DISPATCH_SQL = """
 , c AS (SELECT j.job_id, j.queue, j.priority, j.created_at, q.ord FROM jobs j JOIN queues q ON j.queue = q.queue
-        WHERE j.state = 'available' AND q.status <> 'paused')"""
+        WHERE j.state = 'available' AND coalesce(q.status, 'active') <> 'paused')"""
 
 
 @register("dispatch", views=("jobs", "queues"), sql=DISPATCH_SQL + """

@@ -72,36 +72,39 @@ def q_expand_workflows(spark, sf):
                         "options")
 
 
-@register("workflow_state", views=("workflow_steps",), sql="""
+@register("workflow_state", views=("batch_steps",), sql="""
+, st AS (SELECT DISTINCT workflow_id, step_id, state FROM batch_steps)
 , g AS (SELECT workflow_id, count(*) AS steps,
                count_if(step_id NOT IN ('on-complete', 'on-success', 'on-failure') AND state = 'discarded') AS n_failed,
-               count_if(state = 'completed') AS n_completed, count_if(state <> 'pending') AS n_started
-        FROM workflow_steps GROUP BY workflow_id)
+               count_if(state = 'completed') AS n_completed, count_if(state <> 'pending') AS n_started,
+               count_if(step_id <> 'on-failure' AND state <> 'completed') AS n_open
+        FROM st GROUP BY workflow_id)
 , c AS (SELECT DISTINCT o_orderkey AS workflow_id FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'O')
 SELECT g.workflow_id,
        CASE WHEN c.workflow_id IS NOT NULL THEN 'cancelled' WHEN n_failed > 0 THEN 'failed'
-            WHEN n_completed = steps THEN 'completed' WHEN n_started > 0 THEN 'running' ELSE 'pending' END AS state,
+            WHEN n_open = 0 THEN 'completed' WHEN n_started > 0 THEN 'running' ELSE 'pending' END AS state,
        steps, CAST(n_completed AS BIGINT) AS n_completed, CAST(n_failed AS BIGINT) AS n_failed
 FROM g LEFT JOIN c ON g.workflow_id = c.workflow_id""")
 def q_workflow_state(spark, sf):
     o = table(spark, sf, "orders")
     cancelled = o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")).select(
         F.col("o_orderkey").alias("workflow_id"))
-    return WF.workflow_state(fx.workflow_steps(spark, sf), cancelled)
+    return WF.workflow_state(fx.batch_steps(spark, sf), cancelled)
 
 
-@register("batch_callbacks", views=("workflow_steps",), sql="""
+@register("batch_callbacks", views=("batch_steps",), sql="""
+, st AS (SELECT DISTINCT workflow_id, step_id, state FROM batch_steps)
 , g AS (SELECT workflow_id,
                count_if(step_id NOT IN ('on-complete', 'on-success', 'on-failure')) AS n,
                count_if(step_id NOT IN ('on-complete', 'on-success', 'on-failure') AND state IN ('completed', 'cancelled', 'discarded')) AS n_term,
                count_if(step_id NOT IN ('on-complete', 'on-success', 'on-failure') AND state = 'completed') AS n_done,
                count_if(step_id NOT IN ('on-complete', 'on-success', 'on-failure') AND state IN ('discarded', 'cancelled')) AS n_bad
-        FROM workflow_steps GROUP BY workflow_id)
-SELECT workflow_id, 'on-complete' AS callback FROM g WHERE n_term = n
-UNION ALL SELECT workflow_id, 'on-success' FROM g WHERE n_done = n
-UNION ALL SELECT workflow_id, 'on-failure' FROM g WHERE n_term = n AND n_bad > 0""")
+        FROM st GROUP BY workflow_id)
+SELECT s.workflow_id, s.step_id AS callback FROM st s JOIN g ON s.workflow_id = g.workflow_id
+WHERE (s.step_id = 'on-complete' AND n_term = n) OR (s.step_id = 'on-success' AND n_done = n)
+   OR (s.step_id = 'on-failure' AND n_term = n AND n_bad > 0)""")
 def q_batch_callbacks(spark, sf):
-    return WF.batch_callbacks(fx.workflow_steps(spark, sf))
+    return WF.batch_callbacks(fx.batch_steps(spark, sf))
 
 
 @register("cancel_workflows", views=("workflow_steps",), sql="""
@@ -123,13 +126,20 @@ def _event_range(spark, sf):
     return r["s"], r["e"]
 
 
-CRON_RANGE_SQL = """
+# each schedule's times of day, and its days, said in SQL
+CRON_SQL = """
+, times(name, h, m) AS (VALUES ('daily-report', 9, 0), ('nightly-cleanup', 2, 0), ('weekly-digest', 6, 30), ('monthly-invoice', 0, 0),
+    ('odd-days', 8, 0), ('odd-days', 8, 20), ('odd-days', 8, 40), ('odd-days', 9, 0), ('odd-days', 9, 20), ('odd-days', 9, 40),
+    ('friday-or-13th', 12, 15), ('leap-day', 0, 0))
+, days AS (SELECT unnest(generate_series(CAST(CAST(min(ts) AS DATE) AS TIMESTAMP), max(ts) + INTERVAL 9 YEAR, INTERVAL 1 DAY)) AS d FROM events)
+, runs AS (
+  SELECT c.name, c.type, d + to_hours(h) + to_minutes(m) AS run_at
+  FROM cron_jobs c JOIN times ON c.name = times.name, days
+  WHERE CASE c.name WHEN 'weekly-digest' THEN dayofweek(d) = 1 WHEN 'monthly-invoice' THEN day(d) = 1 WHEN 'odd-days' THEN day(d) % 2 = 1
+                    WHEN 'friday-or-13th' THEN day(d) = 13 OR dayofweek(d) = 5 WHEN 'leap-day' THEN month(d) = 2 AND day(d) = 29 ELSE true END)"""
+CRON_RANGE_SQL = CRON_SQL + """
 , r AS (SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS s, max(ts) AS e FROM events)
-, m AS (SELECT unnest(generate_series(r.s, r.e, INTERVAL 1 MINUTE)) AS t FROM r)
-, expected AS (
-  SELECT c.name, c.type, m.t AS run_at FROM cron_jobs c, m
-  WHERE m.t < (SELECT e FROM r)
-    AND minute(m.t) = CAST(split_part(c.cron, ' ', 1) AS INT) AND hour(m.t) = CAST(split_part(c.cron, ' ', 2) AS INT))"""
+, expected AS (SELECT runs.* FROM runs, r WHERE run_at >= r.s AND run_at < r.e)"""
 
 
 @register("expand_cron", views=("cron_jobs",), sql=CRON_RANGE_SQL + "\nSELECT name, type, run_at FROM expected")
@@ -153,13 +163,8 @@ def q_cron_audit(spark, sf):
     return C.cron_audit(expected, triggers, grace_seconds=6 * 3600)
 
 
-@register("next_runs", views=("cron_jobs",), sql="""
-, a AS (SELECT max(ts) AS as_of FROM events)
-, m AS (SELECT unnest(generate_series(CAST(CAST(a.as_of AS DATE) AS TIMESTAMP), CAST(CAST(a.as_of AS DATE) AS TIMESTAMP) + INTERVAL 2 DAY, INTERVAL 1 MINUTE)) AS t FROM a)
-SELECT c.name, min(m.t) AS next_run_at FROM cron_jobs c, m
-WHERE m.t >= (SELECT as_of FROM a)
-  AND minute(m.t) = CAST(split_part(c.cron, ' ', 1) AS INT) AND hour(m.t) = CAST(split_part(c.cron, ' ', 2) AS INT)
-GROUP BY c.name""")
+@register("next_runs", views=("cron_jobs",), sql=CRON_SQL + """
+SELECT name, min(run_at) AS next_run_at FROM runs, (SELECT max(ts) AS as_of FROM events) WHERE run_at >= as_of GROUP BY name""")
 def q_next_runs(spark, sf):
     as_of = table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
     return C.next_runs(fx.cron_jobs(spark), as_of)

@@ -27,11 +27,6 @@ def epoch_us(col) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def epoch_ms(col) -> Column:
-    """Whole milliseconds since the epoch (floor)."""
-    return F.floor(epoch_us(col) / 1000).cast("bigint")
-
-
 def diff_ms(later, earlier) -> Column:
     """``later - earlier`` in milliseconds as DOUBLE (exact to the microsecond)."""
     return (epoch_us(later) - epoch_us(earlier)) / F.lit(1000.0)

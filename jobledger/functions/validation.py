@@ -16,12 +16,30 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# controls, formats, surrogates, private and unassigned code points, and every
+# space or separator but the plain space
+UNPRINTABLE = r"[\p{C}\p{Z}&&[^ ]]"
+
+
 def go_quote(col) -> Column:
-    """Double-quoted text with backslash, quote, newline and tab escaped."""
+    """Double-quoted text: backslash and quote escaped, control characters by
+    their letter (``\\n``) or as ``\\x01``, other unprintable ones as
+    ``\\u00a0`` or ``\\U000e0001``."""
     c = _c(col)
     esc = F.replace(F.replace(c, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    esc = F.replace(F.replace(esc, F.lit("\n"), F.lit("\\n")), F.lit("\t"), F.lit("\\t"))
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    for ch, name in (("\x07", "a"), ("\b", "b"), ("\f", "f"), ("\n", "n"), ("\r", "r"), ("\t", "t"), ("\x0b", "v")):
+        esc = F.replace(esc, F.lit(ch), F.lit("\\" + name))
+
+    def one(ch):
+        code = F.ascii(ch)  # its code point
+        wide = F.when(code < 0x80, F.concat(F.lit("\\x"), F.lower(F.lpad(F.hex(code), 2, "0")))) \
+                .when(code < 0x10000, F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))) \
+                .otherwise(F.concat(F.lit("\\U"), F.lower(F.lpad(F.hex(code), 8, "0"))))
+        return F.when(ch.rlike(UNPRINTABLE), wide).otherwise(ch)
+
+    # only texts with such a character are taken apart
+    slow = F.concat_ws("", F.transform(F.regexp_extract_all(esc, F.lit("(?s)."), 0), one))
+    return F.concat(F.lit('"'), F.when(esc.rlike(UNPRINTABLE), slow).otherwise(esc), F.lit('"'))
 
 
 def type_reason(col="type") -> Column:

@@ -16,7 +16,7 @@ from jobledger.functions.timecols import diff_ms, plus_ms, ts_lit
 STAT_STATES = ["available", "active", "scheduled", "retryable", "discarded"]
 
 
-def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int = 3600) -> DataFrame:
+def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int = 3600, queues: DataFrame | None = None) -> DataFrame:
     """A1: per-queue statistics (ours, the protocol only names the fields).
 
     * counts of jobs by current state (``jobs.state``);
@@ -25,7 +25,9 @@ def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int
     * average duration of completed attempts and average wait
       ``started_at - coalesce(enqueued_at, created_at)`` (negative waits
       excluded), in ms;
-    * throughput = completed in the window / window seconds.
+    * throughput = completed in the window / window seconds;
+    * the queue's status (``active`` unless ``queues`` says otherwise) and the
+      time of the statistics. Registered queues without jobs have zero counts.
     """
     hi = ts_lit(as_of)
     lo = hi - F.make_dt_interval(secs=F.lit(window_seconds))
@@ -46,9 +48,14 @@ def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int
         F.avg(F.when(wait >= 0, wait)).alias("avg_wait_ms"),
     )
     out = by_state.join(by_attempt, "queue", "left")
+    if queues is not None:
+        known = queues.groupBy(F.col("queue").alias("_q")).agg(F.max("status").alias("status"))
+        out = out.join(known, F.col("queue").eqNullSafe(F.col("_q")), "full").withColumn("queue", F.coalesce("queue", "_q"))
+    else:
+        out = out.withColumn("status", F.lit(None).cast("string"))
     return out.select(
-        "queue",
-        *[F.col(s).cast("bigint").alias(s) for s in STAT_STATES],
+        "queue", F.coalesce("status", F.lit("active")).alias("status"), hi.alias("computed_at"),
+        *[F.coalesce(s, F.lit(0)).cast("bigint").alias(s) for s in STAT_STATES],
         F.coalesce("completed_last_hour", F.lit(0)).cast("bigint").alias("completed_last_hour"),
         F.coalesce("failed_last_hour", F.lit(0)).cast("bigint").alias("failed_last_hour"),
         F.round("avg_duration_ms", 6).alias("avg_duration_ms"),
@@ -59,15 +66,17 @@ def queue_stats(jobs: DataFrame, attempts: DataFrame, as_of, window_seconds: int
 
 
 def list_queues(jobs: DataFrame, queues: DataFrame | None = None) -> DataFrame:
-    """A2: every queue seen in the ledger with its status (``active`` unless the
-    queue table says otherwise) and the time its first job was created."""
+    """A2: every queue seen in the ledger or registered in the queue table, with
+    its status (``active`` unless the table says otherwise), the time its first
+    job was created and its number of jobs (0 for an idle queue)."""
     seen = jobs.groupBy("queue").agg(F.min("created_at").alias("created_at"),
                                      F.count(F.lit(1)).alias("jobs"))
     if queues is None:
         return seen.select(F.col("queue").alias("name"), F.lit("active").alias("status"), "created_at", "jobs")
     q = queues.select("queue", "status")
-    return seen.join(q, "queue", "left").select(
-        F.col("queue").alias("name"), F.coalesce("status", F.lit("active")).alias("status"), "created_at", "jobs")
+    return seen.join(q.select(F.col("queue").alias("_q"), "status"), F.col("queue").eqNullSafe(F.col("_q")), "full").select(
+        F.coalesce("queue", "_q").alias("name"), F.coalesce("status", F.lit("active")).alias("status"), "created_at",
+        F.coalesce("jobs", F.lit(0)).cast("bigint").alias("jobs"))
 
 
 def job_metrics(attempts: DataFrame, buckets: list[float] | None = None,
@@ -207,10 +216,13 @@ WORKER_ID_PATTERN = r"^worker_(.*)_(\d+)_(\d+)\z"
 
 
 def worker_load(heartbeats: DataFrame, concurrency: int = 10) -> DataFrame:
-    """Per worker the latest heartbeat, its active job count, free
+    """Per worker the latest heartbeat (of equal times the largest
+    ``event_id``, or the longest list where there is none), its active job count, free
     capacity and fetch size, and host / pid / start parsed from the id
     ``worker_<host>_<pid>_<nanos>`` (the host may itself contain ``_``)."""
-    latest = F.max_by(F.size("active_job_ids"), F.col("ts"))
+    order = F.struct(F.col("ts"), F.col("event_id")) if "event_id" in heartbeats.columns else \
+        F.struct(F.col("ts"), F.coalesce(F.size("active_job_ids"), F.lit(0)))
+    latest = F.max_by(F.size("active_job_ids"), order)
     w = heartbeats.groupBy("worker_id").agg(
         F.max("ts").alias("last_seen"), latest.alias("active"), F.count(F.lit(1)).alias("heartbeats"))
     active = F.coalesce(F.col("active"), F.lit(0))
@@ -244,21 +256,28 @@ def headers_lookup(headers: str, names: list[str]) -> "F.Column":
     return F.struct(*[F.coalesce(found[f"h{i}"], F.lit("")).alias(f"h{i}") for i in range(len(names))])
 
 
+def _whole(c) -> "F.Column":
+    """A signed whole number, nothing around it; any other text reads as 0."""
+    return F.when(c.rlike(r"^[+-]?\d+\z"), F.coalesce(c.try_cast("bigint"), F.lit(0))).otherwise(F.lit(0)).cast("bigint")
+
+
 def rate_limit_info(df: DataFrame, headers: str = "headers") -> DataFrame:
     """Per response: Retry-After (seconds, fractions allowed, else 0) and the
     rate-limit triple; the info is NULL when no rate-limit header is present
     and Retry-After is 0; unparsable integers read as 0."""
     h = df.select("*", headers_lookup(headers, RATE_LIMIT_HEADERS).alias("_h"))
     ra, lim, rem, rst = (F.col(f"_h.h{i}") for i in range(4))
-    secs = F.coalesce(ra.try_cast("double"), F.lit(0.0))
+    # plain decimal or exponent form only: no type suffix, no spaces
+    number = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\z"
+    secs = F.when(ra.rlike(number), F.coalesce(ra.try_cast("double"), F.lit(0.0))).otherwise(F.lit(0.0))
     retry_ms = F.when(F.isnan(secs), F.lit(0.0)).otherwise(secs * 1000)
     present = (lim != "") | (rem != "") | (rst != "") | (retry_ms != 0)
     return h.select(
         *[F.col(c) for c in df.columns],
         retry_ms.alias("retry_after_ms"),
-        F.when(present, F.coalesce(lim.try_cast("bigint"), F.lit(0))).alias("rl_limit"),
-        F.when(present, F.coalesce(rem.try_cast("bigint"), F.lit(0))).alias("rl_remaining"),
-        F.when(present, F.coalesce(rst.try_cast("bigint"), F.lit(0))).alias("rl_reset"),
+        F.when(present, _whole(lim)).alias("rl_limit"),
+        F.when(present, _whole(rem)).alias("rl_remaining"),
+        F.when(present, _whole(rst)).alias("rl_reset"),
     )
 
 

@@ -1,8 +1,7 @@
 """Joins between the job ledger and its command / dimension tables.
 
 Equi-joins on job or workflow keys; Catalyst chooses broadcast vs
-sort-merge from measured sizes (AQE). Registries passed as DataFrames built
-by ``plans.strategy.registry_frame`` arrive already marked for broadcast.
+sort-merge from measured sizes (AQE).
 """
 
 from __future__ import annotations
@@ -54,10 +53,18 @@ def apply_outcomes(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
     ack -> ``completed`` with its result; nack -> the error struct is stored
     and the job becomes ``retryable`` when the error is retryable and
     attempts remain, else ``discarded`` (W2 plans the retry time).
-    Jobs that are not active, or have no outcome, are unchanged.
+    Jobs that are not active, or have no outcome, are unchanged. Of several
+    outcomes of a job one counts: the first by the ``seq`` column where there
+    is one (the server settles a job once), else ack before nack, then the
+    smallest result and error code.
     """
-    o = outcomes.select("job_id", F.col("kind").alias("_kind"), F.col("result").alias("_result"),
-                        F.col("error").alias("_error"))
+    seq = [F.col("seq")] if "seq" in outcomes.columns else []
+    first = F.struct(*seq, F.col("kind") != "ack", F.coalesce(F.col("result"), F.lit("")),
+                     F.coalesce(F.col("error.code"), F.lit("")), F.coalesce(F.col("error.message"), F.lit("")))
+    o = outcomes.filter(F.col("kind").isin("ack", "nack")).groupBy("job_id").agg(
+        F.min_by(F.struct(F.col("kind"), F.col("result"), F.col("error")), first).alias("_o"))
+    o = o.select("job_id", F.col("_o.kind").alias("_kind"), F.col("_o.result").alias("_result"),
+                 F.col("_o.error").alias("_error"))
     j = jobs.join(o, "job_id", "left")
     active = F.col("state") == "active"
     ack = active & (F.col("_kind") == "ack")
@@ -166,13 +173,6 @@ def stale_jobs(jobs: DataFrame, heartbeats: DataFrame, as_of, default_timeout_ms
     return j.select("job_id", "last_heartbeat", vt.alias("visibility_timeout_ms"), stale.alias("reclaimable"))
 
 
-_JSON_TYPE = {
-    "string": ["STRING"],
-    "boolean": ["BOOLEAN"],
-    "null": ["VOID"],
-}
-
-
 def _json_type_ok(kind, expected):
     numeric = kind.rlike(r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)")
     return (F.when(expected == "string", kind == "STRING")
@@ -189,22 +189,32 @@ def _json_type_ok(kind, expected):
 def validate_payloads(jobs: DataFrame, schemas: DataFrame, args: str = "args_map") -> DataFrame:
     """Check job args against the schema registered for the job type:
     every ``required`` key present, and each listed property of the declared
-    top-level JSON type. A job naming a schema URI that is not registered
-    fails with ``schema_validation``. Types without a schema pass."""
-    spec = schemas.select(
-        F.col("type").alias("_stype"), F.col("uri").alias("_suri"),
-        F.from_json("schema", "struct<required: array<string>, properties: map<string, struct<type: string>>>")
-         .alias("_s"))
-    j = jobs.join(spec, jobs["type"] == spec["_stype"], "left")
+    top-level JSON type. A job naming a schema URI is checked against that
+    one; naming none, against the latest ``version`` of its type (versions
+    compare by their numbers, then by text; equal ones by URI). A URI that is
+    not registered fails with ``schema_validation``. Types without a schema
+    pass."""
+    cols = set(jobs.columns)
+    named = F.col("schema_uri") if "schema_uri" in cols else F.lit(None).cast("string")
+    version = F.col("version") if "version" in schemas.columns else F.lit(None).cast("string")
+    numbers = F.transform(F.regexp_extract_all(F.coalesce(version, F.lit("")), F.lit(r"(\d+)"), 1), lambda x: x.cast("decimal(38,0)"))
+    one = F.struct(F.col("uri").alias("uri"), F.col("schema").alias("schema"))
+    latest = schemas.groupBy("type").agg(F.max_by(one, F.struct(numbers, version, F.col("uri"))).alias("_l"))
+    by_type = latest.select(F.col("type").alias("_stype"), F.col("_l.uri").alias("_turi"), F.col("_l.schema").alias("_tschema"))
+    by_uri = schemas.filter("uri IS NOT NULL").groupBy(F.col("uri").alias("_uri")).agg(
+        F.max_by("schema", F.struct(numbers, version, F.col("schema"))).alias("_uschema"))
+    j = jobs.withColumn("_named", named)
+    j = j.join(by_uri, F.col("_named") == F.col("_uri"), "left").join(by_type, F.col("type") == F.col("_stype"), "left")
+    j = j.withColumn("_suri", F.when(F.col("_named").isNull(), F.col("_turi")).otherwise(F.col("_uri")))
+    j = j.withColumn("_s", F.from_json(F.when(F.col("_named").isNull(), F.col("_tschema")).otherwise(F.col("_uschema")),
+                                       "struct<required: array<string>, properties: map<string, struct<type: string>>>"))
     m = F.col(args)
     missing = F.filter(F.coalesce(F.col("_s.required"), F.array().cast("array<string>")),
                        lambda k: ~F.coalesce(F.map_contains_key(m, k), F.lit(False)))
     props = F.map_entries(F.coalesce(F.col("_s.properties"), F.create_map().cast("map<string,struct<type:string>>")))
     wrong = F.filter(props, lambda p: F.map_contains_key(m, p["key"]) & ~F.is_variant_null(m[p["key"]]) &
                      ~_json_type_ok(F.schema_of_variant(m[p["key"]]), p["value"]["type"]))
-    cols = set(jobs.columns)
-    uri_bad = (F.col("schema_uri").isNotNull() & (F.col("_suri").isNull() | (F.col("schema_uri") != F.col("_suri")))) \
-        if "schema_uri" in cols else F.lit(False)
+    uri_bad = F.col("_named").isNotNull() & F.col("_uri").isNull()
     err = (F.when(uri_bad, F.lit("schema not registered"))
             .when(F.size(missing) > 0, F.concat(F.lit("missing required field "), F.get(missing, 0)))
             .when(F.size(wrong) > 0, F.concat(F.lit("field "), F.get(wrong, 0)["key"], F.lit(": expected "),

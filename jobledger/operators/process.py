@@ -2,8 +2,9 @@
 
 One ``mapInPandas`` pass, no shuffle: each task decodes its rows' args and
 calls the handler registered for the row's type, wrapped in the middleware
-middleware chain. The output schema is fixed; a handler exception never fails the
-task (it becomes the row's error), unless recovery is switched off.
+chain. The output schema is fixed; a row that cannot be decoded, a handler
+exception and a result that cannot be encoded never fail the task (they become
+the row's error); with recovery off a handler's exception does.
 
 Handlers are user code, so this is the one place rows go through Python one
 at a time; everything around it stays in Catalyst.
@@ -21,10 +22,11 @@ import time
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobledger import constants as K
+from jobledger.functions import args as A
 from jobledger.plans.stages import StageChain
 
 RESULT_SCHEMA = ("job_id string, type string, state string, attempt int, result string, error_code string, "
@@ -39,10 +41,22 @@ class JobError(Exception):
     """A handler failure whose text is reported as-is."""
 
 
-def _call(job: dict, fn: Callable, recover: bool):
-    """Run one handler; returns (result, error_message, retryable)."""
+def _text(value) -> str | None:
+    return value if isinstance(value, str) and value else None
+
+
+def _call(rec: dict, fn: Callable, recover: bool):
+    """Decode one row's job, run its handler and encode the result; returns
+    (result text, error_message, retryable). Args or meta that are not JSON
+    and results that cannot be encoded are that row's error."""
+    job = {"id": rec.get("job_id"), "type": rec.get("type"), "queue": rec.get("queue"), "attempt": rec["attempt"]}
+    for name in ("args", "meta"):
+        try:
+            job[name] = json.loads(_text(rec.get(name)) or "{}")
+        except ValueError as e:
+            return None, f"invalid {name}: {e}", False
     try:
-        return fn(job), None, None
+        result = fn(job)
     except NonRetryable as e:
         return None, str(e), False
     except JobError as e:
@@ -51,6 +65,10 @@ def _call(job: dict, fn: Callable, recover: bool):
         if not recover:
             raise
         return None, f"panic in job {job.get('type')} (id={job.get('id')}): {e}", True
+    try:
+        return None if result is None else json.dumps(result, sort_keys=True, separators=(",", ":"), allow_nan=False), None, None
+    except (TypeError, ValueError) as e:
+        return None, f"result cannot be encoded: {e}", False
 
 
 def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_missing: str, on_error: str,
@@ -62,10 +80,8 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
                                    "error_message", "error_retryable", "duration_ms"]}
             for rec in pdf.to_dict("records"):
                 jid, typ = rec.get("job_id"), rec.get("type")
-                attempt = int(rec.get("attempt") or 0)
-                job = {"id": jid, "type": typ, "queue": rec.get("queue"), "attempt": attempt,
-                       "args": json.loads(rec["args"]) if rec.get("args") else {},
-                       "meta": json.loads(rec["meta"]) if rec.get("meta") else {}}
+                attempt = rec.get("attempt")
+                attempt = 0 if attempt is None or attempt != attempt else int(attempt)  # NULL may arrive as NaN
                 fn = wrapped.get(typ)
                 result = err = rty = None
                 dur = None
@@ -78,7 +94,7 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
                         rty = on_missing in ("retry", "fail_item")
                 else:
                     t0 = time.perf_counter_ns()
-                    result, err, rty = _call(job, fn, recover)
+                    result, err, rty = _call({**rec, "attempt": attempt}, fn, recover)
                     dur = ((time.perf_counter_ns() - t0) // 1000) / 1000.0
                     if err is None:
                         state = "completed"
@@ -88,8 +104,7 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
                 out["type"].append(typ)
                 out["state"].append(state)
                 out["attempt"].append(attempt)
-                out["result"].append(None if result is None else json.dumps(result, sort_keys=True,
-                                                                            separators=(",", ":")))
+                out["result"].append(result)
                 out["error_code"].append(K.ERR_HANDLER_ERROR if err is not None else None)
                 out["error_message"].append(err)
                 out["error_retryable"].append(rty if err is not None else None)
@@ -98,10 +113,21 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
     return run
 
 
+def _args(cols: set) -> Column:
+    """A job's args as JSON object text: from the decoded map where there is
+    one, else from the text, which may be the wire's array."""
+    if "args_map" in cols:
+        return F.to_json(F.col("args_map"))
+    if "args" not in cols:
+        return F.lit(None).cast("string")
+    wire = F.to_json(A.decode_args("args"))
+    return F.when(F.col("args").rlike(r"^\s*\["), F.coalesce(wire, F.col("args"))).otherwise(F.col("args"))
+
+
 def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "error",
             on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True) -> DataFrame:
     """X1 (+X2): run handlers over ``jobs`` (``job_id, type, queue, attempt,
-    args (JSON object text), meta``). ``on_missing``: ``error`` (failed,
+    args (JSON object or wire array text) or args_map, meta``). ``on_missing``: ``error`` (failed,
     not retryable), ``fail_item`` / ``retry`` (failed, retryable) or
     ``complete``; ``on_error``: ``nack`` (failed) or ``discard``. Error code
     is always ``handler_error``; ``NonRetryable`` -> not retryable,
@@ -110,7 +136,7 @@ def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "e
     sel = [F.col("job_id").cast("string").alias("job_id"), F.col("type"),
            (F.col("queue") if "queue" in cols else F.lit(None).cast("string")).alias("queue"),
            (F.col("attempt") if "attempt" in cols else F.lit(0)).cast("int").alias("attempt"),
-           (F.col("args") if "args" in cols else F.lit(None).cast("string")).alias("args"),
+           _args(cols).alias("args"),
            (F.col("meta") if "meta" in cols else F.lit(None).cast("string")).alias("meta")]
     return jobs.select(*sel).mapInPandas(_runner(handlers, middleware, on_missing, on_error, recover), RESULT_SCHEMA)
 

@@ -124,7 +124,7 @@ def append_tags(df: DataFrame, by: str = "job_id", order: str = "seq", tags: str
     from jobledger.plans import scan
 
     src = df.select(by, order, F.coalesce(F.col(tags), F.array().cast("array<string>")).alias(tags))
-    with_base = scan.running(src, by, [order], F.size(tags), "_base", "sum", ts_col=order, inclusive=False)
+    with_base = scan.running(src, by, [order], F.size(tags), "_base", inclusive=False)
     return with_base.select(by, F.posexplode(tags).alias("_i", "tag"), "_base").select(
         by, (F.col("_base") + F.col("_i")).cast("bigint").alias("pos"), "tag")
 

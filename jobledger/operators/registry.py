@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from jobledger import constants as K
 from jobledger.plans.strategy import cut_lineage
@@ -40,37 +38,20 @@ def materialise_jobs(requests: DataFrame, prefix: str = "fake-", order: list[str
     ``<prefix><n:06d>`` in request order, default queue, state
     ``available`` and attempt 0.
 
-    Ids without a global window: range-partition and sort by the order
-    columns, cut lineage (checkpoint) so the order is fixed, count rows per
-    partition (a result of one row per partition), then number rows inside
-    each partition from its offset in ``mapInPandas``.
+    Ids without a global window: the rows are range-partitioned on the order
+    columns, sorted and written to the shared checkpoint folder, which fixes
+    the order; a row's number is the count of all earlier partitions (one row
+    each) and its place in its own, which Spark's row counter gives.
     """
     order = order or ["created_at", "request_id"]
-    spark = requests.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranked = cut_lineage(requests.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-                         .withColumn("_pid", F.spark_partition_id()))
-    # one row per partition: a bounded result, turned into start offsets
-    counts = sorted((r["_pid"], r["count"]) for r in ranked.groupBy("_pid").count().collect())
-    offsets, run = {}, 0
-    for pid, cnt in counts:
-        offsets[pid] = run
-        run += cnt
-    schema = T.StructType(ranked.schema.fields + [T.StructField("_n", T.LongType())])
-
-    def number(batches):
-        n = None  # running row number inside this task's partition
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(_n=pd.Series(dtype="int64"))
-                continue
-            if n is None:
-                n = offsets.get(int(pdf["_pid"].iloc[0]), 0)
-            pdf = pdf.assign(_n=range(n + 1, n + 1 + len(pdf)))
-            n += len(pdf)
-            yield pdf
-
-    numbered = ranked.mapInPandas(number, schema)
+    ranged = requests.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranked = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_c")).select(
+        F.col("_pid").alias("_p"), F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_before"))
+    numbered = ranked.withColumn("_i", place).join(F.broadcast(offsets), F.col("_pid") == F.col("_p"))
+    numbered = numbered.withColumn("_n", F.col("_before") + F.col("_i"))
     return numbered.select(
         *[c for c in requests.columns if c not in ("queue",)],
         F.format_string(f"{prefix}%0{width}d", F.col("_n")).alias("id"),

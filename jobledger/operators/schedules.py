@@ -1,7 +1,9 @@
 """Cron schedules as rows.
 
 Five fields (minute hour day-of-month month day-of-week) with ``*``, lists,
-ranges and steps; when both day fields are restricted either may match.
+ranges and steps. Both day fields must match if either starts with ``*``
+(``*/2`` included); else either may match. Schedules that are no such text
+have no runs; ``cron_errors`` names them.
 Run times are generated per schedule from its matching local days, hours and
 minutes (output-proportional, no scan of every minute), then mapped to UTC
 so that the result equals a UTC minute calendar read in the schedule's zone:
@@ -9,8 +11,8 @@ a local time skipped by a DST jump never fires and a repeated one fires
 twice.
 
 The audit is a range join (a trigger counts for a run when it falls in
-``[run_at, run_at + grace)``) written as an equi-join on (name, day bucket)
-plus the range predicate, so no pair outside a day bucket is ever formed.
+``[run_at, run_at + grace)``) written as an equi-join on (name, bucket of the
+grace width) plus the range predicate: a run meets two buckets of triggers.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobledger.functions.timecols import ts_lit
+from jobledger.functions.timecols import epoch_us, ts_lit
 
 # field -> (lowest, highest) value
 FIELDS = [("minute", 0, 59), ("hour", 0, 23), ("dom", 1, 31), ("month", 1, 12), ("dow", 0, 7)]
@@ -52,20 +54,30 @@ def parse_cron(df: DataFrame, col: str = "cron") -> DataFrame:
         out = out.withColumn(f"_{name}", parse_field(F.col(f"_{name}_txt"), lo, hi))
     # day of week 7 is Sunday, like 0
     out = out.withColumn("_dow", F.array_distinct(F.transform("_dow", lambda d: F.when(d == 7, 0).otherwise(d))))
-    out = out.withColumn("_dom_r", ~F.col("_dom_txt").startswith("*")).withColumn(
-        "_dow_r", ~F.col("_dow_txt").startswith("*"))
-    return out
+    return out.withColumn("_star", F.col("_dom_txt").startswith("*") | F.col("_dow_txt").startswith("*"))
+
+
+TERM = r"(\*|\d+(-\d+)?)(/[1-9]\d*)?"
+
+
+def cron_errors(df: DataFrame, col: str = "cron") -> DataFrame:
+    """Rows whose schedule does not parse, with ``cron_error``: the number of
+    fields, or the first field that is no list of values, ranges and steps
+    within its bounds."""
+    p = parse_cron(df, col)
+    reason = F.when(F.col(col).isNull() | (F.size(F.split(F.trim(F.col(col)), r"\s+")) != len(FIELDS)), F.lit("expected 5 fields"))
+    for name, lo, hi in FIELDS:
+        text = F.col(f"_{name}_txt")
+        numbers = F.transform(F.regexp_extract_all(F.regexp_replace(text, r"/\d+", ""), F.lit(r"(\d+)"), 1), lambda x: x.cast("int"))
+        bad = ~text.rlike(rf"^{TERM}(,{TERM})*\z") | F.exists(numbers, lambda v: v.isNull() | (v < lo) | (v > hi)) | (F.size(f"_{name}") == 0)
+        reason = reason.when(bad, F.concat(F.lit(f"invalid {name} field "), text))
+    return p.withColumn("cron_error", reason).filter("cron_error IS NOT NULL").select(*df.columns, "cron_error")
 
 
 def _day_matches(day: Column) -> Column:
     dom_ok = F.array_contains("_dom", F.dayofmonth(day))
     dow_ok = F.array_contains("_dow", F.dayofweek(day) - 1)
-    both = F.col("_dom_r") & F.col("_dow_r")
-    return F.array_contains("_month", F.month(day)) & (
-        F.when(both, dom_ok | dow_ok)
-         .when(F.col("_dom_r"), dom_ok)
-         .when(F.col("_dow_r"), dow_ok)
-         .otherwise(F.lit(True)))
+    return F.array_contains("_month", F.month(day)) & F.when(F.col("_star"), dom_ok & dow_ok).otherwise(dom_ok | dow_ok)
 
 
 def expand_cron(cron_jobs: DataFrame, start, end, tz_col: str = "timezone") -> DataFrame:
@@ -87,21 +99,35 @@ def expand_cron(cron_jobs: DataFrame, start, end, tz_col: str = "timezone") -> D
     return runs.select("name", "type", F.col("_u").cast("timestamp_ntz").alias("run_at"))
 
 
-def next_runs(cron_jobs: DataFrame, as_of, horizon_days: int = 366) -> DataFrame:
-    """The first run at or after ``as_of`` per schedule within the horizon.
+# any month, day and weekday that can meet do so within 40 years (a 29 February
+# on a given weekday, across a year without one)
+CYCLE_MONTHS = 12 * 41
+# days looked at; all but the first and one skipped by a clock change have runs
+FIRST_DAYS = 8
 
-    Matching days are found first (at most ``horizon_days`` rows per
-    schedule); only the first two matching days are expanded to minutes.
+
+def next_runs(cron_jobs: DataFrame, as_of) -> DataFrame:
+    """The first run at or after ``as_of`` per schedule: one row for each
+    schedule that ever runs again.
+
+    Months that the schedule names are listed over a whole cycle of the
+    calendar, and their matching days in order until there are a few; only
+    these days are expanded to minutes.
     """
     t0 = ts_lit(as_of).cast("timestamp")
     p = parse_cron(cron_jobs)
     tz = F.coalesce(F.nullif(F.col("timezone"), F.lit("")), F.lit("UTC"))
     d0 = F.date_sub(F.to_date(F.from_utc_timestamp(t0, tz)), 1)
-    days = p.select("*", F.explode(F.sequence(d0, F.date_add(d0, horizon_days + 1))).alias("_day")).filter(
-        _day_matches(F.col("_day")))
-    firsts = days.groupBy("name").agg(F.min("_day").alias("_d1"))
-    lim = days.join(firsts, "name").filter(F.col("_day") <= F.date_add("_d1", 2))
-    hm = lim.select("*", F.explode("_hour").alias("_h")).select("*", F.explode("_minute").alias("_m"))
+    months = F.transform(F.sequence(F.lit(0), F.lit(CYCLE_MONTHS)), lambda k: F.add_months(F.trunc(d0, "month"), k))
+    months = F.filter(months, lambda m: F.array_contains("_month", F.month(m)))
+    none = F.array().cast("array<date>")
+
+    def more(found, m):
+        days = F.filter(F.sequence(m, F.last_day(m)), lambda d: (d >= d0) & _day_matches(d))
+        return F.when(F.size(found) >= FIRST_DAYS, found).otherwise(F.concat(found, days))
+
+    days = F.slice(F.aggregate(months, none, more), 1, FIRST_DAYS)
+    hm = p.select("*", F.explode(days).alias("_day")).select("*", F.explode("_hour").alias("_h")).select("*", F.explode("_minute").alias("_m"))
     local = F.make_timestamp(F.year("_day"), F.month("_day"), F.dayofmonth("_day"), F.col("_h"), F.col("_m"), F.lit(0))
     base = F.to_utc_timestamp(local, tz)
     cands = F.array(base - F.expr("INTERVAL 1 HOUR"), base, base + F.expr("INTERVAL 1 HOUR"))
@@ -115,16 +141,15 @@ def cron_audit(expected: DataFrame, triggers: DataFrame, grace_seconds: int = 36
     of the same schedule falls in ``[run_at, run_at + grace)``, else
     ``skipped``; ``n_triggers`` counts them.
 
-    Range join as equi-join on (name, day) -- each run is offered to every
-    day its grace window touches -- plus the range predicate.
+    Range join as equi-join on (name, bucket of the grace width) -- a run's
+    window touches two buckets -- plus the range predicate.
     """
-    day_s = 86400
-    n_days = grace_seconds // day_s + 2
-    exp = expected.select("name", "run_at", F.explode(F.sequence(F.lit(0), F.lit(n_days - 1))).alias("_k"))
-    exp = exp.withColumn("_day", F.date_add(F.to_date("run_at"), F.col("_k")))
-    trg = triggers.select("name", F.col("time").alias("_t"), F.to_date("time").alias("_day"))
+    width = max(1, grace_seconds) * 1_000_000
+    bucket = lambda c: F.floor(epoch_us(c) / width).cast("bigint")
+    exp = expected.select("name", "run_at", F.explode(F.array(bucket("run_at"), bucket("run_at") + 1)).alias("_b"))
+    trg = triggers.select("name", F.col("time").alias("_t"), bucket("time").alias("_b"))
     hi = F.col("run_at") + F.make_dt_interval(secs=F.lit(grace_seconds))
-    j = exp.join(trg, ["name", "_day"], "left")
+    j = exp.join(trg, ["name", "_b"], "left")
     hit = F.col("_t").isNotNull() & (F.col("_t") >= F.col("run_at")) & (F.col("_t") < hi)
     g = j.groupBy("name", "run_at").agg(F.count_if(hit).alias("n_triggers"))
     return g.select("name", "run_at", F.when(F.col("n_triggers") > 0, "triggered").otherwise("skipped")

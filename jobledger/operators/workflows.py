@@ -85,12 +85,16 @@ def _is_callback(col="step_id"):
 
 def workflow_state(steps: DataFrame, cancelled: DataFrame | None = None) -> DataFrame:
     """A7 (ours): ``cancelled`` if marked; ``failed`` if any non-callback step
-    is discarded; ``completed`` if all steps completed; ``running`` once any
-    step has left ``pending``; else ``pending``."""
+    is discarded; ``completed`` if all job steps completed and so have the
+    callbacks that this fires (``on-complete`` and ``on-success``; an
+    ``on-failure`` step stays pending in a successful batch); ``running``
+    once any step has left ``pending``; else ``pending``."""
+    never = F.col("step_id") == "on-failure"
     g = steps.groupBy("workflow_id").agg(
         F.count(F.lit(1)).alias("steps"),
         F.count_if(~_is_callback() & (F.col("state") == "discarded")).alias("n_failed"),
         F.count_if(F.col("state") == "completed").alias("n_completed"),
+        F.count_if(~never & ~F.col("state").eqNullSafe("completed")).alias("n_open"),
         F.count_if(F.col("state") != "pending").alias("n_started"))
     if cancelled is not None:
         g = g.join(cancelled.select("workflow_id").distinct().withColumn("_cancelled", F.lit(True)),
@@ -99,7 +103,7 @@ def workflow_state(steps: DataFrame, cancelled: DataFrame | None = None) -> Data
         g = g.withColumn("_cancelled", F.lit(None).cast("boolean"))
     state = (F.when(F.coalesce(F.col("_cancelled"), F.lit(False)), F.lit("cancelled"))
               .when(F.col("n_failed") > 0, F.lit("failed"))
-              .when(F.col("n_completed") == F.col("steps"), F.lit("completed"))
+              .when(F.col("n_open") == 0, F.lit("completed"))
               .when(F.col("n_started") > 0, F.lit("running"))
               .otherwise(F.lit("pending")))
     return g.select("workflow_id", state.alias("state"), "steps", "n_completed", "n_failed")
@@ -109,19 +113,20 @@ def batch_callbacks(steps: DataFrame) -> DataFrame:
     """A8 (ours): callbacks that fire per workflow, from its job steps
     (callback steps themselves excluded): all terminal -> ``on-complete``;
     all completed -> ``on-success``; all terminal and any discarded or
-    cancelled -> ``on-failure``. A batch of zero jobs fires complete and
-    success."""
+    cancelled -> ``on-failure``. Only callbacks that the workflow defines (its
+    callback steps) fire. A batch of zero jobs fires complete and success."""
     jobs = steps.withColumn("_job", ~_is_callback())
     g = jobs.groupBy("workflow_id").agg(
         F.count_if("_job").alias("n"),
         F.count_if(F.col("_job") & F.col("state").isin(*K.TERMINAL_STATES)).alias("n_term"),
         F.count_if(F.col("_job") & (F.col("state") == "completed")).alias("n_done"),
-        F.count_if(F.col("_job") & F.col("state").isin("discarded", "cancelled")).alias("n_bad"))
+        F.count_if(F.col("_job") & F.col("state").isin("discarded", "cancelled")).alias("n_bad"),
+        *[F.bool_or(F.col("step_id") == c).alias(f"_{i}") for i, c in enumerate(K.CALLBACK_STEPS)])
     all_term = F.col("n_term") == F.col("n")
     fired = F.array(
-        F.when(all_term, F.lit("on-complete")),
-        F.when(F.col("n_done") == F.col("n"), F.lit("on-success")),
-        F.when(all_term & (F.col("n_bad") > 0), F.lit("on-failure")))
+        F.when(F.col("_0") & all_term, F.lit("on-complete")),
+        F.when(F.col("_1") & (F.col("n_done") == F.col("n")), F.lit("on-success")),
+        F.when(F.col("_2") & all_term & (F.col("n_bad") > 0), F.lit("on-failure")))
     return g.select("workflow_id", F.explode(F.filter(fired, lambda x: x.isNotNull())).alias("callback"))
 
 

@@ -65,12 +65,23 @@ FROM events""",
     "polls": """
 SELECT user_id AS worker, event_id, ts, event_type IN ('error', 'click') AS failed FROM events""",
     "heartbeats": """
-SELECT concat('worker_host_a_', CAST(user_id % 8 AS VARCHAR), '_1') AS worker_id, ts, user_id AS active_job_id FROM events""",
+SELECT concat('worker_host_a_', CAST(user_id % 8 AS VARCHAR), '_1') AS worker_id, ts, event_id, user_id AS active_job_id FROM events""",
     "workflow_steps": """
 SELECT job_id AS workflow_id, concat('job-', CAST(attempt - 1 AS VARCHAR)) AS step_id,
        CASE WHEN attempt > 1 THEN concat('job-', CAST(attempt - 2 AS VARCHAR)) END AS depends_on_id,
        CASE WHEN outcome = 'completed' THEN 'completed' WHEN retryable THEN 'active' ELSE 'discarded' END AS state
 FROM attempts""",
+    "batch_steps": """
+SELECT workflow_id, step_id, state, depends_on_id FROM workflow_steps
+UNION ALL
+SELECT c.workflow_id, c.step_id, c.state, d.step_id AS depends_on_id
+FROM (SELECT DISTINCT workflow_id, 'on-complete' AS step_id, CASE WHEN workflow_id % 4 = 0 THEN 'completed' ELSE 'pending' END AS state
+      FROM workflow_steps WHERE workflow_id % 2 = 0
+      UNION ALL SELECT DISTINCT workflow_id, 'on-success', CASE WHEN workflow_id % 9 <> 0 THEN 'completed' ELSE 'pending' END
+      FROM workflow_steps WHERE workflow_id % 3 = 0
+      UNION ALL SELECT DISTINCT workflow_id, 'on-failure', CASE WHEN workflow_id % 7 = 0 THEN 'completed' ELSE 'pending' END
+      FROM workflow_steps WHERE workflow_id % 5 <> 0) c
+JOIN workflow_steps d ON c.workflow_id = d.workflow_id""",
     "api_responses": """
 SELECT event_id, ts,
        CASE event_type WHEN 'error' THEN 429 WHEN 'click' THEN 404 WHEN 'purchase' THEN 409 WHEN 'view' THEN 500 ELSE 200 END AS status,
@@ -86,13 +97,21 @@ FROM events""",
 SELECT 'order.urgent' AS type UNION ALL SELECT 'order.high' UNION ALL SELECT 'order.low'""",
     "queues": """
 SELECT 'automobile' AS queue, 'active' AS status, 0 AS ord UNION ALL SELECT 'building', 'paused', 1
-UNION ALL SELECT 'furniture', 'active', 2 UNION ALL SELECT 'household', 'active', 3 UNION ALL SELECT 'machinery', 'paused', 4""",
+UNION ALL SELECT 'furniture', 'active', 2 UNION ALL SELECT 'household', NULL, 3 UNION ALL SELECT 'machinery', 'paused', 4
+UNION ALL SELECT 'idle', 'active', 5 UNION ALL SELECT 'parked', 'paused', 6""",
     "cron_jobs": """
 SELECT 'daily-report' AS name, '0 9 * * *' AS cron, 'UTC' AS timezone, 'report.generate' AS type
-UNION ALL SELECT 'nightly-cleanup', '0 2 * * *', 'UTC', 'cleanup.run'""",
+UNION ALL SELECT 'nightly-cleanup', '0 2 * * *', 'UTC', 'cleanup.run'
+UNION ALL SELECT 'weekly-digest', '30 6 * * 1', 'UTC', 'digest.send'
+UNION ALL SELECT 'monthly-invoice', '0 0 1 * *', 'UTC', 'invoice.run'
+UNION ALL SELECT 'odd-days', '*/20 8-9 */2 * *', 'UTC', 'probe.run'
+UNION ALL SELECT 'friday-or-13th', '15 12 13 * 5', 'UTC', 'luck.check'
+UNION ALL SELECT 'leap-day', '0 0 29 2 *', 'UTC', 'leap.run'
+UNION ALL SELECT 'never', '0 0 31 2 *', 'UTC', 'never.run'
+UNION ALL SELECT 'broken', '0 9 * * MON', 'UTC', 'broken.run'""",
 }
 
-DEPENDS = {"jobs": ["attempts"], "workflow_steps": ["attempts"]}
+DEPENDS = {"jobs": ["attempts"], "workflow_steps": ["attempts"], "batch_steps": ["workflow_steps"]}
 
 
 def with_views(names: list[str], body: str) -> str:

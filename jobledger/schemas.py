@@ -20,11 +20,6 @@ JOB_TIMESTAMPS = ["created_at", "enqueued_at", "started_at", "completed_at",
 # Job event inside a queue message or push delivery.
 JOB_EVENT = "id STRING, type STRING, queue STRING, args STRING, attempt INT, meta STRING, priority INT"
 
-MESSAGE_BATCH = "Records ARRAY<STRUCT<messageId: STRING, body: STRING>>"
-
 PUSH_DELIVERY = f"job STRUCT<{JOB_EVENT.replace(' STRING', ': STRING').replace(' INT', ': INT')}>, worker_id STRING, delivery_id STRING"
 
 EVENT = "type STRING, source STRING, subject STRING, time TIMESTAMP, data STRING"
-
-ERROR_BODY = ("error STRUCT<code: STRING, message: STRING, retryable: BOOLEAN, "
-              "details: STRING, request_id: STRING>")

@@ -8,7 +8,9 @@ for local runs and left to the cluster's defaults otherwise.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,14 +64,18 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private folder under /tmp is
-    created and registered; on a cluster the configured shared path is used.
+    A session on one machine (``local[...]``) that names none gets a private
+    folder, removed at exit; on a cluster a missing setting is an error,
+    because executors do not share a machine's own folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="jobledger-ckpt-", dir="/tmp")
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="jobledger-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured

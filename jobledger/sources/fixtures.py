@@ -45,11 +45,13 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per job (an order); queue = the customer's market segment."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    per_job = attempts(spark, sf_dir).groupBy("job_id").agg(
+    # the last attempt is the largest in the attempts' order: no window needed
+    order = F.struct("l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    per_job = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("job_id")).agg(
         F.count(F.lit(1)).cast("int").alias("n"),
-        F.max_by(F.col("outcome") == "completed", "attempt").alias("last_completed"),
-        F.max_by("retryable", "attempt").alias("last_retryable"),
-        F.min("started_at").alias("first_started"),
+        F.max_by(F.col("l_returnflag") == "N", order).alias("last_completed"),
+        F.max_by(F.col("l_returnflag") == "R", order).alias("last_retryable"),
+        F.min("l_shipdate").alias("first_started"),
     )
     joined = (o.join(c, o.o_custkey == c.c_custkey, "inner")
                .join(per_job, o.o_orderkey == per_job.job_id, "left"))
@@ -62,7 +64,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise("discarded"))
     return joined.select(
         F.col("o_orderkey").alias("job_id"),
-        F.concat(F.lit("order."), F.lower(F.substring("o_orderpriority", 3, 1 << 20))).alias("type"),
+        F.concat(F.lit("order."), F.lower(F.expr("substr(o_orderpriority, 3)"))).alias("type"),
         F.lower("c_mktsegment").alias("queue"),
         (F.lit(5) - F.substring("o_orderpriority", 1, 1).cast("int")).alias("priority"),
         F.coalesce(F.col("n"), F.lit(0)).alias("attempt"),
@@ -129,7 +131,7 @@ def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.concat(F.lit("worker_host_a_"), (F.col("user_id") % 8).cast("string"), F.lit("_1")).alias("worker_id"),
-        "ts",
+        "ts", "event_id",
         F.array(F.col("user_id")).alias("active_job_ids"),
     )
 
@@ -148,6 +150,19 @@ def workflow_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order read as a batch workflow: its line items, one after the
+    other, and the callbacks that some orders define, after all of them."""
+    steps = workflow_steps(spark, sf_dir)
+    n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    k = F.col("k")
+    one = lambda when, name, done: F.when(when, F.struct(F.lit(name).alias("step_id"), F.when(done, "completed").otherwise("pending").alias("state")))
+    defined = F.array(one(k % 2 == 0, "on-complete", k % 4 == 0), one(k % 3 == 0, "on-success", k % 9 != 0), one(k % 5 != 0, "on-failure", k % 7 == 0))
+    jobs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.concat(F.lit("job-"), i.cast("string")))
+    after = n.select(k.alias("workflow_id"), F.explode(F.filter(defined, lambda c: c.isNotNull())).alias("c"), jobs.alias("depends_on"))
+    return steps.unionByName(after.select("workflow_id", F.col("c.step_id").alias("step_id"), "depends_on", F.col("c.state").alias("state")))
+
+
 def api_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Captured API responses: status, JSON error body, headers."""
     e = table(spark, sf_dir, "events")
@@ -172,15 +187,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     body.alias("body"))
 
 
-def handlers(spark: SparkSession) -> DataFrame:
-    return literal_frame(spark, [("order.urgent",), ("order.high",), ("order.low",)], "type string")
-
-
 def queues(spark: SparkSession) -> DataFrame:
     return literal_frame(
         spark,
         [("automobile", "active", 0), ("building", "paused", 1), ("furniture", "active", 2),
-         ("household", "active", 3), ("machinery", "paused", 4)],
+         ("household", None, 3), ("machinery", "paused", 4), ("idle", "active", 5), ("parked", "paused", 6)],
         "queue string, status string, ord int")
 
 
@@ -188,5 +199,12 @@ def cron_jobs(spark: SparkSession) -> DataFrame:
     return literal_frame(
         spark,
         [("daily-report", "0 9 * * *", "UTC", "report.generate"),
-         ("nightly-cleanup", "0 2 * * *", "UTC", "cleanup.run")],
+         ("nightly-cleanup", "0 2 * * *", "UTC", "cleanup.run"),
+         ("weekly-digest", "30 6 * * 1", "UTC", "digest.send"),
+         ("monthly-invoice", "0 0 1 * *", "UTC", "invoice.run"),
+         ("odd-days", "*/20 8-9 */2 * *", "UTC", "probe.run"),
+         ("friday-or-13th", "15 12 13 * 5", "UTC", "luck.check"),
+         ("leap-day", "0 0 29 2 *", "UTC", "leap.run"),
+         ("never", "0 0 31 2 *", "UTC", "never.run"),
+         ("broken", "0 9 * * MON", "UTC", "broken.run")],
         "name string, cron string, timezone string, type string")

@@ -49,9 +49,8 @@ def message_outcomes(messages: DataFrame, handler_types: DataFrame) -> DataFrame
     """Mark each decoded message failed when its body did not decode or no
     handler is registered for its type (the message is redelivered).
 
-    ``handler_types`` is the registry (one row per type). Built with
-    ``plans.strategy.registry_frame`` it carries a size-checked broadcast
-    hint; any other DataFrame is left to AQE's measured broadcast threshold."""
+    ``handler_types`` is the registry (one row per type); AQE broadcasts it
+    where its measured size allows."""
     reg = handler_types.select(F.col("type").alias("_htype")).distinct()
     j = messages.join(reg, messages["job.type"] == reg["_htype"], "left")
     failed = F.col("decode_error").isNotNull() | F.col("_htype").isNull()

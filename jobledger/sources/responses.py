@@ -4,7 +4,7 @@ A status >= 400 becomes an error row. A body that decodes gives its code,
 message, retryable flag, details and request id, plus Retry-After and the
 rate-limit headers; a body that does not decode gives code ``unknown`` and
 message ``HTTP <status>: <body>``, and its headers are not read. Bodies are
-cut at the response cap before decoding.
+never cut: ``oversize`` tells which exceed the protocol's cap in bytes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def parse_error_responses(df: DataFrame, status: str = "status", body: str = "bo
     # inline a non-trivial alias into several consumers, so the body is
     # parsed once per row instead of once per derived field.
     e = (df.filter(F.col(status) >= 400)
-           .withColumn("_b", F.substring(F.col(body), 1, cap))
+           .withColumn("_b", F.col(body))
            .withColumn("_v", F.try_parse_json("_b")))
     e = e.withColumn("_err", F.try_variant_get("_v", "$.error", "variant"))
     fields = {"code": ["STRING"], "message": ["STRING"], "retryable": ["BOOLEAN"], "request_id": ["STRING"]}
@@ -57,6 +57,7 @@ def parse_error_responses(df: DataFrame, status: str = "status", body: str = "bo
         F.when(d & F.col("_f_details").isNotNull() & ~F.is_variant_null("_f_details"), F.col("_f_details"))
          .alias("details"),
         F.col(status).alias("http_status"),
+        (F.octet_length("_b") > cap).alias("oversize"),
         d.alias("_decoded"))
     info = rate_limit_info(e, headers)
     # headers are only read when the body decoded

@@ -1,7 +1,7 @@
 """Message batches and push deliveries."""
 
 from jobledger.operators.aggregations import batch_failures
-from jobledger.plans.strategy import registry_frame
+from jobledger.plans.strategy import literal_frame
 from jobledger.sources.messages import message_outcomes, read_messages, read_push_deliveries
 
 
@@ -13,7 +13,7 @@ def test_partial_batch_failure(spark):
            ("msg-5", '["not","an","object"]')]
     batches = spark.createDataFrame([(1, rec)], "batch_id int, Records array<struct<messageId:string,body:string>>")
     msgs = read_messages(batches, records="Records")
-    reg = registry_frame(spark, [("email.send",)], "type string")
+    reg = literal_frame(spark, [("email.send",)], "type string")
     out = message_outcomes(msgs, reg)
     failed = batch_failures(out).first()
     assert failed.failed_ids == ["msg-2", "msg-3", "msg-4", "msg-5"]

@@ -50,16 +50,19 @@ def test_callback_readiness(spark):
 
 
 def test_batch_callbacks_and_state(spark):
-    rows = [("a", "job-0", "completed", []), ("a", "job-1", "completed", []),
-            ("b", "job-0", "completed", []), ("b", "job-1", "active", []),
+    rows = [("a", "job-0", "completed", []), ("a", "job-1", "completed", []), ("a", "on-complete", "completed", []),
+            ("a", "on-success", "completed", []), ("a", "on-failure", "pending", []),
+            ("b", "job-0", "completed", []), ("b", "job-1", "active", []), ("b", "on-complete", "pending", []),
             ("c", "job-0", "discarded", []), ("c", "on-failure", "pending", ["job-0"]),
-            ("d", "job-0", "pending", [])]
+            ("d", "job-0", "pending", []), ("e", "job-0", "completed", []), ("e", "on-success", "pending", []),
+            ("f", "job-0", "completed", [])]
     s = steps_df(spark, rows)
     fired = sorted((r.workflow_id, r.callback) for r in WF.batch_callbacks(s).collect())
-    assert fired == [("a", "on-complete"), ("a", "on-success"), ("c", "on-complete"), ("c", "on-failure")]
+    # only callbacks that a workflow defines fire
+    assert fired == [("a", "on-complete"), ("a", "on-success"), ("c", "on-failure"), ("e", "on-success")]
     cancelled = spark.createDataFrame([("b",)], "workflow_id string")
     states = {r.workflow_id: r.state for r in WF.workflow_state(s, cancelled).collect()}
-    assert states == {"a": "completed", "b": "cancelled", "c": "failed", "d": "pending"}
+    assert states == {"a": "completed", "b": "cancelled", "c": "failed", "d": "pending", "e": "running", "f": "completed"}
 
 
 def test_cancel_workflow_counts(spark):
