@@ -164,6 +164,21 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
     return cut_lineage(once.groupBy("h").agg(F.max("label").alias("label"), F.first("text").alias("text")))
 
 
+def entries(data, at, label) -> pd.DataFrame:
+    """Of a slice of texts: each entry's summed densities (d) and number of
+    texts (n) by label."""
+    starts, stops, row = V.words(data, at, V.BARE)
+    size = np.bincount(row, minlength=len(label))
+    u = units(data, starts, stops)
+    of = np.broadcast_to(row.astype(np.uint64), u.shape)
+    ok = u != 0
+    unit, of = u[ok], of[ok]
+    _, first, count = np.unique(V.chain(unit, of), return_index=True, return_counts=True)
+    of = of[first].astype(np.int64)
+    rows = pd.DataFrame({"u": unit[first].view(np.int64), "label": label[of].astype(np.int32), "d": count / np.maximum(size[of], 1)})
+    return rows.groupby(["u", "label"], as_index=False).agg(d=("d", "sum"), n=("d", "size"))
+
+
 def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of entries, sorted, and the logarithms of their ratios."""
 
@@ -173,20 +188,8 @@ def learn_lexicon(rows: DataFrame, toxic: int, clean: int) -> tuple[np.ndarray,
         for batch in batches:
             data, at = V.buffers(batch.column(0))
             label = batch.column(1).to_numpy(zero_copy_only=False)
-            data, at = data[at[0]: at[-1]], at - at[0]
-            starts, stops, row = V.words(data, at, V.BARE)
-            u = units(data, starts, stops)
-            size = np.bincount(row, minlength=len(label))
-            parts = []
-            for unit in u:
-                ok = unit != 0
-                parts.append(np.stack([unit[ok], row[ok].astype(np.uint64)], 1))
-            pair = np.concatenate(parts)
-            key = V.chain(pair[:, 0], pair[:, 1])
-            _, first, count = np.unique(key, return_index=True, return_counts=True)
-            of = pair[first, 1].astype(np.int64)
-            yield pa.RecordBatch.from_pandas(pd.DataFrame({"u": pair[first, 0].view(np.int64), "d": count / np.maximum(size[of], 1), "label": label[of].astype(np.int32)})
-                                             .groupby(["u", "label"], as_index=False).agg(d=("d", "sum"), n=("d", "size"))[["u", "label", "d", "n"]], preserve_index=False)
+            for a, b in V.slices(at, V.SLICE // 4):
+                yield pa.RecordBatch.from_pandas(entries(data[at[a]: at[b]], at[a: b + 1] - at[a], label[a:b]), preserve_index=False)
 
     bad = F.col("label") == 1
     stats = rows.select("text", "label").mapInArrow(run, "u long, label int, d double, n long").groupBy("u").agg(
