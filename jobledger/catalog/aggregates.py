@@ -164,7 +164,7 @@ def q_error_rollup(spark, sf):
 
 
 @register("worker_load", views=("heartbeats",), sql=r"""
-, w AS (SELECT worker_id, max(ts) AS last_seen, count(*) AS heartbeats, arg_max(event_id % 13, (ts, event_id)) AS active FROM heartbeats GROUP BY worker_id)
+, w AS (SELECT worker_id, max(ts) AS last_seen, count(*) AS heartbeats, CAST(arg_max(event_id % 13, (ts, event_id)) AS INT) AS active FROM heartbeats GROUP BY worker_id)
 SELECT worker_id, last_seen, heartbeats, active, greatest(10 - active, 0) AS free_capacity,
        CASE WHEN active >= 10 THEN 0 ELSE greatest(10 - active, 1) END AS fetch_count,
        nullif(regexp_extract(worker_id, '^worker_(.*)_(\d+)_(\d+)\z', 1), '') AS host,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 
+from pyspark.sql import functions as F
+
 from jobledger.catalog.aggregates import _reason_sql
 from jobledger.catalog.registry import register
 from jobledger.catalog.workflows import _definitions
@@ -18,7 +20,9 @@ chk AS (SELECT *, {_reason_sql()} AS reason FROM requests),
 ok AS (SELECT batch_id FROM chk GROUP BY batch_id HAVING count_if(reason IS NOT NULL) = 0),
 acc AS (SELECT r.*, printf('job-%06d', row_number() OVER (ORDER BY r.created_at, r.request_id)) AS id,
                r.type || '|{{"k":' || CAST(json_extract(r.args, '$[0].k') AS VARCHAR) || '}}' AS ukey
-        FROM requests r JOIN ok ON r.batch_id = ok.batch_id),
+        FROM (SELECT *, CASE WHEN request_id % 4 = 0 AND NOT (request_id % 3 = 0 AND request_id % 8 = 0) THEN created_at + INTERVAL 1 DAY
+                             WHEN request_id % 3 = 0 THEN created_at + delay_ms * INTERVAL 1 MILLISECOND END AS run_at FROM requests) r
+        JOIN ok ON r.batch_id = ok.batch_id),
 rr AS (SELECT ukey, created_at, request_id,
               row_number() OVER (PARTITION BY ukey ORDER BY created_at, request_id) AS rn FROM acc),
 f AS (
@@ -30,7 +34,11 @@ f AS (
          CASE WHEN rr.created_at >= f.anchor + INTERVAL 1 DAY THEN rr.request_id ELSE f.anchor_id END,
          rr.created_at >= f.anchor + INTERVAL 1 DAY
   FROM f JOIN rr ON rr.ukey = f.ukey AND rr.rn = f.rn + 1)
-SELECT a.id, a.request_id, coalesce(nullif(a.queue, ''), 'default') AS queue, a.ukey AS unique_key,
+SELECT a.id, a.request_id, coalesce(nullif(a.queue, ''), 'default') AS queue, a.ukey AS unique_key, a.run_at,
+       CASE WHEN a.run_at > a.created_at THEN 'scheduled' ELSE 'available' END AS state,
+       '{{' || concat_ws(',', CASE WHEN a.queue <> '' THEN '"queue":"' || a.queue || '"' END,
+          CASE WHEN a.run_at IS NOT NULL THEN '"delay_until":"' || strftime(a.run_at, '%Y-%m-%dT%H:%M:%S')
+            || CASE WHEN epoch_us(a.run_at) % 1000000 = 0 THEN '' ELSE '.' || rtrim(printf('%06d', epoch_us(a.run_at) % 1000000), '0') END || 'Z"' END) || '}}' AS wire_options,
        CASE WHEN f.opened THEN 'accepted' ELSE 'duplicate' END AS unique_status, f.anchor_id AS slot_id
 FROM acc a JOIN f ON a.request_id = f.request_id"""
 
@@ -40,8 +48,12 @@ def q_submit_requests(spark, sf):
     """Submit flow: args decoded, batches validated, accepted requests given
     job ids, duplicates resolved by a one-day unique policy on args field k."""
     req = fx.requests(spark, sf).drop("unique_key")
+    rid = F.col("request_id")
+    # some give a delay, some an absolute time, some both: the one given last counts
+    req = req.withColumns({"delay_pos": F.when(rid % 3 == 0, 2), "scheduled_at": F.when(rid % 4 == 0, F.col("created_at") + F.expr("INTERVAL 1 DAY")),
+                           "scheduled_pos": F.when(rid % 4 == 0, F.when(rid % 8 == 0, 1).otherwise(3))})
     jobs, _ = flows.submit_requests(req, unique_period_ms=86_400_000, unique_fields=["k"])
-    return jobs.select("id", "request_id", "queue", "unique_key", "unique_status", "slot_id")
+    return jobs.select("id", "request_id", "queue", "unique_key", "run_at", "state", "wire_options", "unique_status", "slot_id")
 
 
 def _create_sql():

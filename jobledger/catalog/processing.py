@@ -51,6 +51,30 @@ def q_unique_survivors(spark, sf):
     return UQ.unique_survivors(folded, "replace_except_schedule")
 
 
+def _unique_with(strategy: str, label: str):
+    @register(f"apply_unique_{strategy}", sql=UNIQUE_SQL + f"""
+SELECT request_id, CASE WHEN opened THEN 'accepted' ELSE '{label}' END AS status, anchor_id AS slot_id FROM f""")
+    def q(spark, sf):
+        r = fx.requests(spark, sf).select("request_id", "unique_key", "created_at")
+        return UQ.apply_unique(r, DAY_MS, strategy, key_col="unique_key").select("request_id", "status", "slot_id")
+
+
+for _strategy in ("ignore", "replace", "replace_except_schedule"):
+    _unique_with(_strategy, UQ.STATUS[_strategy])
+
+
+@register("apply_unique_hot_key", views=("requests",), sql="""
+, r AS (SELECT request_id, CASE WHEN request_id % 10 < 9 THEN 'hot' ELSE 'cold' END AS k FROM requests)
+, first AS (SELECT k, min(request_id) AS slot_id FROM r GROUP BY k)
+SELECT r.request_id, CASE WHEN r.request_id = slot_id THEN 'accepted' ELSE 'duplicate' END AS status, slot_id FROM r JOIN first ON r.k = first.k""")
+def q_apply_unique_hot_key(spark, sf):
+    """Nine tenths of all rows under one key, all of them within one period."""
+    r = fx.requests(spark, sf).select(
+        "request_id", F.when(F.col("request_id") % 10 < 9, "hot").otherwise("cold").alias("k"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp").alias("created_at"))
+    return UQ.apply_unique(r, DAY_MS, "reject", key_col="k").select("request_id", "status", "slot_id")
+
+
 # ---- deterministic handlers and middleware used by the processing queries ----
 
 def _h_urgent(job):
@@ -121,6 +145,31 @@ def q_process(spark, sf):
     return out.drop("duration_ms")
 
 
+@register("process_bad_rows", views=("jobs",), sql="""
+SELECT CAST(job_id AS VARCHAR) AS job_id, CASE WHEN job_id % 5 IN (1, 2, 3) THEN 'failed' ELSE 'completed' END AS state,
+       CASE WHEN job_id % 5 = 0 THEN 0 ELSE attempt END AS attempt,
+       CASE WHEN job_id % 5 = 0 THEN '{"a":0}' WHEN job_id % 5 = 4 THEN '{"a":' || CAST(job_id AS VARCHAR) || '}' END AS result,
+       CASE WHEN job_id % 5 IN (1, 2, 3) THEN false END AS error_retryable,
+       CASE job_id % 5 WHEN 1 THEN 'invalid args' WHEN 2 THEN 'invalid meta' WHEN 3 THEN 'result cannot be encoded' END AS error
+FROM jobs""")
+def q_process_bad_rows(spark, sf):
+    """Rows without an attempt, with text that is no JSON, and with a result
+    that cannot be written: each is its own error and fails no task. Args come
+    in wire form."""
+    k = F.col("job_id") % 5
+    jobs = fx.jobs(spark, sf).select(
+        "job_id", F.lit("t").alias("type"), F.when(k != 0, F.col("attempt")).alias("attempt"),
+        F.when(k == 1, "{broken").otherwise(F.concat(F.lit('[{"a":'), F.when(k == 0, F.lit("0")).otherwise(F.col("job_id").cast("string")), F.lit("}]"))).alias("args"),
+        F.when(k == 2, "nope").alias("meta"))
+    out = X.process(jobs, {"t": _h_any})
+    return out.select("job_id", "state", "attempt", "result", "error_retryable",
+                      F.regexp_extract("error_message", r"^(invalid args|invalid meta|result cannot be encoded)", 1).alias("error"))
+
+
+def _h_any(job):
+    return {"a": {1, 2}} if int(job["id"]) % 5 == 3 else job["args"]
+
+
 @register("drain", views=("jobs",), sql="""
 , d AS (""" + _handler_sql("attempt + 1", "completed", "discarded", False) + """, true AS performed
 FROM jobs WHERE state = 'available')

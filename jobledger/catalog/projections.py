@@ -39,8 +39,7 @@ def q_validate_queues(spark, sf):
 @register("split_terminal", views=("jobs",), sql="""
 SELECT job_id, state, state IN ('completed', 'cancelled', 'discarded') AS terminal FROM jobs""")
 def q_split_terminal(spark, sf):
-    open_, done = P.split_terminal(fx.jobs(spark, sf).select("job_id", "state"))
-    return open_.withColumn("terminal", F.lit(False)).unionByName(done.withColumn("terminal", F.lit(True)))
+    return P.mark_terminal(fx.jobs(spark, sf).select("job_id", "state"))
 
 
 def _option_requests(spark, sf):
@@ -50,17 +49,27 @@ def _option_requests(spark, sf):
         F.when(F.col("seq") == 3, F.lit(None)).otherwise(F.col("queue")).alias("queue"),
         (F.col("seq").cast("int") - 5).alias("priority"),
         F.floor((F.col("delay_ms") / 1000 - 150) * 12345).cast("bigint").alias("timeout_us"),
-        F.when(F.col("seq") < 5, F.col("delay_ms") * 1000 + F.col("seq")).alias("visibility_timeout_us"))
+        F.when(F.col("seq") < 5, F.col("delay_ms") * 1000 + F.col("seq")).alias("visibility_timeout_us"),
+        F.when(F.col("seq") % 3 == 0, F.timestamp_seconds(1_700_000_000 + F.col("request_id"))).alias("delay_until"),
+        F.when(F.col("seq") % 4 == 0, F.timestamp_millis(1_700_000_000_500 + F.col("request_id") * 1000)).alias("expires_at"),
+        F.when(F.col("seq") % 2 == 0, F.struct(
+            F.col("seq").cast("int").alias("max_attempts"), (F.col("seq") * 1500).alias("initial_interval_us"), F.lit(1.5).alias("backoff_coefficient"),
+            F.lit(0).cast("bigint").alias("max_interval_us"), F.when(F.col("seq") == 4, False).alias("jitter"),
+            F.when(F.col("seq") == 6, F.array(F.lit("invalid_"))).alias("non_retryable_errors"))).alias("retry"),
+        F.when(F.col("seq") % 5 == 0, F.struct(
+            F.when(F.col("seq") == 5, F.array(F.lit("k"))).alias("key"), (F.col("seq") * 1_000_000).alias("period_us"),
+            F.when(F.col("seq") == 5, "replace").alias("on_conflict"))).alias("unique"),
+        F.when(F.col("seq") == 7, F.array(F.lit("a"), F.lit("b"))).when(F.col("seq") == 8, F.array().cast("array<string>")).alias("tags"))
 
 
 OPTION_REQUESTS_SQL = """
 , optreq AS (
-  SELECT request_id, CASE WHEN seq = 3 THEN NULL ELSE queue END AS queue, CAST(seq AS INT) - 5 AS priority,
+  SELECT request_id, seq, CASE WHEN seq = 3 THEN NULL ELSE queue END AS queue, CAST(seq AS INT) - 5 AS priority,
          CAST(floor((delay_ms / 1000 - 150) * 12345) AS BIGINT) AS timeout_us,
          CASE WHEN seq < 5 THEN delay_ms * 1000 + seq END AS visibility_timeout_us
   FROM requests)
 , res AS (
-  SELECT request_id, queue AS given,
+  SELECT request_id, seq, queue AS given,
          coalesce(nullif(queue, ''), 'default') AS queue, coalesce(priority, 0) AS priority,
          coalesce(CASE WHEN timeout_us >= 0 THEN floor(timeout_us / 1000) ELSE ceil(timeout_us / 1000) END, 0)::BIGINT AS timeout_ms,
          coalesce(CASE WHEN visibility_timeout_us >= 0 THEN floor(visibility_timeout_us / 1000) ELSE ceil(visibility_timeout_us / 1000) END, 0)::BIGINT AS visibility_timeout_ms
@@ -70,6 +79,12 @@ SELECT request_id, queue, priority, timeout_ms, visibility_timeout_ms,
           CASE WHEN given IS NULL THEN '"queue":"default"' WHEN given <> '' THEN '"queue":"' || given || '"' END,
           CASE WHEN priority <> 0 THEN '"priority":' || priority END,
           CASE WHEN timeout_ms <> 0 THEN '"timeout_ms":' || timeout_ms END,
+          CASE WHEN seq % 3 = 0 THEN '"delay_until":"' || strftime(make_timestamp((1700000000 + request_id) * 1000000), '%Y-%m-%dT%H:%M:%SZ') || '"' END,
+          CASE WHEN seq % 4 = 0 THEN '"expires_at":"' || strftime(make_timestamp((1700000000 + request_id) * 1000000), '%Y-%m-%dT%H:%M:%S') || '.5Z"' END,
+          CASE WHEN seq % 2 = 0 THEN '"retry":{' || concat_ws(',', CASE WHEN seq <> 0 THEN '"max_attempts":' || seq || ',"initial_interval_ms":' || CAST(floor(seq * 1.5) AS INT) END,
+               '"backoff_coefficient":1.5', CASE WHEN seq = 4 THEN '"jitter":false' END, CASE WHEN seq = 6 THEN '"non_retryable_errors":["invalid_"]' END) || '}' END,
+          CASE WHEN seq % 5 = 0 THEN '"unique":{' || CASE WHEN seq = 5 THEN '"key":["k"],"period_ms":5000,"on_conflict":"replace"' ELSE '' END || '}' END,
+          CASE WHEN seq = 7 THEN '"tags":["a","b"]' END,
           CASE WHEN visibility_timeout_ms <> 0 THEN '"visibility_timeout_ms":' || visibility_timeout_ms END) || '}' AS wire_options
 FROM res"""
 

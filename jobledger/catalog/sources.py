@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from jobledger.catalog.registry import register
 from jobledger.operators import aggregations as agg
+from jobledger.operators import process as X
 from jobledger.sources import events as EV
 from jobledger.sources import fixtures as fx
 from jobledger.sources import jobs as J
@@ -14,6 +15,25 @@ from jobledger.sources import responses as R
 from jobledger.catalog.aggregates import _responses_with_headers
 from jobledger.plans.strategy import literal_frame
 
+def _envelopes(spark, sf):
+    """Ledger jobs with all envelope fields, some of them empty."""
+    j = fx.jobs(spark, sf)
+    k = F.col("job_id")
+    return j.select(
+        k.cast("string").alias("id"), F.when(k % 11 != 0, F.col("type")).alias("type"), F.when(k % 13 != 0, F.col("state")).alias("state"), "queue",
+        "priority", "attempt", F.when(k % 4 != 0, F.col("max_attempts")).alias("max_attempts"), (k % 5 * 1000).cast("bigint").alias("timeout_ms"),
+        F.when(k % 3 == 0, F.array(F.lit("a"), F.concat(F.lit("t"), (k % 4).cast("string")))).when(k % 3 == 1, F.array().cast("array<string>")).alias("tags"),
+        F.when(k % 4 == 0, F.lit("{}")).when(k % 4 == 1, F.concat(F.lit('{"k":'), k.cast("string"), F.lit(',"b":{"x":[1,null]}}'))).alias("meta"),
+        F.when(k % 6 == 0, F.concat(F.lit('{"n":'), F.col("attempt").cast("string"), F.lit("}"))).when(k % 6 == 1, F.lit("[1]")).alias("result"),
+        F.when(k % 5 == 0, F.struct(F.lit("timeout").alias("code"), F.lit("late").alias("message"), (k % 2 == 0).alias("retryable"),
+                                    F.when(k % 10 == 0, F.concat(F.lit('{"ms":'), k.cast("string"), F.lit("}"))).alias("details"))).alias("error"),
+        "created_at", F.col("created_at").alias("enqueued_at"), "started_at",
+        *[F.when(k % m == 0, F.col("created_at") + F.make_dt_interval(secs=F.lit(m))).alias(n)
+          for n, m in (("completed_at", 2), ("cancelled_at", 3), ("discarded_at", 5), ("scheduled_at", 7), ("expires_at", 11))],
+        F.when(k % 2 == 0, F.concat(F.lit('[{"z":1,"id":'), k.cast("string"), F.lit("}]"))).when(k % 7 == 0, F.lit("[1,\"x\"]")).alias("args"),
+        F.when(k % 9 == 0, F.lit("active")).otherwise("").alias("previous_state"))
+
+
 MESSAGE_HANDLERS = ["evt.signup", "evt.view", "evt.click", "evt.purchase"]
 
 
@@ -29,6 +49,48 @@ def q_read_jobs(spark, sf):
                      F.col("started_at").cast("timestamp_ntz").alias("started_at"))
 
 
+@register("read_envelopes", views=("jobs",), sql="""
+SELECT CAST(job_id AS VARCHAR) AS id, CASE WHEN job_id % 11 <> 0 THEN type ELSE '' END AS type, CASE WHEN job_id % 13 <> 0 THEN state ELSE '' END AS state,
+       queue, priority, attempt, CASE WHEN job_id % 4 <> 0 THEN max_attempts ELSE 0 END AS max_attempts,
+       nullif(job_id % 5 * 1000, 0) AS timeout_ms,
+       CASE WHEN job_id % 3 = 0 THEN 'a,t' || CAST(job_id % 4 AS VARCHAR) END AS tags,
+       CASE WHEN job_id % 4 = 1 THEN '{"b":{"x":[1,null]},"k":' || CAST(job_id AS VARCHAR) || '}' END AS meta,
+       CASE WHEN job_id % 6 = 0 THEN '{"n":' || CAST(attempt AS VARCHAR) || '}' END AS result,
+       CASE WHEN job_id % 5 = 0 THEN 'timeout' END AS error_code, CASE WHEN job_id % 5 = 0 THEN 'late' END AS error_message,
+       CASE WHEN job_id % 5 = 0 THEN job_id % 2 = 0 END AS error_retryable,
+       CASE WHEN job_id % 10 = 0 THEN '{"ms":' || CAST(job_id AS VARCHAR) || '}' END AS error_details,
+       CAST(created_at AS TIMESTAMP) AS created_at, CAST(created_at AS TIMESTAMP) AS enqueued_at, CAST(started_at AS TIMESTAMP) AS started_at,
+       CASE WHEN job_id % 2 = 0 THEN created_at + INTERVAL 2 SECOND END AS completed_at, CASE WHEN job_id % 3 = 0 THEN created_at + INTERVAL 3 SECOND END AS cancelled_at,
+       CASE WHEN job_id % 5 = 0 THEN created_at + INTERVAL 5 SECOND END AS discarded_at, CASE WHEN job_id % 7 = 0 THEN created_at + INTERVAL 7 SECOND END AS scheduled_at,
+       CASE WHEN job_id % 11 = 0 THEN created_at + INTERVAL 11 SECOND END AS expires_at,
+       CASE WHEN job_id % 2 = 0 THEN '[{"id":' || CAST(job_id AS VARCHAR) || ',"z":1}]' WHEN job_id % 7 = 0 THEN '[1,"x"]' ELSE '[]' END AS args,
+       CASE WHEN job_id % 9 = 0 THEN 'active' END AS previous_state
+FROM jobs""")
+def q_read_envelopes(spark, sf):
+    """Round trip of all envelope fields: rows -> wire (S2) -> rows."""
+    ok, _bad = J.parse_jobs(J.encode_jobs(_envelopes(spark, sf)))
+    e = F.col("error")
+    plain = ["id", "type", "state", "queue", "priority", "attempt", "max_attempts", "timeout_ms", "meta", "result", "args", "previous_state"]
+    times = ["created_at", "enqueued_at", "started_at", "completed_at", "cancelled_at", "discarded_at", "scheduled_at", "expires_at"]
+    return ok.select(*plain, F.array_join("tags", ",").alias("tags"), *[e[n].alias(f"error_{n}") for n in ("code", "message", "retryable", "details")],
+                     *[F.col(t).cast("timestamp_ntz").alias(t) for t in times])
+
+
+@register("corrupt_envelopes", views=("requests",), sql="""
+SELECT request_id % 9 AS kind, count(*) AS n FROM requests WHERE request_id % 9 NOT IN (0, 1, 2) GROUP BY request_id % 9""")
+def q_corrupt_envelopes(spark, sf):
+    """Lines that are no envelope, told by what is wrong with them."""
+    k = F.col("request_id") % 9
+    line = (F.when(k == 0, '{"id":"a","other":5}').when(k == 1, "null").when(k == 2, '{"id":null,"tags":[null,"x"],"args":5}')
+             .when(k == 3, "").when(k == 4, "[1]").when(k == 5, '{"id":5}').when(k == 6, '{"attempt":1.5}').when(k == 7, '{"created_at":"yesterday"}')
+             .otherwise('{"error":{"code":"x","details":"text"}}'))
+    _ok, bad = J.parse_jobs(fx.requests(spark, sf).select(line.alias("value")))
+    v = F.col(J.CORRUPT)
+    kind = (F.when(v == "", 3).when(v.startswith("["), 4).when(v.contains("id"), 5).when(v.contains("attempt"), 6).when(v.contains("created"), 7)
+             .when(v.contains("error"), 8).otherwise(0))
+    return bad.groupBy(kind.cast("bigint").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("read_messages", views=("messages",), sql="""
 SELECT batch_id, message_id,
        CASE WHEN body <> '{bad' THEN json_extract_string(body, '$.id') END AS job_id,
@@ -130,3 +192,44 @@ def q_write_jobs(spark, sf):
     return J.encode_jobs(jobs.select("id", "type", "state", "queue", "priority", "attempt", "max_attempts",
                                      "created_at", "started_at")).select(
         F.get_json_object("value", "$.id").alias("id"), "value")
+
+
+@register("handle_messages", views=("messages",), sql=f"""
+SELECT batch_id, message_id,
+       CASE WHEN body = '{{bad' THEN true ELSE json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)})
+         OR CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1 END AS failed,
+       CASE WHEN body = '{{bad' THEN 'failed to unmarshal message'
+            WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)})
+            THEN 'no handler registered for job type "' || json_extract_string(body, '$.type') || '"'
+            WHEN CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1
+            THEN 'odd' END AS error_message
+FROM messages""")
+def q_handle_messages(spark, sf):
+    """Message batches through their handlers; one failing handler fails its
+    message only."""
+    h = {t: _message_handler for t in MESSAGE_HANDLERS}
+    return M.handle_messages(M.read_messages(fx.messages(spark, sf)), h)
+
+
+def _message_handler(job):
+    if job["args"]["k"] % 2:
+        raise X.JobError("odd")
+
+
+@register("handle_deliveries", views=("messages",), sql=f"""
+SELECT message_id AS delivery_id,
+       CASE WHEN body = '{{bad' THEN 'failed' WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)})
+              OR CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1 THEN 'failed' ELSE 'completed' END AS status,
+       CASE WHEN body = '{{bad' THEN 'invalid_request'
+            WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)}) OR CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1
+            THEN 'handler_error' END AS error_code,
+       CASE WHEN body = '{{bad' THEN false WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)}) THEN false
+            WHEN CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1 THEN true END AS error_retryable
+FROM messages""")
+def q_handle_deliveries(spark, sf):
+    """Push deliveries through their handlers."""
+    m = fx.messages(spark, sf)
+    body = F.concat(F.lit('{"job":'), F.col("body"), F.lit("}"))
+    d = M.read_push_deliveries(m.select(F.col("message_id").alias("delivery_key"), body.alias("body")))
+    d = d.drop("delivery_id").withColumnRenamed("delivery_key", "delivery_id")
+    return M.handle_deliveries(d, {t: _message_handler for t in MESSAGE_HANDLERS}).drop("error_message")

@@ -72,12 +72,12 @@ def _call(rec: dict, fn: Callable, recover: bool):
 
 
 def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_missing: str, on_error: str,
-            recover: bool):
+            recover: bool, carry: tuple = ()):
     def run(batches):
         wrapped = {t: (middleware.wrap(fn) if middleware else fn) for t, fn in handlers.items()}
         for pdf in batches:
             out = {c: [] for c in ["job_id", "type", "state", "attempt", "result", "error_code",
-                                   "error_message", "error_retryable", "duration_ms"]}
+                                   "error_message", "error_retryable", "duration_ms", *carry]}
             for rec in pdf.to_dict("records"):
                 jid, typ = rec.get("job_id"), rec.get("type")
                 attempt = rec.get("attempt")
@@ -109,6 +109,8 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
                 out["error_message"].append(err)
                 out["error_retryable"].append(rty if err is not None else None)
                 out["duration_ms"].append(dur)
+                for c in carry:
+                    out[c].append(rec[c])
             yield pd.DataFrame(out)
     return run
 
@@ -124,33 +126,45 @@ def _args(cols: set) -> Column:
     return F.when(F.col("args").rlike(r"^\s*\["), F.coalesce(wire, F.col("args"))).otherwise(F.col("args"))
 
 
+def _columns(jobs: DataFrame) -> list[Column]:
+    cols = set(jobs.columns)
+    return [F.col("job_id").cast("string").alias("job_id"), F.col("type"),
+            (F.col("queue") if "queue" in cols else F.lit(None).cast("string")).alias("queue"),
+            (F.col("attempt") if "attempt" in cols else F.lit(0)).cast("int").alias("attempt"),
+            _args(cols).alias("args"),
+            (F.col("meta") if "meta" in cols else F.lit(None).cast("string")).alias("meta")]
+
+
 def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "error",
-            on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True) -> DataFrame:
+            on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True, carry: tuple = ()) -> DataFrame:
     """X1 (+X2): run handlers over ``jobs`` (``job_id, type, queue, attempt,
     args (JSON object or wire array text) or args_map, meta``). ``on_missing``: ``error`` (failed,
     not retryable), ``fail_item`` / ``retry`` (failed, retryable) or
     ``complete``; ``on_error``: ``nack`` (failed) or ``discard``. Error code
     is always ``handler_error``; ``NonRetryable`` -> not retryable,
-    ``JobError`` -> its text, any other exception -> the panic text."""
-    cols = set(jobs.columns)
-    sel = [F.col("job_id").cast("string").alias("job_id"), F.col("type"),
-           (F.col("queue") if "queue" in cols else F.lit(None).cast("string")).alias("queue"),
-           (F.col("attempt") if "attempt" in cols else F.lit(0)).cast("int").alias("attempt"),
-           _args(cols).alias("args"),
-           (F.col("meta") if "meta" in cols else F.lit(None).cast("string")).alias("meta")]
-    return jobs.select(*sel).mapInPandas(_runner(handlers, middleware, on_missing, on_error, recover), RESULT_SCHEMA)
+    ``JobError`` -> its text, any other exception -> the panic text.
+    ``carry`` names text columns that the result keeps."""
+    schema = RESULT_SCHEMA + "".join(f", `{c}` string" for c in carry)
+    return jobs.select(*_columns(jobs), *carry).mapInPandas(_runner(handlers, middleware, on_missing, on_error, recover, carry), schema)
 
 
 def drain(jobs: DataFrame, handlers: dict[str, Callable], middleware: StageChain | None = None) -> DataFrame:
     """Run every ``available`` job once: attempt + 1, failure ->
     ``discarded``, success or no handler -> ``completed``; other jobs are
     returned unchanged with ``performed = false``."""
-    avail = jobs.filter(F.col("state") == "available").withColumn("attempt", F.col("attempt") + 1)
-    ran = process(avail, handlers, on_missing="complete", on_error="discard", middleware=middleware)
-    ran = ran.select("job_id", "type", "state", "attempt", "result", "error_message",
-                     F.lit(True).alias("performed"))
-    rest = jobs.filter((F.col("state") != "available") | F.col("state").isNull()).select(
-        F.col("job_id").cast("string").alias("job_id"), "type", "state", F.col("attempt").cast("int"),
-        F.lit(None).cast("string").alias("result"), F.lit(None).cast("string").alias("error_message"),
-        F.lit(False).alias("performed"))
-    return ran.unionByName(rest)
+    run = _runner(handlers, middleware, "complete", "discard", True)
+    cols = _columns(jobs)
+
+    def each(batches):
+        for pdf in batches:
+            now = (pdf["_state"] == "available").fillna(False).astype(bool)
+            names = ["job_id", "type", "state", "attempt", "result", "error_message"]
+            if now.any():
+                for ran in run([pdf[now].assign(attempt=pdf["attempt"][now].fillna(0) + 1)]):
+                    yield pd.DataFrame({n: ran[n].tolist() for n in names}).assign(performed=True)
+            if not now.all():
+                rest = pdf[~now].assign(state=pdf["_state"], result=None, error_message=None)
+                yield pd.DataFrame({n: rest[n].tolist() for n in names}).assign(performed=False)
+
+    return jobs.select(*cols, F.col("state").alias("_state")).mapInPandas(
+        each, "job_id string, type string, state string, attempt int, result string, error_message string, performed boolean")

@@ -17,6 +17,7 @@ from jobledger.functions import errors as E
 from jobledger.functions import validation as V
 from jobledger.functions.maps import merge_last_wins
 from jobledger.functions.timecols import plus_ms, ts_lit
+from jobledger.functions.wire import nonempty_array, nonempty_string, rfc3339
 
 
 def _c(col) -> Column:
@@ -39,10 +40,15 @@ def is_terminal(col="state") -> Column:
     return _c(col).isin(*K.TERMINAL_STATES)
 
 
+def mark_terminal(df: DataFrame, col: str = "state") -> DataFrame:
+    """P3 as one flag column ``terminal`` (no state: open), for a single scan."""
+    return df.withColumn("terminal", F.coalesce(is_terminal(col), F.lit(False)))
+
+
 def split_terminal(df: DataFrame, col: str = "state") -> tuple[DataFrame, DataFrame]:
     """(open jobs, terminal jobs); both are filters over one lazy plan."""
-    term = is_terminal(col)
-    return df.filter(~term | _c(col).isNull()), df.filter(term)
+    marked = mark_terminal(df, col)
+    return marked.filter(~F.col("terminal")).drop("terminal"), marked.filter("terminal").drop("terminal")
 
 
 # --- P4 / P5 ------------------------------------------------------------------
@@ -53,24 +59,51 @@ def _trunc_ms(us) -> Column:
 
 
 def resolve_options(df: DataFrame, queue="queue", priority="priority",
-                    timeout_us="timeout_us", visibility_timeout_us="visibility_timeout_us") -> DataFrame:
-    """Option defaults and wire form.
+                    timeout_us="timeout_us", visibility_timeout_us="visibility_timeout_us", delay_until="delay_until",
+                    expires_at="expires_at", retry="retry", unique="unique", tags="tags") -> DataFrame:
+    """Option defaults and wire form of all nine options.
 
     queue defaults to ``default`` (an explicit empty queue also resolves to
     the default but is left off the wire, as an omitted empty field), priority to 0, durations (microseconds) become whole
-    milliseconds truncated toward zero; zero values are omitted on the wire.
+    milliseconds truncated toward zero; zero, empty and absent values are
+    omitted on the wire. ``retry`` is a struct (max_attempts,
+    initial_interval_us, backoff_coefficient, max_interval_us, jitter,
+    non_retryable_errors), ``unique`` one of (key, period_us, on_conflict);
+    given, each is written as an object, even an empty one. Columns that
+    ``df`` lacks are options not given; other columns stay as they are.
     """
-    given = _c(queue)
-    q = F.coalesce(F.nullif(given, F.lit("")), F.lit(K.DEFAULT_QUEUE))
-    wire_q = F.when(given.isNull(), F.lit(K.DEFAULT_QUEUE)).when(given != "", given)
-    p = F.coalesce(_c(priority), F.lit(0)).cast("int")
-    t = F.coalesce(_trunc_ms(timeout_us), F.lit(0))
-    vt = F.coalesce(_trunc_ms(visibility_timeout_us), F.lit(0))
+    def given(col, dtype):
+        return _c(col) if not isinstance(col, str) or col in df.columns else F.lit(None).cast(dtype)
+
+    def some(c, empty):
+        return F.when(c != empty, c)
+
+    def ms(c):
+        return some(F.coalesce(_trunc_ms(c), F.lit(0)), 0)
+
+    q0 = given(queue, "string")
+    q = F.coalesce(F.nullif(q0, F.lit("")), F.lit(K.DEFAULT_QUEUE))
+    wire_q = F.when(q0.isNull(), F.lit(K.DEFAULT_QUEUE)).when(q0 != "", q0)
+    p = F.coalesce(given(priority, "int"), F.lit(0)).cast("int")
+    t = F.coalesce(_trunc_ms(given(timeout_us, "bigint")), F.lit(0))
+    vt = F.coalesce(_trunc_ms(given(visibility_timeout_us, "bigint")), F.lit(0))
+    r = given(retry, "struct<max_attempts:int,initial_interval_us:bigint,backoff_coefficient:double,max_interval_us:bigint,jitter:boolean,non_retryable_errors:array<string>>")
+    u = given(unique, "struct<key:array<string>,period_us:bigint,on_conflict:string>")
     wire = F.to_json(F.struct(
         wire_q.alias("queue"),
-        F.when(p != 0, p).alias("priority"),
-        F.when(t != 0, t).alias("timeout_ms"),
-        F.when(vt != 0, vt).alias("visibility_timeout_ms"),
+        some(p, 0).alias("priority"),
+        some(t, 0).alias("timeout_ms"),
+        rfc3339(given(delay_until, "timestamp")).alias("delay_until"),
+        rfc3339(given(expires_at, "timestamp")).alias("expires_at"),
+        F.when(r.isNotNull(), F.struct(
+            some(r["max_attempts"], 0).alias("max_attempts"), ms(r["initial_interval_us"]).alias("initial_interval_ms"),
+            some(r["backoff_coefficient"], 0).alias("backoff_coefficient"), ms(r["max_interval_us"]).alias("max_interval_ms"),
+            r["jitter"].alias("jitter"), nonempty_array(r["non_retryable_errors"]).alias("non_retryable_errors"))).alias("retry"),
+        F.when(u.isNotNull(), F.struct(
+            nonempty_array(u["key"]).alias("key"), ms(u["period_us"]).alias("period_ms"),
+            nonempty_string(u["on_conflict"]).alias("on_conflict"))).alias("unique"),
+        nonempty_array(given(tags, "array<string>")).alias("tags"),
+        some(vt, 0).alias("visibility_timeout_ms"),
     ))
     return (df.withColumn("wire_options", wire).withColumn("queue", q).withColumn("priority", p)
               .withColumn("timeout_ms", t).withColumn("visibility_timeout_ms", vt))

@@ -35,15 +35,17 @@ def submit_requests(requests: DataFrame, unique_period_ms: int | None = None, un
     """``requests`` (``request_id, batch_id, seq, type, queue, args, created_at``
     and optional option columns) -> ``(jobs, batches)``.
 
-    Jobs carry ids ``<prefix><n:06d>`` in request order, the default queue,
-    state ``available`` (``scheduled`` when a run time lies after
-    ``created_at``) and, with a unique policy, only the surviving request of
+    Jobs carry ids ``<prefix><n:06d>`` in request order, resolved options
+    (``wire_options``), the default queue, state ``available`` (``scheduled``
+    when a run time lies after ``created_at``) and, with a unique policy, only the surviving request of
     each slot (``unique_status`` tells the others apart)."""
     cols = set(requests.columns)
     r = P.decode_args(requests)
     if {"delay_ms", "scheduled_at", "delay_pos", "scheduled_pos"} <= cols:
-        r = P.resolve_run_at(r)
+        r = P.resolve_run_at(r).withColumn("delay_until", F.col("run_at"))
     batches, accepted = AG.enqueue_batch(r)
+    # an invalid queue fails its batch; only then is the default filled in
+    accepted = P.resolve_options(accepted)
     jobs = U.materialise_jobs(accepted, prefix=prefix)
     if "run_at" in jobs.columns:
         jobs = jobs.withColumn("state", F.when(F.col("run_at") > F.col("created_at"), F.lit("scheduled"))

@@ -1,15 +1,17 @@
 """Job envelopes as JSON lines.
 
-Reading uses an explicit schema (no inference) and PERMISSIVE mode: a line
-that is not a job envelope lands in ``_corrupt_record`` and is routed aside
-instead of failing the job. Writing builds the envelope with ``to_json`` on
-executors; ``args`` is re-encoded to the wire array and empty optional
-fields are omitted.
+Reading parses each line once into a VARIANT and checks every field against
+its wire type, as a typed decoder does: a line that is blank, no JSON, no
+object, or has a field of another type is routed aside as text with the other
+lines unharmed; ``null`` is an empty envelope. Field names match exactly.
+Writing builds the envelope with ``to_json`` on executors; ``args`` is
+re-encoded to the wire array, id, type, state, queue and the counters are
+always written, and empty optional fields are omitted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,43 +22,95 @@ from jobledger.session import ensure_conf
 
 CORRUPT = "_corrupt_record"
 
+TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)\z"
 
-def _wire_schema() -> T.StructType:
-    st = T._parse_datatype_string(S.JOB_WIRE)
-    return T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
 
+def field(v: Column, name: str) -> Column:
+    return F.try_variant_get(v, f"$.{name}", "variant")
 
-def _finish(df: DataFrame) -> DataFrame:
-    return (df.withColumn("_args_v", A.parse("args"))
-              .withColumn("args_map", A.decode_args_variant("_args_v")).drop("_args_v")
-              .withColumn("meta_v", F.try_parse_json("meta")))
+
+def is_object(v: Column) -> Column:
+    """An object or ``null``."""
+    return F.is_variant_null(v) | F.schema_of_variant(v).startswith("OBJECT")
+
+
+def value_ok(x: Column, dtype: T.DataType, raw: bool = False) -> Column:
+    """``x`` is absent, null, or of the wire type; ``raw`` takes anything."""
+    if raw:
+        return F.lit(True)
+    kind = F.schema_of_variant(x)
+    if isinstance(dtype, T.StringType):
+        ok = kind == "STRING"
+    elif isinstance(dtype, T.BooleanType):
+        ok = kind == "BOOLEAN"
+    elif isinstance(dtype, T.TimestampType):
+        text = F.try_variant_get(x, "$", "string")
+        ok = (kind == "STRING") & text.rlike(TIME) & text.try_cast("timestamp").isNotNull()
+    elif isinstance(dtype, T.ArrayType):
+        ok = kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
+    elif isinstance(dtype, T.StructType):
+        ok = kind.startswith("OBJECT") & fields_ok(x, dtype)
+    else:
+        ok = (kind == "BIGINT") & F.try_variant_get(x, "$", dtype.simpleString()).isNotNull()
+    return x.isNull() | F.is_variant_null(x) | F.coalesce(ok, F.lit(False))
+
+
+# fields that stay JSON text; of these, ones that must be an object
+RAW = {"args", "meta", "result", "details"}
+OBJECTS = {"result", "details"}
+
+
+def fields_ok(v: Column, schema: T.StructType, objects: set = frozenset()) -> Column:
+    ok = F.lit(True)
+    for f in schema:
+        x = field(v, f.name)
+        ok = ok & value_ok(x, f.dataType, f.name in RAW)
+        if f.name in OBJECTS or f.name in objects:
+            ok = ok & (x.isNull() | is_object(x))
+    return ok
+
+
+def value(x: Column, dtype: T.DataType, raw: bool = False) -> Column:
+    if raw:
+        return F.when(~F.is_variant_null(x), F.to_json(x))
+    if isinstance(dtype, T.StructType):
+        return F.when(x.isNotNull() & ~F.is_variant_null(x), F.struct(*[value(field(x, f.name), f.dataType, f.name in RAW).alias(f.name) for f in dtype]))
+    if isinstance(dtype, T.TimestampType):
+        return F.try_variant_get(x, "$", "string").try_cast("timestamp")
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(F.try_variant_get(x, "$", "array<string>"), lambda s: F.coalesce(s, F.lit("")))
+    return F.try_variant_get(x, "$", dtype.simpleString())
 
 
 def read_jobs(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
     """Read JSON-lines job envelopes (one or more paths): ``(jobs, corrupt)``.
 
-    Lines are read as text (splittable, one task per file split) and parsed
-    with ``from_json`` once per line."""
+    Lines are read as text: splittable, one task per file split."""
     ensure_conf(spark)
     return parse_jobs(spark.read.text(path))
 
 
-def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    ok = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return _finish(ok), bad
+def parse_jobs(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Decode a column of JSON text: ``(jobs, corrupt)``.
 
+    The parsed value goes through a one-element ``explode``, below which
+    filters are not pushed, so a line is parsed once; fields that a query does
+    not use are not extracted."""
+    schema = T._parse_datatype_string(S.JOB_WIRE)
+    text = F.col(col)
+    parsed = df.select(text.alias(CORRUPT), F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+    v = F.col("_v")
+    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, schema, {"meta"}), F.lit(False))
+    good = parsed.filter(ok).select(*[value(field(v, f.name), f.dataType, f.name in RAW).alias(f.name) for f in schema],
+                                    A.decode_args_variant(field(v, "args")).alias("args_map"), field(v, "meta").alias("meta_v"))
+    return good, parsed.filter(~ok).select(CORRUPT)
 
-def parse_jobs(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Same decoding for a column of JSON text already in a DataFrame.
 
-    The parsed struct goes through a one-element ``explode``: filters on its
-    fields (the corrupt-record split) cannot be pushed below a generator,
-    so each line is parsed once instead of once per consumer.
-    """
-    parsed = df.select(F.explode(F.array(F.from_json(col, _wire_schema(), {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))).alias("j"))
-    return split_corrupt(parsed.select("j.*"))
+def _object(text: Column) -> Column:
+    """JSON text as a value to write, if it is an object with entries."""
+    v = F.try_parse_json(text)
+    canon = F.to_json(v)
+    return F.when(canon.startswith("{") & (canon != "{}"), v)
 
 
 def encode_jobs(df: DataFrame) -> DataFrame:
@@ -70,17 +124,23 @@ def encode_jobs(df: DataFrame) -> DataFrame:
     def col(name, dtype="string"):
         return F.col(name) if name in cols else F.lit(None).cast(dtype)
 
+    def text(name):
+        return F.coalesce(col(name).cast("string"), F.lit("")).alias(name)
+
     # args are always on the wire: an absent or empty map is written as []
     args = A.encode_args(F.col("args_map")) if "args_map" in cols else F.coalesce(col("args"), F.lit("[]"))
+    e = col("error", "struct<code:string,message:string,retryable:boolean,details:string>")
+    error = F.when(e.isNotNull(), F.struct(
+        F.coalesce(e["code"], F.lit("")).alias("code"), F.coalesce(e["message"], F.lit("")).alias("message"),
+        F.coalesce(e["retryable"], F.lit(False)).alias("retryable"), _object(e["details"]).alias("details")))
     fields = [
-        col("id").cast("string").alias("id"), col("type").alias("type"), col("state").alias("state"),
-        col("queue").alias("queue"), F.coalesce(col("priority", "int"), F.lit(0)).alias("priority"),
+        text("id"), text("type"), text("state"), text("queue"),
+        F.coalesce(col("priority", "int"), F.lit(0)).alias("priority"),
         F.coalesce(col("attempt", "int"), F.lit(0)).alias("attempt"),
         F.coalesce(col("max_attempts", "int"), F.lit(0)).alias("max_attempts"),
         nonzero(col("timeout_ms", "bigint")).alias("timeout_ms"),
         nonempty_array(col("tags", "array<string>")).alias("tags"),
-        F.try_parse_json(col("meta")).alias("meta"), F.try_parse_json(col("result")).alias("result"),
-        col("error", "struct<code:string,message:string,retryable:boolean,details:string>").alias("error"),
+        _object(col("meta")).alias("meta"), _object(col("result")).alias("result"), error.alias("error"),
         *[rfc3339(col(t, "timestamp")).alias(t) for t in S.JOB_TIMESTAMPS],
         F.try_parse_json(args).alias("args"),
         nonempty_string(col("previous_state")).alias("previous_state"),

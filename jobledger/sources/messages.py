@@ -1,31 +1,24 @@
 """Queue-message batches and push deliveries.
 
-Each record body is decoded as a job event with ``from_json`` in PERMISSIVE
-mode; a body that does not decode is kept as a failed item instead of
-failing the task.
+Each record body is parsed once and checked field by field against the job
+event's wire types, like ``sources.jobs``; a body that does not decode is kept
+as a failed item instead of failing the task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobledger import schemas as S
+from jobledger.operators.process import process
+from jobledger.sources.jobs import field, fields_ok, is_object, value
 
-CORRUPT = "_corrupt_record"
-
-
-def _schema(ddl: str) -> T.StructType:
-    st = T._parse_datatype_string(ddl)
-    return T.StructType(st.fields + [T.StructField(CORRUPT, T.StringType())])
-
-
-def _decodable_object(col) -> "F.Column":
-    """The text is a JSON object or ``null`` at top level (other values do
-    not decode into an envelope); syntax errors inside an object are caught
-    by ``from_json``'s corrupt-record column."""
-    return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).rlike(r"^\s*(\{|null\s*\z)")
+def _job_event() -> T.StructType:
+    return T._parse_datatype_string(S.JOB_EVENT)
 
 
 def read_messages(df: DataFrame, records: str | None = None) -> DataFrame:
@@ -38,11 +31,12 @@ def read_messages(df: DataFrame, records: str | None = None) -> DataFrame:
     if records:
         df = df.select("batch_id", F.explode(records).alias("r")).select(
             "batch_id", F.col("r.messageId").alias("message_id"), F.col("r.body").alias("body"))
-    job = F.from_json("body", _schema(S.JOB_EVENT), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select("batch_id", "message_id", "body", job.alias("job"))
-    bad = ~_decodable_object(F.col("body")) | F.col("job").getField(CORRUPT).isNotNull()
-    return out.select("batch_id", "message_id", F.col("job").dropFields(CORRUPT).alias("job"),
-                      F.when(bad, F.lit("failed to unmarshal message")).alias("decode_error"))
+    out = df.select("batch_id", "message_id", F.explode(F.array(F.try_parse_json("body"))).alias("_v"))
+    v = F.col("_v")
+    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, _job_event()), F.lit(False))
+    job = F.struct(*[value(field(v, f.name), f.dataType, f.name in ("args", "meta")).alias(f.name) for f in _job_event()])
+    return out.select("batch_id", "message_id", F.when(ok, job).alias("job"),
+                      F.when(~ok, F.lit("failed to unmarshal message")).alias("decode_error"))
 
 
 def message_outcomes(messages: DataFrame, handler_types: DataFrame) -> DataFrame:
@@ -60,16 +54,54 @@ def message_outcomes(messages: DataFrame, handler_types: DataFrame) -> DataFrame
 def read_push_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
     """Push delivery bodies -> request fields; an undecodable body is a
     final failure ``invalid_request`` (not retryable)."""
-    req = F.from_json(body, _schema(S.PUSH_DELIVERY), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    out = df.select("*", req.alias("_req"))
-    bad = ~_decodable_object(F.col(body)) | F.col("_req").getField(CORRUPT).isNotNull()
+    out = df.select("*", F.explode(F.array(F.try_parse_json(body))).alias("_v"))
+    v, job = F.col("_v"), field(F.col("_v"), "job")
+    names = T._parse_datatype_string("worker_id string, delivery_id string")
+    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, names) & (job.isNull() | (is_object(job) & fields_ok(job, _job_event()))), F.lit(False))
+    read = F.struct(*[value(field(job, f.name), f.dataType, f.name in ("args", "meta")).alias(f.name) for f in _job_event()])
+    bad = ~ok
     return out.select(
         *[c for c in df.columns],
-        F.when(~bad, F.col("_req.job")).alias("job"),
-        F.when(~bad, F.col("_req.worker_id")).alias("worker_id"),
-        F.when(~bad, F.col("_req.delivery_id")).alias("delivery_id"),
+        F.when(ok, read).alias("job"),
+        F.when(ok, F.try_variant_get(v, "$.worker_id", "string")).alias("worker_id"),
+        F.when(ok, F.try_variant_get(v, "$.delivery_id", "string")).alias("delivery_id"),
         F.when(bad, F.lit("failed")).alias("status"),
         F.when(bad, F.lit("invalid_request")).alias("error_code"),
         F.when(bad, F.lit("failed to decode request body")).alias("error_message"),
         F.when(bad, F.lit(False)).alias("error_retryable"),
     )
+
+
+def _event(messages: DataFrame, *keys: str) -> DataFrame:
+    """Decoded job events as rows that handlers take; ``_key`` travels along,
+    so that outcomes find their message again."""
+    return messages.filter(F.col("job").isNotNull()).select(
+        F.to_json(F.struct(*keys)).alias("_key"), F.coalesce("job.id", F.lit("")).alias("job_id"), F.coalesce("job.type", F.lit("")).alias("type"),
+        F.col("job.queue").alias("queue"), F.col("job.attempt").alias("attempt"), F.col("job.args").alias("args"), F.col("job.meta").alias("meta"))
+
+
+def handle_messages(messages: DataFrame, handlers: dict[str, Callable]) -> DataFrame:
+    """Run the handler of each decoded message (S3 to X1). One row per
+    message: batch_id, message_id, failed, error_message. A message fails, and
+    is redelivered, if its body does not decode, no handler is registered for
+    its type, or its handler fails. Repeated rows of a message run each and
+    fail together."""
+    keys = ["batch_id", "message_id"]
+    ran = process(_event(messages, *keys), handlers, on_missing="fail_item", carry=("_key",)).select(F.col("_key").alias("_of"), "state", "error_message")
+    ran = ran.groupBy("_of").agg(F.bool_or(F.col("state") != "completed").alias("_failed"), F.max("error_message").alias("_error"))
+    tagged = messages.withColumn("_key", F.to_json(F.struct(*keys)))
+    j = tagged.join(ran, F.col("_key") == F.col("_of"), "left")
+    return j.select(*keys, F.coalesce("_failed", F.lit(True)).alias("failed"), F.coalesce("decode_error", "_error").alias("error_message"))
+
+
+def handle_deliveries(deliveries: DataFrame, handlers: dict[str, Callable], key: str = "delivery_id") -> DataFrame:
+    """Run the handler of each decoded push delivery (S4 to X1): the
+    delivery's key, status, error_code, error_message, error_retryable. A
+    handler's failure is retryable unless it says otherwise; an undecodable
+    body or a missing handler is final."""
+    ran = process(_event(deliveries, key), handlers, on_missing="error", carry=("_key",)).select(
+        F.col("_key").alias("_of"), "state", F.col("error_code").alias("_code"), F.col("error_message").alias("_text"), F.col("error_retryable").alias("_retry"))
+    ran = ran.dropDuplicates(["_of"])
+    j = deliveries.withColumn("_key", F.to_json(F.struct(key))).join(ran, F.col("_key") == F.col("_of"), "left")
+    return j.select(key, F.coalesce("status", "state").alias("status"), F.coalesce("error_code", "_code").alias("error_code"),
+                    F.coalesce("error_message", "_text").alias("error_message"), F.coalesce("error_retryable", "_retry").alias("error_retryable"))

@@ -26,3 +26,24 @@ def test_push_delivery_bad_body(spark):
     assert got["d1"].status is None and got["d1"].job.type == "t"
     assert (got["d2"].status, got["d2"].error_code, got["d2"].error_retryable) == ("failed", "invalid_request", False)
     assert got["d2"].error_message == "failed to decode request body"
+
+
+def test_field_types_are_strict(spark):
+    from jobledger.sources.jobs import parse_jobs
+
+    good = ['{"id":"a"}', "null", '{"id":null,"attempt":3,"tags":[null,"x"],"meta":{"a":1},"unknown":5}', '{"created_at":"2024-01-01T00:00:00.5+02:00"}', '{"args":5}']
+    bad = ["", " ", "[1]", "5", '"x"', "{", '{"id":5}', '{"attempt":"1"}', '{"attempt":1.5}', '{"attempt":99999999999}', '{"tags":"x"}', '{"tags":[1]}', '{"meta":[1]}',
+           '{"error":5}', '{"error":{"retryable":"no"}}', '{"error":{"details":[1]}}', '{"created_at":"2024-01-01"}', '{"created_at":5}', None]
+    ok, corrupt = parse_jobs(spark.createDataFrame([(t,) for t in good + bad], "value string"))
+    assert ok.count() == len(good) and sorted((r[0] or "") for r in corrupt.collect()) == sorted((t or "") for t in bad)
+    row = ok.filter("attempt = 3").first()
+    assert (row.id, row.tags, row.meta, row.args) == (None, ["", "x"], '{"a":1}', None)
+
+
+def test_job_read_by_s1_runs_unchanged(spark):
+    from jobledger.operators.process import process
+    from jobledger.sources.jobs import parse_jobs
+
+    ok, _ = parse_jobs(spark.createDataFrame([('{"id":"j","type":"t","args":[{"to":"x"}],"attempt":1}',)], "value string"))
+    ran = process(ok.withColumnRenamed("id", "job_id"), {"t": lambda job: job["args"]}).first()
+    assert (ran.state, ran.result) == ("completed", '{"to":"x"}')
