@@ -8,6 +8,7 @@ import sys
 sys.path.insert(0, "/root/repo")
 
 from jobledger.catalog import QUERIES  # noqa: E402
+from jobledger.plans.explain import executed  # noqa: E402
 from jobledger.session import get_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -15,8 +16,7 @@ spark = get_session()
 rows = []
 for name in sorted(QUERIES):
     df = QUERIES[name](spark, sf)
-    df.write.format("noop").mode("overwrite").save()
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = executed(df)
     shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
     reused = plan.count("ReusedExchange")
     bcast = plan.count("BroadcastExchange")
@@ -30,7 +30,8 @@ for name in sorted(QUERIES):
 with open("/root/repo/PLANS.md", "w") as fh:
     fh.write("# Executed plans per query\n\n")
     fh.write(f"Generated by `tests/plan_report.py` on `{sf}` (local[8], AQE on): counts of operators in the\n"
-             "final adaptive plan. Shuffles = Exchange nodes (excluding broadcasts); Python = pandas stages.\n"
+             "final adaptive plan of the very run. Work that a query does while it is built (a checkpoint of\n"
+             "slices) is not in it. Shuffles = Exchange nodes (excluding broadcasts); Python = pandas stages.\n"
              "At small scale AQE turns most joins into broadcasts of measured-small sides; at large scale the\n"
              "same plans fall back to sort-merge joins.\n\n")
     fh.write("| query | shuffles | reused | broadcasts | BHJ | SMJ | SortAggregate | WindowGroupLimit | Python | pushed filters |\n")
