@@ -181,6 +181,17 @@ def q_paginate(spark, sf):
     return page
 
 
+@register("page_after", views=("jobs",), sql="""
+SELECT job_id, created_at, state FROM jobs ORDER BY created_at DESC, job_id LIMIT 40 OFFSET 60""")
+def q_page_after(spark, sf):
+    """The page after a row, found by the key of that row (here the last of
+    the first 60)."""
+    j = fx.jobs(spark, sf).select("job_id", "created_at", "state")
+    keys = [("created_at", True), ("job_id", False)]
+    last = L.page_after(j, keys, 60).agg(F.max_by(F.struct("created_at", "job_id"), F.struct(-F.unix_micros(F.col("created_at").cast("timestamp")), "job_id")).alias("l")).first()["l"]
+    return L.page_after(j, keys, 40, {"created_at": last["created_at"], "job_id": last["job_id"]})
+
+
 @register("paginate_meta", views=("jobs",), sql="""
 SELECT count(*) AS total, 50 AS limit, 100 AS offset, 100 + least(50, greatest(count(*) - 100, 0)) < count(*) AS has_more
 FROM jobs""")

@@ -25,6 +25,27 @@ def paginate(df: DataFrame, order: list[Column | str], limit: int, offset: int =
     return page, meta
 
 
+def page_after(df: DataFrame, keys: list[tuple[str, bool]], limit: int, after: dict | None = None) -> DataFrame:
+    """L1 by key: the ``limit`` rows that follow the row ``after`` (its values
+    of the key columns; none: the first page). ``keys``: (column, descending),
+    ending with a unique one; NULLs come last. However deep the page, only
+    ``limit`` rows per partition move, and the first key's bound is a filter
+    that reaches the scan."""
+    order = [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in keys]
+    if after is not None:
+        beyond, same = F.lit(False), F.lit(True)
+        for c, down in keys:
+            v = after[c]
+            if v is None:  # nothing follows a NULL but other NULLs
+                later = F.lit(False)
+            else:
+                later = F.col(c).isNull() | (F.col(c) < F.lit(v) if down else F.col(c) > F.lit(v))
+            beyond = beyond | (same & later)
+            same = same & F.col(c).eqNullSafe(F.lit(v))
+        df = df.filter(beyond)
+    return df.orderBy(*order).limit(limit)
+
+
 def list_dead_letter(jobs: DataFrame, queue: str | None = None, limit: int = 50, offset: int = 0,
                      id_col: str = "job_id") -> tuple[DataFrame, DataFrame]:
     """L2: discarded jobs (optionally of one queue), newest discard first."""

@@ -65,6 +65,17 @@ def test_pages(spark):
     assert meta2.first().has_more is True
 
 
+def test_page_after_walks_the_whole_table(spark):
+    rows = [(i, [None, 1, 2, 3][i % 4]) for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, k int").repartition(4)
+    keys = [("k", True), ("id", False)]
+    seen, after = [], None
+    while page := L.page_after(df, keys, 7, after).collect():
+        seen += page
+        after = page[-1].asDict()
+    assert [(r.id, r.k) for r in seen] == sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+
+
 def test_stale_jobs(spark):
     t = dt.datetime(2024, 1, 1, 12, 0)
     jobs = spark.createDataFrame([("a", "active", 60000), ("b", "active", 60000), ("c", "active", None),
