@@ -32,7 +32,7 @@ from jobledger.llm import textvec as V
 from jobledger.llm.store import load, save, shared_folder
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
-FLUSH = 3_000_000  # n-grams that a task holds before it sends them on
+FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
 SHARD_BYTES = 16 << 20  # text bytes for each shard
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
 
@@ -136,6 +136,11 @@ def distinct(cols, counts):
     return [c[first] for c in cols], np.add.reduceat(counts[order], new) if len(new) else counts[:0], key[new]
 
 
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds all of them."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def row(level, kind, shard, blob=None, n=0, ns=(0, 0, 0, 0), total=0):
     return (level, kind, int(shard), blob, int(n), *(int(x) for x in ns), int(total))
 
@@ -205,13 +210,13 @@ def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
             order_, new = by_key(whole[0])
             sums = [np.add.reduceat(c[order_], new) for c in whole[1:]]
             save(f"{folder}/{level}-{shard}-ctx.npy", whole[0][order_][new])
-            save(f"{folder}/{level}-{shard}-ctxn.npy", np.stack(sums, 1).astype(np.uint64))
+            save(f"{folder}/{level}-{shard}-ctxn.npy", narrow(np.stack(sums, 1)))
             return frame([row(level, "sum", shard)])
         name = "raw" if raw else str(level)
         once = counts == 1
         save(f"{folder}/{name}-{shard}-one.npy", keys[once])
         save(f"{folder}/{name}-{shard}-many.npy", keys[~once])
-        save(f"{folder}/{name}-{shard}-count.npy", counts[~once].astype(np.uint64))
+        save(f"{folder}/{name}-{shard}-count.npy", narrow(counts[~once]))
         out.append(row(level, "sum", shard, None, len(keys), [*count_of_counts(counts)], counts.sum()))
         if raw:
             often = counts * 10_000 >= counts.sum()

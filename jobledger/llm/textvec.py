@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 
 # bytes that end a word: space and 0x09-0x0D
 SPACE = np.zeros(256, bool)
