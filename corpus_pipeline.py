@@ -24,20 +24,26 @@ from jobledger.sources.tables import table
 LEAST_SCORE = 0.5  # of the language that a kept document has
 
 
+def whole(docs: DataFrame, *others) -> DataFrame:
+    """Rows as one column ``doc`` beside ``others``, so that no column of a
+    document clashes with what an operator adds."""
+    return docs.select(F.struct(*docs.columns).alias("doc"), *others)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic. It learns from the
     labelled documents that are not held out."""
     labels = table(spark, sf_dir, "labels").filter(~fold("doc_id", 5))
     model = toxicity.train(docs, labels)
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).filter("predicted = 0").select(*docs.columns)
+    return toxicity.score(whole(docs, "text"), model, keep=("doc",)).filter("predicted = 0").select("doc.*")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages: with a letter, and with most
     of the probability on one language."""
     model = langid.train(docs.filter(~fold("doc_id", 5)))
-    found = langid.identify(docs, model, keep=tuple(docs.columns))
-    return found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    found = langid.identify(whole(docs, "text"), model, keep=("doc",))
+    return found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +51,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     repeated rows, one. Documents without an id come after all others and are
     told apart by their text."""
     no_id = F.col("doc_id").isNull()
-    key = {"_none": no_id, "_id": F.coalesce("doc_id", F.lit(0).cast("long")), "_text": F.xxhash64("text")}
-    keyed = docs.withColumns(key)
-    groups = simhash.near_duplicates(keyed.select("text", F.struct(*key).alias("row")), id_col="row", size=3, most=3, blocks=4)
+    key = [no_id.alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("h")]
+    names = ["none", "id", "h"]
+    groups = simhash.near_duplicates(docs.select("text", F.struct(*key).alias("row")), id_col="row", size=3, most=3, blocks=4)
     kept = groups.filter("row = component_id").select("row.*").distinct()
-    return keyed.dropDuplicates(list(key)).join(kept, list(key), "left_semi").select(*docs.columns)
+    return whole(docs, *key).dropDuplicates(names).join(kept, names, "left_semi").select("doc.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -357,6 +357,9 @@ def test_pipeline_stages_take_nulls_and_empty_tables(spark):
     for k, (_, stage) in enumerate(cp.STAGES):
         assert stage(spark, docs, SMALL).count() <= len(odd) + 2 * (k == 4)
         assert stage(spark, docs.limit(0), SMALL).collect() == []
+    more = docs.withColumns({c: F.lit(1) for c in ("score", "predicted", "doc", "row", "id", "h", "none", "fp", "component_id", "lang_pred", "item_id", "_text")})
+    for _, stage in cp.STAGES[:-1]:
+        assert stage(spark, more, SMALL).columns == more.columns
     left = cp.drop_near_duplicates(spark, docs, SMALL).collect()
     assert Counter(r.doc_id for r in left) == Counter([None, None, 3, 4])
     assert cp.run(spark, SMALL).count() > 0
