@@ -5,7 +5,11 @@ transform and assigns each to the nearest signed axis. A query probes the axes
 nearest to it in every table (multiprobe), and all vectors assigned to them
 are candidates, ranked by their exact inner product in double precision. So
 that the largest inner product, not only the smallest angle, is found, vectors
-are first lifted to one length by a further coordinate.
+are first lifted to one length by a further coordinate: each to that of the
+longest vector of its band of norms (``BANDS`` to an octave), so that a lift is
+short whatever other norms there are. Bands share the rotations, so a query
+probes the same axes in all of them, and their candidates are ranked together.
+Bands of fewer than ``LEAST_BAND`` vectors are searched whole by every query.
 
 Axes are dealt to ``GROUPS`` groups a table; a group's vectors and the queries
 that probe it meet in chunks of bounded size, however many fall to one axis.
@@ -24,6 +28,9 @@ from jobledger.plans.strategy import cut_lineage
 
 TABLES = 4
 PROBES = 0.25  # share of the signed axes that a query probes in each table
+BANDS = 8  # bands of norms to an octave
+LEAST_BAND = 4096  # vectors of a band that is hashed
+WHOLE = -1  # in place of a table: all candidates are ranked
 GROUPS = 8
 CHUNK = 8192  # vectors, and queries, that meet in a task
 
@@ -65,10 +72,11 @@ def probed(x: np.ndarray, table: int, share: float) -> np.ndarray:
     return rank < m
 
 
-def lifted(x: np.ndarray, most: float) -> np.ndarray:
-    """Vectors of length up to ``most`` as unit vectors with one more
-    coordinate; inner products with unlifted queries keep their order."""
-    x = x / most
+def lifted(x: np.ndarray, most) -> np.ndarray:
+    """Vectors of length up to ``most`` (one for all, or one for each) as unit
+    vectors with one more coordinate; among equal ``most``, inner products with
+    unlifted queries keep their order."""
+    x = x / np.reshape(most, (-1, 1))
     return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1)))[:, None]], 1)
 
 
@@ -120,27 +128,38 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
 
     local = rows.mapInPandas(unite, "key binary, x array<double>, query boolean, ids array<long>")
     ids = F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)  # a short list from each batch
-    base = cut_lineage(local.groupBy("key").agg(F.first("x").alias("x"), F.max("query").alias("query"), ids.alias("ids")).withColumn("dim", F.size("x")))
-    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + v * v))
-    longest = {r.dim: r.m for r in base.groupBy("dim").agg(F.max(length).alias("m")).collect()}
+    base = local.groupBy("key").agg(F.first("x").alias("x"), F.max("query").alias("query"), ids.alias("ids")).withColumn("dim", F.size("x"))
+    most = F.array_max(F.transform("x", F.abs))  # squares of the quotients neither overflow nor vanish
+    base = base.withColumn("most", most).withColumn("length", F.col("most") * F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, v: a + (v / F.col("most")) * (v / F.col("most"))))).drop("most")
+    # lengths about 1 lie in the middle of a band
+    base = cut_lineage(base.withColumn("band", F.floor(F.log2("length") * BANDS + 0.5)))
+    # a row for each band of each dimension
+    bands = {(r.dim, r.band): (r.m, r.n >= LEAST_BAND) for r in base.groupBy("dim", "band").agg(F.max("length").alias("m"), F.count("*").alias("n")).collect()}
+    kinds = {(d, hashed) for (d, _), (_, hashed) in bands.items()}
     salt = lambda n: F.pmod(F.xxhash64("key"), n)
 
     def deal(batches):
         """Each vector's group in each table; each query's groups."""
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
-                x = matrix(part["x"])
-                up, q = lifted(x, longest[dim]), part["query"].to_numpy(bool)
+                x, q = matrix(part["x"]), part["query"].to_numpy(bool)
+                most, hashed = (np.array(v) for v in zip(*(bands[dim, b] for b in part["band"])))
+                if (dim, False) in kinds:
+                    yield part[["key", "x", "dim"]][~hashed].assign(t=WHOLE, g=0, axis=-1, query=False)
+                    yield part[["key", "x", "dim"]][q].assign(t=WHOLE, g=0, axis=-1, query=True)
+                if (dim, True) not in kinds:
+                    continue
+                up = lifted(x[hashed], most[hashed])
                 for t in range(tables):
                     axis = axes(up, t)
-                    yield part[["key", "x", "dim"]].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
+                    yield part[["key", "x", "dim"]][hashed].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
                     if q.any():
                         hits = probed(unit(x[q]), t, share)
                         for g in range(GROUPS):
                             some = hits[:, g::GROUPS].any(1)
                             yield part[["key", "x", "dim"]][q][some].assign(t=t, g=g, axis=-1, query=True)
 
-    dealt = base.select("key", "x", "dim", "query").mapInPandas(deal, "key binary, x array<double>, dim int, t int, g int, axis int, query boolean")
+    dealt = base.select("key", "x", "dim", "query", "band").mapInPandas(deal, "key binary, x array<double>, dim int, t int, g int, axis int, query boolean")
     sizes = dealt.groupBy("dim", "t", "g").agg(F.sum((~F.col("query")).cast("long")).alias("n"), F.sum(F.col("query").cast("long")).alias("m"))
     sizes = sizes.select(F.col("dim").alias("_dim"), F.col("t").alias("_t"), F.col("g").alias("_g"), F.ceil(F.greatest("n", F.lit(1)) / chunk).alias("cn"), F.ceil(F.greatest("m", F.lit(1)) / chunk).alias("cm"))
     # a row for each group of axes: GROUPS * tables for each dimension
@@ -162,7 +181,8 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
             some = q.iloc[a: a + 256]
             x = matrix(some["x"])
             score = x @ y.T
-            score[~probed(unit(x), t, share)[:, axis]] = -np.inf
+            if t != WHOLE:
+                score[~probed(unit(x), t, share)[:, axis]] = -np.inf
             m = min(k + 1, score.shape[1])
             best = np.argpartition(-score, m - 1, axis=1)[:, :m]
             for name_, s, b in zip(some["key"], score, best):

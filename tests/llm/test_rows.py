@@ -194,6 +194,30 @@ def test_neighbours_edge_rows(spark):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+def nearest(ids, x, q, k=20):
+    s = x @ x[ids == q][0]
+    s[ids == q] = -np.inf
+    return ids[np.lexsort((ids, -s))[:k]]
+
+
+@pytest.mark.parametrize("norms", ["one", "outlier", "lognormal"])
+def test_neighbours_recall_with_unequal_lengths(spark, norms):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(5000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if norms == "outlier":
+        x[7] *= 100
+    if norms == "lognormal":
+        x *= rng.lognormal(0, 1, (5000, 1))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in neighbours.search(df, every=20, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    ids = np.arange(len(x))
+    found = [len(got.get(q, set()) & set(nearest(ids, x, q).tolist())) / 20 for q in range(0, 5000, 20)]
+    assert np.mean(found) >= 0.95
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 64))
     y = neighbours.rotate(x, 3)
