@@ -14,7 +14,8 @@ Bands of fewer than ``LEAST_BAND`` vectors are searched whole by every query.
 Axes are dealt to ``GROUPS`` groups a table; a group's vectors and the queries
 that probe it meet in chunks of bounded size, however many fall to one axis.
 Equal vectors are searched as one; it keeps the k + 1 smallest ids, since ties
-go to the smaller id. Only per-query bests leave a task.
+go to the smaller id. Only per-query bests leave a task. A query that found
+fewer than k others, while there are more, is searched again among all vectors.
 """
 
 from __future__ import annotations
@@ -138,6 +139,8 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     kinds = {(d, hashed) for (d, _), (_, hashed) in bands.items()}
     salt = lambda n: F.pmod(F.xxhash64("key"), n)
 
+    low = F.col("ids")[0].alias("low")
+
     def deal(batches):
         """Each vector's group in each table; each query's groups."""
         for pdf in batches:
@@ -145,29 +148,19 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                 x, q = matrix(part["x"]), part["query"].to_numpy(bool)
                 most, hashed = (np.array(v) for v in zip(*(bands[dim, b] for b in part["band"])))
                 if (dim, False) in kinds:
-                    yield part[["key", "x", "dim"]][~hashed].assign(t=WHOLE, g=0, axis=-1, query=False)
-                    yield part[["key", "x", "dim"]][q].assign(t=WHOLE, g=0, axis=-1, query=True)
+                    yield part[["key", "x", "dim", "low"]][~hashed].assign(t=WHOLE, g=0, axis=-1, query=False)
+                    yield part[["key", "x", "dim", "low"]][q].assign(t=WHOLE, g=0, axis=-1, query=True)
                 if (dim, True) not in kinds:
                     continue
                 up = lifted(x[hashed], most[hashed])
                 for t in range(tables):
                     axis = axes(up, t)
-                    yield part[["key", "x", "dim"]][hashed].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
+                    yield part[["key", "x", "dim", "low"]][hashed].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
                     if q.any():
                         hits = probed(unit(x[q]), t, share)
                         for g in range(GROUPS):
                             some = hits[:, g::GROUPS].any(1)
-                            yield part[["key", "x", "dim"]][q][some].assign(t=t, g=g, axis=-1, query=True)
-
-    dealt = base.select("key", "x", "dim", "query", "band").mapInPandas(deal, "key binary, x array<double>, dim int, t int, g int, axis int, query boolean")
-    sizes = dealt.groupBy("dim", "t", "g").agg(F.sum((~F.col("query")).cast("long")).alias("n"), F.sum(F.col("query").cast("long")).alias("m"))
-    sizes = sizes.select(F.col("dim").alias("_dim"), F.col("t").alias("_t"), F.col("g").alias("_g"), F.ceil(F.greatest("n", F.lit(1)) / chunk).alias("cn"), F.ceil(F.greatest("m", F.lit(1)) / chunk).alias("cm"))
-    # a row for each group of axes: GROUPS * tables for each dimension
-    met = dealt.join(F.broadcast(sizes), (F.col("dim") == F.col("_dim")) & (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g")))
-    lists = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    own_i, own_j = F.array(salt(F.col("cn"))), F.array(salt(F.col("cm")))
-    met = met.withColumn("i", F.explode(F.when(F.col("query"), lists(F.col("cn"))).otherwise(own_i)))
-    met = met.withColumn("j", F.explode(F.when(F.col("query"), own_j).otherwise(lists(F.col("cm")))))
+                            yield part[["key", "x", "dim", "low"]][q][some].assign(t=t, g=g, axis=-1, query=True)
 
     def rank(at: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         t, out = int(at[1]), []
@@ -176,7 +169,8 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
             return pd.DataFrame({"q": [], "c": [], "score": []})
         axis = c["axis"].to_numpy()
         c, axis = c.iloc[np.argsort(axis, kind="stable")], np.sort(axis)
-        y, names = matrix(c["x"]), c["key"].to_numpy()
+        y, names, low = matrix(c["x"]), c["key"].to_numpy(), c["low"].to_numpy()
+        slack = 1e-12 * np.linalg.norm(y, axis=1).max()
         for a in range(0, len(q), 256):
             some = q.iloc[a: a + 256]
             x = matrix(some["x"])
@@ -184,19 +178,46 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
             if t != WHOLE:
                 score[~probed(unit(x), t, share)[:, axis]] = -np.inf
             m = min(k + 1, score.shape[1])
-            best = np.argpartition(-score, m - 1, axis=1)[:, :m]
-            for name_, s, b in zip(some["key"], score, best):
-                b = b[s[b] > -np.inf]
-                out.append(pd.DataFrame({"q": [name_] * len(b), "c": names[b], "score": s[b]}))
+            cut = -np.partition(-score, m - 1, axis=1)[:, m - 1]
+            for name_, v, s, least in zip(some["key"], x, score, cut - slack * np.linalg.norm(x, axis=1)):
+                b = np.flatnonzero((s >= least) & (s > -np.inf))
+                s = (y[b] * v).sum(1)  # the same for a pair wherever it meets
+                b, s = (z[np.lexsort((low[b], -s))[:m]] for z in (b, s))
+                out.append(pd.DataFrame({"q": [name_] * len(b), "c": names[b], "score": s}))
         return pd.concat(out, ignore_index=True)
 
-    found = met.select("dim", "t", "g", "i", "j", "key", "x", "axis", "query").groupBy("dim", "t", "g", "i", "j").applyInPandas(rank, "q binary, c binary, score double")
-    found = found.groupBy("q", "c").agg(F.max("score").alias("score"))
-    pairs = found.join(base.select(F.col("key").alias("c"), "ids"), "c").select("q", "score", "ids")
-    order = [F.col("score").desc(), F.col("ids")[0]]
-    pairs = pairs.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(*order))).filter(F.col("r") <= k + 1)
-    top = pairs.select("q", "score", F.explode("ids").alias("vec_id"))
-    top = top.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id"))).filter(F.col("r") <= k + 1)
+    def meet(dealt: DataFrame) -> DataFrame:
+        """q, c, score: the bests of each chunk of queries in each chunk of vectors."""
+        sizes = dealt.groupBy("dim", "t", "g").agg(F.sum((~F.col("query")).cast("long")).alias("n"), F.sum(F.col("query").cast("long")).alias("m"))
+        sizes = sizes.select(F.col("dim").alias("_dim"), F.col("t").alias("_t"), F.col("g").alias("_g"), F.ceil(F.greatest("n", F.lit(1)) / chunk).alias("cn"), F.ceil(F.greatest("m", F.lit(1)) / chunk).alias("cm"))
+        # a row for each group of axes: GROUPS * tables for each dimension
+        met = dealt.join(F.broadcast(sizes), (F.col("dim") == F.col("_dim")) & (F.col("t") == F.col("_t")) & (F.col("g") == F.col("_g")))
+        lists = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+        own_i, own_j = F.array(salt(F.col("cn"))), F.array(salt(F.col("cm")))
+        met = met.withColumn("i", F.explode(F.when(F.col("query"), lists(F.col("cn"))).otherwise(own_i)))
+        met = met.withColumn("j", F.explode(F.when(F.col("query"), own_j).otherwise(lists(F.col("cm")))))
+        return met.select("dim", "t", "g", "i", "j", "key", "x", "low", "axis", "query").groupBy("dim", "t", "g", "i", "j").applyInPandas(rank, "q binary, c binary, score double")
+
+    def best(found: DataFrame) -> DataFrame:
+        """q, score, vec_id: the k + 1 best of each query."""
+        found = found.groupBy("q", "c").agg(F.max("score").alias("score"))
+        pairs = found.join(base.select(F.col("key").alias("c"), "ids"), "c").select("q", "score", "ids")
+        order = [F.col("score").desc(), F.col("ids")[0]]
+        pairs = pairs.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(*order))).filter(F.col("r") <= k + 1)
+        top = pairs.select("q", "score", F.explode("ids").alias("vec_id"))
+        return top.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id"))).filter(F.col("r") <= k + 1).drop("r")
+
+    dealt = base.select("key", "x", "dim", "query", "band", low).mapInPandas(deal, "key binary, x array<double>, dim int, low long, t int, g int, axis int, query boolean")
+    top = cut_lineage(best(meet(dealt)))
+    # a query finds itself among its k + 1, or all there are in its dimension
+    there = base.groupBy("dim").agg(F.least(F.sum(F.size("ids")), F.lit(k + 1)).alias("want"))
+    have = top.groupBy(F.col("q").alias("key")).agg(F.count("*").alias("have"))
+    short = base.filter("query").join(there, "dim").join(have, "key", "left").filter(F.coalesce("have", F.lit(0)) < F.col("want"))
+    short = cut_lineage(short.select("key", "x", "dim", low))
+    if not short.isEmpty():
+        sides = [short.withColumn("query", F.lit(True)), base.join(short.select("dim").distinct(), "dim", "left_semi").select("key", "x", "dim", low).withColumn("query", F.lit(False))]
+        again = sides[0].unionByName(sides[1]).withColumns({"t": F.lit(WHOLE), "g": F.lit(0), "axis": F.lit(-1)})
+        top = top.join(short.select(F.col("key").alias("q")), "q", "left_anti").unionByName(best(meet(again)))
     asked = rows.filter(is_query).mapInPandas(name, "id long, key binary").distinct()
     out = asked.join(top, asked.key == top.q).filter("vec_id <> id")
     r = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.col("score").desc(), "vec_id"))

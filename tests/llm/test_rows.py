@@ -218,6 +218,30 @@ def test_neighbours_recall_with_unequal_lengths(spark, norms):
     assert np.mean(found) >= 0.95
 
 
+@pytest.mark.parametrize("least", [neighbours.LEAST_BAND, 1])  # searched whole, or hashed and completed
+def test_neighbours_are_k_and_ties_go_to_small_ids(spark, monkeypatch, least):
+    monkeypatch.setattr(neighbours, "LEAST_BAND", least)
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(15, 64))
+    rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(x)]
+    # of another dimension, one vector and its opposite's surroundings: a probe of the first misses these
+    axis, many = np.eye(8)[0], rng.normal(size=(60, 8)) * 1e-3 - np.eye(8)[0]
+    rows += [(100, axis.tolist())] + [(101 + i, v.tolist()) for i, v in enumerate(many)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = Counter(r.query_id for r in neighbours.search(df, every=20, k=20).collect())
+    assert got == {0: 14, 100: 20, 120: 20, 140: 20, 160: 20}
+
+
+def test_neighbours_ties_at_the_cut(spark):
+    ids = list(range(1, 41))
+    random.Random(3).shuffle(ids)
+    # equal scores with the query, other coordinates apart
+    rows = [(0, [1.0, 0.0, 0.0])] + [(i, [0.5, float(i), -float(i)]) for i in ids]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(df, every=1000, k=5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(i, 0.5) for i in range(1, 6)]
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 64))
     y = neighbours.rotate(x, 3)
