@@ -7,7 +7,9 @@ in the training texts. A hit fixes an alignment, along which the texts are
 compared word by word. An overlap is the longest stretch around hits of which
 at least ``SHARE`` agrees, from ``WORDS`` words on (or the whole item, if it
 is shorter). The masks find every stretch of 13 words with up to two
-substitutions, anywhere in a text.
+substitutions, anywhere in a text. Shorter items have masks of their own
+length, which together find every copy that ``SHARE`` allows; of an item of
+less than ``LEAST_ITEM`` words only exact copies count.
 
 The benchmark's seeds are broadcast in slices of a bounded number of words;
 a larger benchmark takes more passes over the texts and is never cut.
@@ -16,6 +18,7 @@ a larger benchmark takes more passes over the texts and is never cut.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,7 +32,7 @@ from jobledger.llm.store import share
 MASKS = ("1110111", "1110010011")
 WORDS = 13  # least length of an overlap in words
 SHARE = 0.8  # least share of words that agree
-LEAST_ITEM = 6  # shorter items have too few words to tell a leak from chance
+LEAST_ITEM = 6  # shorter items count where all their words agree
 SLICE_WORDS = 1_000_000  # benchmark words of one broadcast
 
 
@@ -43,7 +46,18 @@ class Seeds:
     key: np.ndarray
     item: np.ndarray
     place: np.ndarray
-    short: dict  # mask length -> True, for items shorter than a mask
+    masks: tuple  # those of its items
+
+
+def masks_of(n: int) -> tuple:
+    """The masks of items of ``n`` words. Below ``WORDS``, they are as long as
+    the item: it is cut into two blocks more than words may differ, and each
+    mask ignores as many blocks as words may differ."""
+    if n >= WORDS:
+        return MASKS
+    differ = n - -(-n * round(SHARE * 10) // 10) if n >= LEAST_ITEM else 0
+    block = np.arange(n) * (differ + 2) // n if n else np.zeros(0, int)
+    return tuple("".join("0" if b in out else "1" for b in block.tolist()) for out in combinations(range(differ + 2), differ)) if n else ()
 
 
 def seed_hashes(h: np.ndarray, mask: str) -> np.ndarray:
@@ -51,7 +65,7 @@ def seed_hashes(h: np.ndarray, mask: str) -> np.ndarray:
     n = len(h) - len(mask) + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, len(mask), np.uint64)
+    out = np.full(n, int("1" + mask, 2), np.uint64)
     for k, c in enumerate(mask):
         if c == "1":
             out = (out ^ h[k: k + n]) * np.uint64(0x9FB21C651E98DF25)
@@ -66,24 +80,28 @@ def word_hashes(data, at):
 
 def index(ids, data, at) -> Seeds:
     h, edge = word_hashes(data, at)
-    item = np.repeat(np.arange(len(at) - 1), np.diff(edge))
-    keys, items, places, short = [], [], [], {}
-    for mask in MASKS:
-        s = seed_hashes(h, mask)
-        ok = np.flatnonzero((item[: len(s)] == item[len(mask) - 1: len(mask) - 1 + len(s)]) & (np.diff(edge)[item[: len(s)]] >= LEAST_ITEM))
-        keys.append(s[ok])
-        items.append(item[ok])
-        places.append(ok - edge[item[ok]])
-    for i in np.flatnonzero((np.diff(edge) >= LEAST_ITEM) & (np.diff(edge) < max(map(len, MASKS)))):
-        # too short for some mask: all its words are its seed
-        n = int(edge[i + 1] - edge[i])
-        short[n] = True
-        keys.append(seed_hashes(h[edge[i]: edge[i + 1]], "1" * n))
-        items.append(np.array([i]))
-        places.append(np.array([0]))
+    size = np.diff(edge)
+    item = np.repeat(np.arange(len(at) - 1), size)
+    none = np.zeros(0, np.int64)
+    keys, items, places, masks = [none.astype(np.uint64)], [none], [none], []
+    if (size >= WORDS).any():
+        masks += MASKS
+        for mask in MASKS:
+            s = seed_hashes(h, mask)
+            ok = np.flatnonzero((item[: len(s)] == item[len(mask) - 1: len(mask) - 1 + len(s)]) & (size[item[: len(s)]] >= WORDS))
+            keys.append(s[ok])
+            items.append(item[ok])
+            places.append(ok - edge[item[ok]])
+    for n in np.unique(size[size < WORDS]).tolist():
+        own = np.flatnonzero(size == n)
+        for mask in masks_of(n):
+            masks.append(mask)
+            keys.append(seed_hashes(h, mask)[edge[own]])
+            items.append(own)
+            places.append(np.zeros(len(own), np.int64))
     key, item, place = np.concatenate(keys), np.concatenate(items), np.concatenate(places)
     order = np.argsort(key, kind="stable")
-    return Seeds(ids, h, edge, key[order], item[order], place[order], short)
+    return Seeds(ids, h, edge, key[order], item[order], place[order], tuple(masks))
 
 
 def stretch(same: np.ndarray) -> tuple[int, int, int]:
@@ -102,10 +120,10 @@ def overlaps_of(seeds: Seeds, data: np.ndarray, at: np.ndarray) -> list[tuple]:
     each row and item the overlap with most agreeing words."""
     h, edge = word_hashes(data, at)
     row = np.repeat(np.arange(len(at) - 1), np.diff(edge))
-    found = []
+    found = [np.zeros((0, 3), np.int64)]
     seen = np.zeros(1 << 20, bool)
     seen[(seeds.key >> np.uint64(44)).astype(np.int64)] = True
-    for mask in (*MASKS, *("1" * n for n in seeds.short)):
+    for mask in seeds.masks:
         s = seed_hashes(h, mask)
         may = np.flatnonzero(seen[(s >> np.uint64(44)).astype(np.int64)])
         may = may[row[may] == row[may + len(mask) - 1]]
@@ -113,7 +131,10 @@ def overlaps_of(seeds: Seeds, data: np.ndarray, at: np.ndarray) -> list[tuple]:
         n = hi - lo
         here = np.repeat(may, n)
         there = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        found.append(np.stack([row[here], seeds.item[there], here - edge[row[here]] - seeds.place[there]], 1))
+        hits = np.stack([row[here], seeds.item[there], here - edge[row[here]] - seeds.place[there]], 1)
+        if len(mask) < LEAST_ITEM:  # exact copies: the first in a row stands for all
+            hits = hits[np.unique(hits[:, :2], axis=0, return_index=True)[1]]
+        found.append(hits)
     best: dict = {}
     for r, i, d in np.unique(np.concatenate(found), axis=0).tolist():
         first, size, of = int(edge[r]), int(edge[r + 1] - edge[r]), int(seeds.edge[i + 1] - seeds.edge[i])

@@ -320,6 +320,34 @@ def test_masks_find_all_pairs_of_substitutions():
         assert any(not any(m[b - s] == "1" for b in bad if 0 <= b - s < len(m)) for m in decontaminate.MASKS for s in range(decontaminate.WORDS - len(m) + 1))
 
 
+def test_masks_find_all_substitutions_in_short_items():
+    from itertools import combinations
+
+    for n in range(1, 13):
+        differ = max(d for d in range(n) if n - d >= 0.8 * n) if n >= decontaminate.LEAST_ITEM else 0
+        assert differ == (0 if n < 6 else 1 if n < 10 else 2)
+        for bad in combinations(range(n), differ):
+            assert any(len(m) == n and all(m[b] == "0" for b in bad) for m in decontaminate.masks_of(n))
+
+
+def test_decontamination_finds_short_items(frame):
+    from itertools import combinations
+
+    items = {n: WORDS[20 * n: 20 * n + n] for n in range(13)}
+    docs, want = [], set()
+    for n, words in items.items():
+        for differ in range(4):
+            for bad in combinations(range(n), differ):
+                if n:
+                    docs.append((len(docs), " ".join(["ahead"] * (len(docs) % 3) + ["other" if k in bad else w for k, w in enumerate(words)] + ["after"])))
+                    if n - differ >= 0.8 * n and (n >= 6 or not differ):
+                        want.add((docs[-1][0], n))
+    df = frame(docs, "doc_id long, text string")
+    bench = frame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(df, bench).collect()} == want
+    assert {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()} == {i for i, _ in docs} - {i for i, _ in want}
+
+
 def test_decontamination_in_slices_is_the_same(frame, monkeypatch):
     bench = frame([(i, " ".join(WORDS[i * 20: i * 20 + 20])) for i in range(8)], "item_id long, text string")
     docs = frame([(i, " ".join(WORDS[i * 20 - 5: i * 20 + 30])) for i in range(1, 8)], "doc_id long, text string")
