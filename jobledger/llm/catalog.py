@@ -46,7 +46,7 @@ def tokenizer_path() -> str:
 @query("op1_kneser_ney")
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", fold("doc_id", 10).alias("held_out"))
-    model = ngrams.train(docs.filter(~F.col("held_out")))
+    model = ngrams.train(docs.filter(~F.col("held_out")), order=3)
     return ngrams.score(docs, model, keep=("held_out",))
 
 

@@ -98,22 +98,45 @@ def gram_shard(cols: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarr
     return pick(np.where(whole, V.chain(h, cols[-1]), h), shards)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Bytes of equal rank together, so that the shuffle's compression finds them."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
 def pack(cols: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """Rows of word hashes and a count, sorted by the first word; bytes of
-    equal rank lie together, so that the shuffle's compression finds them."""
-    order = np.argsort(cols[0])
-    first = cols[0][order]
-    parts = [np.diff(first, prepend=np.uint64(0)), *(c[order] for c in cols[1:]), counts[order].astype(np.uint64)]
-    n = len(first)
-    planes = [np.ascontiguousarray(np.ascontiguousarray(p).view(np.uint8).reshape(n, 8).T).tobytes() for p in parts]
-    return struct.pack("<qq", n, len(parts)) + b"".join(planes)
+    """Rows of word hashes and a count, sorted by the first two words. A column
+    that repeats its words holds each once, and short places among them."""
+    n, out = len(counts), [struct.pack("<qq", len(counts), len(cols) + 1)]
+    coded = [np.unique(c, return_inverse=True) for c in cols]
+    order = np.lexsort([place for _, place in coded[1::-1]])
+    for k, (words, place) in enumerate(coded):
+        if 2 * len(words) < n:
+            place = place[order].astype(np.uint32)
+            place = np.diff(place, prepend=np.uint32(0)) if k == 0 else place
+            out += [struct.pack("<q", len(words)), planes(np.diff(words, prepend=np.uint64(0))), planes(place)]
+        else:
+            c = cols[k][order]
+            out += [struct.pack("<q", 0), planes(np.diff(c, prepend=np.uint64(0)) if k == 0 else c)]
+    return b"".join([*out, struct.pack("<q", 0), planes(counts[order].astype(np.uint64))])
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    n, k = struct.unpack_from("<qq", blob)
-    raw = np.frombuffer(blob, np.uint8, offset=16).reshape(k, 8, n)
-    parts = [np.ascontiguousarray(raw[i].T).reshape(-1).view(np.uint64) for i in range(k)]
-    parts[0] = np.cumsum(parts[0], dtype=np.uint64)
+    (n, k), at, parts = struct.unpack_from("<qq", blob), 16, []
+
+    def take(count, kind):
+        nonlocal at
+        width = np.dtype(kind).itemsize
+        raw = np.frombuffer(blob, np.uint8, count * width, at).reshape(width, count)
+        at += count * width
+        return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
+
+    for i in range(k):
+        (m,) = struct.unpack_from("<q", blob, at)
+        at += 8
+        words = np.cumsum(take(m, np.uint64), dtype=np.uint64)
+        part = take(n, np.uint32 if m else np.uint64)
+        part = np.cumsum(part, dtype=part.dtype) if i == 0 else part
+        parts.append(words[part] if m else part)
     return parts
 
 

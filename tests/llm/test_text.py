@@ -190,6 +190,27 @@ def test_kneser_ney_beats_the_base_on_held_out_text(spark):
     assert got[got.held_out].score.sum() > got[got.held_out].base_score.sum() * 0.98
 
 
+@pytest.mark.parametrize("n, words", [(0, 1), (1, 1), (5, 9), (5000, 40), (5000, 10**6)])
+def test_packed_rows_come_back(n, words):
+    rng = np.random.default_rng(n + words)
+    names = rng.integers(0, 2**64, words, np.uint64)
+    for k in (1, 2, 3):
+        rows = [*(names[rng.integers(0, words, n)] for _ in range(k)), rng.integers(0, 9, n).astype(np.uint64)]
+        blob = ngrams.pack(rows[:-1], rows[-1].astype(np.int64))
+        assert Counter(zip(*(c.tolist() for c in ngrams.unpack(blob)))) == Counter(zip(*(c.tolist() for c in rows)))
+        assert not n or words > 40 or n < 100 or len(blob) < n * (4 * k + 8) + 1000 * k
+
+
+def test_kneser_ney_registered_with_trigrams(spark):
+    from jobledger.llm.catalog import QUERIES
+
+    got = QUERIES["op1_kneser_ney"](spark, "/root/testdata/sf0.001").collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    brute = Brute([t for i, t in docs.items() if not held(i, 10)], 3)
+    asked = sorted((r for r in got if r.held_out), key=lambda r: len(docs[r.doc_id]))[:10]
+    assert asked and all(r.score == pytest.approx(brute.score(docs[r.doc_id]), rel=1e-9) for r in asked)
+
+
 def test_toxicity_held_out(spark):
     from jobledger.llm.catalog import QUERIES
 
