@@ -4,10 +4,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from harness import SF_SMALL
+
 from jobledger.operators.process import NonRetryable
 from jobledger.plans import flows
 from jobledger.sources import fixtures as fx
-from conftest import SF_SMALL
 
 
 def test_submit_requests(spark):

@@ -2,10 +2,9 @@
 (the driver runs the same comparison at sf0.01)."""
 
 import pytest
-from harness import compare, duck, type_differences
+from harness import SF_SMALL, compare, duck, type_differences
 
 from jobledger.catalog import ORACLE, QUERIES
-from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -5,10 +5,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from harness import SF_SMALL
+
 from jobledger.sources import fixtures as fx
 from jobledger.streaming import operators as T
 from jobledger.streaming.subscribe import subscribe
-from conftest import SF_SMALL
 
 
 @pytest.fixture(scope="module")
