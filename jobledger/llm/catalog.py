@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc
+from jobledger.llm import collocations, decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -118,3 +118,37 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_cross_polytope")
 def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query("op12_collocations", f"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+    lists AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
+    runs AS (SELECT lang, w, i, unnest([1, 2, 3]) AS size FROM places),
+    counts AS (
+        SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+        FROM runs WHERE i + size - 1 <= len(w) GROUP BY ALL),
+    words AS (SELECT lang, sum(f) AS n FROM counts WHERE size = 1 GROUP BY lang),
+    wide AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10),
+    cut AS (
+        SELECT lang, phrase, a, size, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM wide)),
+    scored AS (
+        SELECT c.*, x.f AS l, y.f AS r, (c.a::HUGEINT * c.a * 1000000) // (x.f::HUGEINT * y.f) AS score
+        FROM cut c JOIN counts x ON x.lang = c.lang AND x.phrase = c.head JOIN counts y ON y.lang = c.lang AND y.phrase = c.tail),
+    best AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored),
+    longer AS (
+        SELECT lang, phrase, max(a) AS most FROM (
+            SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM wide WHERE size = 3
+            UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM wide WHERE size = 3) GROUP BY ALL),
+    kept AS (
+        SELECT b.lang, b.phrase, b.a, b.l, b.r, w.n::BIGINT AS n, b.score::BIGINT AS score
+        FROM best b JOIN words w ON w.lang = b.lang LEFT JOIN longer g ON g.lang = b.lang AND g.phrase = b.phrase
+        WHERE b.nth = 1 AND NOT coalesce(100 * g.most >= 50 * b.a, false))
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+    FROM kept QUALIFY rank <= 2000""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"), most=3, least=10, scale=1_000_000, share_of=50)
+    return collocations.top(found, 2000).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
