@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import collocations, decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc
+from jobledger.llm import collocations, decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc, whitening
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -152,3 +152,8 @@ def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(table(spark, sf_dir, "documents"), most=3, least=10, scale=1_000_000, share_of=50)
     return collocations.top(found, 2000).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+@query("op13_whitening")
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=16, steps=64, shift=1_000_000, weights="one")
