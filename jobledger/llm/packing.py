@@ -29,7 +29,7 @@ class Encoder:
 
     A byte-level file with the usual pattern is run by tiktoken, which gives
     the same ids several times as fast; any other by ``tokenizers`` itself.
-    Special tokens' strings in a text are ordinary text.
+    An added token's string in a text is that token, as ``tokenizers`` has it.
     """
 
     def __init__(self, path: str):
@@ -39,18 +39,20 @@ class Encoder:
             spec = json.load(f)
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         usual = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        if usual and model["type"] == "BPE" and not spec.get("normalizer"):
+        special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        plain = not any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip"))
+        plain = plain and not any(a != b and a.startswith(b) for a in special for b in special)
+        if usual and plain and model["type"] == "BPE" and not spec.get("normalizer"):
             import tiktoken
 
-            special = {t["content"] for t in spec["added_tokens"]}
             byte = {c: b for b, c in enumerate(byte_letters())}
             ranks = {bytes(byte[c] for c in k): v for k, v in model["vocab"].items() if k not in special}
-            self.ids = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            encoding = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+            self.ids = lambda text: encoding.encode(text, allowed_special="all")
         else:
             from tokenizers import Tokenizer
 
             tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
             self.ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> bytes:
