@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobledger.llm import collocations, decontaminate, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc, whitening
+from jobledger.llm import collocations, decontaminate, histogram, langid, neighbours, ngrams, packing, ring, simhash, toxicity, urls, warc, whitening
 from jobledger.sources.tables import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -120,6 +120,11 @@ def op5_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), every=20, k=20)
 
 
+@query("op11_least_squares")
+def op11_least_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=1)
+
+
 @query("op12_collocations", f"""
     WITH pieces AS (
         SELECT coalesce(lang, 'und') AS lang,
