@@ -249,9 +249,9 @@ def joined(data: np.ndarray, starts: np.ndarray, stops: np.ndarray):
     ends = np.cumsum(size)
     body = np.arange(int(ends[-1]) if n else 0) + np.repeat(a.reshape(-1) - ends + size, size)
     out = textvec.LOWER[data[body]]
-    for c in range(1, k):
-        out[(ends.reshape(n, -1)[:, 2 * c - 1]) - 1] = 32
-    at = np.concatenate([[0], ends.reshape(n, -1)[:, -1]]) if n else np.zeros(1, np.int64)
+    ends = ends.reshape(n, 2 * k - 1)
+    out[ends[:, 1::2].ravel() - 1] = 32
+    at = np.concatenate([[0], ends[:, -1]])
     return pa.Array.from_buffers(pa.large_string(), n, [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(out)])
 
 

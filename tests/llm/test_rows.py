@@ -121,7 +121,6 @@ def check_packing(rows, texts, capacity):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_path())
-    tok.encode_special_tokens = True
     at, where = {}, {}
     for r in rows:
         at.setdefault(r.doc_id, []).append(r)
