@@ -22,9 +22,10 @@ from jobledger.llm import textvec
 from jobledger.llm.store import share
 from jobledger.plans.strategy import cut_lineage
 
-SLICE = 2 << 20  # bytes of text whose phrases are in memory at a time
-FLUSH = 4_000_000  # phrases that a task adds up before it sends them on
-PART_BYTES = 32 << 20  # text a hash partition
+SLICE = 1 << 20  # bytes of text whose phrases are in memory at a time
+FLUSH = 3_000_000  # phrases that a task adds up before it sends them on
+MERGE = 1_000_000  # counts that a partition's summary takes at a time
+PART_BYTES = 8 << 20  # text a hash partition
 FILTER_BITS = 1 << 29  # all partitions' filters together
 KEY_BITS = 40  # of a phrase's hash, within its partition
 UNDETERMINED = "und"
@@ -199,7 +200,7 @@ def survivors(sent: DataFrame, parts: int, least: int) -> DataFrame:
             wide[:, :5] = body
             held.append((wide.reshape(-1).view("<u8"), np.frombuffer(table.column(2)[i].as_buffer(), np.uint8).astype(np.int64)))
             n += len(body)
-            if n >= FLUSH or i == rows[-1]:
+            if n >= MERGE or i == rows[-1]:
                 got.merge(*(np.concatenate(c) for c in zip(*held)))
                 held, n = [], 0
         keys = got.keys[got.counts + got.lost >= least]
@@ -304,7 +305,7 @@ def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", mo
     df = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang"),
                      F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     total = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    parts = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))  # several a task, so that tasks are even
     filters = survivors(summaries(df, parts, most), parts, least).collect()  # bounded by FILTER_BITS
     return exact(df, Filter(filters, parts), most, least)
 
