@@ -8,10 +8,11 @@ fold, the same for every key and size:
 
 1. (key hash, time, id) alone are cut into slices of about equally many rows
    (``plans.scan``), whatever the period; a hot key runs through many;
-2. of each slice that its first key enters from the one before, the chain's
-   exits are summarised for every way to enter it;
-3. per key the summaries are composed in order, which gives each such slice
-   the slot that is open when it begins;
+2. slices that a key runs through tell, for ways to enter them, the slot that
+   is open at their end: all ways if there are few, else samples;
+3. the driver follows each such key from slice to slice. Samples bound where a
+   slice can be entered, and rounds of finer answers, at most ``LIMIT`` rows a
+   slice, settle the slot that is open when each slice begins;
 4. every slice is folded on its own from there, batch by batch, with
    ``numpy.searchsorted`` jumps from slot to slot.
 
@@ -30,6 +31,8 @@ from jobledger.functions.timecols import epoch_us
 from jobledger.plans import scan
 from jobledger.plans.scan import SLICE
 
+LIMIT = 256  # runs or samples that a slice sends to the driver in a round
+
 STATUS = {"reject": "duplicate", "ignore": "ignored", "replace": "replaced",
           "replace_except_schedule": "replaced"}
 
@@ -98,61 +101,139 @@ def _chain_next(t: np.ndarray, period_us: int) -> np.ndarray:
     return np.searchsorted(t, t + period_us, "left").astype("int64")
 
 
-def _exits(period_us: int, entered: set, left: set):
-    """Of a slice's last key, if the next slice goes on with it (``left``):
-    the slot open at the end, for every way to enter. A key that begins in
-    this slice is entered in one way; of one that comes from the slice before
-    (``entered``, and it is the slice's only key), consecutive first rows with
-    the same exit are one run ``(last entry time, exit)``."""
+def _exits(period_us: int, asked: dict, limit: int):
+    """Of the last key of each slice in ``asked``: ways to enter the slice and
+    the slot that is then open at its end. ``asked[slice]`` is None if the key
+    begins in the slice, which is one way; else the slice holds that key only,
+    and the ranges of the time ``open + period`` to answer for. Entries in a
+    row with one exit are one run, told by its last entry time. If there are
+    more than ``limit`` runs, evenly spaced entries are sent as samples, with
+    the number of slots that open after them."""
     def run(batches):
-        held, slice_ = [], None
+        held = []
         for pdf in batches:
             if not len(pdf):
                 continue
             slice_ = int(pdf[SLICE].iloc[0])
-            if slice_ not in left:
-                return
-            last = pdf["_k"].to_numpy() == pdf["_k"].iloc[-1]
-            own = pdf[last]
-            whole = bool(last.all()) and (not held or held[-1]["_k"].iloc[0] == own["_k"].iloc[0])
-            held = [*held, own] if whole else [own.assign(_new=True)]
+            own = pdf[pdf["_k"].to_numpy() == pdf["_k"].iloc[-1]]
+            held = [*held, own] if held and len(own) == len(pdf) and held[-1]["_k"].iloc[0] == own["_k"].iloc[0] else [own]
         if not held:
             return
         part = pd.concat(held, ignore_index=True)
         t, ids, n = part["_t"].to_numpy(dtype="int64"), part["_id"].to_numpy(), len(part)
-        begins = "_new" in part.columns or slice_ not in entered
         nxt = _chain_next(t, period_us)
-        succ = np.where(nxt < n, nxt, np.arange(n))
+        succ, steps = np.where(nxt < n, nxt, np.arange(n)), (nxt < n).astype("int64")
         while True:  # pointer doubling: every row -> last anchor of its chain in the slice
             again = succ[succ]
             if np.array_equal(again, succ):
                 break
-            succ = again
-        # a slot from before ends within a period of the slice's first row
-        m = 0 if begins else int(np.searchsorted(t, t[0] + period_us, "left")) if period_us > 0 else n - 1
-        ex = succ[: min(m + 1, n)]
-        end = np.flatnonzero(np.r_[ex[1:] != ex[:-1], True])
-        yield pd.DataFrame({"_k": part["_k"].iloc[0], SLICE: slice_, "_begins": begins, "_run_end_t": t[end],
-                            "_exit_t": t[ex[end]], "_exit_id": ids[ex[end]]})
+            steps, succ = steps + steps[succ], again
+        ranges, exact = asked[slice_], True
+        if ranges is None:
+            pick = np.zeros(1, dtype="int64")
+        else:
+            # a slot from before ends within a period of the slice's first row
+            first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+            first = first[: int(np.searchsorted(t[first], t[0] + period_us, "left")) + 1]
+            spans = [(np.searchsorted(t[first], lo, "left"), np.searchsorted(t[first], hi, "left")) for lo, hi in ranges]
+            pick = np.unique(np.concatenate([np.arange(a, min(b + 1, len(first))) for a, b in spans]))
+            if not len(pick):
+                return
+            last = np.r_[(succ[first[pick[1:]]] != succ[first[pick[:-1]]]) | (pick[1:] != pick[:-1] + 1), True]
+            exact = int(last.sum()) <= limit
+            some = np.unique(np.r_[np.linspace(0, len(pick) - 1, limit).astype("int64"), max(len(pick) - 2, 0)])
+            pick = first[pick[last]] if exact else first[pick[some]]
+        yield pd.DataFrame({SLICE: slice_, "_entry_t": t[pick], "_exit_t": t[succ[pick]], "_exit_id": ids[succ[pick]], "_steps": steps[pick], "_exact": exact})
     return run
 
 
-def _compose(period_us: int):
-    """Per key, over its slices in order: the slot that each next slice is
-    entered with."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = {SLICE: [], "_anchor_t": [], "_anchor_id": []}
-        at, rid = None, None
-        for slice_, g in pdf.sort_values([SLICE, "_run_end_t"], kind="mergesort").groupby(SLICE, sort=True):
-            theta = None if at is None or g["_begins"].iloc[0] else at + period_us if period_us > 0 else np.iinfo("int64").max
-            hit = g if theta is None else g[g["_run_end_t"] >= theta]
-            if len(hit):  # else the slot stays open through the slice
-                at, rid = int(hit["_exit_t"].iloc[0]), hit["_exit_id"].iloc[0]
-            out[SLICE].append(int(slice_))
-            out["_anchor_t"].append(at)
-            out["_anchor_id"].append(rid)
-        return pd.DataFrame(out)
-    return run
+def _merged(ranges: list, most: int = 16) -> list:
+    """Closed ranges, sorted and joined where they touch, and over the
+    smallest gaps until at most ``most`` are left."""
+    out: list = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(hi, out[-1][1]))
+        else:
+            out.append((lo, hi))
+    while len(out) > most:
+        i = min(range(len(out) - 1), key=lambda i: out[i + 1][0] - out[i][1])
+        out[i: i + 2] = [(out[i][0], out[i + 1][1])]
+    return out
+
+
+def _image(ranges: list, found: pd.DataFrame, last_t: int, period_us: int) -> list:
+    """Where the slot that is open at a slice's end can begin, if the slice is
+    entered within ``ranges``. Chains keep their order and interleave, so
+    between two samples with equal steps the exits lie between theirs; with
+    one step less, they have passed the slice's end."""
+    entry, leave, steps = (found[c].to_numpy() for c in ("_entry_t", "_exit_t", "_steps"))
+    out = []
+    for lo, hi in ranges:
+        a, b = int(np.searchsorted(entry, lo, "left")), min(int(np.searchsorted(entry, hi, "left")), len(entry) - 1)
+        for j in range(a, b + 1):
+            x = int(leave[j])
+            if found["_exact"].iloc[0] or j == 0:
+                out.append((x, x))
+            elif steps[j] == steps[j - 1]:
+                out.append((int(leave[j - 1]), x))
+            else:
+                out += [(int(leave[j - 1]), last_t), (last_t - period_us + 1, x)]
+    return _merged(out)
+
+
+def _entries(cut: DataFrame, period_us: int, id_type: str, limit: int) -> dict:
+    """Slice -> (time, id) of the slot that its first key brings along.
+
+    A key that runs through many slices is followed from the first to the
+    last. What a slice does to the slot is asked for in rounds, for all slices
+    at once: at most ``limit`` runs or samples of each. Samples narrow down
+    where the slices after it can be entered, so the next round asks for less;
+    the first open slice of each key is entered at one known time, so each
+    round settles at least that one."""
+    # two keys and two times for each slice
+    ends = sorted(cut.groupBy(SLICE).agg(F.min("_k").alias("a"), F.max("_k").alias("b"), F.max("_t").alias("t")).collect())
+    chains, last_t = [], {e[SLICE]: e.t for e in ends}
+    for x, y in zip(ends[:-1], ends[1:]):
+        if x.b != y.a:
+            continue
+        if chains and chains[-1][-1] == x[SLICE] and x.a == x.b:
+            chains[-1].append(y[SLICE])
+        else:
+            chains.append([x[SLICE], y[SLICE]])
+    found, everything = {}, [(-(1 << 62), 1 << 62)]
+    while True:
+        asked, entries = {}, {}
+        for chain in chains:
+            start, open_ = found.get(chain[0]), None
+            if start is None:
+                asked[chain[0]] = None
+                ranges = everything
+            else:
+                open_ = (int(start["_exit_t"].iloc[0]), start["_exit_id"].iloc[0])
+                ranges = [(open_[0] + period_us,) * 2]
+            for slice_ in chain[1:]:
+                entries[slice_] = open_
+                if slice_ == chain[-1] or period_us <= 0:
+                    continue  # its end is not needed; or the slot never closes
+                end, own = last_t[slice_], found.get(slice_)
+                inside = [(lo, min(hi, end)) for lo, hi in ranges if lo <= end]
+                beyond = [(max(lo, end + 1), hi) for lo, hi in ranges if hi > end]
+                if inside and (own is None or not own["_exact"].iloc[0]):
+                    asked[slice_] = inside
+                if open_ and inside and slice_ not in asked:
+                    row = own.iloc[int(np.searchsorted(own["_entry_t"].to_numpy(), inside[0][0], "left"))]
+                    open_ = (int(row["_exit_t"]), row["_exit_id"])
+                    ranges = [(open_[0] + period_us,) * 2]
+                elif inside:
+                    open_ = None
+                    reach = [(end - period_us + 1, end)] if own is None else _image(inside, own, end, period_us)
+                    ranges = _merged(beyond + [(lo + period_us, hi + period_us) for lo, hi in reach])
+        if not asked:
+            return entries
+        schema = f"{SLICE} int, _entry_t long, _exit_t long, _exit_id {id_type}, _steps long, _exact boolean"
+        sent = cut.filter(F.col(SLICE).isin(list(asked))).mapInPandas(_exits(period_us, asked, limit), schema).toPandas()
+        found.update({int(s): g.sort_values("_entry_t", kind="stable") for s, g in sent.groupby(SLICE)})
 
 
 def apply_unique(requests: DataFrame, period_ms: int, on_conflict: str = "reject",
@@ -174,16 +255,8 @@ def apply_unique(requests: DataFrame, period_ms: int, on_conflict: str = "reject
     id_type = df.schema[id_col].dataType.simpleString()
 
     narrow = df.filter(F.col("_t").isNotNull()).select("_k", "_t", F.col(id_col).alias("_id")).distinct()
-    cut = scan.slices(narrow, "_k", ["_t", "_id"]).sortWithinPartitions(SLICE, "_k", "_t", "_id")
-    # two keys and a count for each slice
-    ends = sorted(cut.groupBy(SLICE).agg(F.min("_k").alias("a"), F.max("_k").alias("b")).collect())
-    entered = {y[SLICE] for x, y in zip(ends[:-1], ends[1:]) if x.b == y.a}
-    left = {x[SLICE] for x, y in zip(ends[:-1], ends[1:]) if x.b == y.a}
-    after = {x[SLICE]: y[SLICE] for x, y in zip(ends[:-1], ends[1:])}
-    exits = cut.mapInPandas(_exits(period_us, entered, left), f"_k string, {SLICE} int, _begins boolean, _run_end_t long, _exit_t long, _exit_id {id_type}")
-    opened = exits.groupBy("_k").applyInPandas(_compose(period_us), f"{SLICE} int, _anchor_t long, _anchor_id {id_type}")
-    # a slot for each slice that a key runs into
-    entries = {after[r[SLICE]]: (r._anchor_t, r._anchor_id) for r in opened.collect()} if left else {}
+    cut = scan.slices(narrow, "_k", ["_t", "_id"], ordered=True)
+    entries = _entries(cut, period_us, id_type, LIMIT)  # a slot for each slice that a key runs into
     labels = cut.mapInPandas(_fold(period_us, on_conflict, entries),
                              f"_k string, _t long, _id {id_type}, status string, slot_anchor_us long, slot_id {id_type}")
 
@@ -203,7 +276,9 @@ def unique_survivors(folded: DataFrame, on_conflict: str = "reject", ts_col: str
                      id_col: str = "request_id") -> DataFrame:
     """One job per slot: ``reject``/``ignore`` keep the first request;
     ``replace`` keeps the last payload and its time; ``replace_except_schedule``
-    keeps the last payload with the first run time."""
+    keeps the last payload with the first run time. Requests without a time
+    hold no slot; ``unique_untimed`` has them."""
+    folded = folded.filter(F.col("status") != "no_time")
     last = F.max_by(F.col(id_col), F.struct(F.col(ts_col), F.col(id_col)))
     g = folded.groupBy("slot_id").agg(last.alias("_last"), F.min(ts_col).alias("_first_ts"),
                                       F.max(ts_col).alias("_last_ts"), F.count(F.lit(1)).alias("conflicts"))
@@ -215,3 +290,8 @@ def unique_survivors(folded: DataFrame, on_conflict: str = "reject", ts_col: str
         payload, run_at = F.col("_last"), F.col("_first_ts")
     return g.select("slot_id", payload.alias("payload_id"), run_at.alias("run_at"),
                     (F.col("conflicts") - 1).alias("conflicts"))
+
+
+def unique_untimed(folded: DataFrame) -> DataFrame:
+    """The requests that could hold no slot, because they have no time."""
+    return folded.filter(F.col("status") == "no_time").drop("status", "slot_id", "slot_anchor")

@@ -36,10 +36,13 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def slices(df: DataFrame, key, order: list[str]) -> DataFrame:
+def slices(df: DataFrame, key, order: list[str], ordered: bool = False) -> DataFrame:
     """Rows with their slice number ``_bk``, which rises with (key, order).
-    ``order`` should end with a column that tells equal times apart."""
+    ``order`` should end with a column that tells equal times apart. With
+    ``ordered``, a slice's rows are written in order, once for all readers."""
     ranged = df.repartitionByRange(*_keys(key), *order)
+    if ordered:
+        ranged = ranged.sortWithinPartitions(*_keys(key), *order)
     return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
 
 

@@ -114,6 +114,60 @@ def test_unique_hot_keys_in_slices_match_fold(spark, many_slices, period_ms, bur
     assert got == unique_py(rows, period_ms * 1000)
 
 
+@pytest.fixture
+def rounds(monkeypatch):
+    """Rows of each round's answers, by slice, with few allowed."""
+    monkeypatch.setattr(UQ, "LIMIT", 8)
+    seen, exits = [], UQ._exits
+
+    def watched(period_us, asked, limit):
+        seen.append(dict(asked))
+        run = exits(period_us, asked, limit)
+
+        def each(batches):
+            for out in run(batches):
+                assert len(out) <= limit + 4
+                yield out
+        return each
+
+    monkeypatch.setattr(UQ, "_exits", watched)
+    return seen
+
+
+@pytest.mark.parametrize("period_ms", [0, 1, 1_000, 90_000, 1_100_000, 7_000_000, 90_000_000])
+@pytest.mark.parametrize("shape", ["even", "burst", "dense"])
+def test_unique_one_key_through_twenty_slices(spark, many_slices, rounds, period_ms, shape):
+    """Periods from never and one tick to many slices long."""
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    rng = random.Random(f"{period_ms}{shape}")
+    draw = {"even": lambda: rng.randrange(20_000_000), "burst": lambda: rng.choice([3_000_000, 9_000_000, 9_000_001]) + rng.randrange(2_000),
+            "dense": lambda: rng.randrange(3_000)}[shape]
+    rows = [("hot", draw(), i) for i in range(4000)] + [("a", 5, 9001), ("z", 5, 9002)]
+    df = spark.createDataFrame([(k, T0 + dt.timedelta(milliseconds=t), i) for k, t, i in rows], "ukey string, created_at timestamp, request_id long")
+    got = {r.request_id: (r.status, r.slot_id) for r in UQ.apply_unique(df, period_ms, key_col="ukey").collect()}
+    assert got == unique_py(rows, period_ms)
+    assert len(rounds) <= 8
+
+
+@pytest.mark.parametrize("strategy", ["reject", "ignore", "replace", "replace_except_schedule"])
+def test_unique_hot_key_strategies_in_rounds(spark, many_slices, rounds, strategy):
+    rows = [("hot", i * 37 % 50_000, i) for i in range(3000)]
+    df = spark.createDataFrame([(k, T0 + dt.timedelta(milliseconds=t), i) for k, t, i in rows], "ukey string, created_at timestamp, request_id long")
+    folded = UQ.apply_unique(df, 9_000, strategy, key_col="ukey")
+    want = unique_py([(k, t, i) for k, t, i in rows], 9_000)
+    label = {"accepted": "accepted", "duplicate": UQ.STATUS[strategy]}
+    assert {r.request_id: (r.status, r.slot_id) for r in folded.collect()} == {i: (label[s], slot) for i, (s, slot) in want.items()}
+    assert UQ.unique_survivors(folded, strategy).count() == len({slot for _, slot in want.values()})
+
+
+def test_requests_without_a_time_have_a_table_of_their_own(spark):
+    rows = [("k", T0, 1, "x"), ("k", None, 2, "y"), ("j", None, 3, "z"), (None, None, 4, None)]
+    folded = UQ.apply_unique(spark.createDataFrame(rows, "ukey string, created_at timestamp, request_id long, body string"), 1000, key_col="ukey")
+    for strategy in UQ.STATUS:
+        assert [(r.slot_id, r.payload_id, r.conflicts) for r in UQ.unique_survivors(folded, strategy).collect()] == [(1, 1, 0)]
+    assert sorted((r.request_id, r.body) for r in UQ.unique_untimed(folded).collect()) == [(2, "y"), (3, "z"), (4, None)]
+
+
 def test_running_sum_splits_hot_key(spark, many_slices):
     rng = random.Random(11)
     rows = [(rng.choice(["hot"] * 7 + ["a", "b", None]), i, T0 + dt.timedelta(seconds=rng.randrange(10**6)),
