@@ -7,7 +7,7 @@ produced, nothing is collected to the driver). Prints ONE JSON line:
 Every query over the job ledger is run; BENCH_QUERIES=a,b picks some. Queries
 not begun after $BENCH_BUDGET_SEC (480) are listed as skipped; HEADLINE ones
 come first.
-Each query runs untimed on $BENCH_WARMUP_DIR (default sf0.001) first, so the timings are steady-state (JIT and codegen compiled);
+Each query runs untimed on $BENCH_WARMUP_DIR (default sf0.01) first, so the timings are steady-state (JIT and codegen compiled);
 BENCH_WARMUP=0 skips it and times cold runs.
 """
 
@@ -42,7 +42,7 @@ def main() -> None:
     names.sort(key=lambda n: (n not in HEADLINE, n))
     # Each query runs once on the small scale (other files, same plan) before
     # it is timed: JIT and codegen compile then; reported, not timed.
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     warm = warm_dir and os.path.isdir(warm_dir) and os.environ.get("BENCH_WARMUP", "1") == "1"
     times, skipped, warmup_sec = {}, [], 0.0
     began, budget = time.perf_counter(), float(os.environ.get("BENCH_BUDGET_SEC", "480"))

@@ -1,15 +1,19 @@
-"""Queries for the streaming operators, run on the static tables.
-The same functions run on streams in tests/test_streaming.py."""
+"""Queries for the streaming operators (T1-T4, X5): on the static tables, and
+as streams (``*_run``) over files of the same rows that arrive out of order,
+with watermarks that close windows on the way, read back at their end and held
+against the same SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobledger.catalog.registry import register
+from jobledger.catalog.registry import ORACLE, register
 from jobledger.catalog.aggregates import _reason_sql
 from jobledger.catalog.windows import EVENT_STATE_SQL
 from jobledger.sources import fixtures as fx
+from jobledger.streaming import latest, replay
 from jobledger.streaming import operators as T
+from jobledger.streaming.subscribe import subscribe
 
 
 @register("stream_throughput", views=("job_events",), sql="""
@@ -62,3 +66,60 @@ FROM w GROUP BY s""")
 def q_stream_throughput_sliding(spark, sf):
     """T1 with sliding windows: one hour wide, every 30 minutes."""
     return T.stream_throughput(fx.job_events(spark, sf), "1 hour", slide="30 minutes")
+
+
+LATE = "2 days"  # a row arrives at most one day late
+
+
+def _arriving(rows, spark, name, time_col, **last):
+    """``rows`` as a stream, and the folder of its files and results."""
+    path = replay.folder(spark, name)
+    return replay.arrive(rows, f"{path}/in", time_col, last=last), path
+
+
+@register("stream_throughput_run", sql=ORACLE["stream_throughput"])
+def q_stream_throughput_run(spark, sf):
+    """T1 on a stream: windows are written once, when the watermark closes them."""
+    events, path = _arriving(fx.job_events(spark, sf), spark, "throughput", "time")
+    return replay.run(T.stream_throughput(events, "1 hour", watermark=LATE), path).drop("epoch")
+
+
+@register("stream_current_state_run", sql=ORACLE["stream_current_state"])
+def q_stream_current_state_run(spark, sf):
+    """T2 on a stream: changes from the stateful processor, the last one counts."""
+    events, path = _arriving(fx.job_events(spark, sf), spark, "current-state", "time", subject="end of stream")
+    changes = replay.run(T.stream_current_state(events, "60 days", LATE), path, "update")
+    return latest.latest_of_changes(changes.filter("subject <> 'end of stream'"))
+
+
+@register("stream_worker_sessions_run", sql=ORACLE["stream_worker_sessions"])
+def q_stream_worker_sessions_run(spark, sf):
+    """T3 on a stream: sessions are written once, when the watermark closes them."""
+    beats, path = _arriving(fx.heartbeats(spark, sf), spark, "sessions", "ts", worker_id="end of stream")
+    return replay.run(T.stream_worker_sessions(beats, "30 minutes", LATE), path).drop("epoch")
+
+
+@register("stream_ingest_run", sql=ORACLE["stream_ingest"])
+def q_stream_ingest_run(spark, sf):
+    """T4 on a stream: two sinks by epoch, read back."""
+    rows = fx.requests(spark, sf).select("request_id", "batch_id", "type", "queue", "created_at")
+    requests, path = _arriving(rows, spark, "ingest", "created_at", request_id=-1)
+    T.stream_ingest(requests, f"{path}/good", f"{path}/bad", f"{path}/checkpoint", {"availableNow": True}).awaitTermination()
+    good, bad = (spark.read.schema("request_id long, batch_id long, type string, queue string, reason string").parquet(f"{path}/{n}") for n in ("good", "bad"))
+    return good.unionByName(bad).filter("request_id >= 0").drop("epoch")
+
+
+@register("subscribe_run", views=("job_events",), sql="""
+SELECT type, subject, count(*) AS n FROM job_events WHERE type IN ('job.completed', 'job.failed') GROUP BY type, subject""")
+def q_subscribe_run(spark, sf):
+    """X5 on a stream: each type's callback writes its counts of an epoch."""
+    events, path = _arriving(fx.job_events(spark, sf), spark, "subscribe", "time", subject="end of stream")
+
+    def counts(typ):
+        def write(batch, epoch):
+            batch.groupBy("type", "subject").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/counts/of={typ}/epoch={epoch}")
+        return write
+
+    subscribe(events, {t: counts(t) for t in ("job.completed", "job.failed")}, f"{path}/checkpoint", {"availableNow": True}).awaitTermination()
+    got = spark.read.schema("type string, subject string, n long").parquet(f"{path}/counts").filter("subject <> 'end of stream'")
+    return got.groupBy("type", "subject").agg(F.sum("n").alias("n"))

@@ -41,15 +41,23 @@ def stream_throughput(events: DataFrame, width: str = "1 hour", slide: str | Non
                     F.round(F.col("completed") / F.lit(_interval_seconds(width)), 6).alias("throughput_per_second"))
 
 
-def stream_current_state(events: DataFrame) -> DataFrame:
+def stream_current_state(events: DataFrame, horizon: str = "30 days", watermark: str = "1 day") -> DataFrame:
     """Running current state per job in which terminal states are final:
     the earliest terminal event if the job has one, else its latest event.
 
-    Both parts are order-independent aggregates (min / max of
-    (time, event_id, state)), so late or out-of-order events give the same
-    answer as the batch run; Spark keeps one state row per job in its state
-    store (update output mode)."""
+    A table is answered by two order-independent aggregates. A stream gives
+    the changes of each job's state (``latest.CHANGES``; update mode), from a
+    stateful processor: late and out-of-order events within the watermark give
+    the answer of the table, and a job's state is dropped once the watermark
+    is ``horizon`` past its newest event. Dropping an unfinished job's state
+    never changes its answer; an event that follows a terminal one by more
+    than the horizon begins the job anew."""
     e = events.withColumn("_state", _event_state()).filter(F.col("_state").isNotNull())
+    if events.isStreaming:
+        from jobledger.streaming.latest import state_changes
+
+        e = e.select("subject", "event_id", F.col("_state").alias("state"), F.col("time").cast("timestamp").alias("_t"))
+        return state_changes(e, int(_interval_seconds(horizon) * 1000), watermark)
     rec = F.struct(F.col("time"), F.col("event_id"), F.col("_state").alias("state"))
     term = F.col("_state").isin(*K.TERMINAL_STATES)
     g = e.groupBy("subject").agg(F.min(F.when(term, rec)).alias("_t"), F.max(F.when(~term, rec)).alias("_o"))
