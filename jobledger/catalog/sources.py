@@ -217,19 +217,35 @@ def _message_handler(job):
 
 
 @register("handle_deliveries", views=("messages",), sql=f"""
-SELECT message_id AS delivery_id,
-       CASE WHEN body = '{{bad' THEN 'failed' WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)})
-              OR CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1 THEN 'failed' ELSE 'completed' END AS status,
-       CASE WHEN body = '{{bad' THEN 'invalid_request'
-            WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)}) OR CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1
-            THEN 'handler_error' END AS error_code,
-       CASE WHEN body = '{{bad' THEN false WHEN json_extract_string(body, '$.type') NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)}) THEN false
-            WHEN CAST(json_extract(body, '$.args[0].k') AS BIGINT) % 2 = 1 THEN true END AS error_retryable
-FROM messages""")
+, d AS (SELECT message_id AS delivery_id, body = '{{bad' AS bad, json_extract_string(CASE WHEN body <> '{{bad' THEN body END, '$.type') AS type,
+               CAST(json_extract(CASE WHEN body <> '{{bad' THEN body END, '$.args[0].k') AS BIGINT) AS k FROM messages)
+, o AS (SELECT delivery_id, CASE WHEN bad THEN 'failed to decode request body'
+                 WHEN type NOT IN ({", ".join(repr(t) for t in MESSAGE_HANDLERS)}) THEN 'no handler registered for job type: ' || type
+                 WHEN k % 2 = 1 THEN 'odd' END AS error_message, bad FROM d)
+SELECT delivery_id, CASE WHEN error_message IS NULL THEN 'completed' ELSE 'failed' END AS status,
+       CASE WHEN bad THEN 'invalid_request' WHEN error_message IS NOT NULL THEN 'handler_error' END AS error_code, error_message,
+       CASE WHEN error_message IS NOT NULL THEN NOT bad END AS error_retryable
+FROM o""")
 def q_handle_deliveries(spark, sf):
-    """Push deliveries through their handlers."""
+    """Push deliveries through their handlers; each fails or completes on its
+    own, and only an undecodable body is final."""
     m = fx.messages(spark, sf)
     body = F.concat(F.lit('{"job":'), F.col("body"), F.lit("}"))
     d = M.read_push_deliveries(m.select(F.col("message_id").alias("delivery_key"), body.alias("body")))
     d = d.drop("delivery_id").withColumnRenamed("delivery_key", "delivery_id")
-    return M.handle_deliveries(d, {t: _message_handler for t in MESSAGE_HANDLERS}).drop("error_message")
+    return M.handle_deliveries(d, {t: _message_handler for t in MESSAGE_HANDLERS})
+
+
+@register("corrupt_events", views=("job_events",), sql="""
+, k AS (SELECT event_id % 9 AS kind, count(*) AS n FROM job_events GROUP BY event_id % 9)
+SELECT kind, kind IN (0, 1, 2) AS read, n FROM k""")
+def q_corrupt_events(spark, sf):
+    """Event lines told by what is wrong with them (S5): three kinds read."""
+    k = F.col("event_id") % 9
+    line = (F.when(k == 0, '{"type":"0","other":5}').when(k == 1, '{"type":"1","subject":null,"data":{}}')
+             .when(k == 2, '{"type":"2","time":"2024-01-01T00:00:00.5+02:00"}').when(k == 3, '{"type":"3","subject":5}').when(k == 4, '{"type":"4"')
+             .when(k == 5, '["5"]').when(k == 6, '{"type":"6","time":"yesterday"}').when(k == 7, '{"type":"7","data":[1]}').otherwise('{"type":"8","source":true}'))
+    good, bad = EV.split_events(fx.job_events(spark, sf).select(line.alias("value")))
+    kinds = good.select(F.col("type").cast("bigint").alias("kind"), F.lit(True).alias("read")).unionByName(
+        bad.select(F.regexp_extract(EV.CORRUPT, r"\d", 0).cast("bigint").alias("kind"), F.lit(False).alias("read")))
+    return kinds.groupBy("kind", "read").agg(F.count(F.lit(1)).alias("n"))

@@ -72,12 +72,12 @@ def _call(rec: dict, fn: Callable, recover: bool):
 
 
 def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_missing: str, on_error: str,
-            recover: bool, carry: tuple = ()):
+            recover: bool):
     def run(batches):
         wrapped = {t: (middleware.wrap(fn) if middleware else fn) for t, fn in handlers.items()}
         for pdf in batches:
             out = {c: [] for c in ["job_id", "type", "state", "attempt", "result", "error_code",
-                                   "error_message", "error_retryable", "duration_ms", *carry]}
+                                   "error_message", "error_retryable", "duration_ms"]}
             for rec in pdf.to_dict("records"):
                 jid, typ = rec.get("job_id"), rec.get("type")
                 attempt = rec.get("attempt")
@@ -109,8 +109,6 @@ def _runner(handlers: dict[str, Callable], middleware: StageChain | None, on_mis
                 out["error_message"].append(err)
                 out["error_retryable"].append(rty if err is not None else None)
                 out["duration_ms"].append(dur)
-                for c in carry:
-                    out[c].append(rec[c])
             yield pd.DataFrame(out)
     return run
 
@@ -136,16 +134,39 @@ def _columns(jobs: DataFrame) -> list[Column]:
 
 
 def process(jobs: DataFrame, handlers: dict[str, Callable], on_missing: str = "error",
-            on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True, carry: tuple = ()) -> DataFrame:
+            on_error: str = "nack", middleware: StageChain | None = None, recover: bool = True,
+            carry: tuple = (), skip: str | None = None) -> DataFrame:
     """X1 (+X2): run handlers over ``jobs`` (``job_id, type, queue, attempt,
     args (JSON object or wire array text) or args_map, meta``). ``on_missing``: ``error`` (failed,
     not retryable), ``fail_item`` / ``retry`` (failed, retryable) or
     ``complete``; ``on_error``: ``nack`` (failed) or ``discard``. Error code
     is always ``handler_error``; ``NonRetryable`` -> not retryable,
     ``JobError`` -> its text, any other exception -> the panic text.
-    ``carry`` names text columns that the result keeps."""
-    schema = RESULT_SCHEMA + "".join(f", `{c}` string" for c in carry)
-    return jobs.select(*_columns(jobs), *carry).mapInPandas(_runner(handlers, middleware, on_missing, on_error, recover, carry), schema)
+
+    ``carry`` names columns of any type that each row's outcome keeps; they
+    pass the handlers as Arrow arrays, untouched. A row in which ``skip`` (one
+    of them) is not NULL runs no handler; its outcome is NULL but for id and
+    type."""
+    run = _runner(handlers, middleware, on_missing, on_error, recover)
+    if not carry:
+        return jobs.select(*_columns(jobs)).mapInPandas(run, RESULT_SCHEMA)
+    n, kinds = len(_columns(jobs)), dict(jobs.dtypes)
+
+    def each(batches):
+        import pyarrow as pa
+
+        types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.float64()]
+        for batch in batches:
+            own = pa.RecordBatch.from_arrays(batch.columns[:n], names=batch.schema.names[:n]).to_pandas()
+            now = batch.column(n + carry.index(skip)).is_null().to_numpy(zero_copy_only=False) if skip else [True] * len(own)
+            ran = next(run([own[now]]))
+            out = ran.set_axis(own.index[now]).reindex(own.index).astype(object)
+            out[["job_id", "type"]] = own[["job_id", "type"]]
+            cols = [pa.Array.from_pandas(out[c].where(out[c].notna(), None), type=t) for c, t in zip(out.columns, types)]
+            yield pa.RecordBatch.from_arrays([*cols, *batch.columns[n:]], names=[*out.columns, *carry])
+
+    schema = RESULT_SCHEMA + "".join(f", `{c}` {kinds[c]}" for c in carry)
+    return jobs.select(*_columns(jobs), *carry).mapInArrow(each, schema)
 
 
 def drain(jobs: DataFrame, handlers: dict[str, Callable], middleware: StageChain | None = None) -> DataFrame:

@@ -17,69 +17,14 @@ from pyspark.sql import types as T
 
 from jobledger import schemas as S
 from jobledger.functions import args as A
+from jobledger.functions import decode as D
 from jobledger.functions.wire import nonempty_array, nonempty_string, nonzero, rfc3339
 from jobledger.session import ensure_conf
 
 CORRUPT = "_corrupt_record"
 
-TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)\z"
-
-
-def field(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
-
-
-def is_object(v: Column) -> Column:
-    """An object or ``null``."""
-    return F.is_variant_null(v) | F.schema_of_variant(v).startswith("OBJECT")
-
-
-def value_ok(x: Column, dtype: T.DataType, raw: bool = False) -> Column:
-    """``x`` is absent, null, or of the wire type; ``raw`` takes anything."""
-    if raw:
-        return F.lit(True)
-    kind = F.schema_of_variant(x)
-    if isinstance(dtype, T.StringType):
-        ok = kind == "STRING"
-    elif isinstance(dtype, T.BooleanType):
-        ok = kind == "BOOLEAN"
-    elif isinstance(dtype, T.TimestampType):
-        text = F.try_variant_get(x, "$", "string")
-        ok = (kind == "STRING") & text.rlike(TIME) & text.try_cast("timestamp").isNotNull()
-    elif isinstance(dtype, T.ArrayType):
-        ok = kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
-    elif isinstance(dtype, T.StructType):
-        ok = kind.startswith("OBJECT") & fields_ok(x, dtype)
-    else:
-        ok = (kind == "BIGINT") & F.try_variant_get(x, "$", dtype.simpleString()).isNotNull()
-    return x.isNull() | F.is_variant_null(x) | F.coalesce(ok, F.lit(False))
-
-
-# fields that stay JSON text; of these, ones that must be an object
-RAW = {"args", "meta", "result", "details"}
-OBJECTS = {"result", "details"}
-
-
-def fields_ok(v: Column, schema: T.StructType, objects: set = frozenset()) -> Column:
-    ok = F.lit(True)
-    for f in schema:
-        x = field(v, f.name)
-        ok = ok & value_ok(x, f.dataType, f.name in RAW)
-        if f.name in OBJECTS or f.name in objects:
-            ok = ok & (x.isNull() | is_object(x))
-    return ok
-
-
-def value(x: Column, dtype: T.DataType, raw: bool = False) -> Column:
-    if raw:
-        return F.when(~F.is_variant_null(x), F.to_json(x))
-    if isinstance(dtype, T.StructType):
-        return F.when(x.isNotNull() & ~F.is_variant_null(x), F.struct(*[value(field(x, f.name), f.dataType, f.name in RAW).alias(f.name) for f in dtype]))
-    if isinstance(dtype, T.TimestampType):
-        return F.try_variant_get(x, "$", "string").try_cast("timestamp")
-    if isinstance(dtype, T.ArrayType):
-        return F.transform(F.try_variant_get(x, "$", "array<string>"), lambda s: F.coalesce(s, F.lit("")))
-    return F.try_variant_get(x, "$", dtype.simpleString())
+# fields that must hold an object
+OBJECTS = {"meta", "result", "details"}
 
 
 def read_jobs(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
@@ -93,17 +38,13 @@ def read_jobs(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
 def parse_jobs(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Decode a column of JSON text: ``(jobs, corrupt)``.
 
-    The parsed value goes through a one-element ``explode``, below which
-    filters are not pushed, so a line is parsed once; fields that a query does
-    not use are not extracted."""
+    A line is parsed once and each field bound once (``functions.decode``);
+    values that a query does not use are not computed."""
     schema = T._parse_datatype_string(S.JOB_WIRE)
-    text = F.col(col)
-    parsed = df.select(text.alias(CORRUPT), F.explode(F.array(F.try_parse_json(text))).alias("_v"))
-    v = F.col("_v")
-    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, schema, {"meta"}), F.lit(False))
-    good = parsed.filter(ok).select(*[value(field(v, f.name), f.dataType, f.name in RAW).alias(f.name) for f in schema],
-                                    A.decode_args_variant(field(v, "args")).alias("args_map"), field(v, "meta").alias("meta_v"))
-    return good, parsed.filter(~ok).select(CORRUPT)
+    bound = D.decode(df.select(F.col(col).alias(CORRUPT)), F.col(CORRUPT), schema)
+    ok = D.decoded(schema, OBJECTS)
+    good = bound.filter(ok).select(*D.values(schema), A.decode_args_variant("_f.args.v").alias("args_map"), F.col("_f.meta.v").alias("meta_v"))
+    return good, bound.filter(~ok).select(CORRUPT)
 
 
 def _object(text: Column) -> Column:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobledger import schemas as S
+from jobledger.functions import decode as D
 from jobledger.operators.process import process
-from jobledger.sources.jobs import field, fields_ok, is_object, value
+
 
 def _job_event() -> T.StructType:
     return T._parse_datatype_string(S.JOB_EVENT)
@@ -31,11 +32,10 @@ def read_messages(df: DataFrame, records: str | None = None) -> DataFrame:
     if records:
         df = df.select("batch_id", F.explode(records).alias("r")).select(
             "batch_id", F.col("r.messageId").alias("message_id"), F.col("r.body").alias("body"))
-    out = df.select("batch_id", "message_id", F.explode(F.array(F.try_parse_json("body"))).alias("_v"))
-    v = F.col("_v")
-    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, _job_event()), F.lit(False))
-    job = F.struct(*[value(field(v, f.name), f.dataType, f.name in ("args", "meta")).alias(f.name) for f in _job_event()])
-    return out.select("batch_id", "message_id", F.when(ok, job).alias("job"),
+    schema = _job_event()
+    out = D.decode(df.select("batch_id", "message_id", "body"), F.col("body"), schema)
+    ok = D.decoded(schema)
+    return out.select("batch_id", "message_id", F.when(ok, F.expr(D.record("_f", schema))).alias("job"),
                       F.when(~ok, F.lit("failed to unmarshal message")).alias("decode_error"))
 
 
@@ -54,17 +54,15 @@ def message_outcomes(messages: DataFrame, handler_types: DataFrame) -> DataFrame
 def read_push_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
     """Push delivery bodies -> request fields; an undecodable body is a
     final failure ``invalid_request`` (not retryable)."""
-    out = df.select("*", F.explode(F.array(F.try_parse_json(body))).alias("_v"))
-    v, job = F.col("_v"), field(F.col("_v"), "job")
-    names = T._parse_datatype_string("worker_id string, delivery_id string")
-    ok = F.coalesce(v.isNotNull() & is_object(v) & fields_ok(v, names) & (job.isNull() | (is_object(job) & fields_ok(job, _job_event()))), F.lit(False))
-    read = F.struct(*[value(field(job, f.name), f.dataType, f.name in ("args", "meta")).alias(f.name) for f in _job_event()])
+    schema = T._parse_datatype_string(S.PUSH_DELIVERY)
+    out = D.decode(df, F.col(body), schema)
+    ok = D.decoded(schema)
     bad = ~ok
     return out.select(
         *[c for c in df.columns],
-        F.when(ok, read).alias("job"),
-        F.when(ok, F.try_variant_get(v, "$.worker_id", "string")).alias("worker_id"),
-        F.when(ok, F.try_variant_get(v, "$.delivery_id", "string")).alias("delivery_id"),
+        F.when(ok, F.expr(D.record("_f.job.x", _job_event()))).alias("job"),
+        F.when(ok, F.col("_f.worker_id.x")).alias("worker_id"),
+        F.when(ok, F.col("_f.delivery_id.x")).alias("delivery_id"),
         F.when(bad, F.lit("failed")).alias("status"),
         F.when(bad, F.lit("invalid_request")).alias("error_code"),
         F.when(bad, F.lit("failed to decode request body")).alias("error_message"),
@@ -72,36 +70,37 @@ def read_push_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
-def _event(messages: DataFrame, *keys: str) -> DataFrame:
-    """Decoded job events as rows that handlers take; ``_key`` travels along,
-    so that outcomes find their message again."""
-    return messages.filter(F.col("job").isNotNull()).select(
-        F.to_json(F.struct(*keys)).alias("_key"), F.coalesce("job.id", F.lit("")).alias("job_id"), F.coalesce("job.type", F.lit("")).alias("type"),
-        F.col("job.queue").alias("queue"), F.col("job.attempt").alias("attempt"), F.col("job.args").alias("args"), F.col("job.meta").alias("meta"))
+def _events(messages: DataFrame, *keep: str) -> DataFrame:
+    """Messages as rows that handlers take: the decoded job's fields, and the
+    columns of ``keep``, which travel along."""
+    return messages.select(*keep, F.coalesce("job.id", F.lit("")).alias("job_id"), F.coalesce("job.type", F.lit("")).alias("type"),
+                           F.col("job.queue").alias("queue"), F.col("job.attempt").alias("attempt"), F.col("job.args").alias("args"), F.col("job.meta").alias("meta"))
 
 
 def handle_messages(messages: DataFrame, handlers: dict[str, Callable]) -> DataFrame:
     """Run the handler of each decoded message (S3 to X1). One row per
     message: batch_id, message_id, failed, error_message. A message fails, and
     is redelivered, if its body does not decode, no handler is registered for
-    its type, or its handler fails. Repeated rows of a message run each and
-    fail together."""
-    keys = ["batch_id", "message_id"]
-    ran = process(_event(messages, *keys), handlers, on_missing="fail_item", carry=("_key",)).select(F.col("_key").alias("_of"), "state", "error_message")
-    ran = ran.groupBy("_of").agg(F.bool_or(F.col("state") != "completed").alias("_failed"), F.max("error_message").alias("_error"))
-    tagged = messages.withColumn("_key", F.to_json(F.struct(*keys)))
-    j = tagged.join(ran, F.col("_key") == F.col("_of"), "left")
-    return j.select(*keys, F.coalesce("_failed", F.lit(True)).alias("failed"), F.coalesce("decode_error", "_error").alias("error_message"))
+    its type, or its handler fails. Rows pass the handlers in one go, without
+    a shuffle; repeated rows of a message run each and have their own outcome."""
+    rows = _events(messages, "batch_id", "message_id", "decode_error")
+    ran = process(rows, handlers, on_missing="fail_item", carry=("batch_id", "message_id", "decode_error"), skip="decode_error")
+    return ran.select("batch_id", "message_id", (F.col("state").isNull() | (F.col("state") != "completed")).alias("failed"),
+                      F.coalesce("decode_error", "error_message").alias("error_message"))
 
 
 def handle_deliveries(deliveries: DataFrame, handlers: dict[str, Callable], key: str = "delivery_id") -> DataFrame:
     """Run the handler of each decoded push delivery (S4 to X1): the
-    delivery's key, status, error_code, error_message, error_retryable. A
-    handler's failure is retryable unless it says otherwise; an undecodable
-    body or a missing handler is final."""
-    ran = process(_event(deliveries, key), handlers, on_missing="error", carry=("_key",)).select(
-        F.col("_key").alias("_of"), "state", F.col("error_code").alias("_code"), F.col("error_message").alias("_text"), F.col("error_retryable").alias("_retry"))
-    ran = ran.dropDuplicates(["_of"])
-    j = deliveries.withColumn("_key", F.to_json(F.struct(key))).join(ran, F.col("_key") == F.col("_of"), "left")
-    return j.select(key, F.coalesce("status", "state").alias("status"), F.coalesce("error_code", "_code").alias("error_code"),
-                    F.coalesce("error_message", "_text").alias("error_message"), F.coalesce("error_retryable", "_retry").alias("error_retryable"))
+    delivery's key, status, error_code, error_message, error_retryable, one row
+    a delivery, also of repeated ones. Every failure of a handler is
+    retryable, a missing handler's too; only an undecodable body is final."""
+    bad = F.struct("status", "error_code", "error_message", "error_retryable")
+    rows = _events(deliveries.select(F.col(key).alias("_of"), "job", F.when(F.col("status").isNotNull(), bad).alias("_bad")), "_of", "_bad")
+    ran = process(rows, handlers, on_missing="retry", carry=("_of", "_bad"), skip="_bad")
+    missing = F.concat(F.lit("no handler registered for job type: "), "type")
+    text = F.when(F.col("type").isin(*handlers), F.col("error_message")).otherwise(missing)
+    failed = F.col("state") == "failed"
+    return ran.select(F.col("_of").alias(key), F.coalesce("_bad.status", "state").alias("status"),
+                      F.coalesce("_bad.error_code", "error_code").alias("error_code"),
+                      F.coalesce("_bad.error_message", F.when(failed, text)).alias("error_message"),
+                      F.coalesce("_bad.error_retryable", F.when(failed, F.lit(True))).alias("error_retryable"))
