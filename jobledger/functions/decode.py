@@ -1,9 +1,10 @@
 """Strict decoding of JSON objects, field by field, in one visit.
 
 A text is parsed once into a VARIANT behind a one-element ``explode``, below
-which nothing is pushed; a second one binds each field once: ``v`` as VARIANT
-(its kind is checked there) and ``x`` as its wire type. Checks and values read
-the bound columns, so a field is looked up twice at most, whatever the query.
+which nothing is pushed. A second one takes all fields in one visit (``_f``),
+a third those of nested objects (``_n``), a last one casts each to its wire
+type (``_x``). Checks and values read these columns, so a field is visited and
+cast once, whatever the query.
 """
 
 from __future__ import annotations
@@ -18,18 +19,25 @@ TIME = r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?(Z|[+-]\d\d:\d\d)\z"
 RAW = {"args", "meta", "result", "details", "data"}
 
 
-def _bound(source: str, schema: T.StructType, at: str) -> str:
-    fields = []
+def _visit(v: str, schema: T.StructType) -> str:
+    return f"try_variant_get({v}, '$', 'struct<{', '.join(f'{f.name}: variant' for f in schema)}>')"
+
+
+def _nested(schema: T.StructType) -> list[T.StructField]:
+    return [f for f in schema if isinstance(f.dataType, T.StructType)]
+
+
+def _cast(at: str, schema: T.StructType) -> str:
+    parts = []
     for f in schema:
-        path = f"{at}.{f.name}"
-        parts = f"'v', try_variant_get({source}, '{path}', 'variant')"
+        if f.name in RAW:
+            continue
         if isinstance(f.dataType, T.StructType):
-            parts += f", 'x', {_bound(source, f.dataType, path)}"
-        elif f.name not in RAW:
+            parts.append(f"'{f.name}', {_cast(f'_n.{f.name}', f.dataType)}")
+        else:
             kind = "string" if isinstance(f.dataType, T.TimestampType) else f.dataType.simpleString()
-            parts += f", 'x', try_variant_get({source}, '{path}', '{kind}')"
-        fields.append(f"'{f.name}', named_struct({parts})")
-    return f"named_struct({', '.join(fields)})"
+            parts.append(f"'{f.name}', try_variant_get({at}.{f.name}, '$', '{kind}')")
+    return f"named_struct({', '.join(parts)})"
 
 
 def is_object(v: str) -> str:
@@ -37,10 +45,11 @@ def is_object(v: str) -> str:
     return f"(is_variant_null({v}) OR startswith(schema_of_variant({v}), 'OBJECT'))"
 
 
-def _checks(b: str, schema: T.StructType, objects: set) -> list[str]:
+def _checks(at: str, cast: str, schema: T.StructType, objects: set) -> list[str]:
     out = []
     for f in schema:
-        v, x, kind = f"{b}.{f.name}.v", f"{b}.{f.name}.x", f"schema_of_variant({b}.{f.name}.v)"
+        v, x = f"{at}.{f.name}", f"{cast}.{f.name}"
+        kind = f"schema_of_variant({v})"
         if f.name in RAW:
             if f.name in objects:
                 out.append(f"({v} IS NULL OR {is_object(v)})")
@@ -54,19 +63,19 @@ def _checks(b: str, schema: T.StructType, objects: set) -> list[str]:
         elif isinstance(f.dataType, T.ArrayType):
             ok = f"{kind} IN ('ARRAY<STRING>', 'ARRAY<VOID>')"
         elif isinstance(f.dataType, T.StructType):
-            ok = " AND ".join([f"startswith({kind}, 'OBJECT')", *_checks(x, f.dataType, objects)])
+            ok = " AND ".join([f"startswith({kind}, 'OBJECT')", *_checks(f"_n.{f.name}", x, f.dataType, objects)])
         else:
             ok = f"{kind} = 'BIGINT' AND {x} IS NOT NULL"
         out.append(f"({v} IS NULL OR is_variant_null({v}) OR coalesce({ok}, false))")
     return out
 
 
-def _value(b: str, f: T.StructField) -> str:
-    v, x = f"{b}.{f.name}.v", f"{b}.{f.name}.x"
+def _value(at: str, cast: str, f: T.StructField) -> str:
+    v, x = f"{at}.{f.name}", f"{cast}.{f.name}"
     if f.name in RAW:
         return f"CASE WHEN NOT is_variant_null({v}) THEN to_json({v}) END"
     if isinstance(f.dataType, T.StructType):
-        return f"CASE WHEN {v} IS NOT NULL AND NOT is_variant_null({v}) THEN {record(x, f.dataType)} END"
+        return f"CASE WHEN {v} IS NOT NULL AND NOT is_variant_null({v}) THEN {record(f.dataType, f.name)} END"
     if isinstance(f.dataType, T.TimestampType):
         return f"try_cast({x} AS TIMESTAMP)"
     if isinstance(f.dataType, T.ArrayType):
@@ -75,24 +84,30 @@ def _value(b: str, f: T.StructField) -> str:
 
 
 def decode(df: DataFrame, text: Column, schema: T.StructType) -> DataFrame:
-    """``df`` with ``_v``, the parsed ``text`` (NULL: no JSON), and ``_f``, its
-    bound fields."""
-    parsed = df.select("*", F.explode(F.array(F.try_parse_json(text))).alias("_v"))
-    return parsed.select("*", F.expr(f"explode(array({_bound('_v', schema, '$')}))").alias("_f"))
+    """``df`` with ``_v``, the parsed ``text`` (NULL: no JSON), and its fields
+    ``_f``, ``_n`` and ``_x``. Objects are nested one deep."""
+    out = df.select("*", F.explode(F.array(F.try_parse_json(text))).alias("_v"))
+    out = out.select("*", F.expr(f"explode(array({_visit('_v', schema)}))").alias("_f"))
+    nested = ", ".join(f"'{f.name}', {_visit(f'_f.{f.name}', f.dataType)}" for f in _nested(schema))
+    if nested:
+        out = out.select("*", F.expr(f"explode(array(named_struct({nested})))").alias("_n"))
+    return out.select("*", F.expr(f"explode(array({_cast('_f', schema)}))").alias("_x"))
 
 
 def decoded(schema: T.StructType, objects: set = frozenset()) -> Column:
     """True where ``_v`` is an object, or ``null``, whose fields are absent,
     null or of their wire type; those of ``objects`` are objects."""
-    return F.expr(f"coalesce({' AND '.join(['_v IS NOT NULL', is_object('_v'), *_checks('_f', schema, set(objects))])}, false)")
+    return F.expr(f"coalesce({' AND '.join(['_v IS NOT NULL', is_object('_v'), *_checks('_f', '_x', schema, set(objects))])}, false)")
 
 
-def record(b: str, schema: T.StructType) -> str:
-    """SQL: the struct of the values bound at ``b``."""
-    return "named_struct(" + ", ".join(f"'{f.name}', {_value(b, f)}" for f in schema) + ")"
+def record(schema: T.StructType, of: str | None = None) -> str:
+    """SQL: the struct of the decoded values, or of those of the nested object
+    ``of``."""
+    at, cast = (f"_n.{of}", f"_x.{of}") if of else ("_f", "_x")
+    return "named_struct(" + ", ".join(f"'{f.name}', {_value(at, cast, f)}" for f in schema) + ")"
 
 
 def values(schema: T.StructType) -> list[Column]:
-    """The bound values as columns; those that a query does not use are left
+    """The decoded values as columns; those that a query does not use are left
     out of its plan."""
-    return [F.expr(_value("_f", f)).alias(f.name) for f in schema]
+    return [F.expr(_value("_f", "_x", f)).alias(f.name) for f in schema]

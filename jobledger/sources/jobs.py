@@ -43,7 +43,7 @@ def parse_jobs(df: DataFrame, col: str = "value") -> tuple[DataFrame, DataFrame]
     schema = T._parse_datatype_string(S.JOB_WIRE)
     bound = D.decode(df.select(F.col(col).alias(CORRUPT)), F.col(CORRUPT), schema)
     ok = D.decoded(schema, OBJECTS)
-    good = bound.filter(ok).select(*D.values(schema), A.decode_args_variant("_f.args.v").alias("args_map"), F.col("_f.meta.v").alias("meta_v"))
+    good = bound.filter(ok).select(*D.values(schema), A.decode_args_variant("_f.args").alias("args_map"), F.col("_f.meta").alias("meta_v"))
     return good, bound.filter(~ok).select(CORRUPT)
 
 

@@ -35,7 +35,7 @@ def read_messages(df: DataFrame, records: str | None = None) -> DataFrame:
     schema = _job_event()
     out = D.decode(df.select("batch_id", "message_id", "body"), F.col("body"), schema)
     ok = D.decoded(schema)
-    return out.select("batch_id", "message_id", F.when(ok, F.expr(D.record("_f", schema))).alias("job"),
+    return out.select("batch_id", "message_id", F.when(ok, F.expr(D.record(schema))).alias("job"),
                       F.when(~ok, F.lit("failed to unmarshal message")).alias("decode_error"))
 
 
@@ -60,9 +60,9 @@ def read_push_deliveries(df: DataFrame, body: str = "body") -> DataFrame:
     bad = ~ok
     return out.select(
         *[c for c in df.columns],
-        F.when(ok, F.expr(D.record("_f.job.x", _job_event()))).alias("job"),
-        F.when(ok, F.col("_f.worker_id.x")).alias("worker_id"),
-        F.when(ok, F.col("_f.delivery_id.x")).alias("delivery_id"),
+        F.when(ok, F.expr(D.record(_job_event(), "job"))).alias("job"),
+        F.when(ok, F.col("_x.worker_id")).alias("worker_id"),
+        F.when(ok, F.col("_x.delivery_id")).alias("delivery_id"),
         F.when(bad, F.lit("failed")).alias("status"),
         F.when(bad, F.lit("invalid_request")).alias("error_code"),
         F.when(bad, F.lit("failed to decode request body")).alias("error_message"),

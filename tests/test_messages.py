@@ -36,7 +36,7 @@ def test_push_delivery_bad_body(spark):
 def test_field_types_are_strict(spark):
     from jobledger.sources.jobs import parse_jobs
 
-    good = ['{"id":"a"}', "null", '{"id":null,"attempt":3,"tags":[null,"x"],"meta":{"a":1},"unknown":5}', '{"created_at":"2024-01-01T00:00:00.5+02:00"}', '{"args":5}']
+    good = ['{"id":"a"}', "null", '{"ID":5,"Id":{}}', '{"error":null,"id":"x","id":"y"}', '{"id":null,"attempt":3,"tags":[null,"x"],"meta":{"a":1},"unknown":5}', '{"created_at":"2024-01-01T00:00:00.5+02:00"}', '{"args":5}']
     bad = ["", " ", "[1]", "5", '"x"', "{", '{"id":5}', '{"attempt":"1"}', '{"attempt":1.5}', '{"attempt":99999999999}', '{"tags":"x"}', '{"tags":[1]}', '{"meta":[1]}',
            '{"error":5}', '{"error":{"retryable":"no"}}', '{"error":{"details":[1]}}', '{"created_at":"2024-01-01"}', '{"created_at":5}', None]
     ok, corrupt = parse_jobs(spark.createDataFrame([(t,) for t in good + bad], "value string"))
