@@ -8,18 +8,25 @@ its n-grams, writes their sorted hashes to the shared folder, and passes on
 context totals and the distinct suffixes, which are the next lower level's
 continuation counts. Scoring tasks map these files and search them.
 
-A level's files, by shard: ``one`` (sorted hashes of n-grams counted once),
-``many`` and ``count`` (sorted hashes and counts of the others), ``ctx`` and
-``ctxn`` (sorted hashes of contexts, and their total and numbers of n-grams
-counted once, twice and more often).
+A shard has one file a level: ``one`` (sorted hashes of n-grams counted once),
+``many`` and ``count`` (sorted hashes and counts of the others), and, of the
+contexts that lie in the shard whole, ``ctx1`` (sorted hashes of those seen
+once), ``ctx`` and ``s0`` to ``s3`` (the others; their total and numbers of
+n-grams counted once, twice and more often). Contexts of frequent words alone,
+which are in many shards, are added up in files of their own. The model knows
+all files with their lengths; a missing one is an error.
 
 Everything grows with the corpus and nothing is cut off: memory per task is
-bounded by ``FLUSH`` n-grams and one shard, files by the distinct n-grams.
+bounded by ``FLUSH`` n-grams and one shard, files by the distinct n-grams. A
+scoring task keeps ``MAPPED`` files mapped at most.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import struct
+from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,10 +37,12 @@ from pyspark.sql import types as T
 
 from jobledger.llm import textvec as V
 from jobledger.llm.store import load, save, shared_folder
+from jobledger.plans.strategy import cut_lineage
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
 FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
 SHARD_BYTES = 16 << 20  # text bytes for each shard
+MAPPED = 1024  # files that a scoring task keeps mapped
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
 
 BLOCK = "level int, kind string, shard int, blob binary, n bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint, total bigint"
@@ -92,10 +101,15 @@ def gram_shard(cols: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarr
     if len(cols) == 1:
         return pick(cols[0], shards)
     h = chained(cols[:-1])
-    whole = np.ones(len(h), bool)
-    for c in cols[:-1]:
+    return pick(np.where(frequent(cols[:-1], hot), V.chain(h, cols[-1]), h), shards)
+
+
+def frequent(cols: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
+    """Rows whose words are all frequent (a text's beginning is)."""
+    whole = np.ones(len(cols[0]), bool)
+    for c in cols:
         whole &= find(hot, c)[1] | (c == BEGIN)
-    return pick(np.where(whole, V.chain(h, cols[-1]), h), shards)
+    return whole
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -103,25 +117,26 @@ def planes(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
-def pack(cols: list[np.ndarray], counts: np.ndarray) -> bytes:
-    """Rows of word hashes and a count, sorted by the first two words. A column
-    that repeats its words holds each once, and short places among them."""
-    n, out = len(counts), [struct.pack("<qq", len(counts), len(cols) + 1)]
-    coded = [np.unique(c, return_inverse=True) for c in cols]
-    order = np.lexsort([place for _, place in coded[1::-1]])
-    for k, (words, place) in enumerate(coded):
-        if 2 * len(words) < n:
-            place = place[order].astype(np.uint32)
-            place = np.diff(place, prepend=np.uint32(0)) if k == 0 else place
-            out += [struct.pack("<q", len(words)), planes(np.diff(words, prepend=np.uint64(0))), planes(place)]
-        else:
-            c = cols[k][order]
-            out += [struct.pack("<q", 0), planes(np.diff(c, prepend=np.uint64(0)) if k == 0 else c)]
-    return b"".join([*out, struct.pack("<q", 0), planes(counts[order].astype(np.uint64))])
+def pack(cols: list[np.ndarray], counts: np.ndarray, words: bool = True) -> bytes:
+    """Rows of ``cols`` and a count, sorted by the first two columns. Columns
+    of ``words`` that repeat them share one sorted list of these, and hold
+    places in it; others are written as they are."""
+    n = len(counts)
+    known, place = np.unique(np.concatenate(cols), return_inverse=True) if words else (cols[0][:0], None)
+    if words and 8 * len(known) < 5 * len(cols) * n:
+        cols = list(place.reshape(len(cols), n).astype(np.uint32))
+    else:
+        known = known[:0]
+    order = np.lexsort(cols[1::-1])
+    out = [struct.pack("<qqq", n, len(cols), len(known)), planes(np.diff(known, prepend=np.uint64(0)))]
+    for k, c in enumerate(cols):
+        c = c[order]
+        out.append(planes(np.diff(c, prepend=c.dtype.type(0)) if k == 0 else c))
+    return b"".join([*out, planes(counts[order].astype(np.uint64))])
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
-    (n, k), at, parts = struct.unpack_from("<qq", blob), 16, []
+    (n, k, m), at = struct.unpack_from("<qqq", blob), 24
 
     def take(count, kind):
         nonlocal at
@@ -130,14 +145,12 @@ def unpack(blob: bytes) -> list[np.ndarray]:
         at += count * width
         return np.ascontiguousarray(raw.T).reshape(-1).view(kind)
 
+    known, parts = np.cumsum(take(m, np.uint64), dtype=np.uint64), []
     for i in range(k):
-        (m,) = struct.unpack_from("<q", blob, at)
-        at += 8
-        words = np.cumsum(take(m, np.uint64), dtype=np.uint64)
         part = take(n, np.uint32 if m else np.uint64)
         part = np.cumsum(part, dtype=part.dtype) if i == 0 else part
-        parts.append(words[part] if m else part)
-    return parts
+        parts.append(known[part] if m else part)
+    return [*parts, take(n, np.uint64)]
 
 
 def unite(blobs) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -218,28 +231,34 @@ def counter(order: int, shards: int, hot: np.ndarray):
     return run
 
 
+def context_arrays(head: np.ndarray, stats: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """Sorted contexts and their sums, those seen once as hashes alone."""
+    once = stats[0] == 1
+    return {"ctx1": head[once], "ctx": head[~once], **{f"s{i}": narrow(c[~once]) for i, c in enumerate(stats)}}
+
+
 def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
-    """Reduce side: write one shard's files, pass on what the next level needs."""
+    """Reduce side: write one shard's file, pass on what the next level needs."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         level, kind, shard = (x.item() if hasattr(x, "item") else x for x in key)
-        if kind in ("sum", "top"):
+        if kind in ("sum", "top", "file"):
             return pdf
         out = []
-        cols, counts, keys = unite(pdf["blob"]) if kind == "gram" else (None, None, None)
+
+        def keep(name, arrays):
+            name = f"{name}-{shard}"
+            out.append(row(level, "file", shard, name.encode(), save(f"{folder}/{name}", arrays)))
+
         if kind == "ctx":
             parts = [unpack(b) for b in pdf["blob"]]
             whole = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
-            order_, new = by_key(whole[0])
-            sums = [np.add.reduceat(c[order_], new) for c in whole[1:]]
-            save(f"{folder}/{level}-{shard}-ctx.npy", whole[0][order_][new])
-            save(f"{folder}/{level}-{shard}-ctxn.npy", narrow(np.stack(sums, 1)))
-            return frame([row(level, "sum", shard)])
-        name = "raw" if raw else str(level)
+            at, new = by_key(whole[0])
+            keep(f"h{level}", context_arrays(whole[0][at][new], [np.add.reduceat(c[at], new) for c in whole[1:]]))
+            return frame(out)
+        cols, counts, keys = unite(pdf["blob"])
         once = counts == 1
-        save(f"{folder}/{name}-{shard}-one.npy", keys[once])
-        save(f"{folder}/{name}-{shard}-many.npy", keys[~once])
-        save(f"{folder}/{name}-{shard}-count.npy", narrow(counts[~once]))
+        arrays = {"one": keys[once], "many": keys[~once], "count": narrow(counts[~once])}
         out.append(row(level, "sum", shard, None, len(keys), [*count_of_counts(counts)], counts.sum()))
         if raw:
             often = counts * 10_000 >= counts.sum()
@@ -249,16 +268,19 @@ def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
             at, new = by_key(ctx)
             s = counts[at]
             ends = [np.add.reduceat(x.astype(np.uint64), new) for x in (s, s == 1, s == 2, s > 2)]
-            head = ctx[at][new]
+            first = at[new]
+            head, spread = ctx[first], frequent([c[first] for c in cols[:-1]], hot)
+            arrays |= context_arrays(head[~spread], [e[~spread] for e in ends])
             by = pick(head, shards)
-            for k in np.unique(by):
-                m = by == k
-                out.append(row(level, "ctx", k, pack([head[m], *(e[m] for e in ends[:-1])], ends[-1][m])))
+            for k in np.unique(by[spread]):
+                m = spread & (by == k)
+                out.append(row(level, "ctx", k, pack([head[m], *(e[m] for e in ends[:-1])], ends[-1][m], words=False)))
             tail = cols[1:]
             # n-grams at a text's beginning have no longer form: they keep their counts
             weight = np.where(tail[0] == BEGIN, counts, 1) if level > 2 else np.ones(len(counts), np.int64)
             tail, weight, _ = distinct(tail, weight)
             out += blocks(level - 1, "gram", tail, weight, gram_shard(tail, hot, shards))
+        keep("raw" if raw else str(level), arrays)
         return frame(out)
 
     return run
@@ -272,9 +294,11 @@ def by_key(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """A counted model: its folder and the few numbers that scoring needs."""
+    """A counted model: its folder, with a list of its files, and the few
+    numbers that scoring needs."""
 
     folder: str
+    listed: int  # bytes of the list of files
     order: int
     shards: int
     hot: tuple
@@ -309,36 +333,65 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
 
     words = (docs.mapInArrow(counter(1, shards, none), BLOCK)
              .groupBy("level", "kind", "shard").applyInPandas(summer(folder, 1, shards, none, True), BLOCK))
-    found = words.collect()
-    total = sum(r.total for r in found)
-    tops = [np.frombuffer(r.blob, np.uint64).reshape(2, -1) for r in found if r.kind == "top"]
-    hot = np.sort(np.concatenate([t[0][t[1] * (HOT_SHARE * shards) >= max(total, 1)] for t in tops])) if tops else none
+    words = cut_lineage(words)
+    total, vocabulary = (x or 0 for x in words.filter("kind = 'sum'").agg(F.sum("total"), F.sum("n")).first())
+    # HOT_SHARE * shards words at most
+    hot = [w for r in words.filter("kind = 'top'").select("blob").mapInPandas(often(HOT_SHARE * shards, total), "words binary").collect() for w in np.frombuffer(r.words, np.uint64)]
+    hot = np.sort(np.array(hot, np.uint64))
 
     rows = docs.mapInArrow(counter(order, shards, hot), BLOCK)
     for _ in range(order):
         rows = rows.groupBy("level", "kind", "shard").applyInPandas(summer(folder, order, shards, hot, False), BLOCK)
-    sums = rows.filter("kind = 'sum'").groupBy("level").agg(*(F.sum(c).alias(c) for c in ("n", "n1", "n2", "n3", "n4", "total"))).collect()
-    by = {r.level: r for r in sums}
+    # a few short rows for each shard and level
+    found = [*words.filter("kind = 'file'").collect(), *rows.filter("kind IN ('sum', 'file')").collect()]
+    listed = json.dumps({r.blob.decode(): r.n for r in found if r.kind == "file"})
+    with open(f"{folder}/files.json", "w") as f:
+        f.write(listed)
+    sums: dict = {}
+    for r in found:
+        if r.kind == "sum":
+            sums[r.level] = [a + b for a, b in zip(sums.get(r.level, [0] * 6), (r.n, r.n1, r.n2, r.n3, r.n4, r.total))]
     levels = []
-    for n in range(1, order + 1):
-        r = by.get(n)
-        if r is None:
-            levels.append((0, 0, 0, 0, *discounts(0, 0, 0, 0)))
-        else:
-            levels.append((r.total, r.n1, r.n2, r.n - r.n1 - r.n2, *discounts(r.n1, r.n2, r.n3, r.n4)))
-    return Model(folder, order, shards, tuple(hot.tolist()), total, sum(r.n for r in found if r.kind == "sum"), tuple(levels))
+    for level in range(1, order + 1):
+        n, n1, n2, n3, n4, every = sums.get(level, [0] * 6)
+        levels.append((every, n1, n2, n - n1 - n2, *discounts(n1, n2, n3, n4)))
+    return Model(folder, len(listed), order, shards, tuple(hot.tolist()), total, vocabulary, tuple(levels))
+
+
+def often(parts: int, total: int):
+    """Of the words of each shard that may be frequent, those with a
+    ``parts``-th of all tokens."""
+
+    def run(batches):
+        for pdf in batches:
+            tables = [np.frombuffer(b, np.uint64).reshape(2, -1) for b in pdf["blob"]]
+            yield pd.DataFrame({"words": [t[0][t[1] * np.uint64(parts) >= np.uint64(max(total, 1))].tobytes() for t in tables]})
+
+    return run
 
 
 class Searcher:
     """One worker's view of a model: mapped files, searched shard by shard."""
 
     def __init__(self, model: Model):
-        self.m, self.hot, self.files = model, np.array(model.hot, np.uint64), {}
-
-    def file(self, name):
-        if name not in self.files:
-            self.files[name] = load(f"{self.m.folder}/{name}.npy")
-        return self.files[name]
+        self.m, self.hot, self.mapped = model, np.array(model.hot, np.uint64), OrderedDict()
+        path = f"{model.folder}/files.json"
+        if not os.path.exists(path) or os.path.getsize(path) != model.listed:
+            raise FileNotFoundError(f"{path} is missing or not whole; do all executors see the shared folder?")
+        with open(path) as f:
+            self.sizes = json.load(f)
+
+    def array(self, file, name):
+        """An array of a file; an empty one if the model has no such file."""
+        if file not in self.sizes:
+            return np.zeros(0, np.uint64)
+        if file in self.mapped:
+            self.mapped.move_to_end(file)
+        else:
+            self.mapped[file] = load(f"{self.m.folder}/{file}", self.sizes[file])
+            if len(self.mapped) > MAPPED:
+                self.mapped.popitem(last=False)
+        return self.mapped[file].get(name, np.zeros(0, np.uint64))
 
     def by_shard(self, keys, shard, look, width):
         out = np.zeros((len(keys), width), np.int64)
@@ -351,24 +404,32 @@ class Searcher:
 
     def counts(self, name, keys, shard):
         def look(k, q):
-            c = find(self.file(f"{name}-{k}-one"), q)[1].astype(np.int64)
-            many = self.file(f"{name}-{k}-many")
-            at, there = find(many, q)
+            c = find(self.array(f"{name}-{k}", "one"), q)[1].astype(np.int64)
+            at, there = find(self.array(f"{name}-{k}", "many"), q)
             if there.any():
-                c[there] = self.file(f"{name}-{k}-count")[at[there]]
+                c[there] = self.array(f"{name}-{k}", "count")[at[there]]
             return c[:, None]
 
         return self.by_shard(keys, shard, look, 1)[:, 0]
 
-    def contexts(self, level, keys):
-        def look(k, q):
-            at, there = find(self.file(f"{level}-{k}-ctx"), q)
-            out = np.zeros((len(q), 4), np.int64)
-            if there.any():
-                out[there] = self.file(f"{level}-{k}-ctxn")[at[there]]
-            return out
-
-        return self.by_shard(keys, pick(keys, self.m.shards), look, 4)
+    def contexts(self, level, keys, spread):
+        """Total and numbers of n-grams of each context; ``spread``: those of
+        frequent words alone."""
+        def look(name):
+            def run(k, q):
+                file = f"{name}-{k}"
+                out = np.zeros((len(q), 4), np.int64)
+                out[find(self.array(file, "ctx1"), q)[1]] = (1, 1, 0, 0)
+                at, there = find(self.array(file, "ctx"), q)
+                if there.any():
+                    out[there] = np.stack([self.array(file, f"s{i}")[at[there]] for i in range(4)], 1)
+                return out
+            return run
+
+        out = np.zeros((len(keys), 4), np.int64)
+        for name, m in ((f"h{level}", spread), (str(level), ~spread)):
+            out[m] = self.by_shard(keys[m], pick(keys[m], self.m.shards), look(name), 4)
+        return out
 
     def discounted(self, c, level):
         d = np.array([0.0, *self.m.levels[level - 1][4:]])
@@ -392,8 +453,8 @@ class Searcher:
         for n in range(2, self.m.order + 1):
             cols = ngram_columns(tok, place, n)
             ctx = chained(cols[:-1])
-            u, inv = np.unique(ctx, return_inverse=True)
-            stats = self.contexts(n, u)
+            u, at, inv = np.unique(ctx, return_index=True, return_inverse=True)
+            stats = self.contexts(n, u, frequent([c[at] for c in cols[:-1]], self.hot))
             known = stats[:, 0] > 0
             total = np.maximum(stats[:, 0], 1)
             left = np.where(known, stats[:, 1:] @ np.array(self.m.levels[n - 1][4:]) / total, 1.0)

@@ -7,6 +7,7 @@ scheme is refused with a clear error rather than replaced by a local folder.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from urllib.parse import unquote, urlparse
@@ -32,17 +33,40 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def save(path: str, values: np.ndarray) -> None:
-    """Write an array so that a repeated or parallel attempt does no harm."""
+def save(path: str, arrays: dict[str, np.ndarray]) -> int:
+    """Write named arrays as one file, so that a repeated or parallel attempt
+    does no harm; its size in bytes."""
+    table, at = {}, 0
+    for name, a in arrays.items():
+        table[name] = (a.dtype.str, a.shape, at)
+        at += -(-a.nbytes // 64) * 64
+    head = json.dumps(table).encode()
+    first = -(-(8 + len(head)) // 64) * 64
     part = f"{path}.{uuid.uuid4().hex}"
     with open(part, "wb") as f:
-        np.save(f, values)
+        f.write(len(head).to_bytes(8, "little") + head)
+        for name, a in arrays.items():
+            f.seek(first + table[name][2])
+            f.write(np.ascontiguousarray(a).tobytes())
+        f.truncate(first + at)
     os.replace(part, path)
-
-
-def load(path: str) -> np.ndarray:
-    """The array at ``path``, mapped; an empty one if there is no such file."""
-    return np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros(0, np.uint64)
+    return first + at
+
+
+def load(path: str, size: int) -> dict[str, np.ndarray]:
+    """The arrays of a file that ``save`` wrote with ``size`` bytes, mapped. A
+    file that is not there, or not whole, is an error: a folder that an
+    executor does not see never counts as an empty model."""
+    if not os.path.exists(path) or os.path.getsize(path) != size:
+        raise FileNotFoundError(f"{path} is missing or not {size} bytes long; do all executors see the shared folder?")
+    raw = np.memmap(path, np.uint8, "r")
+    n = int.from_bytes(raw[:8].tobytes(), "little")
+    first = -(-(8 + n) // 64) * 64
+    out = {}
+    for name, (kind, shape, at) in json.loads(raw[8: 8 + n].tobytes()).items():
+        count = int(np.prod(shape))
+        out[name] = raw[first + at: first + at + count * np.dtype(kind).itemsize].view(kind).reshape(shape)
+    return out
 
 
 def share(spark: SparkSession, value):

@@ -201,6 +201,41 @@ def test_packed_rows_come_back(n, words):
         assert not n or words > 40 or n < 100 or len(blob) < n * (4 * k + 8) + 1000 * k
 
 
+def test_a_model_whose_files_are_gone_is_an_error(frame, tmp_path):
+    import dataclasses
+    import os
+
+    docs = frame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    model = ngrams.train(docs, order=2)
+    with pytest.raises(Exception, match="shared folder"):
+        ngrams.score(docs, dataclasses.replace(model, folder=str(tmp_path))).collect()
+    name = next(f for f in os.listdir(model.folder) if f.startswith("2-"))
+    with open(os.path.join(model.folder, name), "ab") as f:
+        f.write(b"x")
+    with pytest.raises(FileNotFoundError, match="bytes long"):
+        s = ngrams.Searcher(model)
+        for file in s.sizes:
+            s.array(file, "one")
+
+
+def test_a_searcher_keeps_few_files_mapped(frame, monkeypatch):
+    monkeypatch.setattr(ngrams, "SHARD_BYTES", 50)
+    docs = frame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    model = ngrams.train(docs, order=3)
+    want = [ngrams.Searcher(model).score(*V_tokens(t)) for t in TEXTS]
+    monkeypatch.setattr(ngrams, "MAPPED", 2)
+    s = ngrams.Searcher(model)
+    for t, (raw, logp) in zip(TEXTS, want):
+        got = s.score(*V_tokens(t))
+        assert (got[0] == raw).all() and np.allclose(got[1], logp, rtol=1e-12) and len(s.mapped) <= 2
+
+
+def V_tokens(t):
+    data = np.frombuffer((t or "").encode(), np.uint8)
+    tok, _, place = ngrams.tokens(data, np.array([0, len(data)]))
+    return tok, place
+
+
 def test_kneser_ney_registered_with_trigrams(spark):
     from jobledger.llm.catalog import QUERIES
 
