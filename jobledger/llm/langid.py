@@ -18,7 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,7 @@ from jobledger.llm.store import share as share_model
 
 ORDER = 4  # longest context in bytes
 TRAIN_BYTES = 1_000_000  # per language; texts are drawn by hash until about so much
+BLOCK = 1 << 14  # bytes of a text that are drawn together
 MIN_COUNT = 2  # a context is kept if seen so often; its prefixes always are
 UNDETERMINED = "und"
 
@@ -209,18 +210,44 @@ def pieces(at: np.ndarray, size: int = 1 << 18):
 
 
 def sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, train_bytes: int = TRAIN_BYTES) -> dict:
-    """About ``train_bytes`` of whole texts per language, drawn by the hash of
-    their id and text; brought to the driver, which the bound allows."""
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"),
+    """About ``train_bytes`` of text per language, brought to the driver, which
+    the bound allows: blocks of texts in the order of a hash of id, text and
+    place. A text longer than ``BLOCK`` is several blocks, so that no language
+    of few, long texts drops out and no long text passes the bound."""
+    rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h")).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
-    if not sizes:
-        return {}
-    share = F.create_map(*(F.lit(x) for k, v in sizes.items() for x in (k, min(1.0, train_bytes / max(v, 1)))))
-    some = rows.filter(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    block = max(256, min(BLOCK, train_bytes // 16))
+    # some more than the bound, so that the draw never falls short of it
+    share = {k: min(1.0, (train_bytes + 64 * block) / max(v, 1)) for k, v in sizes.items()}
+
+    def draw(batches):
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            langs, marks, blocks = [], [], []
+            for lang, text, h in zip(*(c.to_pylist() for c in batch.columns)):
+                data = text.encode()
+                a, k = 0, 0
+                while a < len(data) or k == 0:
+                    b = min(a + block, len(data))
+                    while b < len(data) and data[b] & 0xC0 == 0x80:
+                        b += 1
+                    mark = xxhash.xxh64_intdigest(h.to_bytes(8, "little", signed=True), k) >> 2
+                    if mark < share[lang] * (1 << 62):
+                        langs.append(lang)
+                        marks.append(mark)
+                        blocks.append(data[a:b])
+                    a, k = b, k + 1
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(marks, pa.int64()), pa.array(blocks, pa.binary())], names=["lang", "mark", "block"])
+
+    drawn = rows.mapInArrow(draw, "lang string, mark long, block binary")
+    before = F.sum(F.octet_length("block")).over(Window.partitionBy("lang").orderBy("mark", "block").rowsBetween(Window.unboundedPreceding, -1))
+    kept = drawn.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < train_bytes)
     texts: dict = {}
-    for r in some.select("lang", "text").toLocalIterator():
-        texts.setdefault(r.lang, []).append(r.text.encode())
+    for r in kept.select("lang", "block").collect():
+        texts.setdefault(r.lang, []).append(bytes(r.block))
     return {k: sorted(v) for k, v in texts.items()}
 
 

@@ -74,6 +74,17 @@ def url_key(url):
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), ","), F.lit(")"), F.regexp_extract(rest, r"^[^/?#]*([^#]*)", 1))
 
 
+def clean_url(url):
+    """A URL as a record's header holds it, without line ends (null: empty).
+    Runs are sorted by the key of this form."""
+    return F.regexp_replace(F.coalesce(url.cast("string"), F.lit("")), r"[\r\n]", "")
+
+
+def warc_date():
+    """A capture's time as its record holds it, in whole seconds."""
+    return F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def base32_sha1(hex_digest: str) -> str:
     return base64.b32encode(bytes.fromhex(hex_digest)).decode()
 
@@ -93,7 +104,7 @@ def classify(pages: DataFrame, id_col: str, url_col: str, payload_col: str, date
     Which capture of a payload is the response is found on ids and digests
     alone; payloads move once, to their archive's task."""
     payload = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(date_col).alias("date"), payload.alias("payload"))
+    rows = pages.select(F.col(id_col).alias("id"), clean_url(F.col(url_col)).alias("url"), F.col(date_col).alias("date"), payload.alias("payload"))
     rows = rows.withColumn("bytes", F.octet_length("payload").cast("long")).withColumn("sha", F.sha1(F.encode("payload", "UTF-8")))
     narrow = rows.filter(F.col("bytes") >= least_bytes).select(F.col("id").alias("_id"), "sha", "bytes").distinct()
     last = narrow.groupBy("sha", "bytes").agg(F.max("_id").alias("_last"))
@@ -108,10 +119,9 @@ def _record(kind: str):
     """One record's text, without the two line ends that follow it."""
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{LINE}Content-Type: text/html; charset=utf-8{LINE}Content-Length: "), F.col("bytes").cast("string"), F.lit(LINE * 2))
     block = F.concat(http, F.coalesce("payload", F.lit("")))
-    clean = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", "")
     lines = [("WARC-Type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit")),
              ("WARC-Record-ID", F.concat(F.lit(f"<urn:{kind}:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))),
-             ("WARC-Date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss'Z'")), ("WARC-Target-URI", clean),
+             ("WARC-Date", warc_date()), ("WARC-Target-URI", F.col("url")),
              ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), "digest")),
              ("WARC-Refers-To", F.when(F.col("refers_to").isNotNull(), F.concat(F.lit(f"<urn:{kind}:"), F.col("refers_to").cast("string"), F.lit(">")))),
              ("WARC-Profile", F.when(F.col("refers_to").isNotNull(), "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest")),
@@ -126,12 +136,12 @@ def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "
     ``archive_bytes`` of text to ``path``. Of captures with
     equal payloads of at least ``least_bytes`` the one with the largest id is
     the response; smaller payloads are all responses. Null payloads are empty,
-    null URLs too."""
+    null URLs too; line ends go from URLs. No rows make an empty folder."""
     size = F.octet_length(F.col(payload_col).cast("string"))
     n, total = pages.agg(F.count(F.lit(1)), F.sum(size)).first()
     records_each = max(1, int(archive_bytes // (600 + (total or 0) / max(n, 1))))
     rows = classify(pages, id_col, url_col, payload_col, date_col, least_bytes)
-    runs = rows.sortWithinPartitions(url_key(F.col("url")), "date", "id")
+    runs = rows.sortWithinPartitions(url_key(F.col("url")), warc_date(), "id")
     lines = runs.select(_record(kind)).write.option("lineSep", LINE * 2).option("maxRecordsPerFile", records_each)
     lines.option("compression", "gzip").text(path)
 
@@ -180,7 +190,8 @@ def merge(captures: DataFrame, carry: tuple = ("id", "url", "date", "payload_byt
     """The captures in the index's order, one output partition per range of
     keys: the carried columns, url_key, range and place (in the range).
 
-    A run is one archive's captures in the archive's order. The order is by
+    A run is one archive's captures in the archive's order; one that is not
+    sorted is an error. No captures give no rows. The order is by
     URL key, date, id, archive and offset, so ranges also part the captures of
     a single URL."""
     keyed = captures.select(*carry, url_key(F.col("url")).alias("url_key"))
@@ -198,6 +209,9 @@ def merge(captures: DataFrame, carry: tuple = ("id", "url", "date", "payload_byt
         low = pdf["id"].isna()
         keys = list(zip(pdf["url_key"], pdf["date"], (~low).tolist(), pdf["id"].where(~low, 0), pdf["archive"], pdf["offset"], range(len(pdf))))
         runs = [[keys[i] for i in at] for _, at in pdf.groupby("archive", sort=False).indices.items()]
+        for own in runs:
+            if any(a[:4] > b[:4] for a, b in zip(own, own[1:])):
+                raise ValueError(f"the archive of {own[0][4]} is no sorted run")
         at = [k[-1] for k in LoserTree(runs)]
         out = pdf.iloc[at]
         for k in range(0, len(out), 10_000):
@@ -208,7 +222,7 @@ def merge(captures: DataFrame, carry: tuple = ("id", "url", "date", "payload_byt
 
 def capture_index(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date_col: str = "date", least_bytes: int = 0) -> DataFrame:
     """Write ``pages`` to archives below ``spark.checkpoint.dir``, read them
-    back and merge their runs."""
+    back and merge their runs. No pages give an empty index."""
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
     write(pages, path, id_col, url_col, payload_col, date_col, least_bytes)

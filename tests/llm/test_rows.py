@@ -403,6 +403,43 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.capture_index(pages.limit(0)).count() == 0
 
 
+def test_index_order_holds_for_cleaned_urls_and_fractions_of_seconds(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        urls = ["http://h/a\r\nz", "http://h/ab", "http://h/a\nb", "http://h/B", "http://é.h/", None, ""]
+        rows = [(100 - i, urls[i % 7], f"p{i}", 9.9 - i % 10 / 10) for i in range(60)]
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string, at double").coalesce(1).withColumn("date", F.timestamp_seconds("at"))
+        got = sorted(warc.capture_index(pages).collect(), key=lambda r: (r.range, r.place))
+        order = [(r.url_key, r.date, r.id) for r in got]
+        assert order == sorted(order) and len(got) == 60
+        assert order.index(next(o for o in order if o[0] == "h)/ab")) < order.index(next(o for o in order if o[0] == "h)/az"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_a_run_out_of_order_is_an_error(spark):
+    rows = [(i, u, "2024-01-01T00:00:00Z", 0, "", "response", None, "arc", i) for i, u in enumerate(["http://b/", "http://a/"])]
+    runs = spark.createDataFrame(rows, "id long, url string, date string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        with pytest.raises(Exception, match="no sorted run"):
+            warc.merge(runs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_pipeline_keeps_texts_that_fit_several_languages(spark):
+    import corpus_pipeline as cp
+
+    schema = cp.table(spark, SMALL, "documents").schema
+    learned = cp.table(spark, SMALL, "documents").limit(150)
+    clean = [(10_000 + i, t, "en", "s", len(t)) for i, t in enumerate(["Hotel", "A", "Taxi Radio Hotel", "No", "E"])]
+    noise = bytes(random.Random(1).choices(range(33, 127), k=4000)).decode()
+    odd = [(20_000, noise, None, "s", 4000), (20_001, "ж" * 300, None, "s", 300), (20_002, "123 ...", None, "s", 7), (20_003, None, None, "s", 0)]
+    kept = {r.doc_id for r in cp.keep_languages(spark, learned.union(spark.createDataFrame(clean + odd, schema)), SMALL).collect()}
+    assert {c[0] for c in clean} <= kept and not kept & {20_001, 20_002, 20_003}
+
+
 def test_pipeline_decisions(spark):
     import corpus_pipeline as cp
 

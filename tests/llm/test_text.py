@@ -168,6 +168,19 @@ def test_language_id_edge_rows(frame):
     assert langid.identify(docs.limit(0), model).count() == 0
 
 
+def test_languages_of_few_long_texts_are_learned(frame):
+    french = "le chat et la souris dans la maison près de l'église " * 2000
+    rows = [(i, french + str(i), "fr") for i in range(3)] + [(10 + i, "the cat and the mouse in the house near the church " * 20, "en") for i in range(50)]
+    docs = frame(rows, "doc_id long, text string, lang string")
+    found = langid.sample(docs, "text", "lang", "doc_id", 5000)
+    assert set(found) == {"en", "fr"} and all(5000 <= sum(map(len, v)) < 6000 for v in found.values())
+    assert all(b.decode() for v in found.values() for b in v)
+    assert found == langid.sample(docs.repartition(5), "text", "lang", "doc_id", 5000)
+    model = langid.train(docs, train_bytes=5000)
+    got = langid.identify(docs, model, keep=("lang",)).collect()
+    assert model.languages == ["en", "fr"] and all(r.lang == r.lang_pred for r in got)
+
+
 def held(i, n):
     return zlib.crc32(str(i).encode()) % n == 0
 
