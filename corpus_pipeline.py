@@ -21,7 +21,9 @@ from jobledger.llm.catalog import fold, tokenizer_path
 from jobledger.llm.store import shared_path
 from jobledger.sources.tables import table
 
-LEAST_SCORE = 0.5  # of the language that a kept document has
+# a text that its best language's model makes so many bits longer than its
+# bytes are fits no learned language
+EXCESS_BITS = 64
 
 
 def whole(docs: DataFrame, *others) -> DataFrame:
@@ -39,11 +41,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages: with a letter, and with most
-    of the probability on one language."""
+    """Documents in a learned language: with a letter, and not such that even
+    the best language's model codes them in more bits than their bytes have.
+    One that fits several languages alike stays."""
     model = langid.train(docs.filter(~fold("doc_id", 5)))
     found = langid.identify(whole(docs, "text"), model, keep=("doc",))
-    return found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
+    excess = (F.col("bits_per_byte") - 8) * F.octet_length("doc.text")
+    return found.filter((F.col("lang_pred") != langid.UNDETERMINED) & (excess <= EXCESS_BITS)).select("doc.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
