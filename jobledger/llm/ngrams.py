@@ -8,8 +8,8 @@ its n-grams, writes their sorted hashes to the shared folder, and passes on
 context totals and the distinct suffixes, which are the next lower level's
 continuation counts. Scoring tasks map these files and search them.
 
-A shard has one file a level: ``one`` (sorted hashes of n-grams counted once),
-``many`` and ``count`` (sorted hashes and counts of the others), and, of the
+A shard has one file a level: ``one`` (sorted hashes of n-grams counted once,
+see ``bucketed``), ``many`` and ``count`` (the others and their counts), and, of the
 contexts that lie in the shard whole, ``ctx1`` (sorted hashes of those seen
 once), ``ctx`` and ``s0`` to ``s3`` (the others; their total and numbers of
 n-grams counted once, twice and more often). Contexts of frequent words alone,
@@ -40,7 +40,7 @@ from jobledger.llm.store import load, save, shared_folder
 from jobledger.plans.strategy import cut_lineage
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
-FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
+FLUSH = 4_000_000  # n-grams that a task holds before it sends them on
 SHARD_BYTES = 16 << 20  # text bytes for each shard
 MAPPED = 1024  # files that a scoring task keeps mapped
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
@@ -95,6 +95,32 @@ def find(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, sorted_keys[at] == keys
 
 
+def bucketed(name: str, keys: np.ndarray) -> dict[str, np.ndarray]:
+    """Sorted hashes as two arrays: where each bucket of equal leading bits
+    begins, and the next 32 bits of each. A bucket holds 8 to 16 hashes, so a
+    hash that is not there is taken for one that is about once in 2**28."""
+    bits = max(0, len(keys).bit_length() - 4)
+    lead = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
+    first = np.searchsorted(lead, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.uint32)
+    return {f"{name}_at": first, name: (keys >> np.uint64(32 - bits)).astype(np.uint32)}
+
+
+def find_bucketed(first: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``keys`` among ``bucketed`` hashes, and which are there."""
+    bits = (len(first) - 1).bit_length() - 1
+    if len(rest) == 0:
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    lead = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+    low, high, key = first[lead].astype(np.int64), first[lead + 1].astype(np.int64), (keys >> np.uint64(32 - bits)).astype(np.uint32)
+    end = high
+    while (low < high).any():
+        mid = np.minimum((low + high) >> 1, len(rest) - 1)
+        up = (low < high) & (rest[mid] < key)
+        low, high = np.where(up, mid + 1, low), np.where(up | (low >= high), high, mid)
+    at = np.minimum(low, len(rest) - 1)
+    return at, (low < end) & (rest[at] == key)
+
+
 def gram_shard(cols: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
     """Shard of each n-gram: by its context, or by the whole n-gram where it
     has no context or all words of the context are frequent."""
@@ -234,7 +260,7 @@ def counter(order: int, shards: int, hot: np.ndarray):
 def context_arrays(head: np.ndarray, stats: list[np.ndarray]) -> dict[str, np.ndarray]:
     """Sorted contexts and their sums, those seen once as hashes alone."""
     once = stats[0] == 1
-    return {"ctx1": head[once], "ctx": head[~once], **{f"s{i}": narrow(c[~once]) for i, c in enumerate(stats)}}
+    return {**bucketed("ctx1", head[once]), **bucketed("ctx", head[~once]), **{f"s{i}": narrow(c[~once]) for i, c in enumerate(stats)}}
 
 
 def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
@@ -258,7 +284,7 @@ def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
             return frame(out)
         cols, counts, keys = unite(pdf["blob"])
         once = counts == 1
-        arrays = {"one": keys[once], "many": keys[~once], "count": narrow(counts[~once])}
+        arrays = {**bucketed("one", keys[once]), **bucketed("many", keys[~once]), "count": narrow(counts[~once])}
         out.append(row(level, "sum", shard, None, len(keys), [*count_of_counts(counts)], counts.sum()))
         if raw:
             often = counts * 10_000 >= counts.sum()
@@ -393,6 +419,9 @@ class Searcher:
                 self.mapped.popitem(last=False)
         return self.mapped[file].get(name, np.zeros(0, np.uint64))
 
+    def find(self, file, name, keys):
+        return find_bucketed(self.array(file, f"{name}_at"), self.array(file, name), keys)
+
     def by_shard(self, keys, shard, look, width):
         out = np.zeros((len(keys), width), np.int64)
         order = np.lexsort((keys, shard))
@@ -404,8 +433,8 @@ class Searcher:
 
     def counts(self, name, keys, shard):
         def look(k, q):
-            c = find(self.array(f"{name}-{k}", "one"), q)[1].astype(np.int64)
-            at, there = find(self.array(f"{name}-{k}", "many"), q)
+            c = self.find(f"{name}-{k}", "one", q)[1].astype(np.int64)
+            at, there = self.find(f"{name}-{k}", "many", q)
             if there.any():
                 c[there] = self.array(f"{name}-{k}", "count")[at[there]]
             return c[:, None]
@@ -419,8 +448,8 @@ class Searcher:
             def run(k, q):
                 file = f"{name}-{k}"
                 out = np.zeros((len(q), 4), np.int64)
-                out[find(self.array(file, "ctx1"), q)[1]] = (1, 1, 0, 0)
-                at, there = find(self.array(file, "ctx"), q)
+                out[self.find(file, "ctx1", q)[1]] = (1, 1, 0, 0)
+                at, there = self.find(file, "ctx", q)
                 if there.any():
                     out[there] = np.stack([self.array(file, f"s{i}")[at[there]] for i in range(4)], 1)
                 return out

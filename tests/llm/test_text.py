@@ -231,6 +231,16 @@ def test_a_model_whose_files_are_gone_is_an_error(frame, tmp_path):
             s.array(file, "one")
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 15, 16, 1000, 70_000])
+def test_bucketed_hashes_are_found(n):
+    keys = np.unique(np.random.default_rng(n).integers(0, 2**64, n, np.uint64))
+    first, rest = ngrams.bucketed("k", keys).values()
+    asked = np.random.default_rng(n + 1).integers(0, 2**64, 5000, np.uint64)
+    at, there = ngrams.find_bucketed(first, rest, np.concatenate([keys, asked, keys[:0]]))
+    assert there[: len(keys)].all() and (at[: len(keys)] == np.arange(len(keys))).all() and not there[len(keys):].any()
+    assert not ngrams.find_bucketed(np.zeros(0, np.uint64), np.zeros(0, np.uint64), asked)[1].any()
+
+
 def test_a_searcher_keeps_few_files_mapped(frame, monkeypatch):
     monkeypatch.setattr(ngrams, "SHARD_BYTES", 50)
     docs = frame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
