@@ -25,8 +25,10 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import struct
 from collections import OrderedDict
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +42,7 @@ from jobledger.llm.store import load, save, shared_folder
 from jobledger.plans.strategy import cut_lineage
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
-FLUSH = 4_000_000  # n-grams that a task holds before it sends them on
+FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
 SHARD_BYTES = 16 << 20  # text bytes for each shard
 MAPPED = 1024  # files that a scoring task keeps mapped
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
@@ -112,13 +114,12 @@ def find_bucketed(first: np.ndarray, rest: np.ndarray, keys: np.ndarray) -> tupl
         return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
     lead = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     low, high, key = first[lead].astype(np.int64), first[lead + 1].astype(np.int64), (keys >> np.uint64(32 - bits)).astype(np.uint32)
-    end = high
-    while (low < high).any():
-        mid = np.minimum((low + high) >> 1, len(rest) - 1)
-        up = (low < high) & (rest[mid] < key)
-        low, high = np.where(up, mid + 1, low), np.where(up | (low >= high), high, mid)
+    for k in range(int((high - low).max(initial=0)).bit_length() - 1, -1, -1):
+        up = low + (1 << k)
+        np.minimum(up, high, out=up)
+        low = np.where(rest[np.maximum(up, 1) - 1] < key, np.maximum(up, low), low)
     at = np.minimum(low, len(rest) - 1)
-    return at, (low < end) & (rest[at] == key)
+    return at, (low < high) & (rest[at] == key)
 
 
 def gram_shard(cols: list[np.ndarray], hot: np.ndarray, shards: int) -> np.ndarray:
@@ -268,8 +269,6 @@ def summer(folder: str, order: int, shards: int, hot: np.ndarray, raw: bool):
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         level, kind, shard = (x.item() if hasattr(x, "item") else x for x in key)
-        if kind in ("sum", "top", "file"):
-            return pdf
         out = []
 
         def keep(name, arrays):
@@ -365,11 +364,20 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     hot = [w for r in words.filter("kind = 'top'").select("blob").mapInPandas(often(HOT_SHARE * shards, total), "words binary").collect() for w in np.frombuffer(r.words, np.uint64)]
     hot = np.sort(np.array(hot, np.uint64))
 
-    rows = docs.mapInArrow(counter(order, shards, hot), BLOCK)
-    for _ in range(order):
-        rows = rows.groupBy("level", "kind", "shard").applyInPandas(summer(folder, order, shards, hot, False), BLOCK)
     # a few short rows for each shard and level
-    found = [*words.filter("kind = 'file'").collect(), *rows.filter("kind IN ('sum', 'file')").collect()]
+    found = words.filter("kind = 'file'").collect()
+    rows, spent = docs.mapInArrow(counter(order, shards, hot), BLOCK), None
+    for level in range(order):
+        path = f"{folder}/level-{level}"
+        with shuffles_released(spark):
+            rows.groupBy("level", "kind", "shard").applyInPandas(summer(folder, order, shards, hot, False), BLOCK).write.parquet(f"file://{path}")
+        if spent:
+            shutil.rmtree(spent)  # the blocks that this level has summed
+        rows, spent = spark.read.schema(BLOCK).parquet(f"file://{path}"), path
+        found += rows.filter("kind IN ('sum', 'file')").collect()
+        rows = rows.filter("kind NOT IN ('sum', 'file')")
+    if spent:
+        shutil.rmtree(spent)
     listed = json.dumps({r.blob.decode(): r.n for r in found if r.kind == "file"})
     with open(f"{folder}/files.json", "w") as f:
         f.write(listed)
@@ -384,6 +392,18 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     return Model(folder, len(listed), order, shards, tuple(hot.tolist()), total, vocabulary, tuple(levels))
 
 
+@contextmanager
+def shuffles_released(spark):
+    """Let a query's shuffle files go when it ends, not when they are garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def often(parts: int, total: int):
     """Of the words of each shard that may be frequent, those with a
     ``parts``-th of all tokens."""
@@ -423,8 +443,9 @@ class Searcher:
         return find_bucketed(self.array(file, f"{name}_at"), self.array(file, name), keys)
 
     def by_shard(self, keys, shard, look, width):
+        """``look`` at the sorted ``keys`` of each shard."""
         out = np.zeros((len(keys), width), np.int64)
-        order = np.lexsort((keys, shard))
+        order = np.argsort(shard.astype(np.uint16) if self.m.shards <= 1 << 16 else shard, kind="stable")
         s = shard[order]
         cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])), [len(s)]]) if len(s) else [0]
         for a, b in zip(cuts[:-1], cuts[1:]):
@@ -434,9 +455,10 @@ class Searcher:
     def counts(self, name, keys, shard):
         def look(k, q):
             c = self.find(f"{name}-{k}", "one", q)[1].astype(np.int64)
-            at, there = self.find(f"{name}-{k}", "many", q)
+            rest = np.flatnonzero(c == 0)
+            at, there = self.find(f"{name}-{k}", "many", q[rest])
             if there.any():
-                c[there] = self.array(f"{name}-{k}", "count")[at[there]]
+                c[rest[there]] = self.array(f"{name}-{k}", "count")[at[there]]
             return c[:, None]
 
         return self.by_shard(keys, shard, look, 1)[:, 0]
@@ -448,10 +470,12 @@ class Searcher:
             def run(k, q):
                 file = f"{name}-{k}"
                 out = np.zeros((len(q), 4), np.int64)
-                out[self.find(file, "ctx1", q)[1]] = (1, 1, 0, 0)
-                at, there = self.find(file, "ctx", q)
+                once = self.find(file, "ctx1", q)[1]
+                out[once] = (1, 1, 0, 0)
+                rest = np.flatnonzero(~once)
+                at, there = self.find(file, "ctx", q[rest])
                 if there.any():
-                    out[there] = np.stack([self.array(file, f"s{i}")[at[there]] for i in range(4)], 1)
+                    out[rest[there]] = np.stack([self.array(file, f"s{i}")[at[there]] for i in range(4)], 1)
                 return out
             return run
 

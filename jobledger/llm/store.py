@@ -59,7 +59,7 @@ def load(path: str, size: int) -> dict[str, np.ndarray]:
     executor does not see never counts as an empty model."""
     if not os.path.exists(path) or os.path.getsize(path) != size:
         raise FileNotFoundError(f"{path} is missing or not {size} bytes long; do all executors see the shared folder?")
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
     n = int.from_bytes(raw[:8].tobytes(), "little")
     first = -(-(8 + n) // 64) * 64
     out = {}
