@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import struct
 from collections import OrderedDict
 from contextlib import contextmanager
@@ -366,18 +365,12 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
 
     # a few short rows for each shard and level
     found = words.filter("kind = 'file'").collect()
-    rows, spent = docs.mapInArrow(counter(order, shards, hot), BLOCK), None
-    for level in range(order):
-        path = f"{folder}/level-{level}"
+    rows = docs.mapInArrow(counter(order, shards, hot), BLOCK)
+    for _ in range(order):
         with shuffles_released(spark):
-            rows.groupBy("level", "kind", "shard").applyInPandas(summer(folder, order, shards, hot, False), BLOCK).write.parquet(f"file://{path}")
-        if spent:
-            shutil.rmtree(spent)  # the blocks that this level has summed
-        rows, spent = spark.read.schema(BLOCK).parquet(f"file://{path}"), path
+            rows = cut_lineage(rows.groupBy("level", "kind", "shard").applyInPandas(summer(folder, order, shards, hot, False), BLOCK))
         found += rows.filter("kind IN ('sum', 'file')").collect()
         rows = rows.filter("kind NOT IN ('sum', 'file')")
-    if spent:
-        shutil.rmtree(spent)
     listed = json.dumps({r.blob.decode(): r.n for r in found if r.kind == "file"})
     with open(f"{folder}/files.json", "w") as f:
         f.write(listed)
