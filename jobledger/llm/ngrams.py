@@ -41,8 +41,8 @@ from jobledger.llm.store import load, save, shared_folder
 from jobledger.plans.strategy import cut_lineage
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
-FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
-SHARD_BYTES = 16 << 20  # text bytes for each shard
+FLUSH = 2_500_000  # n-grams that a task holds before it sends them on
+SHARD_BYTES = 24 << 20  # text bytes for each shard
 MAPPED = 1024  # files that a scoring task keeps mapped
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
 
@@ -352,7 +352,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     folder = shared_folder(spark, "ngrams")
     docs = docs.select(F.col(text_col).cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
+    shards = max(1, -(-size // SHARD_BYTES))  # fewer, larger blocks repeat fewer words
     none = np.zeros(0, np.uint64)
 
     words = (docs.mapInArrow(counter(1, shards, none), BLOCK)

@@ -65,7 +65,8 @@ class Brute:
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
-def test_kneser_ney_matches_brute_force(frame, order):
+def test_kneser_ney_matches_brute_force(frame, monkeypatch, order):
+    monkeypatch.setattr(ngrams, "SHARD_BYTES", 50)
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)]
     docs = frame(rows, "doc_id long, text string, score string")
     train = [t for i, t, _ in rows if i % 3]
