@@ -41,8 +41,8 @@ from jobledger.llm.store import load, save, shared_folder
 from jobledger.plans.strategy import cut_lineage
 
 BEGIN, END = np.uint64(0x1B5E2F7A9C3D4E61), np.uint64(0x7C159E3779B97F4A)
-FLUSH = 2_500_000  # n-grams that a task holds before it sends them on
-SHARD_BYTES = 24 << 20  # text bytes for each shard
+FLUSH = 2_000_000  # n-grams that a task holds before it sends them on
+SHARD_BYTES = 16 << 20  # text bytes for each shard
 MAPPED = 1024  # files that a scoring task keeps mapped
 HOT_SHARE = 8  # a word is frequent from 1 / (HOT_SHARE * shards) of all tokens
 
@@ -139,7 +139,7 @@ def frequent(cols: list[np.ndarray], hot: np.ndarray) -> np.ndarray:
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Bytes of equal rank together, so that the shuffle's compression finds them."""
+    """Bytes of equal rank together, so that compression finds them."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
@@ -147,6 +147,8 @@ def pack(cols: list[np.ndarray], counts: np.ndarray, words: bool = True) -> byte
     """Rows of ``cols`` and a count, sorted by the first two columns. Columns
     of ``words`` that repeat them share one sorted list of these, and hold
     places in it; others are written as they are."""
+    import zstandard
+
     n = len(counts)
     known, place = np.unique(np.concatenate(cols), return_inverse=True) if words else (cols[0][:0], None)
     if words and 8 * len(known) < 5 * len(cols) * n:
@@ -158,10 +160,13 @@ def pack(cols: list[np.ndarray], counts: np.ndarray, words: bool = True) -> byte
     for k, c in enumerate(cols):
         c = c[order]
         out.append(planes(np.diff(c, prepend=c.dtype.type(0)) if k == 0 else c))
-    return b"".join([*out, planes(counts[order].astype(np.uint64))])
+    return zstandard.ZstdCompressor(level=1).compress(b"".join([*out, planes(counts[order].astype(np.uint64))]))
 
 
 def unpack(blob: bytes) -> list[np.ndarray]:
+    import zstandard
+
+    blob = zstandard.ZstdDecompressor().decompress(blob)
     (n, k, m), at = struct.unpack_from("<qqq", blob), 24
 
     def take(count, kind):
@@ -183,9 +188,11 @@ def unite(blobs) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Distinct rows of many blocks with summed counts: columns, sums, and
     the sorted hashes of the rows."""
     parts = [unpack(b) for b in blobs]
-    cols = [np.concatenate([p[i] for p in parts]) for i in range(len(parts[0]))]
-    del parts
-    counts = cols.pop()
+    cols = []
+    while parts[0]:
+        cols.append(np.concatenate([p.pop() for p in parts]))
+    counts, *cols = cols
+    cols.reverse()
     return distinct(cols, counts)
 
 
