@@ -9,10 +9,11 @@ are first lifted to one length by a further coordinate: each to that of the
 longest vector of its band of norms (``BANDS`` to an octave), so that a lift is
 short whatever other norms there are. Bands share the rotations, so a query
 probes the same axes in all of them, and their candidates are ranked together.
-Bands of fewer than ``LEAST_BAND`` vectors are searched whole by every query.
 
 Axes are dealt to ``GROUPS`` groups a table; a group's vectors and the queries
 that probe it meet in chunks of bounded size, however many fall to one axis.
+There each axis's vectors are multiplied with the queries that probe this axis,
+and with no others; a query's bests of all axes are then ranked.
 Equal vectors are searched as one; it keeps the k + 1 smallest ids, since ties
 go to the smaller id. Only per-query bests leave a task. A query that found
 fewer than k others, while there are more, is searched again among all vectors.
@@ -27,10 +28,9 @@ from pyspark.sql import functions as F
 
 from jobledger.plans.strategy import cut_lineage
 
-TABLES = 4
+TABLES = 6
 PROBES = 0.25  # share of the signed axes that a query probes in each table
 BANDS = 8  # bands of norms to an octave
-LEAST_BAND = 4096  # vectors of a band that is hashed
 WHOLE = -1  # in place of a table: all candidates are ranked
 GROUPS = 8
 CHUNK = 8192  # vectors, and queries, that meet in a task
@@ -135,8 +135,7 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     # lengths about 1 lie in the middle of a band
     base = cut_lineage(base.withColumn("band", F.floor(F.log2("length") * BANDS + 0.5)))
     # a row for each band of each dimension
-    bands = {(r.dim, r.band): (r.m, r.n >= LEAST_BAND) for r in base.groupBy("dim", "band").agg(F.max("length").alias("m"), F.count("*").alias("n")).collect()}
-    kinds = {(d, hashed) for (d, _), (_, hashed) in bands.items()}
+    bands = {(r.dim, r.band): r.m for r in base.groupBy("dim", "band").agg(F.max("length").alias("m")).collect()}
     salt = lambda n: F.pmod(F.xxhash64("key"), n)
 
     low = F.col("ids")[0].alias("low")
@@ -146,16 +145,10 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         for pdf in batches:
             for dim, part in pdf.groupby("dim"):
                 x, q = matrix(part["x"]), part["query"].to_numpy(bool)
-                most, hashed = (np.array(v) for v in zip(*(bands[dim, b] for b in part["band"])))
-                if (dim, False) in kinds:
-                    yield part[["key", "x", "dim", "low"]][~hashed].assign(t=WHOLE, g=0, axis=-1, query=False)
-                    yield part[["key", "x", "dim", "low"]][q].assign(t=WHOLE, g=0, axis=-1, query=True)
-                if (dim, True) not in kinds:
-                    continue
-                up = lifted(x[hashed], most[hashed])
+                up = lifted(x, np.array([bands[dim, b] for b in part["band"]]))
                 for t in range(tables):
                     axis = axes(up, t)
-                    yield part[["key", "x", "dim", "low"]][hashed].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
+                    yield part[["key", "x", "dim", "low"]].assign(t=t, g=axis % GROUPS, axis=axis, query=False)
                     if q.any():
                         hits = probed(unit(x[q]), t, share)
                         for g in range(GROUPS):
@@ -167,24 +160,32 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         q, c = pdf[pdf["query"]], pdf[~pdf["query"]]
         if not len(q) or not len(c):
             return pd.DataFrame({"q": [], "c": [], "score": []})
-        axis = c["axis"].to_numpy()
-        c, axis = c.iloc[np.argsort(axis, kind="stable")], np.sort(axis)
-        y, names, low = matrix(c["x"]), c["key"].to_numpy(), c["low"].to_numpy()
+        c = c.iloc[np.argsort(c["axis"].to_numpy(), kind="stable")]
+        axis, y, names, low = c["axis"].to_numpy(), matrix(c["x"]), c["key"].to_numpy(), c["low"].to_numpy()
+        ends = [*np.flatnonzero(np.diff(axis)) + 1, len(axis)]
         slack = 1e-12 * np.linalg.norm(y, axis=1).max()
         for a in range(0, len(q), 256):
             some = q.iloc[a: a + 256]
             x = matrix(some["x"])
-            score = x @ y.T
-            if t != WHOLE:
-                score[~probed(unit(x), t, share)[:, axis]] = -np.inf
-            m = min(k + 1, score.shape[1])
-            cut = -np.partition(-score, m - 1, axis=1)[:, m - 1]
-            for name_, v, s, least in zip(some["key"], x, score, cut - slack * np.linalg.norm(x, axis=1)):
-                b = np.flatnonzero((s >= least) & (s > -np.inf))
-                s = (y[b] * v).sum(1)  # the same for a pair wherever it meets
-                b, s = (z[np.lexsort((low[b], -s))[:m]] for z in (b, s))
-                out.append(pd.DataFrame({"q": [name_] * len(b), "c": names[b], "score": s}))
-        return pd.concat(out, ignore_index=True)
+            hits = None if t == WHOLE else probed(unit(x), t, share)
+            pairs = []
+            for i, j in zip([0, *ends[:-1]], ends):
+                asks = np.arange(len(x)) if hits is None else np.flatnonzero(hits[:, axis[i]])
+                if len(asks):
+                    score, m = x[asks] @ y[i:j].T, min(k + 1, j - i)
+                    cut = -np.partition(-score, m - 1, axis=1)[:, m - 1] - slack * np.linalg.norm(x[asks], axis=1)
+                    r, b = np.nonzero(score >= cut[:, None])
+                    pairs.append((asks[r], b + i))
+            if not pairs:
+                continue
+            r, b = (np.concatenate(z) for z in zip(*pairs))
+            # the same for a pair wherever it meets
+            s = np.concatenate([(y[b[i: i + 65536]] * x[r[i: i + 65536]]).sum(1) for i in range(0, len(b), 65536)])
+            order = np.lexsort((low[b], -s, r))
+            r, b, s = r[order], b[order], s[order]
+            kept = np.arange(len(r)) - np.searchsorted(r, r) <= k
+            out.append(pd.DataFrame({"q": some["key"].to_numpy()[r[kept]], "c": names[b[kept]], "score": s[kept]}))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"q": [], "c": [], "score": []})
 
     def meet(dealt: DataFrame) -> DataFrame:
         """q, c, score: the bests of each chunk of queries in each chunk of vectors."""

@@ -217,9 +217,7 @@ def test_neighbours_recall_with_unequal_lengths(spark, norms):
     assert np.mean(found) >= 0.95
 
 
-@pytest.mark.parametrize("least", [neighbours.LEAST_BAND, 1])  # searched whole, or hashed and completed
-def test_neighbours_are_k_and_ties_go_to_small_ids(spark, monkeypatch, least):
-    monkeypatch.setattr(neighbours, "LEAST_BAND", least)
+def test_neighbours_are_k_and_ties_go_to_small_ids(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=(15, 64))
     rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(x)]
@@ -237,7 +235,7 @@ def test_neighbours_ties_at_the_cut(spark):
     # equal scores with the query, other coordinates apart
     rows = [(0, [1.0, 0.0, 0.0])] + [(i, [0.5, float(i), -float(i)]) for i in ids]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = neighbours.search(df, every=1000, k=5).orderBy("rank").collect()
+    got = neighbours.search(df, every=1000, k=5, share=1.0).orderBy("rank").collect()  # all axes: nothing is missed
     assert [(r.vec_id, r.score) for r in got] == [(i, 0.5) for i in range(1, 6)]
 
 
