@@ -12,15 +12,29 @@ from jobledger.sources.tables import table
 
 
 def _definitions(spark, sf):
-    """One workflow definition per order; its steps are the order's line items."""
+    """One workflow definition per order; its steps are the order's line items,
+    which give all nine options now and then."""
     li = table(spark, sf, "lineitem")
+    line = F.col("l_linenumber")
     step = F.struct(
         F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"),
         F.concat(F.lit("line."), F.lower("l_linestatus")).alias("type"),
         F.concat(F.lit('{"qty":'), F.floor("l_quantity").cast("bigint").cast("string"), F.lit("}")).alias("args"),
-        F.when(F.col("l_returnflag") == "R", "returns").otherwise("default").alias("queue"),
+        F.when(F.col("l_returnflag") == "R", "returns").when(F.col("l_returnflag") == "N", "default").alias("queue"),
         F.when(F.col("l_quantity") > 40, F.lit(30000)).otherwise(F.lit(0)).cast("bigint").alias("timeout_ms"),
-        F.lit(None).cast("int").alias("priority"))
+        (line % 3).cast("int").alias("priority"),
+        F.when(F.col("l_suppkey") % 5 == 0, F.lit(45_000_500)).cast("bigint").alias("visibility_timeout_us"),
+        F.when(line == 2, F.col("l_shipdate")).alias("delay_until"),
+        F.when(line == 3, F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).alias("expires_at"),
+        F.when(F.col("l_partkey") % 4 == 0, F.struct(
+            line.cast("int").alias("max_attempts"), F.lit(2_000_000).cast("bigint").alias("initial_interval_us"),
+            F.lit(1.5).alias("backoff_coefficient"), F.lit(None).cast("bigint").alias("max_interval_us"),
+            (line % 2 == 0).alias("jitter"),
+            F.when(line == 1, F.array(F.lit("invalid_"))).alias("non_retryable_errors"))).alias("retry"),
+        F.when(F.col("l_partkey") % 7 == 0, F.struct(
+            F.array(F.lit("type")).alias("key"), F.lit(3_600_000_000).cast("bigint").alias("period_us"),
+            F.lit("ignore").alias("on_conflict"))).alias("unique"),
+        F.when(F.col("l_linestatus") == "O", F.array(F.lit("open"), F.concat(F.lit("line-"), line.cast("string")))).alias("tags"))
     # steps in line order; the leading sort fields stay in the struct (the
     # expansion reads steps by field name)
     steps = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(step)).alias("steps"))
@@ -35,17 +49,41 @@ def _definitions(spark, sf):
         .alias("on_success"),
         F.when(F.col("o_orderstatus") == "F", F.struct(F.lit("batch.failed").alias("type"), F.lit("{}").alias("args")))
         .alias("on_failure"))
+    options = F.when(F.col("o_custkey") % 3 != 0, F.struct(
+        F.when(F.col("o_orderstatus") == "F", "bulk").when(F.col("o_orderstatus") == "P", "").alias("queue"),
+        F.when(F.col("o_totalprice") > 200000, 1_500_999).cast("bigint").alias("timeout_us"),
+        (F.col("o_custkey") % 4).cast("int").alias("priority"), F.array(F.lower("o_orderstatus")).alias("tags")))
     return o.join(steps, o.o_orderkey == steps.l_orderkey, "left").select(
-        F.col("o_orderkey").alias("workflow_id"), kind.alias("kind"), "steps", cb.alias("callbacks"))
+        F.col("o_orderkey").alias("workflow_id"), F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")).alias("name"),
+        kind.alias("kind"), "steps", cb.alias("callbacks"), options.alias("options"))
 
 
-@register("expand_workflows", sql="""
+def _rfc3339_sql(t: str) -> str:
+    return (f"""strftime({t}, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us({t}) % 1000000 = 0 THEN '' """
+            f"""ELSE '.' || rtrim(printf('%06d', epoch_us({t}) % 1000000), '0') END || 'Z'""")
+
+
+STEP_OPTIONS_SQL = f"""'{{"queue":"' || coalesce(queue, 'default') || '"' ||
+  CASE WHEN line % 3 <> 0 THEN ',"priority":' || CAST(line % 3 AS VARCHAR) ELSE '' END ||
+  CASE WHEN timeout_ms <> 0 THEN ',"timeout_ms":' || CAST(timeout_ms AS VARCHAR) ELSE '' END ||
+  CASE WHEN line = 2 THEN ',"delay_until":"' || {_rfc3339_sql("ship")} || '"' ELSE '' END ||
+  CASE WHEN line = 3 THEN ',"expires_at":"' || {_rfc3339_sql("(ship + INTERVAL 1 DAY)")} || '"' ELSE '' END ||
+  CASE WHEN part % 4 = 0 THEN ',"retry":{{' || CASE WHEN line <> 0 THEN '"max_attempts":' || CAST(line AS VARCHAR) || ',' ELSE '' END ||
+       '"initial_interval_ms":2000,"backoff_coefficient":1.5,"jitter":' || CASE WHEN line % 2 = 0 THEN 'true' ELSE 'false' END ||
+       CASE WHEN line = 1 THEN ',"non_retryable_errors":["invalid_"]' ELSE '' END || '}}' ELSE '' END ||
+  CASE WHEN part % 7 = 0 THEN ',"unique":{{"key":["type"],"period_ms":3600000,"on_conflict":"ignore"}}' ELSE '' END ||
+  CASE WHEN status = 'O' THEN ',"tags":["open","line-' || CAST(line AS VARCHAR) || '"]' ELSE '' END ||
+  CASE WHEN supp % 5 = 0 THEN ',"visibility_timeout_ms":45000' ELSE '' END || '}}'"""
+
+
+@register("expand_workflows", sql=f"""
 WITH li AS (
   SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
          'line.' || lower(l_linestatus) AS type,
-         '{"qty":' || CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '}' AS args,
-         CASE l_returnflag WHEN 'R' THEN 'returns' ELSE 'default' END AS queue,
-         CASE WHEN l_quantity > 40 THEN 30000 ELSE 0 END AS timeout_ms
+         '{{"qty":' || CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR) || '}}' AS args,
+         CASE l_returnflag WHEN 'R' THEN 'returns' WHEN 'N' THEN 'default' END AS queue,
+         CASE WHEN l_quantity > 40 THEN 30000 ELSE 0 END AS timeout_ms,
+         l_linenumber AS line, l_partkey AS part, l_suppkey AS supp, l_linestatus AS status, l_shipdate AS ship
   FROM lineitem),
 n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
 d AS (SELECT o_orderkey AS workflow_id,
@@ -55,15 +93,14 @@ main AS (
   SELECT d.workflow_id, CASE WHEN kind = 'chain' THEN 'step-' ELSE 'job-' END || CAST(li.pos AS VARCHAR) AS step_id,
          li.type, '[' || li.args || ']' AS args,
          CASE WHEN kind = 'chain' AND li.pos > 0 THEN 'step-' || CAST(li.pos - 1 AS VARCHAR) ELSE '' END AS depends_on,
-         CASE WHEN kind = 'chain' AND (li.queue <> 'default' OR li.timeout_ms > 0)
-              THEN '{"queue":"' || li.queue || '"' || CASE WHEN li.timeout_ms <> 0 THEN ',"timeout_ms":' || CAST(li.timeout_ms AS VARCHAR) ELSE '' END || '}' END AS options
+         CASE WHEN kind = 'chain' AND (coalesce(queue, 'default') <> 'default' OR timeout_ms > 0) THEN {STEP_OPTIONS_SQL} END AS options
   FROM d JOIN li ON d.workflow_id = li.l_orderkey WHERE kind IN ('chain', 'group', 'batch')),
 b AS (SELECT d.*, coalesce(n.n, 0) AS n,
              coalesce(array_to_string(list_transform(range(CAST(coalesce(n.n, 0) AS BIGINT)), lambda i: 'job-' || CAST(i AS VARCHAR)), ','), '') AS deps
       FROM d LEFT JOIN n ON d.workflow_id = n.l_orderkey WHERE kind = 'batch'),
 cb AS (
   SELECT workflow_id, 'on-complete' AS step_id, 'batch.done' AS type, '[]' AS args, deps AS depends_on, CAST(NULL AS VARCHAR) AS options FROM b
-  UNION ALL SELECT workflow_id, 'on-success', 'batch.ok', '[{"total":' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || '}]', deps, NULL FROM b WHERE o_totalprice > 100000
+  UNION ALL SELECT workflow_id, 'on-success', 'batch.ok', '[{{"total":' || CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) || '}}]', deps, NULL FROM b WHERE o_totalprice > 100000
   UNION ALL SELECT workflow_id, 'on-failure', 'batch.failed', '[]', deps, NULL FROM b WHERE o_orderstatus = 'F')
 SELECT * FROM main UNION ALL SELECT * FROM cb""")
 def q_expand_workflows(spark, sf):
@@ -72,6 +109,23 @@ def q_expand_workflows(spark, sf):
                         "options")
 
 
+@register("workflow_requests", sql="""
+WITH n AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+d AS (SELECT o_orderkey AS workflow_id, 'order-' || CAST(o_orderkey AS VARCHAR) AS name,
+             CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'chain' WHEN '2' THEN 'group' WHEN '3' THEN 'batch' WHEN '4' THEN 'batch' ELSE 'saga' END AS kind,
+             o_custkey AS cust, o_totalprice AS price, o_orderstatus AS status, coalesce(n.n, 0) AS n
+      FROM orders LEFT JOIN n ON o_orderkey = l_orderkey)
+SELECT workflow_id, name, kind,
+       CAST(CASE kind WHEN 'saga' THEN 0 WHEN 'batch' THEN n + 1 + CASE WHEN price > 100000 THEN 1 ELSE 0 END + CASE WHEN status = 'F' THEN 1 ELSE 0 END ELSE n END AS INT) AS n_steps,
+       CASE WHEN cust % 3 <> 0 AND (status IN ('F', 'P') OR price > 200000) THEN
+         '{' || concat_ws(',', CASE status WHEN 'F' THEN '"queue":"bulk"' WHEN 'P' THEN NULL ELSE '"queue":"default"' END,
+           CASE WHEN cust % 4 <> 0 THEN '"priority":' || CAST(cust % 4 AS VARCHAR) END,
+           CASE WHEN price > 200000 THEN '"timeout_ms":1500' END, '"tags":["' || lower(status) || '"]') || '}' END AS options
+FROM d""")
+def q_workflow_requests(spark, sf):
+    return WF.workflow_requests(_definitions(spark, sf))
+
+
 @register("workflow_state", views=("batch_steps",), sql="""
 , st AS (SELECT DISTINCT workflow_id, step_id, state FROM batch_steps)
 , g AS (SELECT workflow_id, count(*) AS steps,

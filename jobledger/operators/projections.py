@@ -58,43 +58,33 @@ def _trunc_ms(us) -> Column:
     return F.when(u >= 0, F.floor(u / 1000)).otherwise(F.ceil(u / 1000)).cast("bigint")
 
 
-def resolve_options(df: DataFrame, queue="queue", priority="priority",
-                    timeout_us="timeout_us", visibility_timeout_us="visibility_timeout_us", delay_until="delay_until",
-                    expires_at="expires_at", retry="retry", unique="unique", tags="tags") -> DataFrame:
-    """Option defaults and wire form of all nine options.
+RETRY_TYPE = ("struct<max_attempts:int,initial_interval_us:bigint,backoff_coefficient:double,max_interval_us:bigint,"
+              "jitter:boolean,non_retryable_errors:array<string>>")
+UNIQUE_TYPE = "struct<key:array<string>,period_us:bigint,on_conflict:string>"
 
-    queue defaults to ``default`` (an explicit empty queue also resolves to
-    the default but is left off the wire, as an omitted empty field), priority to 0, durations (microseconds) become whole
-    milliseconds truncated toward zero; zero, empty and absent values are
-    omitted on the wire. ``retry`` is a struct (max_attempts,
-    initial_interval_us, backoff_coefficient, max_interval_us, jitter,
-    non_retryable_errors), ``unique`` one of (key, period_us, on_conflict);
-    given, each is written as an object, even an empty one. Columns that
-    ``df`` lacks are options not given; other columns stay as they are.
-    """
-    def given(col, dtype):
-        return _c(col) if not isinstance(col, str) or col in df.columns else F.lit(None).cast(dtype)
 
+def _given(df: DataFrame, col, dtype) -> Column:
+    return _c(col) if not isinstance(col, str) or col in df.columns else F.lit(None).cast(dtype)
+
+
+def wire_options(df: DataFrame, queue="queue", priority="priority",
+                 timeout_us="timeout_us", visibility_timeout_us="visibility_timeout_us", delay_until="delay_until",
+                 expires_at="expires_at", retry="retry", unique="unique", tags="tags") -> Column:
+    """Wire form of the nine options (see ``resolve_options``) as JSON text."""
     def some(c, empty):
         return F.when(c != empty, c)
 
     def ms(c):
         return some(F.coalesce(_trunc_ms(c), F.lit(0)), 0)
 
-    q0 = given(queue, "string")
-    q = F.coalesce(F.nullif(q0, F.lit("")), F.lit(K.DEFAULT_QUEUE))
-    wire_q = F.when(q0.isNull(), F.lit(K.DEFAULT_QUEUE)).when(q0 != "", q0)
-    p = F.coalesce(given(priority, "int"), F.lit(0)).cast("int")
-    t = F.coalesce(_trunc_ms(given(timeout_us, "bigint")), F.lit(0))
-    vt = F.coalesce(_trunc_ms(given(visibility_timeout_us, "bigint")), F.lit(0))
-    r = given(retry, "struct<max_attempts:int,initial_interval_us:bigint,backoff_coefficient:double,max_interval_us:bigint,jitter:boolean,non_retryable_errors:array<string>>")
-    u = given(unique, "struct<key:array<string>,period_us:bigint,on_conflict:string>")
-    wire = F.to_json(F.struct(
-        wire_q.alias("queue"),
-        some(p, 0).alias("priority"),
-        some(t, 0).alias("timeout_ms"),
-        rfc3339(given(delay_until, "timestamp")).alias("delay_until"),
-        rfc3339(given(expires_at, "timestamp")).alias("expires_at"),
+    q0 = _given(df, queue, "string")
+    r, u = _given(df, retry, RETRY_TYPE), _given(df, unique, UNIQUE_TYPE)
+    return F.to_json(F.struct(
+        F.when(q0.isNull(), F.lit(K.DEFAULT_QUEUE)).when(q0 != "", q0).alias("queue"),
+        some(F.coalesce(_given(df, priority, "int"), F.lit(0)).cast("int"), 0).alias("priority"),
+        ms(_given(df, timeout_us, "bigint")).alias("timeout_ms"),
+        rfc3339(_given(df, delay_until, "timestamp")).alias("delay_until"),
+        rfc3339(_given(df, expires_at, "timestamp")).alias("expires_at"),
         F.when(r.isNotNull(), F.struct(
             some(r["max_attempts"], 0).alias("max_attempts"), ms(r["initial_interval_us"]).alias("initial_interval_ms"),
             some(r["backoff_coefficient"], 0).alias("backoff_coefficient"), ms(r["max_interval_us"]).alias("max_interval_ms"),
@@ -102,9 +92,30 @@ def resolve_options(df: DataFrame, queue="queue", priority="priority",
         F.when(u.isNotNull(), F.struct(
             nonempty_array(u["key"]).alias("key"), ms(u["period_us"]).alias("period_ms"),
             nonempty_string(u["on_conflict"]).alias("on_conflict"))).alias("unique"),
-        nonempty_array(given(tags, "array<string>")).alias("tags"),
-        some(vt, 0).alias("visibility_timeout_ms"),
+        nonempty_array(_given(df, tags, "array<string>")).alias("tags"),
+        ms(_given(df, visibility_timeout_us, "bigint")).alias("visibility_timeout_ms"),
     ))
+
+
+def resolve_options(df: DataFrame, queue="queue", priority="priority",
+                    timeout_us="timeout_us", visibility_timeout_us="visibility_timeout_us", delay_until="delay_until",
+                    expires_at="expires_at", retry="retry", unique="unique", tags="tags") -> DataFrame:
+    """Option defaults and wire form of all nine options.
+
+    queue defaults to ``default`` (an explicit empty queue also resolves to
+    the default but is left off the wire, as an omitted empty field), priority to 0, durations (microseconds) become whole
+    milliseconds truncated toward zero; zero, empty and absent values are
+    omitted on the wire. ``retry`` is a struct (max_attempts,
+    initial_interval_us, backoff_coefficient, max_interval_us, jitter,
+    non_retryable_errors), ``unique`` one of (key, period_us, on_conflict);
+    given, each is written as an object, even an empty one. Columns that
+    ``df`` lacks are options not given; other columns stay as they are.
+    """
+    wire = wire_options(df, queue, priority, timeout_us, visibility_timeout_us, delay_until, expires_at, retry, unique, tags)
+    q = F.coalesce(F.nullif(_given(df, queue, "string"), F.lit("")), F.lit(K.DEFAULT_QUEUE))
+    p = F.coalesce(_given(df, priority, "int"), F.lit(0)).cast("int")
+    t = F.coalesce(_trunc_ms(_given(df, timeout_us, "bigint")), F.lit(0))
+    vt = F.coalesce(_trunc_ms(_given(df, visibility_timeout_us, "bigint")), F.lit(0))
     return (df.withColumn("wire_options", wire).withColumn("queue", q).withColumn("priority", p)
               .withColumn("timeout_ms", t).withColumn("visibility_timeout_ms", vt))
 

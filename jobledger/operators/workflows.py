@@ -1,7 +1,7 @@
 """Workflow expansion and rollups.
 
 A workflow definition row already holds its steps as an array, so expansion
-is a per-row ``posexplode`` (no shuffle). Rollups group steps by workflow
+is one per-row ``posexplode`` of steps and callbacks (no shuffle). Rollups group steps by workflow
 with ``count_if`` / ``bool_and`` (partial aggregation).
 """
 
@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from jobledger import constants as K
+from jobledger.operators import projections as P
 
 STEP = "struct<type:string,args:string,queue:string,timeout_ms:bigint,priority:int>"
 
@@ -26,57 +28,98 @@ def _wire_args(args_json) -> "F.Column":
     return F.when(F.coalesce(is_obj, F.lit(False)), F.concat(F.lit("["), canon, F.lit("]"))).otherwise(F.lit("[]"))
 
 
-def _step_options(s) -> "F.Column":
-    """Wire options of a chain step: only when its queue is not the default
-    or it has a timeout (zero fields omitted)."""
-    q = F.coalesce(F.nullif(s["queue"], F.lit("")), F.lit(K.DEFAULT_QUEUE))
-    t = F.coalesce(s["timeout_ms"], F.lit(0))
-    p = F.coalesce(s["priority"], F.lit(0))
-    keep = (q != K.DEFAULT_QUEUE) | (t > 0)
-    return F.when(keep, F.to_json(F.struct(q.alias("queue"), F.when(p != 0, p).alias("priority"),
-                                           F.when(t != 0, t).alias("timeout_ms"))))
+# options a step or a workflow may give -> type where its struct lacks the field
+OPTION_FIELDS = {"queue": "string", "priority": "int", "timeout_ms": "bigint", "visibility_timeout_us": "bigint",
+                 "delay_until": "timestamp", "expires_at": "timestamp", "retry": P.RETRY_TYPE, "unique": P.UNIQUE_TYPE,
+                 "tags": "array<string>"}
+
+
+def _option_struct(s, fields: set[str]) -> "F.Column":
+    """The options that struct ``s`` gives, in one shape; fields it lacks are
+    NULL. A timeout comes in milliseconds, or as ``timeout_us``."""
+    def field(name, dtype):
+        if name == "timeout_ms" and name not in fields and "timeout_us" in fields:
+            return P._trunc_ms(s["timeout_us"])
+        return s[name] if name in fields else F.lit(None).cast(dtype)
+
+    return F.struct(*[field(n, t).alias(n) for n, t in OPTION_FIELDS.items()])
+
+
+def _with_wire_options(df: DataFrame, col: str) -> DataFrame:
+    """``df`` with ``wire_options``: all nine options of struct ``col`` in wire
+    form, where its queue is given and not the default or it has a timeout;
+    else NULL, whatever else it gives."""
+    o = F.col(col)
+    keep = (F.coalesce(o["queue"], F.lit(K.DEFAULT_QUEUE)) != K.DEFAULT_QUEUE) | (F.coalesce(o["timeout_ms"], F.lit(0)) > 0)
+    names = {n: o[n] for n in OPTION_FIELDS if n != "timeout_ms"}
+    wire = P.wire_options(df, timeout_us=o["timeout_ms"] * 1000, **names)
+    return df.withColumn("wire_options", F.when(F.coalesce(keep, F.lit(False)), wire))
+
+
+def _fields(df: DataFrame, *path: str) -> set[str]:
+    """Field names of a struct, or of an array's structs, in ``df``."""
+    t = df.schema
+    for p in path:
+        t = t[p].dataType
+        t = t.elementType if isinstance(t, ArrayType) else t
+    return set(t.names)
 
 
 def expand_workflows(defs: DataFrame) -> DataFrame:
     """G1: definitions -> step rows ``(workflow_id, pos, step_id, type,
     args, depends_on, options)``.
 
-    ``chain``: ``step-i`` after ``step-(i-1)``, step options kept (see
-    ``_step_options``); ``group``: ``job-i`` without dependencies or
-    options; ``batch``: ``job-i`` plus the present callbacks
-    ``on-complete`` / ``on-success`` / ``on-failure``, each depending on all
-    jobs. Unknown kinds give no steps.
+    ``chain``: ``step-i`` after ``step-(i-1)``, with the step's own options
+    (any of ``OPTION_FIELDS``; see ``_with_wire_options``); ``group``:
+    ``job-i`` without dependencies or options; ``batch``: ``job-i`` plus the
+    present callbacks ``on-complete`` / ``on-success`` / ``on-failure``, each
+    depending on all jobs. Unknown kinds and missing steps give no rows.
+
+    Steps and callbacks of a definition form one array and are unnested
+    once: the input is read once and nothing is shuffled.
     """
-    kind = F.col("kind")
-    steps = F.col("steps")  # any struct with type, args, queue, timeout_ms, priority fields
-    n = F.greatest(F.coalesce(F.size(steps), F.lit(0)), F.lit(0))
-    job_ids = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("job-"), i.cast("string")))
-    job_ids = F.when(n > 0, job_ids).otherwise(F.array().cast("array<string>"))
-
-    main = defs.select("workflow_id", "kind", F.posexplode(steps).alias("pos", "s")).filter(
-        F.col("kind").isin("chain", "group", "batch"))
-    is_chain = F.col("kind") == "chain"
-    prev = F.concat(F.lit("step-"), (F.col("pos") - 1).cast("string"))
-    main = main.select(
-        "workflow_id", F.col("pos").cast("int").alias("pos"),
-        F.concat(F.when(is_chain, F.lit("step-")).otherwise(F.lit("job-")), F.col("pos").cast("string")).alias("step_id"),
-        F.col("s.type").alias("type"), _wire_args(F.col("s.args")).alias("args"),
-        F.when(is_chain & (F.col("pos") > 0), F.array(prev)).otherwise(F.array().cast("array<string>")).alias("depends_on"),
-        F.when(is_chain, _step_options(F.col("s"))).alias("options"))
+    kind, steps = F.col("kind"), F.col("steps")
+    given = _fields(defs, "steps")
+    is_chain, no_deps = kind == "chain", F.array().cast("array<string>")
+    none = F.lit(None).cast(f"struct<{','.join(f'{n}:{t}' for n, t in OPTION_FIELDS.items())}>")
+
+    def row(step_id, typ, args, deps, options):
+        return F.struct(step_id.alias("step_id"), typ.alias("type"), args.alias("args"), deps.alias("depends_on"),
+                        options.alias("opts"))
 
+    def main(s, i):
+        before = F.concat(F.lit("step-"), (i - 1).cast("string"))
+        return row(F.concat(F.when(is_chain, "step-").otherwise("job-"), i.cast("string")), s["type"], s["args"],
+                   F.when(is_chain & (i > 0), F.array(before)).otherwise(no_deps),
+                   F.when(is_chain, _option_struct(s, given)).otherwise(none))
+
+    n = F.greatest(F.coalesce(F.size(steps), F.lit(0)), F.lit(0))
+    jobs = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("job-"), i.cast("string")))).otherwise(no_deps)
+    cb = F.col("callbacks")
+    calls = F.array(*[F.when((kind == "batch") & cb[f].isNotNull(), row(F.lit(sid), cb[f]["type"], cb[f]["args"], jobs, none))
+                      for f, sid in zip(["on_complete", "on_success", "on_failure"], K.CALLBACK_STEPS)])
+    calls = F.filter(calls, lambda c: c.isNotNull())
+    own = F.coalesce(F.transform(steps, main), F.filter(calls, lambda c: F.lit(False)))
+    rows = defs.filter(kind.isin("chain", "group", "batch")).select(
+        "workflow_id", F.posexplode(F.concat(own, calls)).alias("pos", "s"))
+    rows = rows.select("workflow_id", F.col("pos").cast("int").alias("pos"), "s.*")
+    return _with_wire_options(rows, "opts").select(
+        "workflow_id", "pos", "step_id", "type", _wire_args(F.col("args")).alias("args"), "depends_on",
+        F.col("wire_options").alias("options"))
+
+
+def workflow_requests(defs: DataFrame) -> DataFrame:
+    """G1, one row a definition: its ``name``, the number of its steps with
+    callbacks, and its own options (struct ``options`` with any of
+    ``OPTION_FIELDS``) in wire form under the rule of a chain's steps. An
+    unknown kind is a request without steps. A per-row projection."""
     cb = F.col("callbacks")
-    entries = F.array(*[
-        F.when(cb[field].isNotNull(), F.struct(F.lit(i).alias("i"), F.lit(sid).alias("sid"), cb[field].alias("c")))
-        for i, (field, sid) in enumerate([("on_complete", "on-complete"), ("on_success", "on-success"),
-                                          ("on_failure", "on-failure")])])
-    cbs = defs.filter(kind == "batch").select(
-        "workflow_id", n.alias("_n"), job_ids.alias("_jobs"),
-        F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
-    cbs = cbs.select(
-        "workflow_id", (F.col("_n") + F.col("e.i")).cast("int").alias("pos"), F.col("e.sid").alias("step_id"),
-        F.col("e.c.type").alias("type"), _wire_args(F.col("e.c.args")).alias("args"),
-        F.col("_jobs").alias("depends_on"), F.lit(None).cast("string").alias("options"))
-    return main.unionByName(cbs)
+    calls = sum((F.when(cb[f].isNotNull(), 1).otherwise(0) for f in ("on_complete", "on_success", "on_failure")), F.lit(0))
+    n = F.greatest(F.coalesce(F.size("steps"), F.lit(0)), F.lit(0))
+    n = F.when(F.col("kind") == "batch", n + calls).when(F.col("kind").isin("chain", "group"), n).otherwise(0)
+    opts = _option_struct(F.col("options"), _fields(defs, "options"))
+    r = _with_wire_options(defs.withColumn("_opts", opts), "_opts")
+    return r.select("workflow_id", "name", "kind", n.cast("int").alias("n_steps"), F.col("wire_options").alias("options"))
 
 
 def _is_callback(col="step_id"):

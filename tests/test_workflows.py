@@ -3,9 +3,10 @@
 from pyspark.sql import functions as F
 
 from jobledger.operators import joins as J
+from jobledger.operators import projections as P
 from jobledger.operators import workflows as WF
 
-STEP = WF.STEP
+STEP = "struct<type:string,args:string,queue:string,timeout_ms:bigint,priority:int>"
 
 
 def defs(spark, rows):
@@ -36,6 +37,30 @@ def test_chain_and_batch_expansion(spark):
     assert out[("e", "on-complete")].depends_on == []
 
 
+def test_step_options_are_all_written_under_the_rule(spark):
+    full = ("struct<type:string,args:string,queue:string,timeout_us:bigint,visibility_timeout_us:bigint,tags:array<string>,"
+            f"expires_at:timestamp,retry:{P.RETRY_TYPE},unique:{P.UNIQUE_TYPE}>")
+    import datetime as dt
+    rest = (61_000_000, ["a"], dt.datetime(2024, 5, 1, 12, 0, 0, 250000), (4, None, None, None, True, []), ([], None, "replace"))
+    steps = [("t", "{}", None, None, *rest), ("t", "{}", "default", 0, *rest), ("t", "{}", "fast", None, *rest),
+             ("t", "{}", None, 2_000_999, *rest), ("t", "{}", "", None, *rest)]
+    d = spark.createDataFrame([("c", "chain", steps, None)], f"workflow_id string, kind string, steps array<{full}>, "
+                              "callbacks struct<on_complete:struct<type:string,args:string>,on_success:struct<type:string,args:string>,"
+                              "on_failure:struct<type:string,args:string>>")
+    got = [r.options for r in WF.expand_workflows(d).orderBy("pos").collect()]
+    tail = ('"expires_at":"2024-05-01T12:00:00.25Z","retry":{"max_attempts":4,"jitter":true},"unique":{"on_conflict":"replace"},'
+            '"tags":["a"],"visibility_timeout_ms":61000}')
+    # neither a queue of its own nor a timeout: the other options are not written
+    assert got == [None, None, '{"queue":"fast",' + tail, '{"queue":"default","timeout_ms":2000,' + tail, "{" + tail]
+
+
+def test_definitions_without_steps_or_callbacks(spark):
+    rows = [("b", "batch", None, (("done", None), None, ("bad", "[]"))), ("c", "chain", None, None), ("e", "chain", [], None),
+            ("n", None, [step("x")], None)]
+    out = {(r.workflow_id, r.step_id): (r.pos, r.args, r.depends_on) for r in WF.expand_workflows(defs(spark, rows)).collect()}
+    assert out == {("b", "on-complete"): (0, "[]", []), ("b", "on-failure"): (1, "[]", [])}
+
+
 def steps_df(spark, rows):
     return spark.createDataFrame(rows, "workflow_id string, step_id string, state string, depends_on array<string>")
 
