@@ -222,3 +222,53 @@ SELECT name, min(run_at) AS next_run_at FROM runs, (SELECT max(ts) AS as_of FROM
 def q_next_runs(spark, sf):
     as_of = table(spark, sf, "events").agg(F.max("ts").alias("m")).first()["m"]
     return C.next_runs(fx.cron_jobs(spark), as_of)
+
+
+# a schedule's local times (per day and time of day), read in UTC: winter time
+# and summer time between the last Sundays of March and October (Europe) or the
+# second of March and the first of November (America), where the reading holds
+ZONED_SQL = """
+, sundays AS (SELECT y, make_date(y, 3, 31) - CAST(dayofweek(make_date(y, 3, 31)) AS INT) AS eu1, make_date(y, 10, 31) - CAST(dayofweek(make_date(y, 10, 31)) AS INT) AS eu2,
+                     make_date(y, 3, 14) - CAST(dayofweek(make_date(y, 3, 14)) AS INT) AS us1, make_date(y, 11, 7) - CAST(dayofweek(make_date(y, 11, 7)) AS INT) AS us2
+              FROM (SELECT unnest(range(2023, 2035)) AS y))
+, days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '2024-03-06', TIMESTAMP '2029-03-10', INTERVAL 1 DAY)) AS TIMESTAMP) AS d)
+, times AS (SELECT unnest(range(1, 4)) AS h, 0 AS m UNION ALL SELECT unnest(range(1, 4)), 20 UNION ALL SELECT unnest(range(1, 4)), 40)
+, local AS (
+  SELECT name, type, zone, last_run_at, d + to_hours(k % 24) + to_minutes(k % 60) AS l FROM schedules, days
+  WHERE CASE WHEN form < 3 THEN true WHEN form < 6 THEN dayofweek(d) = k % 8 % 7 WHEN form = 6 THEN day(d) = k % 31 + 1
+             WHEN form = 8 THEN month(d) = 2 AND day(d) = 29 ELSE false END
+    AND (form = 8 OR d < last_run_at + INTERVAL 70 DAY) AND d > last_run_at - INTERVAL 3 DAY
+  UNION ALL
+  SELECT name, type, zone, last_run_at, d + to_hours(h) + to_minutes(m) FROM schedules, days, times
+  WHERE form = 7 AND month(d) % 2 = 1 AND (day(d) = k % 28 + 1 OR dayofweek(d) = k % 7)
+    AND d < last_run_at + INTERVAL 70 DAY AND d > last_run_at - INTERVAL 3 DAY)
+, readings AS (
+  SELECT DISTINCT name, type, last_run_at, zone, summer, l - to_hours(CAST(CASE zone WHEN 1 THEN -5 WHEN 2 THEN 1 ELSE 0 END + summer AS INT)) AS u
+  FROM local, (SELECT unnest([0, 1]) AS summer))
+, runs AS (
+  SELECT name, type, last_run_at, u AS run_at FROM readings JOIN sundays ON y = year(u)
+  WHERE summer = CASE zone WHEN 1 THEN CASE WHEN u >= us1 + INTERVAL 7 HOUR AND u < us2 + INTERVAL 6 HOUR THEN 1 ELSE 0 END
+                           WHEN 2 THEN CASE WHEN u >= eu1 + INTERVAL 1 HOUR AND u < eu2 + INTERVAL 1 HOUR THEN 1 ELSE 0 END ELSE 0 END)"""
+
+
+@register("next_runs_zoned", views=("schedules",), sql=ZONED_SQL + """
+SELECT name, min(run_at) AS next_run_at FROM runs WHERE run_at >= last_run_at GROUP BY name""")
+def q_next_runs_zoned(spark, sf):
+    """The next run of every customer's schedule, in its zone, after its own
+    last look; both clock changes lie in the span."""
+    return C.next_runs(fx.schedules(spark, sf), F.col("last_run_at"))
+
+
+@register("expand_cron_zoned", views=("schedules",), sql=ZONED_SQL.replace("last_run_at", "looked_at").replace(
+    "FROM schedules", "FROM (SELECT * EXCLUDE (last_run_at), TIMESTAMP '2024-10-26' AS looked_at FROM schedules) s") + """
+SELECT name, type, run_at FROM runs WHERE run_at >= TIMESTAMP '2024-10-26' AND run_at < TIMESTAMP '2024-11-05'""")
+def q_expand_cron_zoned(spark, sf):
+    """All runs over the days on which both zones go back to winter time."""
+    return C.expand_cron(fx.schedules(spark, sf), "2024-10-26 00:00:00", "2024-11-05 00:00:00")
+
+
+@register("cron_errors", views=("schedules",), sql="""
+SELECT name, cron, CASE WHEN k % 20 = 9 THEN 'invalid dow field MON' ELSE 'invalid minute field ' || (k % 60 + 60) END AS cron_error
+FROM schedules WHERE form = 9""")
+def q_cron_errors(spark, sf):
+    return C.cron_errors(fx.schedules(spark, sf)).select("name", "cron", "cron_error")

@@ -109,6 +109,17 @@ UNION ALL SELECT 'friday-or-13th', '15 12 13 * 5', 'UTC', 'luck.check'
 UNION ALL SELECT 'leap-day', '0 0 29 2 *', 'UTC', 'leap.run'
 UNION ALL SELECT 'never', '0 0 31 2 *', 'UTC', 'never.run'
 UNION ALL SELECT 'broken', '0 9 * * MON', 'UTC', 'broken.run'""",
+    "schedules": """
+SELECT CAST(c_custkey AS VARCHAR) AS name, c_custkey AS k, c_custkey % 10 AS form, c_nationkey % 4 AS zone, lower(c_mktsegment) AS type,
+       CASE WHEN c_custkey % 10 < 3 THEN (c_custkey % 60) || ' ' || (c_custkey % 24) || ' * * *'
+            WHEN c_custkey % 10 < 6 THEN (c_custkey % 60) || ' ' || (c_custkey % 24) || ' * * ' || (c_custkey % 8)
+            WHEN c_custkey % 10 = 6 THEN (c_custkey % 60) || ' ' || (c_custkey % 24) || ' ' || (c_custkey % 31 + 1) || ' * *'
+            WHEN c_custkey % 10 = 7 THEN '*/20 1-3 ' || (c_custkey % 28 + 1) || ' */2 ' || (c_custkey % 7)
+            WHEN c_custkey % 10 = 8 THEN (c_custkey % 60) || ' ' || (c_custkey % 24) || ' 29 2 *'
+            WHEN c_custkey % 20 = 9 THEN (c_custkey % 60) || ' ' || (c_custkey % 24) || ' * * MON'
+            ELSE (c_custkey % 60 + 60) || ' 9 * * *' END AS cron,
+       TIMESTAMP '2024-03-08' + to_days(CAST(c_custkey * 7 % 250 AS INT)) + to_hours(c_custkey % 24) + to_minutes(c_custkey * 13 % 60) AS last_run_at
+FROM customer""",
 }
 
 DEPENDS = {"jobs": ["attempts"], "workflow_steps": ["attempts"], "batch_steps": ["workflow_steps"]}

@@ -208,3 +208,27 @@ def cron_jobs(spark: SparkSession) -> DataFrame:
          ("never", "0 0 31 2 *", "UTC", "never.run"),
          ("broken", "0 9 * * MON", "UTC", "broken.run")],
         "name string, cron string, timezone string, type string")
+
+
+ZONES = ["UTC", "America/New_York", "Europe/Berlin", ""]
+
+
+def schedules(spark: SparkSession, sf: str) -> DataFrame:
+    """One schedule a customer, in the zone of the customer's nation, with the
+    time it was last looked at; every tenth customer's text is no schedule."""
+    k = F.col("c_custkey")
+    text = lambda c: c.cast("string")
+    at = F.concat(text(k % 60), F.lit(" "), text(k % 24), F.lit(" "))
+    form = k % 10
+    cron = (F.when(form < 3, F.concat(at, F.lit("* * *")))
+             .when(form < 6, F.concat(at, F.lit("* * "), text(k % 8)))
+             .when(form == 6, F.concat(at, text(k % 31 + 1), F.lit(" * *")))
+             .when(form == 7, F.concat(F.lit("*/20 1-3 "), text(k % 28 + 1), F.lit(" */2 "), text(k % 7)))
+             .when(form == 8, F.concat(at, F.lit("29 2 *")))
+             .when(k % 20 == 9, F.concat(at, F.lit("* * MON")))
+             .otherwise(F.concat(text(k % 60 + 60), F.lit(" 9 * * *"))))
+    zone = F.element_at(F.array(*[F.lit(z) for z in ZONES]), (F.col("c_nationkey") % len(ZONES) + 1).cast("int"))
+    looked = F.lit("2024-03-08 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days=(k * 7 % 250).cast("int"), hours=(k % 24).cast("int"),
+                                                                                    mins=(k * 13 % 60).cast("int"))
+    return table(spark, sf, "customer").select(text(k).alias("name"), cron.alias("cron"), zone.alias("timezone"), F.lower("c_mktsegment").alias("type"),
+                                               looked.alias("last_run_at"))
