@@ -176,8 +176,8 @@ def _next_day(day: Column) -> Column:
         return F.when(found.isNotNull(), found).otherwise(_let(_next_bit(_month_days(month + k), start), hit))
 
     none = F.lit(None).cast("bigint")
-    near = F.aggregate(F.sequence(F.lit(0), F.lit(NEAR_MONTHS)), none, look)
-    return F.coalesce(near, F.aggregate(F.sequence(F.lit(NEAR_MONTHS + 1), F.lit(CYCLE_MONTHS)), none, look))
+    spans = F.array(F.sequence(F.lit(0), F.lit(NEAR_MONTHS)), F.sequence(F.lit(NEAR_MONTHS + 1), F.lit(CYCLE_MONTHS)))
+    return F.aggregate(spans, none, lambda found, span: F.when(found.isNotNull(), found).otherwise(F.aggregate(span, none, look)))
 
 
 def _next_local(minute: Column) -> Column:
@@ -191,8 +191,12 @@ def _next_local(minute: Column) -> Column:
     h = F.floor(of_day / 60).cast("int")
     here = F.when(_next_bit(hours, h) == h, h * 60 + _next_bit(minutes, of_day % 60))
     later = F.coalesce(here, _next_bit(hours, h + 1) * 60 + _next_bit(minutes, 0))
-    today = F.when(later.isNotNull() & (_next_day(day) == day), day * 1440 + later)
-    return F.coalesce(today, _next_day(day + 1) * 1440 + first)
+
+    def of(time):
+        begin = F.when(time.isNull(), day + 1).otherwise(day)
+        return _let(_next_day(begin), lambda d: d * 1440 + F.when((d == day) & time.isNotNull(), time).otherwise(first))
+
+    return _let(later, of)
 
 
 def next_runs(cron_jobs: DataFrame, as_of) -> DataFrame:
@@ -245,7 +249,7 @@ def next_runs(cron_jobs: DataFrame, as_of) -> DataFrame:
     end = F.col("_t0") + SHIFT_MINUTES
     moved = change(F.col("_t0") + 1, end, lambda u: local(u) - u < F.col("_l0") - F.col("_t0"))
     again = F.when(local(end) - end < F.col("_l0") - F.col("_t0"), local(moved))
-    run = F.least(search(F.col("_l0")), search(again))
+    run = F.array_min(F.transform(F.array("_l0", again), search))
     return p.select("name", F.timestamp_seconds(run * 60).cast("timestamp_ntz").alias("next_run_at")).filter("next_run_at IS NOT NULL")
 
 
