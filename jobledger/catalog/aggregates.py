@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from jobledger.catalog.registry import register
+from jobledger.functions.timecols import ts_lit
 from jobledger.operators import aggregations as agg
 from jobledger.sources import fixtures as fx
 
@@ -78,6 +81,30 @@ def q_job_metrics(spark, sf):
     return agg.job_metrics(a)
 
 
+SKETCH_FROM, SKETCH_TO = "1994-03-05 00:00:00", "1996-07-09 00:00:00"
+SKETCH_QUANTILES = [0.05, 0.5, 0.9, 0.99]
+
+
+@register("duration_quantiles", views=("attempts", "jobs"), sql=f"""
+, t AS (SELECT j.type, j.queue, a.duration_ms + (a.job_id % 997) AS d FROM attempts a JOIN jobs j ON a.job_id = j.job_id
+        WHERE a.started_at >= TIMESTAMP '{SKETCH_FROM}' AND a.started_at < TIMESTAMP '{SKETCH_TO}')
+SELECT type, queue, count(*) AS n, q AS quantile, true AS within
+FROM t, (SELECT unnest({SKETCH_QUANTILES}::DOUBLE[]) AS q) GROUP BY type, queue, q""")
+def q_duration_quantiles(spark, sf):
+    """Sketches a day, merged over more than two years; ``within`` holds each
+    quantile's rank against the exact ranks of all durations (1 %)."""
+    a = fx.attempts(spark, sf).join(fx.jobs(spark, sf).select("job_id", "type", "queue"), "job_id")
+    a = a.select("type", "queue", "started_at", (F.col("duration_ms") + F.col("job_id") % 997).alias("duration_ms"))
+    q = agg.duration_quantiles(agg.duration_sketches(a, "day"), SKETCH_QUANTILES, SKETCH_FROM, SKETCH_TO)
+    exact = a.filter((F.col("started_at") >= ts_lit(SKETCH_FROM)) & (F.col("started_at") < ts_lit(SKETCH_TO)))
+    j = exact.join(q.withColumnRenamed("duration_ms", "_v"), ["type", "queue"])
+    slack = F.greatest(F.lit(1.0), F.col("n") * 0.01)
+    g = j.groupBy("type", "queue", "n", "quantile").agg(F.count_if(F.col("duration_ms") < F.col("_v")).alias("_lo"),
+                                                       F.count_if(F.col("duration_ms") <= F.col("_v")).alias("_hi"))
+    at = F.col("quantile") * F.col("n")
+    return g.select("type", "queue", "n", "quantile", ((F.col("_lo") <= at + slack) & (F.col("_hi") >= at - slack)).alias("within"))
+
+
 @register("describe_jobs", views=("jobs",), sql="SELECT type, count(*) AS n FROM jobs GROUP BY type")
 def q_describe_jobs(spark, sf):
     return agg.describe_jobs(fx.jobs(spark, sf))

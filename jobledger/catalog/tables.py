@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from jobledger.catalog.aggregates import EVENTS_AS_OF
@@ -12,6 +14,7 @@ from jobledger.operators import pages as L
 from jobledger.operators import projections as P
 from jobledger.operators import registry as U
 from jobledger.plans.strategy import literal_frame
+from jobledger.session import checkpoint_dir
 from jobledger.sources import fixtures as fx
 from jobledger.sources.tables import table
 
@@ -192,6 +195,17 @@ def q_page_after(spark, sf):
     return L.page_after(j, keys, 40, {"created_at": last["created_at"], "job_id": last["job_id"]})
 
 
+@register("page_at", views=("jobs",), sql="""
+, r AS (SELECT job_id, created_at, state, row_number() OVER (ORDER BY created_at DESC, job_id) AS rn, count(*) OVER () AS n FROM jobs)
+SELECT job_id, created_at, state FROM r WHERE rn > n * 9 // 10 AND rn <= n * 9 // 10 + 50""")
+def q_page_at(spark, sf):
+    """A page at nine tenths of the table, from the slices that hold it."""
+    j = fx.jobs(spark, sf).select("job_id", "created_at", "state")
+    keys = [("created_at", True), ("job_id", False)]
+    pages = L.write_pages(j, keys, f"{checkpoint_dir(spark)}/pages-{uuid.uuid4().hex}")
+    return L.page_at(pages, keys, 50, pages.count() * 9 // 10)
+
+
 @register("paginate_meta", views=("jobs",), sql="""
 SELECT count(*) AS total, 50 AS limit, 100 AS offset, 100 + least(50, greatest(count(*) - 100, 0)) < count(*) AS has_more
 FROM jobs""")

@@ -52,6 +52,20 @@ def q_retry_plan(spark, sf):
     return W.retry_plan(fx.attempts(spark, sf), RETRY_POLICY)
 
 
+@register("retry_plan_jitter", views=("attempts",), sql="""
+, l AS (SELECT job_id, max(attempt) AS n, arg_max(outcome, attempt) AS outcome, arg_max(retryable, attempt) AS rty,
+               arg_max(started_at, attempt) AS started_at, arg_max(duration_ms, attempt) AS duration_ms FROM attempts GROUP BY job_id)
+, d AS (SELECT *, CASE WHEN outcome = 'completed' THEN 'none' WHEN NOT coalesce(rty, false) OR n >= 6 THEN 'discard' ELSE 'retry' END AS decision,
+               CAST(floor(least(300000.0, 1000.0 * pow(2.0, n - 1)) * (0.5 + 0.5 * (
+                 CAST('0x' || substr(md5(CAST(job_id AS VARCHAR) || ':' || CAST(n AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0))) AS BIGINT) AS dly FROM l)
+SELECT job_id, n AS attempt, decision, CASE WHEN decision = 'retry' THEN dly END AS delay_ms,
+       CASE WHEN decision = 'retry' THEN started_at + duration_ms * INTERVAL 1 MILLISECOND + dly * INTERVAL 1 MILLISECOND END AS next_run_at
+FROM d""")
+def q_retry_plan_jitter(spark, sf):
+    """The default policy (jitter on) but for the number of attempts."""
+    return W.retry_plan(fx.attempts(spark, sf), {"max_attempts": 6})
+
+
 @register("fetch_backoff", views=("polls",), sql="""
 , f AS (SELECT *, CAST(sum(CAST(failed AS INT)) OVER w AS BIGINT) AS fails FROM polls WINDOW w AS (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 , g AS (SELECT *, max(CASE WHEN NOT failed THEN fails END) OVER (PARTITION BY worker ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS at_s FROM f)
@@ -109,24 +123,38 @@ def q_time_in_state(spark, sf):
     return t.withColumn("total_ms", F.round("total_ms", 6))
 
 
-@register("active_over_time", views=("attempts",), sql="""
+PEAK_SQL = """
 , ev AS (SELECT worker_id, started_at AS ts, 1 AS delta FROM attempts
          UNION ALL SELECT worker_id, started_at + duration_ms * INTERVAL 1 MILLISECOND, -1 FROM attempts)
 , r AS (SELECT *, CAST(sum(delta) OVER (PARTITION BY worker_id ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active FROM ev)
 , p AS (SELECT worker_id, max(active) AS peak_active, count(*) AS changes FROM r GROUP BY worker_id)
 SELECT p.worker_id, p.peak_active, min(r.ts) AS peak_at, p.changes
 FROM p JOIN r ON p.worker_id = r.worker_id AND r.active = p.peak_active
-GROUP BY p.worker_id, p.peak_active, p.changes""")
+GROUP BY p.worker_id, p.peak_active, p.changes"""
+PEAK_GLOBAL_SQL = """
+, ev AS (SELECT started_at AS ts, 1 AS delta FROM attempts
+         UNION ALL SELECT started_at + duration_ms * INTERVAL 1 MILLISECOND, -1 FROM attempts)
+, r AS (SELECT *, CAST(sum(delta) OVER (ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active FROM ev)
+SELECT max(active) AS peak_active, min(ts) FILTER (WHERE active = (SELECT max(active) FROM r)) AS peak_at, count(*) AS changes FROM r"""
+
+
+@register("active_over_time", views=("attempts",), sql=PEAK_SQL)
 def q_active_over_time(spark, sf):
     tl = W.active_over_time(fx.attempts(spark, sf), by="worker_id")
     return W.peak_concurrency(tl, by="worker_id")
 
 
-@register("active_over_time_global", views=("attempts",), sql="""
-, ev AS (SELECT started_at AS ts, 1 AS delta FROM attempts
-         UNION ALL SELECT started_at + duration_ms * INTERVAL 1 MILLISECOND, -1 FROM attempts)
-, r AS (SELECT *, CAST(sum(delta) OVER (ORDER BY ts, delta ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS active FROM ev)
-SELECT max(active) AS peak_active, min(ts) FILTER (WHERE active = (SELECT max(active) FROM r)) AS peak_at, count(*) AS changes FROM r""")
+@register("active_over_time_global", views=("attempts",), sql=PEAK_GLOBAL_SQL)
 def q_active_over_time_global(spark, sf):
     tl = W.active_over_time(fx.attempts(spark, sf), by=None)
     return W.peak_concurrency(tl, by=None)
+
+
+@register("peak_concurrency", views=("attempts",), sql=PEAK_SQL)
+def q_peak_concurrency(spark, sf):
+    return W.peak_active(fx.attempts(spark, sf), by="worker_id")
+
+
+@register("peak_concurrency_global", views=("attempts",), sql=PEAK_GLOBAL_SQL)
+def q_peak_concurrency_global(spark, sf):
+    return W.peak_active(fx.attempts(spark, sf), by=None)

@@ -110,6 +110,37 @@ def job_metrics(attempts: DataFrame, buckets: list[float] | None = None,
     return attempts.groupBy("type", "queue").agg(*aggs)
 
 
+# rank error of a duration sketch: under 1 % (a sketch of some 10 KB at most)
+SKETCH_K = 400
+
+
+def duration_sketches(attempts: DataFrame, width: str = "hour") -> DataFrame:
+    """A3, distributions that can be read over any window later: one quantile
+    sketch (KLL) of the attempts' durations per (type, queue, ``width`` of the
+    start). Sketches merge without loss of their bound, in tasks before the
+    shuffle as well. Attempts without a duration are not counted; those without
+    a start have a NULL ``period`` of their own."""
+    d = F.col("duration_ms").cast("double")
+    return attempts.filter(d.isNotNull() & ~F.isnan(d)).groupBy(
+        "type", "queue", F.date_trunc(width, "started_at").cast("timestamp_ntz").alias("period")).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(d, SKETCH_K).alias("sketch"))
+
+
+def duration_quantiles(sketches: DataFrame, quantiles: list[float], start=None, end=None, by: tuple[str, ...] = ("type", "queue")) -> DataFrame:
+    """Quantiles per ``by`` (none: of all) from the sketches whose period lies
+    in ``[start, end)``: ``(by..., n, quantile, duration_ms)``. Their rank is
+    within 1 % of the exact one. No sketch in the span gives no row."""
+    s = sketches
+    if start is not None:
+        s = s.filter(F.col("period") >= ts_lit(start))
+    if end is not None:
+        s = s.filter(F.col("period") < ts_lit(end))
+    m = s.groupBy(*by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_K).alias("_s")).filter("n > 0")
+    q = F.array(*[F.lit(float(x)) for x in quantiles])
+    return m.select(*by, "n", F.explode(F.arrays_zip(q.alias("quantile"), F.kll_sketch_get_quantile_double("_s", q).alias("duration_ms"))).alias("r")).select(
+        *by, "n", "r.quantile", "r.duration_ms")
+
+
 def _edge_name(e: float) -> str:
     return str(int(e)) if float(e).is_integer() else str(e).replace(".", "_")
 

@@ -46,6 +46,35 @@ def page_after(df: DataFrame, keys: list[tuple[str, bool]], limit: int, after: d
     return df.orderBy(*order).limit(limit)
 
 
+def _page_keys(keys: list[tuple[str, bool]]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_last() for c, down in keys]
+
+
+def write_pages(df: DataFrame, keys: list[tuple[str, bool]], path: str) -> DataFrame:
+    """L1 by rank, once a table: its rows in slices of about equally many that
+    follow one another in the order of ``keys`` ((column, descending), ending
+    with a unique one; NULLs last), a folder a slice below ``path`` (shared
+    storage). The result is the table read back, for ``page_at``."""
+    ranged = df.repartitionByRange(*_page_keys(keys)).sortWithinPartitions(*_page_keys(keys))
+    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    sliced.write.mode("overwrite").partitionBy("_slice").parquet(path)
+    return df.sparkSession.read.schema(sliced.schema).parquet(path)
+
+
+def page_at(pages: DataFrame, keys: list[tuple[str, bool]], limit: int, offset: int) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` of a table that ``write_pages``
+    wrote. The slices' counts (footers only; one row a slice) say which slices
+    hold them, and only these folders are read, so a page deep in the table
+    costs what the first one does. Beyond the end the page is empty."""
+    before, hit, skip = 0, [], 0
+    for s, n in sorted((r["_slice"], r["count"]) for r in pages.groupBy("_slice").count().collect()):
+        if before < offset + limit and before + n > offset:
+            skip = skip if hit else offset - before
+            hit.append(s)
+        before += n
+    return pages.filter(F.col("_slice").isin(hit)).orderBy(*_page_keys(keys)).offset(skip).limit(limit).drop("_slice")
+
+
 def list_dead_letter(jobs: DataFrame, queue: str | None = None, limit: int = 50, offset: int = 0,
                      id_col: str = "job_id") -> tuple[DataFrame, DataFrame]:
     """L2: discarded jobs (optionally of one queue), newest discard first."""

@@ -53,7 +53,8 @@ def retry_plan(attempts: DataFrame, policy: dict | None = None) -> DataFrame:
     retryable, its code starts with a listed non-retryable prefix, or
     ``n >= max_attempts``; otherwise it is retried after
     ``least(max, initial * coef^(n-1))`` (times ``0.5 + 0.5 * h`` with jitter,
-    ``h`` a hash of job id and attempt in [0, 1)).
+    ``h`` in [0, 1) from the first 32 bits of the MD5 of ``<job id>:<n>``, so
+    that a plan made twice, or by another engine, has the same times).
     """
     p = {"max_attempts": K.DEFAULT_MAX_ATTEMPTS, "initial_interval_ms": K.DEFAULT_INITIAL_INTERVAL_MS,
          "backoff_coefficient": K.DEFAULT_BACKOFF_COEFFICIENT, "max_interval_ms": K.DEFAULT_MAX_INTERVAL_MS,
@@ -71,7 +72,8 @@ def retry_plan(attempts: DataFrame, policy: dict | None = None) -> DataFrame:
     decision = F.when(~failed, F.lit("none")).when(discard, F.lit("discard")).otherwise(F.lit("retry"))
     delay = retry_delay_ms(n, p["initial_interval_ms"], p["backoff_coefficient"], p["max_interval_ms"])
     if p["jitter"]:
-        h = F.pmod(F.xxhash64(F.col("job_id"), n), F.lit(10000)) / F.lit(10000.0)
+        digest = F.md5(F.concat(F.col("job_id").cast("string"), F.lit(":"), n.cast("string")).cast("binary"))
+        h = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
         delay = delay * (F.lit(0.5) + F.lit(0.5) * h)
     delay_ms = F.floor(delay).cast("bigint")
     finished = plus_ms(F.col("l.started_at"), F.col("l.duration_ms"))
@@ -194,3 +196,29 @@ def peak_concurrency(timeline: DataFrame, by: str | None = "worker_id") -> DataF
         F.max("active").alias("peak_active"),
         F.min_by("ts", F.struct(-F.col("active"), F.col("ts"))).alias("peak_at"),
         F.count(F.lit(1)).alias("changes"))
+
+
+def peak_active(attempts: DataFrame, by: str | None = "worker_id") -> DataFrame:
+    """``peak_concurrency(active_over_time(...))`` without the timeline.
+
+    Starts and ends are range-partitioned on (group, time) into slices; each
+    (group, slice) gives its sum, its largest running sum and when that is
+    first reached. These summaries combine associatively: a slice's peak is
+    its largest running sum above the sum of the group's earlier slices. Only
+    one row a (group, slice) is ordered at the end, and no row is joined back.
+    Attempts without a start or duration count no change there.
+    """
+    keys = [by] if by else []
+    change = lambda ts, delta: F.struct(ts.alias("ts"), F.lit(delta).alias("delta"))
+    both = F.array(change(F.col("started_at"), 1), change(plus_ms("started_at", "duration_ms"), -1))
+    ev = attempts.select(*keys, F.inline(both)).filter("ts IS NOT NULL")
+    ev = ev.repartitionByRange(*keys, "ts", "delta").withColumn("_bk", F.spark_partition_id())
+    within = Window.partitionBy(*keys, "_bk").orderBy("ts", "delta").rowsBetween(Window.unboundedPreceding, 0)
+    part = ev.withColumn("_run", F.sum("delta").over(within)).groupBy(*keys, "_bk").agg(
+        F.sum("delta").alias("_sum"), F.max("_run").alias("_top"), F.count(F.lit(1)).alias("_n"),
+        F.min_by("ts", F.struct(-F.col("_run"), F.col("ts"))).alias("_at"))
+    earlier = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    top = part.withColumn("_top", F.col("_top") + F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    return top.groupBy(*keys).agg(
+        F.max("_top").alias("peak_active"), F.min_by("_at", F.struct(-F.col("_top"), F.col("_at"))).alias("peak_at"),
+        F.sum("_n").alias("changes"))

@@ -260,3 +260,17 @@ def test_state_timeline_in_slices(spark, many_slices):
         for (eid, _), nxt in zip(evs, evs[1:] + [(None, None)]):
             want[eid] = nxt[1]
     assert got == want
+
+
+@pytest.mark.parametrize("by", ["worker_id", None])
+def test_peak_without_timeline_equals_the_timelines(spark, by):
+    rnd = random.Random(5)
+    t = dt.datetime(2024, 1, 1)
+    rows = [("hot" if rnd.random() < 0.7 else rnd.choice(["w1", "w2", None]), t + dt.timedelta(seconds=rnd.randrange(300)), rnd.choice([0, 1000, 5000, 60000]))
+            for _ in range(1500)] + [("late", t + dt.timedelta(days=9000), 1), ("none", None, 5)]
+    a = spark.createDataFrame(rows, "worker_id string, started_at timestamp_ntz, duration_ms long")
+    timed = a.filter("started_at IS NOT NULL")
+    want = W.peak_concurrency(W.active_over_time(timed, by=by), by=by).collect()
+    got = W.peak_active(a, by=by).collect()
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(got) == order(want)

@@ -85,3 +85,33 @@ def test_stale_jobs(spark):
                                "worker_id string, ts timestamp, active_job_ids array<string>")
     got = {r.job_id: r.reclaimable for r in J.stale_jobs(jobs, hb, t).collect()}
     assert got == {"a": False, "b": True, "c": True}
+
+
+def test_pages_by_rank(spark, tmp_path):
+    rows = [(i, (i * 7) % 10 if i % 11 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "job_id long, prio int")
+    keys = [("prio", True), ("job_id", False)]
+    pages = L.write_pages(df, keys, f"file:{tmp_path}/pages")
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for offset, limit in [(0, 10), (95, 30), (180, 20), (195, 20), (200, 5), (0, 500), (10, 0)]:
+        assert [tuple(r) for r in L.page_at(pages, keys, limit, offset).collect()] == want[offset:offset + limit], (offset, limit)
+    empty = L.write_pages(df.limit(0), keys, f"file:{tmp_path}/empty")
+    assert L.page_at(empty, keys, 10, 0).count() == 0 and empty.drop("_slice").columns == df.columns
+
+
+def test_duration_quantiles_by_span(spark):
+    import datetime as dt
+
+    from jobledger.operators import aggregations as A
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", "q", t + dt.timedelta(minutes=i % 600), float(i * 7919 % 20000)) for i in range(20000)] + [
+        ("a", "q", t, None), ("a", "q", t, float("nan")), ("b", "q", None, 5.0)]
+    sk = A.duration_sketches(spark.createDataFrame(rows, "type string, queue string, started_at timestamp_ntz, duration_ms double"))
+    got = {(r.type, r.quantile): r for r in A.duration_quantiles(sk, [0.0, 0.25, 0.99, 1.0], "2024-01-01 02:00:00", "2024-01-01 05:00:00").collect()}
+    exact = sorted(r[3] for r in rows[:20000] if 2 <= r[2].hour < 5)
+    assert {k[0] for k in got} == {"a"} and got[("a", 0.25)].n == len(exact)
+    for (_, q), r in got.items():
+        at = sum(x <= r.duration_ms for x in exact) / len(exact)
+        assert abs(at - q) <= 0.01, (q, at)
+    every = A.duration_quantiles(sk, [0.5], by=()).collect()
+    assert len(every) == 1 and every[0].n == 20001
