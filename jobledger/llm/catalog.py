@@ -59,7 +59,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, most=3, blocks=4)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, most=3, blocks=2)
 
 
 @query("op4_best_fit")

@@ -7,7 +7,9 @@ of one of ``blocks`` equal parts, so each part gets a vantage-point tree with
 that radius: a node sends a fingerprint inward or outward by its Hamming
 distance to the vantage point, and by the triangle bound also to the other
 side where the distance is within the radius of the border. The trees' leaves
-are the shards; all fingerprints of a shard are compared exactly.
+are the shards: each fingerprint has one of its own, and queries those whose
+border it is near as a visitor. A shard's own fingerprints are compared
+exactly with all that are there.
 
 The trees come from a bounded sample; they steer the work and never the
 result. A shard well above the mean is cut into chunks that meet in pairs.
@@ -33,7 +35,7 @@ SEED = 42  # of XXH64
 BITS = 64
 SAMPLE = 16_384  # fingerprints that shape the trees
 LEAF = 512  # aim for a shard
-DEEPEST = 16
+DEEPEST = 20
 CHUNK = 1024  # least size of a chunk of a large shard
 
 
@@ -87,16 +89,18 @@ class Tree:
     point: np.ndarray
     border: np.ndarray
 
-    def shards(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``x``, leaf) for all leaves within the radius of each."""
+    def shards(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row of ``x``, leaf, whether it is the row's own) for all leaves
+        within the radius of each."""
         x = x & np.uint64(self.mask)
-        row, node = np.arange(len(x)), np.zeros(len(x), np.int64)
+        row, node, own = np.arange(len(x)), np.zeros(len(x), np.int64), np.ones(len(x), bool)
         for _ in range(self.depth):
             d, edge = distance(x[row], self.point[node]), self.border[node]
-            inward, outward = d - self.radius <= edge, d + self.radius > edge
+            inward, outward, inside = d - self.radius <= edge, d + self.radius > edge, d <= edge
             row = np.concatenate([row[inward], row[outward]])
+            own = np.concatenate([(own & inside)[inward], (own & ~inside)[outward]])
             node = np.concatenate([2 * node[inward] + 1, 2 * node[outward] + 2])
-        return row, node - ((1 << self.depth) - 1)
+        return row, node - ((1 << self.depth) - 1), own
 
 
 def plant(sample: np.ndarray, mask: int, radius: int, depth: int) -> Tree:
@@ -132,13 +136,19 @@ def masks(blocks: int) -> list[int]:
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-def forest(x: np.ndarray, most: int) -> list[tuple[int, int]]:
-    """Places of links that join ``x`` as all links within ``most`` bits do,
-    one fewer than the members of each group."""
+def forest(x: np.ndarray, most: int, own: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Places of links that join ``x`` (distinct) as all links within ``most``
+    bits do between those of ``own`` (none given: all) and any: one fewer than
+    the members of each group."""
     near = np.zeros(len(x), bool)
+    mine = np.arange(len(x)) if own is None else np.flatnonzero(own)
     step = max(1, (1 << 21) // max(len(x), 1))
-    for a in range(0, len(x), step):
-        near[a: a + step] = (distance(x[a: a + step, None], x[None, :]) <= most).sum(1) > 1
+    for a in range(0, len(mine), step):
+        some = mine[a: a + step]
+        hit = distance(x[some, None], x[None, :]) <= most
+        hit[np.arange(len(some)), some] = False
+        near[some] |= hit.any(1)
+        near |= hit.any(0)
     left, out = np.flatnonzero(near), []
     while len(left):
         front, left = left[:1], left[1:]
@@ -151,7 +161,7 @@ def forest(x: np.ndarray, most: int) -> list[tuple[int, int]]:
     return out
 
 
-def links(prints: DataFrame, most: int = 3, blocks: int = 4) -> DataFrame:
+def links(prints: DataFrame, most: int = 3, blocks: int = 2) -> DataFrame:
     """Links (a, b) between the distinct values of the long column ``fp``
     that differ in at most ``most`` bits: a spanning forest of each shard."""
     spark = prints.sparkSession
@@ -164,13 +174,13 @@ def links(prints: DataFrame, most: int = 3, blocks: int = 4) -> DataFrame:
 
     def place(fp: np.ndarray):
         for k, tree in enumerate(trees):
-            row, leaf = tree.shards(fp)
-            yield row, leaf + (k << depth)
+            row, leaf, own = tree.shards(fp)
+            yield row, leaf + (k << depth), own
 
     def sizes(batches):
         total = np.zeros(shards, np.int64)
         for pdf in batches:
-            for _, shard in place(pdf["fp"].to_numpy().view(np.uint64)):
+            for _, shard, _ in place(pdf["fp"].to_numpy().view(np.uint64)):
                 total += np.bincount(shard, minlength=shards)
         at = np.flatnonzero(total)
         yield pd.DataFrame({"shard": at, "n": total[at]})
@@ -184,27 +194,28 @@ def links(prints: DataFrame, most: int = 3, blocks: int = 4) -> DataFrame:
         keys, cut = np.array(sorted(large), np.int64), np.array([large[k] for k in sorted(large)], np.int64)
         for pdf in batches:
             fp = pdf["fp"].to_numpy()
-            for row, shard in place(fp.view(np.uint64)):
+            for row, shard, own in place(fp.view(np.uint64)):
                 at = np.minimum(np.searchsorted(keys, shard), max(len(keys) - 1, 0))
                 hot = keys[at] == shard if len(keys) else np.zeros(len(shard), bool)
-                yield pd.DataFrame({"shard": shard[~hot], "i": 0, "j": 0, "fp": fp[row[~hot]]})
+                yield pd.DataFrame({"shard": shard[~hot], "i": 0, "j": 0, "fp": fp[row[~hot]], "own": own[~hot]})
                 for s in np.unique(shard[hot]):
-                    own, c = fp[row[shard == s]], large[int(s)]
-                    mine = (V.mix(own.view(np.uint64)) % np.uint64(c)).astype(np.int64)
+                    there, c = shard == s, large[int(s)]
+                    some = fp[row[there]]
+                    mine = (V.mix(some.view(np.uint64)) % np.uint64(c)).astype(np.int64)
                     for other in range(c):
-                        yield pd.DataFrame({"shard": s, "i": np.minimum(mine, other), "j": np.maximum(mine, other), "fp": own})
+                        yield pd.DataFrame({"shard": s, "i": np.minimum(mine, other), "j": np.maximum(mine, other), "fp": some, "own": own[there]})
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         fp = pdf["fp"].to_numpy()
-        found = np.array(forest(fp.view(np.uint64), most), np.int64).reshape(-1, 2)
+        found = np.array(forest(fp.view(np.uint64), most, pdf["own"].to_numpy()), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": fp[found[:, 0]], "b": fp[found[:, 1]]})
 
-    return (prints.select("fp").mapInPandas(cells, "shard long, i long, j long, fp long")
+    return (prints.select("fp").mapInPandas(cells, "shard long, i long, j long, fp long, own boolean")
             .groupBy("shard", "i", "j").applyInPandas(compare, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
-                    most: int = 3, blocks: int = 4) -> DataFrame:
+                    most: int = 3, blocks: int = 2) -> DataFrame:
     """Per row of ``docs``: ``id_col``, fingerprint (16 hex digits),
     component_id: the smallest id that links of at most ``most`` differing
     bits reach. Texts without words share the fingerprint 0 and are linked.
