@@ -57,7 +57,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     no_id = F.col("doc_id").isNull()
     key = [no_id.alias("none"), F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"), F.xxhash64("text").alias("h")]
     names = ["none", "id", "h"]
-    groups = simhash.near_duplicates(docs.select("text", F.struct(*key).alias("row")), id_col="row", size=3, most=3, blocks=4)
+    groups = simhash.near_duplicates(docs.select("text", F.struct(*key).alias("row")), id_col="row", size=3, most=3, blocks=2)
     kept = groups.filter("row = component_id").select("row.*").distinct()
     return whole(docs, *key).dropDuplicates(names).join(kept, names, "left_semi").select("doc.*")
 
