@@ -71,6 +71,20 @@ def test_links_match_brute_force(spark, monkeypatch, blocks):
     assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
 
 
+@pytest.mark.parametrize("blocks", [2, 1])
+def test_near_fingerprints_visit_each_others_shards(blocks):
+    rng = np.random.default_rng(blocks)
+    x = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    for mask in simhash.masks(blocks):
+        tree = simhash.plant(x, mask, 3 // blocks, 6)
+        row, leaf, own = tree.shards(x)
+        assert np.array_equal(np.sort(row[own]), np.arange(len(x)))  # one shard of its own
+        there = set(zip(row.tolist(), leaf.tolist()))
+        home = dict(zip(row[own].tolist(), leaf[own].tolist()))
+        near = simhash.distance((x & np.uint64(mask))[:200, None], (x & np.uint64(mask))[None, :]) <= tree.radius
+        assert all((int(a), home[int(b)]) in there for a, b in np.argwhere(near))
+
+
 def test_near_duplicates_edge_rows(frame):
     rows = [(5, "a b c d"), (3, "A b  c D"), (9, ""), (7, None), (None, " "), (4, "something else here now"), (4, "something else here now"), (None, "null id text words")]
     docs = frame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, fingerprint string, fp int")
