@@ -13,7 +13,7 @@ from jobledger.operators import joins as J
 from jobledger.operators import pages as L
 from jobledger.operators import projections as P
 from jobledger.operators import registry as U
-from jobledger.plans.strategy import literal_frame
+from jobledger.plans.strategy import literal_frame, parts_for
 from jobledger.session import checkpoint_dir
 from jobledger.sources import fixtures as fx
 from jobledger.sources.tables import table
@@ -106,7 +106,7 @@ SELECT workflow_id, step_id, n_deps, n_done,
        CASE step_id WHEN 'on-complete' THEN n_term = n_deps WHEN 'on-failure' THEN n_term = n_deps AND n_bad > 0 ELSE n_done = n_deps END AS ready
 FROM g""")
 def q_ready_steps(spark, sf):
-    return J.ready_steps(fx.batch_steps(spark, sf))
+    return J.ready_steps(fx.batch_steps(spark, sf), parts_for(table(spark, sf, "lineitem")))
 
 
 @register("parent_results", views=("workflow_steps",), sql="""
